@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.functions.expressions import month_key
-from claimflow.operators.skew import with_facts
+from claimflow.operators.skew import join_facts, with_facts
 
 
 def duplicated_keys(df: DataFrame, keys: Sequence[str], count: str = "n") -> DataFrame:
@@ -34,6 +34,17 @@ def concat_distinct(df: DataFrame, keys: Sequence[str], column: str, sep: str =
     return per_value.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(column)), sep).alias(output))
 
 
+def spell_counts(counts: Column, total: Column, sep: str = ",", spell_out: int = 100_000) -> Column:
+    """Text of a counted list [(value, copies)]: spelled out up to `spell_out` values, `value*copies` beyond."""
+    spelled = F.array_join(
+        F.flatten(F.transform(counts, lambda x: F.array_repeat(x["value"], x["copies"].cast("int")))), sep
+    )
+    short = F.array_join(
+        F.transform(counts, lambda x: F.concat(x["value"], F.lit("*"), x["copies"].cast("string"))), sep
+    )
+    return F.when(total <= spell_out, spelled).otherwise(short)
+
+
 def concat_all(
     df: DataFrame,
     keys: Sequence[str],
@@ -54,11 +65,8 @@ def concat_all(
         F.array_sort(F.collect_list(F.struct(F.col(column).alias("value"), "copies"))).alias("counts"),
         F.sum("copies").alias("n_values"),
     )
-    spelled = F.array_join(
-        F.flatten(F.transform("counts", lambda x: F.array_repeat(x["value"], x["copies"].cast("int")))), sep
-    )
-    short = F.array_join(F.transform("counts", lambda x: F.concat(x["value"], F.lit("*"), x["copies"].cast("string"))), sep)
-    return counted.withColumn(output, F.when(F.col("n_values") <= spell_out, spelled).otherwise(short)).drop("counts")
+    text = spell_counts(F.col("counts"), F.col("n_values"), sep, spell_out)
+    return counted.withColumn(output, text).drop("counts")
 
 
 def sum_over(df: DataFrame, keys: Sequence[str], column: str, output: str | None = None) -> DataFrame:
@@ -73,8 +81,6 @@ def monthly(df: DataFrame, date: str, *aggregates: Column, month: str = "calenda
 
 def impute_by_mode(df: DataFrame, key: str, column: str, missing: Column) -> DataFrame:
     """Fill a missing category with the most frequent one among rows of the same key (ties: first by name)."""
-    from claimflow.operators.skew import join_facts
-
     counts = df.where(~missing).groupBy(key, column).agg(F.count(F.lit(1)).alias("n"))
     mode = counts.groupBy(key).agg(F.min(F.struct((-F.col("n")).alias("rank"), F.col(column).alias("v"))).alias("m"))
     joined = join_facts(df, mode.select(key, F.col("m.v").alias("__mode")), [key], "left")
