@@ -30,8 +30,13 @@ def blank_to_null(c: str | Column) -> Column:
 
 
 def parse_money(c: str | Column, money: str = MONEY) -> Column:
-    """`1,234,000` -> 1234000.00; markers and unreadable text -> NULL."""
-    return F.regexp_replace(F.trim(col(c)), ",", "").try_cast(money)
+    """`1,234,000` -> 1234000.00; markers and unreadable text -> NULL.
+
+    Markers are tested before the cast: a failing cast raises and catches inside the JVM, which is slow.
+    """
+    text = F.trim(col(c))
+    digits = F.replace(text, F.lit(","), F.lit(""))
+    return F.when(~text.isin(*MISSING_MARKERS), digits.try_cast(money))
 
 
 def money_or_zero(c: str | Column, money: str = MONEY) -> Column:
@@ -71,7 +76,7 @@ def any_phrase(text: str | Column, phrases: Sequence[str]) -> Column:
 
 def fold_tone(c: str | Column) -> Column:
     """Comparison key: trimmed, lower case, with the two tone-mark placements of `huy` made one."""
-    return F.regexp_replace(F.lower(F.trim(col(c))), "huỷ", "hủy")
+    return F.replace(F.lower(F.trim(col(c))), F.lit("huỷ"), F.lit("hủy"))
 
 
 def map_value(

@@ -3,9 +3,10 @@
 The log has one row per update: claimnumber, claim_status_name, updateddate, coverage, damage_type,
 amounts and row_index (unique within a claim). Amounts are NULL where the source had none.
 
-The reductions first collapse the rows of a claim into day cells, one per (claim, coverage, date),
-with an aggregate that is combined on the map side. What a window then sees per claim is bounded by
-the calendar and the four coverages, however many log rows the claim has.
+The reductions first collapse the rows of a claim into day cells, one per (claim, coverage, state,
+date), with an aggregate that is combined on the map side. What a window then sees per claim is bounded
+by the calendar, nine states and four coverages, however many log rows the claim has. No reduction
+needs the resolved state joined to the rows beforehand.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from claimflow.functions.expressions import map_value
 from claimflow.functions.vocabulary import HISTORY_STATUS, STATUS_PRIORITY
 from claimflow.operators.cleaning import gross_up
 from claimflow.operators.grouping import spell_counts
-from claimflow.operators.picking import at_latest, last_per, pick
-from claimflow.operators.skew import hot_keys, join_facts, with_facts
+from claimflow.operators.picking import pick
+from claimflow.operators.skew import join_facts, with_facts
 
 CLAIM = ["claimnumber"]
 AMOUNTS = ("claim_estimate_first", "claim_estimate", "total_claim_estimate", "compensation_total")
@@ -46,13 +47,34 @@ def status_of_rank(rank: Column) -> Column:
     return F.get(F.array(*[F.lit(s) for s in STATUS_PRIORITY]), rank - 1)
 
 
+def first_date_of(status: str, date: str = "updateddate") -> Column:
+    return F.min(F.when(F.col("claim_status_name") == status, F.col(date)))
+
+
+def claim_facts(log: DataFrame, *names: str) -> DataFrame:
+    """What the log says about a claim as a whole, one row per claim, in one aggregate.
+
+    claim_status, latest_date, paid_on and the four milestone dates; only the named ones are computed.
+    """
+    name = F.col("claim_status_name")
+    facts = {
+        "claim_status": lambda: status_of_rank(F.min(status_rank(name))),
+        "latest_date": lambda: F.max("updateddate"),
+        "paid_on": lambda: F.max(F.when(name == "paid out", F.col("updateddate"))),
+        "documents_pending_date": lambda: first_date_of("documents pending"),
+        "estimate_pending_date": lambda: first_date_of("estimate pending"),
+        "assessment_pending_date": lambda: first_date_of("assessment pending"),
+        "process_start_date": lambda: first_date_of("in process"),
+    }
+    return log.groupBy("claimnumber").agg(*[facts[n]().alias(n) for n in (names or facts)])
+
+
+MILESTONES = ("documents_pending_date", "estimate_pending_date", "assessment_pending_date", "process_start_date")
+
+
 def resolve_status(log: DataFrame) -> DataFrame:
-    """One claim_status per claim from all its rows, in one aggregate."""
-    return (
-        log.groupBy("claimnumber")
-        .agg(F.min(status_rank("claim_status_name")).alias("rank"))
-        .select("claimnumber", status_of_rank(F.col("rank")).alias("claim_status"))
-    )
+    """One claim_status per claim from all its rows."""
+    return claim_facts(log, "claim_status")
 
 
 def with_status(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
@@ -60,27 +82,25 @@ def with_status(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     return join_facts(log, resolve_status(log), CLAIM, "inner", hot)
 
 
-def first_date_of(status: str, date: str = "updateddate") -> Column:
-    return F.min(F.when(F.col("claim_status_name") == status, F.col(date)))
-
-
 def milestones(log: DataFrame) -> DataFrame:
-    """First date of each waiting state per claim, all four in one aggregate."""
-    return log.groupBy("claimnumber").agg(
-        first_date_of("documents pending").alias("documents_pending_date"),
-        first_date_of("estimate pending").alias("estimate_pending_date"),
-        first_date_of("assessment pending").alias("assessment_pending_date"),
-        first_date_of("in process").alias("process_start_date"),
-    )
+    """First date of each waiting state per claim."""
+    return claim_facts(log, *MILESTONES)
 
 
 def with_milestones(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     return join_facts(log, milestones(log), CLAIM, "inner", hot)
 
 
-def relabel_latest(rows: DataFrame, status: str = "assessment pending", hot: DataFrame | None = None) -> DataFrame:
+def _at_latest_of(log: DataFrame, status: str, hot: DataFrame | None) -> DataFrame:
+    """Rows at the latest date of the claims resolved to `status`: one aggregate and one join."""
+    facts = claim_facts(log, "claim_status", "latest_date").where(F.col("claim_status") == status)
+    rows = join_facts(log, facts, CLAIM, "inner", hot)
+    return rows.where(F.col("updateddate") == F.col("latest_date")).drop("latest_date")
+
+
+def relabel_latest(log: DataFrame, status: str = "assessment pending", hot: DataFrame | None = None) -> DataFrame:
     """Latest rows of the claims resolved to `status`; rows in another state give the claim that state."""
-    latest = at_latest(rows.where(F.col("claim_status") == status), CLAIM, "updateddate", hot)
+    latest = _at_latest_of(log, status, hot)
     return latest.withColumn("relabelled", F.col("claim_status") != F.col("claim_status_name")).withColumn(
         "claim_status", F.col("claim_status_name")
     )
@@ -96,207 +116,258 @@ def _zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), zero()) for c in columns})
 
 
-def _payload(df: DataFrame, first: Sequence[str] = ("row_index",)) -> Column:
+def _row(df: DataFrame, first: Sequence[str] = ("row_index",)) -> Column:
     """The row as a struct ordered by the given columns, to be carried through min and max."""
-    skip = {"claimnumber", "coverage", *first}
-    return F.struct(*first, *[c for c in df.columns if c not in skip])
+    return F.struct(*first, *[c for c in df.columns if c not in first and c != "claimnumber"])
 
 
-def _latest_cells(rows: DataFrame, **aggregates: Column) -> DataFrame:
-    """Per (claim, coverage): the aggregates over the rows at the claim's latest date."""
-    cells = rows.groupBy("claimnumber", "coverage", "updateddate").agg(
-        *[a.alias(name) for name, a in aggregates.items()]
-    )
-    latest = F.max("updateddate").over(Window.partitionBy("claimnumber"))
-    return cells.withColumn("__latest", latest).where(F.col("updateddate") == F.col("__latest")).drop(
-        "__latest", "updateddate"
+def _unrow(df: DataFrame, row: str, columns: Sequence[str], **replaced: Column) -> DataFrame:
+    """Back from a carried row to columns, with claim_status added."""
+    return df.select(
+        "claimnumber",
+        *[replaced.get(c, F.col(f"{row}.{c}")).alias(c) for c in columns if c != "claimnumber"],
+        "claim_status",
     )
 
 
-def _unpack(cells: DataFrame, row: str, columns: Sequence[str]) -> DataFrame:
-    return cells.select(
-        *[F.col(c) if c in ("claimnumber", "coverage") else F.col(f"{row}.{c}").alias(c) for c in columns]
+CELL = ("claimnumber", "coverage", "claim_status_name", "updateddate")
+
+
+def _over_claim() -> Window:
+    return Window.partitionBy("claimnumber")
+
+
+def _day_cells(log: DataFrame, **aggregates: Column) -> DataFrame:
+    """One row per (claim, coverage, state, date) with the resolved claim_status and the claim's latest date."""
+    cells = log.groupBy(*CELL).agg(*[a.alias(name) for name, a in aggregates.items()])
+    rank = F.min(status_rank("claim_status_name")).over(_over_claim())
+    latest = F.max("updateddate").over(_over_claim())
+    return cells.withColumn("claim_status", status_of_rank(rank)).withColumn("latest_date", latest)
+
+
+def _latest_cells(log: DataFrame, status: str, **aggregates: Column) -> DataFrame:
+    """The cells at the latest date of the claims resolved to `status`."""
+    return _day_cells(log, **aggregates).where(
+        (F.col("claim_status") == status) & (F.col("updateddate") == F.col("latest_date"))
     )
 
 
-def reduce_estimate_pending(rows: DataFrame, status: str = "estimate pending") -> DataFrame:
+def _valued() -> Column:
+    return (F.col("claim_estimate") != 0) | (F.col("claim_estimate_first") != 0)
+
+
+def reduce_estimate_pending(log: DataFrame) -> DataFrame:
     """Latest date; joint zero fill; zero rows go when the claim has others; last row per (claim, coverage).
 
     A claim whose rows are all zero keeps its last row.
     """
-    r = _joint_zero(rows.where(F.col("claim_status") == status), "claim_estimate", "claim_estimate_first")
-    r = r.withColumn("valued", (F.col("claim_estimate") != 0) | (F.col("claim_estimate_first") != 0))
-    cells = _latest_cells(r, best=F.max(_payload(r, ("valued", "row_index"))))
-    claim = Window.partitionBy("claimnumber")
+    r = _joint_zero(log, "claim_estimate", "claim_estimate_first").withColumn("valued", _valued())
+    cells = _latest_cells(r, "estimate pending", best=F.max(_row(r, ("valued", "row_index"))))
+    best = cells.groupBy("claimnumber", "coverage", "claim_status").agg(F.max("best").alias("best"))
     kept = (
-        cells.withColumn("__any", F.max("best.valued").over(claim))
-        .withColumn("__last", F.max("best.row_index").over(claim))
-        .where(F.col("best.valued") | (~F.col("__any") & (F.col("best.row_index") == F.col("__last"))))
+        best.withColumn("any_valued", F.max("best.valued").over(_over_claim()))
+        .withColumn("last_index", F.max("best.row_index").over(_over_claim()))
+        .where(F.col("best.valued") | (~F.col("any_valued") & (F.col("best.row_index") == F.col("last_index"))))
     )
-    return _unpack(kept, "best", rows.columns)
+    return _unrow(kept, "best", log.columns)
 
 
-def reduce_documents_pending(rows: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def reduce_documents_pending(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Rows at the latest date of the claims waiting for documents."""
-    return at_latest(rows.where(F.col("claim_status") == "documents pending"), CLAIM, "updateddate", hot)
+    return _at_latest_of(log, "documents pending", hot).select(*log.columns, "claim_status")
 
 
-def reduce_assessment_pending(rows: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Latest rows of the claims waiting for assessment, with corrected claim_status.
+def _assessed_cells(log: DataFrame) -> DataFrame:
+    """Cells that survive the reduction of claims waiting for assessment, with their corrected claim_status.
 
-    Where a claim repeats a coverage, rows in another state give way to rows in the claim's own state.
-    What is left in another state takes that state. Then, separately for claims that stay and rows
-    that move: joint zero fill, and zero rows go when others remain.
+    Where a claim repeats a coverage, cells in another state give way to cells in the claim's own state.
+    What is left in another state takes that state. `any_valued` and `last_index` describe the group
+    (claim, stays or moves) the cell belongs to. `log` is already joint-zero filled.
     """
-    r = at_latest(rows.where(F.col("claim_status") == "assessment pending"), CLAIM, "updateddate", hot)
-    own = F.col("claim_status_name") == F.col("claim_status")
-    per_coverage = r.groupBy("claimnumber", "coverage").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(own).alias("n_own")
+    cells = _latest_cells(
+        log,
+        "assessment pending",
+        n=F.count(F.lit(1)),
+        n_valued=F.count_if(_valued()),
+        last_index=F.max("row_index"),
     )
-    per_claim = per_coverage.groupBy("claimnumber").agg(
-        ((F.max("n") > 1) & (F.sum("n_own") > 0)).alias("__prefer_own")
+    own = F.col("claim_status_name") == F.col("claim_status")
+    per_coverage = F.sum("n").over(Window.partitionBy("claimnumber", "coverage"))
+    cells = cells.withColumn("n_coverage", per_coverage)
+    cells = cells.withColumn("repeats", F.max("n_coverage").over(_over_claim()) > 1)
+    cells = cells.withColumn("owns", F.max(own).over(_over_claim()))
+    kept = cells.where(~(F.col("repeats") & F.col("owns") & ~own))
+    kept = kept.withColumn("stays", own).withColumn("claim_status", F.col("claim_status_name"))
+    group = Window.partitionBy("claimnumber", "stays")
+    return kept.withColumn("any_valued", F.sum("n_valued").over(group) > 0).withColumn(
+        "last_index", F.max("last_index").over(group)
     )
-    r = join_facts(r, per_claim, CLAIM, "inner", hot).where(~F.col("__prefer_own") | own).drop("__prefer_own")
-    r = r.withColumn("claim_status", F.col("claim_status_name"))
-    r = _joint_zero(r, "claim_estimate", "claim_estimate_first")
-    r = r.withColumn("__stays", F.col("claim_status") == "assessment pending")
-    valued = (F.col("claim_estimate") != 0) | (F.col("claim_estimate_first") != 0)
-    r = with_facts(
-        r, [*CLAIM, "__stays"], __n_valued=F.count_if(valued), __last=F.max("row_index")
+
+
+def reduce_assessment_pending(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Latest rows of the claims waiting for assessment, with corrected claim_status.
+
+    After the choice of `_assessed_cells`, separately for rows that stay and rows that move to another
+    state: zero rows go when others remain; a group of zero rows keeps its last one.
+    """
+    r = _joint_zero(log, "claim_estimate", "claim_estimate_first")
+    cells = _assessed_cells(r).select(*CELL, "claim_status", "any_valued", "last_index")
+    rows = join_facts(r, cells, CELL, "inner", hot)
+    keep = _valued() | (~F.col("any_valued") & (F.col("row_index") == F.col("last_index")))
+    return rows.where(keep).select(*log.columns, "claim_status")
+
+
+def moved_status(log: DataFrame) -> DataFrame:
+    """Claims taken for waiting for assessment whose latest rows say otherwise, with the strongest such state."""
+    r = _joint_zero(log, "claim_estimate", "claim_estimate_first")
+    rank = F.coalesce(status_rank("claim_status"), F.lit(len(STATUS_PRIORITY) + 1))
+    moved = _assessed_cells(r).where(~F.col("stays") & (~F.col("any_valued") | (F.col("n_valued") > 0)))
+    return (
+        moved.groupBy("claimnumber")
+        .agg(F.min(rank).alias("rank"))
+        .select("claimnumber", F.coalesce(status_of_rank(F.col("rank")), F.lit("submitted")).alias("moved_status"))
     )
-    keep = valued | ((F.col("__n_valued") == 0) & (F.col("row_index") == F.col("__last")))
-    return r.where(keep).select(*rows.columns)
 
 
-def reduce_in_process(rows: DataFrame) -> DataFrame:
+def reduce_in_process(log: DataFrame) -> DataFrame:
     """Rows in process at the claim's latest date: the last one of a single coverage, the first of each of several."""
-    r = _zero(rows.where(F.col("claim_status") == "in process"), ("claim_estimate", "claim_estimate_first", "compensation_total"))
-    mine = F.when(F.col("claim_status_name") == "in process", _payload(r))
-    cells = _latest_cells(r, first=F.min(mine), last=F.max(mine)).where(F.col("first").isNotNull())
-    coverages = F.count(F.lit(1)).over(Window.partitionBy("claimnumber"))
-    chosen = cells.withColumn("__n", coverages).withColumn(
-        "chosen", F.when(F.col("__n") == 1, F.col("last")).otherwise(F.col("first"))
+    r = _zero(log, ("claim_estimate", "claim_estimate_first", "compensation_total"))
+    cells = _latest_cells(r, "in process", first=F.min(_row(r)), last=F.max(_row(r)))
+    mine = cells.where(F.col("claim_status_name") == "in process")
+    coverages = F.count(F.lit(1)).over(_over_claim())
+    chosen = mine.withColumn("n", coverages).withColumn(
+        "chosen", F.when(F.col("n") == 1, F.col("last")).otherwise(F.col("first"))
     )
-    return _unpack(chosen, "chosen", rows.columns)
-
+    return _unrow(chosen, "chosen", log.columns)
 
-def _previous(rows: DataFrame, status: str, columns: Sequence[str]) -> DataFrame:
-    """Per claim: amounts of the latest row that is not in `status`."""
-    latest = last_per(rows, CLAIM, "updateddate", "row_index", F.col("claim_status_name") != status)
-    return latest.select("claimnumber", *[F.col(c).alias(f"__prev_{c}") for c in columns], F.lit(True).alias("__has_prev"))
 
+def reduce_approved(log: DataFrame) -> DataFrame:
+    """Latest approved row per claim; a zero estimate comes from the latest row in another state, else from the compensation.
 
-def reduce_approved(rows: DataFrame) -> DataFrame:
-    """Latest approved row per claim; a zero estimate comes from the latest earlier state, else from the compensation."""
-    r = _zero(rows.where(F.col("claim_status") == "approved"), ("claim_estimate", "total_claim_estimate", "compensation_total"))
-    last = last_per(r, CLAIM, "updateddate", "row_index", F.col("claim_status_name") == "approved")
-    joined = last.join(_previous(r, "approved", ["total_claim_estimate"]), CLAIM, "left")
+    All of it is one aggregate per claim.
+    """
+    r = _zero(log, ("claim_estimate", "total_claim_estimate", "compensation_total"))
+    approved = F.col("claim_status_name") == "approved"
+    order = ("updateddate", "row_index")
+    claims = r.groupBy("claimnumber").agg(
+        status_of_rank(F.min(status_rank("claim_status_name"))).alias("claim_status"),
+        F.max(F.when(approved, _row(r, order))).alias("last"),
+        F.max(F.when(~approved, F.struct(*order, "total_claim_estimate"))).alias("previous"),
+    )
+    entered, net = F.col("last.total_claim_estimate"), F.col("last.compensation_total")
     estimate = (
-        F.when(F.col("total_claim_estimate") != 0, F.col("total_claim_estimate"))
-        .when(F.col("__has_prev"), F.col("__prev_total_claim_estimate"))
-        .when(F.col("compensation_total") != 0, gross_up("compensation_total"))
-        .otherwise(F.col("total_claim_estimate"))
+        F.when(entered != 0, entered)
+        .when(F.col("previous").isNotNull(), F.col("previous.total_claim_estimate"))
+        .when(net != 0, gross_up(net))
+        .otherwise(entered)
     )
-    return joined.withColumn("total_claim_estimate", estimate).select(*rows.columns)
+    return _unrow(claims.where(F.col("claim_status") == "approved"), "last", log.columns, total_claim_estimate=estimate)
 
 
-def reduce_paid_out(rows: DataFrame) -> DataFrame:
-    """Rows at the latest date of paid-out claims, compensation summed per (claim, coverage)."""
-    r = _zero(rows.where(F.col("claim_status") == "paid out"), AMOUNTS)
-    cells = _latest_cells(r, last=F.max(_payload(r)), total=F.sum("compensation_total"))
-    out = _unpack(cells.withColumn("last", F.col("last").withField("compensation_total", F.col("total"))), "last", rows.columns)
-    return out
+def reduce_paid_out(log: DataFrame) -> DataFrame:
+    """Rows at the latest date of paid-out claims, compensation summed per (claim, coverage), last row kept."""
+    r = _zero(log, AMOUNTS)
+    cells = _latest_cells(r, "paid out", last=F.max(_row(r)), total=F.sum("compensation_total"))
+    paid = cells.groupBy("claimnumber", "coverage", "claim_status").agg(
+        F.max("last").alias("last"), F.sum("total").cast("decimal(15,2)").alias("total")
+    )
+    return _unrow(paid, "last", log.columns, compensation_total=F.col("total"))
+
+
+def _closed_with_previous(log: DataFrame, status: str, columns: Sequence[str], hot: DataFrame | None) -> DataFrame:
+    """Rows in `status` of the claims resolved to it, beside amounts of the claim's latest row in another state."""
+    r = _zero(log, AMOUNTS)
+    own = F.col("claim_status_name") == status
+    previous = F.max(F.when(~own, F.struct("updateddate", "row_index", *columns))).alias("previous")
+    claims = r.groupBy("claimnumber").agg(
+        status_of_rank(F.min(status_rank("claim_status_name"))).alias("claim_status"), previous
+    )
+    return join_facts(r.where(own), claims.where(F.col("claim_status") == status), CLAIM, "inner", hot)
 
 
-def reduce_cancelled(rows: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def reduce_cancelled(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Cancelled rows with the amounts of the claim's latest other row, where there is one."""
-    r = _zero(rows.where(F.col("claim_status") == "cancelled"), AMOUNTS)
     taken = ["total_claim_estimate", "claim_estimate_first", "compensation_total"]
-    own = r.where(F.col("claim_status_name") == "cancelled")
-    joined = join_facts(own, _previous(r, "cancelled", taken), CLAIM, "left", hot)
-    return joined.withColumns(
-        {c: F.when(F.col("__has_prev"), F.col(f"__prev_{c}")).otherwise(F.col(c)) for c in taken}
-    ).select(*rows.columns)
+    rows = _closed_with_previous(log, "cancelled", taken, hot)
+    inherited = {
+        c: F.when(F.col("previous").isNotNull(), F.col(f"previous.{c}")).otherwise(F.col(c)) for c in taken
+    }
+    return rows.withColumns(inherited).select(*log.columns, "claim_status")
 
 
-def reduce_denied(rows: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def reduce_denied(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Denied rows; a zero estimate comes from the claim's latest other row, else from the compensation."""
-    r = _zero(rows.where(F.col("claim_status") == "denied"), AMOUNTS)
-    own = r.where(F.col("claim_status_name") == "denied")
-    joined = join_facts(own, _previous(r, "denied", ["total_claim_estimate"]), CLAIM, "left", hot)
-    from_previous = F.when(
-        (F.col("total_claim_estimate") == 0) & F.col("__has_prev"), F.col("__prev_total_claim_estimate")
-    ).otherwise(F.col("total_claim_estimate"))
-    joined = joined.withColumn("total_claim_estimate", from_previous)
-    return joined.withColumn(
-        "total_claim_estimate",
-        F.when(F.col("total_claim_estimate") == 0, F.col("compensation_total")).otherwise(F.col("total_claim_estimate")),
-    ).select(*rows.columns)
-
-
-def clean_log(rows: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    rows = _closed_with_previous(log, "denied", ["total_claim_estimate"], hot)
+    entered = F.nullif(F.col("total_claim_estimate"), zero())
+    previous = F.nullif(F.col("previous.total_claim_estimate"), zero())
+    estimate = F.coalesce(entered, previous, F.col("compensation_total"))
+    return rows.withColumn("total_claim_estimate", estimate).select(*log.columns, "claim_status")
+
+
+def clean_log(log: DataFrame) -> DataFrame:
     """One row per (claim, state, coverage): earliest date, then highest index; amounts zero-filled.
 
     Claims relabelled while waiting for assessment take their new state, and approved rows take the
-    approved estimate. After the choice a claim has a bounded number of rows, so plain joins are safe.
+    approved estimate. After the choice a claim has a bounded number of rows, so plain windows and
+    joins on the claim are safe.
     """
-    log = pick(
-        rows, ["claimnumber", "claim_status_name", "coverage"], [F.asc("updateddate"), F.desc("row_index")]
-    )
-    log = _zero(log, AMOUNTS)
-    moved = (
-        reduce_assessment_pending(rows, hot)
-        .where(F.col("claim_status") != "assessment pending")
-        .groupBy("claimnumber")
-        .agg(F.min(F.coalesce(status_rank("claim_status"), F.lit(len(STATUS_PRIORITY) + 1))).alias("__rank"))
-        .select("claimnumber", F.coalesce(status_of_rank(F.col("__rank")), F.lit("submitted")).alias("__moved"))
+    r = _zero(log, AMOUNTS).withColumn("__back", -F.col("row_index"))
+    first = r.groupBy("claimnumber", "claim_status_name", "coverage").agg(
+        F.min(_row(r, ("updateddate", "__back"))).alias("first")
     )
-    approved = reduce_approved(rows).select("claimnumber", F.col("total_claim_estimate").alias("__approved"))
-    log = log.join(moved, CLAIM, "left").join(approved, CLAIM, "left")
+    rank = F.min(status_rank("claim_status_name")).over(_over_claim())
+    rows = _unrow(first.withColumn("claim_status", status_of_rank(rank)), "first", log.columns)
+    approved = reduce_approved(log).select("claimnumber", F.col("total_claim_estimate").alias("approved_estimate"))
+    rows = rows.join(moved_status(log), CLAIM, "left").join(approved, CLAIM, "left")
     is_approved = (F.col("claim_status_name") == "approved") & (F.col("claim_status") == "approved")
+    estimate = F.when(is_approved, F.coalesce("approved_estimate", "total_claim_estimate")).otherwise(
+        F.col("total_claim_estimate")
+    )
     return (
-        log.withColumn(
-            "total_claim_estimate",
-            F.when(is_approved & F.col("__approved").isNotNull(), F.col("__approved")).otherwise(F.col("total_claim_estimate")),
-        )
-        .withColumn("claim_status", F.coalesce("__moved", "claim_status"))
-        .select(*rows.columns)
+        rows.withColumn("total_claim_estimate", estimate)
+        .withColumn("claim_status", F.coalesce("moved_status", "claim_status"))
+        .select(*log.columns, "claim_status")
     )
 
 
-def consolidate_damage(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Damage type per claim: blanks take the claim's only value, `Multiple` beside several, `Unclassified` beside none.
+def damage_facts(log: DataFrame) -> DataFrame:
+    """Per claim: number of different damage types, the first one, and all of them counted."""
+    value = F.when(F.trim("damage_type") != "", F.col("damage_type"))
+    per_value = log.groupBy("claimnumber", value.alias("v")).agg(F.count(F.lit(1)).alias("copies"))
+    named = F.col("v").isNotNull()
+    return per_value.groupBy("claimnumber").agg(
+        F.count("v").alias("n_damages"),
+        F.min("v").alias("only_damage"),
+        F.array_sort(F.collect_list(F.when(named, F.struct(F.col("v").alias("value"), "copies")))).alias("damages"),
+        F.sum(F.when(named, F.col("copies"))).alias("n_damage_rows"),
+    )
 
-    `damage_type_list` names the claim's value, or all of them sorted when there are several.
-    """
+
+def damage_labels(rows: DataFrame) -> DataFrame:
+    """Rows that carry `damage_facts`: fill blanks and write the list."""
+    n = F.col("n_damages")
     blank = F.coalesce(F.trim("damage_type") == "", F.lit(True))
-    per_value = (
-        log.groupBy("claimnumber", F.when(~blank, F.col("damage_type")).alias("v")).agg(F.count(F.lit(1)).alias("copies"))
-    )
-    per_claim = per_value.groupBy("claimnumber").agg(
-        F.count("v").alias("__n"),
-        F.min("v").alias("__only"),
-        F.array_sort(
-            F.collect_list(F.when(F.col("v").isNotNull(), F.struct(F.col("v").alias("value"), "copies")))
-        ).alias("__counts"),
-        F.sum(F.when(F.col("v").isNotNull(), F.col("copies"))).alias("__copies"),
-    )
-    joined = join_facts(log, per_claim, CLAIM, "inner", hot)
-    values = spell_counts(F.col("__counts"), F.col("__copies"))
     damage = (
-        F.when(F.col("__n") == 0, F.lit("Unclassified"))
+        F.when(n == 0, F.lit("Unclassified"))
         .when(~blank, F.col("damage_type"))
-        .when(F.col("__n") == 1, F.col("__only"))
+        .when(n == 1, F.col("only_damage"))
         .otherwise(F.lit("Multiple"))
     )
-    listed = (
-        F.when(F.col("__n") == 0, F.lit("Unclassified")).when(F.col("__n") == 1, F.col("__only")).otherwise(values)
-    )
-    return joined.withColumns({"damage_type_list": listed, "damage_type": damage}).select(
-        *log.columns, "damage_type_list"
+    values = spell_counts(F.col("damages"), F.col("n_damage_rows"))
+    listed = F.when(n == 0, F.lit("Unclassified")).when(n == 1, F.col("only_damage")).otherwise(values)
+    return rows.withColumns({"damage_type_list": listed, "damage_type": damage}).drop(
+        "n_damages", "only_damage", "damages", "n_damage_rows"
     )
 
 
+def consolidate_damage(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Damage type per claim: blanks take the claim's only value, `Multiple` beside several, `Unclassified` beside none.
+
+    `damage_type_list` names the claim's value, or all of them sorted when there are several.
+    """
+    return damage_labels(join_facts(log, damage_facts(log), CLAIM, "inner", hot))
+
+
 def promote_paid(rows: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Approved claims with a paid-out row are paid out."""
     paid = with_facts(rows, CLAIM, hot, __paid=F.max(F.col("claim_status_name") == "paid out"))
@@ -336,39 +407,39 @@ def process_days(df: DataFrame, rule: str = "final", output: str = "processdays"
     return df.withColumn(output, days.cast("int"))
 
 
-def payment_date(rows: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Payment date of paid-out claims: the latest paid-out row's date, else the entered date, else the approval."""
-    paid = F.max(F.when(F.col("claim_status_name") == "paid out", F.col("updateddate")))
-    dated = with_facts(rows, CLAIM, hot, __paid_on=paid)
-    return dated.withColumn(
-        "payment_date",
-        F.when(
-            F.col("claim_status") == "paid out", F.coalesce("__paid_on", "payment_date", "claim_approved_date")
-        ).otherwise(F.col("payment_date")),
-    ).drop("__paid_on")
+def paid_date() -> Column:
+    """Payment date of a paid-out claim: the date of its latest paid-out row, else the entered one, else the approval."""
+    paid = F.coalesce("paid_on", "payment_date", "claim_approved_date")
+    return F.when(F.col("claim_status") == "paid out", paid).otherwise(F.col("payment_date"))
+
 
+def payment_date(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """The log with claim_status and the corrected payment date on every row."""
+    facts = claim_facts(log, "claim_status", "paid_on")
+    return join_facts(log, facts, CLAIM, "inner", hot).withColumn("payment_date", paid_date()).drop("paid_on")
 
-def reduce_history_only(rows: DataFrame, variant: str = "latest") -> DataFrame:
+
+def reduce_history_only(log: DataFrame, variant: str = "latest") -> DataFrame:
     """One row per claim known only to the log: `latest`, `largest` amounts or latest `in process` row.
 
-    `distinct amounts` sums the different approved amounts per claim instead.
+    `distinct amounts` sums the different approved amounts per claim instead. Rows are reduced before
+    the claim's state is joined, one row per claim on both sides.
     """
     latest = [F.desc("updateddate"), F.desc("row_index")]
+    status = claim_facts(log, "claim_status")
+    name = F.col("claim_status_name")
     if variant == "latest":
-        return pick(rows, CLAIM, latest)
+        return pick(log, CLAIM, latest).join(status, CLAIM)
     if variant == "largest":
         sizes = [F.desc_nulls_last(c) for c in ("compensation_total", "total_claim_estimate", "claim_estimate_first")]
-        return pick(rows, CLAIM, [*sizes, *latest])
+        return pick(log, CLAIM, [*sizes, *latest]).join(status, CLAIM)
     if variant == "in process":
-        both = (F.col("claim_status") == "in process") & (F.col("claim_status_name") == "in process")
-        return pick(rows, CLAIM, latest, both)
+        chosen = pick(log, CLAIM, latest, name == "in process")
+        return chosen.join(status.where(F.col("claim_status") == "in process"), CLAIM)
     if variant == "distinct amounts":
-        approved = rows.where((F.col("claim_status") == "approved") & (F.col("claim_status_name") == "approved"))
-        amounts = approved.select("claimnumber", F.coalesce("compensation_total", zero()).alias("compensation_total"))
-        return amounts.distinct().groupBy("claimnumber").agg(F.sum("compensation_total").alias("compensation_total"))
+        amounts = log.where(name == "approved").select(
+            "claimnumber", F.coalesce("compensation_total", zero()).alias("compensation_total")
+        )
+        sums = amounts.distinct().groupBy("claimnumber").agg(F.sum("compensation_total").alias("compensation_total"))
+        return sums.join(status.where(F.col("claim_status") == "approved"), CLAIM)
     raise ValueError(f"unknown variant {variant!r}")
-
-
-def claim_hot_keys(rows: DataFrame) -> DataFrame:
-    """The hot claims of a log, computed once and shared by the joins of one plan."""
-    return hot_keys(rows, CLAIM)

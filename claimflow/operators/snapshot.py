@@ -66,7 +66,7 @@ def rollup_coverage_v1(df: DataFrame, hot: DataFrame | None = None) -> DataFrame
         | ((status == "in process") & (F.col("claim_estimate") == 0))
         | ((status == "cancelled") & (F.col("claim_estimate_first") == 0))
     )
-    kept = joined.where(~(several & zero))
+    kept = joined.where(~(several & F.coalesce(zero, F.lit(False))))
     for name, (_, _, amounts) in classes.items():
         apply = several & F.coalesce(F.col(f"__{name}_differs"), F.lit(False))
         if name != "cancelled":

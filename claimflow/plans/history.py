@@ -12,7 +12,7 @@ from claimflow.functions.expressions import map_value
 from claimflow.operators import lifecycle as life
 from claimflow.operators.cleaning import default_usage, repair_order
 from claimflow.operators.picking import dedupe
-from claimflow.operators.relational import append_rows, missing_in
+from claimflow.operators.relational import append_rows, keys_of
 from claimflow.operators.shaping import project
 from claimflow.sources.contracts import CLAIM_COLUMNS, STATUS_LOG
 
@@ -51,37 +51,32 @@ def deduped_history(log: DataFrame) -> DataFrame:
     return dedupe(log, DEDUPE_KEYS, [F.asc("updateddate"), F.asc("row_index")])
 
 
-def reduced_claims(rows: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def reduced_claims(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """The reductions of all states, one below the other."""
     parts = [
-        life.reduce_estimate_pending(rows),
-        life.reduce_documents_pending(rows, hot),
-        life.reduce_assessment_pending(rows, hot),
-        life.reduce_in_process(rows),
-        life.reduce_approved(rows),
-        life.reduce_paid_out(rows),
-        life.reduce_cancelled(rows, hot),
-        life.reduce_denied(rows, hot),
+        life.reduce_estimate_pending(log),
+        life.reduce_documents_pending(log, hot),
+        life.reduce_assessment_pending(log, hot),
+        life.reduce_in_process(log),
+        life.reduce_approved(log),
+        life.reduce_paid_out(log),
+        life.reduce_cancelled(log, hot),
+        life.reduce_denied(log, hot),
     ]
     return reduce(append_rows, parts)
 
 
-def history_only_claims(log: DataFrame, snapshot: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def history_only_claims(log: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Claims known only to the log, one row each, in the common claim schema.
 
-    The claims of the snapshot are removed first, so every later step handles only what remains.
+    The latest row, the claim facts and the damage facts are each one row per claim, so they meet in
+    plain joins, and the claims of the snapshot are removed at that level instead of from the log.
     """
-    rows = missing_in(log, snapshot, ["claimnumber"])
-    rows = life.with_status(rows, hot)
-    rows = life.promote_paid(rows, hot)
-    rows = life.consolidate_damage(rows, hot)
-    rows = life.payment_date(rows, hot)
-    claims = life.reduce_history_only(rows, "latest")
-    claims = claims.withColumns(
-        {
-            "claim_estimate_first": F.coalesce("claim_estimate_first", life.zero()),
-            "total_claim_estimate": F.coalesce("total_claim_estimate", life.zero()),
-            "compensation_total": F.coalesce("compensation_total", life.zero()),
-        }
-    )
+    latest = life.reduce_history_only(log, "latest").drop("claim_status")
+    facts = life.claim_facts(log, "claim_status", "paid_on")
+    claims = latest.join(facts, life.CLAIM).join(life.damage_facts(log), life.CLAIM)
+    claims = claims.join(keys_of(snapshot, life.CLAIM), life.CLAIM, "left_anti")
+    claims = life.damage_labels(claims).withColumn("payment_date", life.paid_date())
+    amounts = ("claim_estimate_first", "total_claim_estimate", "compensation_total")
+    claims = claims.withColumns({c: F.coalesce(F.col(c), life.zero()) for c in amounts})
     return life.process_days(claims, "history").select(*CLAIM_COLUMNS)

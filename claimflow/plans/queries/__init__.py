@@ -1,6 +1,6 @@
 """All registered queries. Importing a module registers its queries."""
 
-from claimflow.plans.queries import cleaning, shaping
+from claimflow.plans.queries import cleaning, exposure, grouping, lifecycle, relational, shaping, snapshot
 from claimflow.plans.queries.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "cleaning", "shaping"]
+__all__ = ["ORACLE", "QUERIES", "cleaning", "exposure", "grouping", "lifecycle", "relational", "shaping", "snapshot"]

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimflow.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -33,7 +35,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, sf: present(fn(spark, sf))
+
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            tune(spark)
+            return present(fn(spark, sf))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
