@@ -1,6 +1,28 @@
 """All registered queries. Importing a module registers its queries."""
 
-from claimflow.plans.queries import cleaning, exposure, grouping, lifecycle, relational, shaping, snapshot
+from claimflow.plans.queries import (
+    checks,
+    cleaning,
+    exposure,
+    grouping,
+    lifecycle,
+    relational,
+    severity,
+    shaping,
+    snapshot,
+)
 from claimflow.plans.queries.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "cleaning", "exposure", "grouping", "lifecycle", "relational", "shaping", "snapshot"]
+__all__ = [
+    "ORACLE",
+    "QUERIES",
+    "checks",
+    "cleaning",
+    "exposure",
+    "grouping",
+    "lifecycle",
+    "relational",
+    "severity",
+    "shaping",
+    "snapshot",
+]
