@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.operators import exposure as op
+from claimflow.operators.grouping import monthly
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.registry import query
 from claimflow.sources import adapters
@@ -29,16 +30,13 @@ def money(column: str, digits: int = 2):
 
 @query(
     "m1_calendar",
-    f"WITH {sql.months('2011-11-01', '2030-08-01')}, first_start AS (SELECT MIN(CAST(o_orderdate AS DATE)) AS d FROM orders) "
-    "SELECT CAST(calendar_month AS VARCHAR) AS calendar_month, CAST(calendar_month >= date_trunc('month', d) AS INTEGER) "
-    "AS after_first_policy FROM months, first_start",
+    f"WITH {sql.POLICIES}, {sql.months(FIRST, LAST)}, started AS (SELECT CAST(date_trunc('month', start_date) AS DATE) AS calendar_month, "
+    f"COUNT(*) AS n FROM policies GROUP BY 1) SELECT {MONTH}, COALESCE(n, 0) AS policies_started FROM months "
+    "LEFT JOIN started USING (calendar_month)",
 )
 def m1_calendar(spark, sf):
-    months = op.calendar(spark).withColumn("key", F.lit(1))
-    first = adapters.policies(spark, sf).agg(F.trunc(F.min("start_date"), "MM").alias("first")).withColumn("key", F.lit(1))
-    return months.join(first, "key").select(
-        "calendar_month", (F.col("calendar_month") >= F.col("first")).alias("after_first_policy")
-    )
+    started = monthly(adapters.policies(spark, sf), "start_date", F.count(F.lit(1)).alias("policies_started"))
+    return op.calendar(spark, FIRST, LAST).join(started, "calendar_month", "left").fillna(0, ["policies_started"])
 
 
 @query(
@@ -71,8 +69,8 @@ def m3_earned_premium_monthly(spark, sf):
     "FROM months JOIN policies ON calendar_month BETWEEN date_trunc('month', start_date) AND date_trunc('month', end_date) GROUP BY 1",
 )
 def m3_earned_premium_touched(spark, sf):
-    monthly = op.earned_premium_monthly(adapters.policies(spark, sf), mode="touched")
-    return monthly.select("calendar_month", money("earned_premium"))
+    touched = op.earned_premium_monthly(adapters.policies(spark, sf), mode="touched")
+    return touched.select("calendar_month", money("earned_premium"))
 
 
 @query(
