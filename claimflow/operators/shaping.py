@@ -46,6 +46,11 @@ def project(df: DataFrame, contract: Sequence[Field]) -> DataFrame:
     return df.select(*[f.expression() for f in contract])
 
 
+def fields_for(contract: Sequence[Field], targets: Sequence[str]) -> tuple[Field, ...]:
+    """The part of a contract that feeds the given target columns."""
+    return tuple(f for f in contract if f.target in targets)
+
+
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -13,7 +14,7 @@ from claimflow.operators import lifecycle as life
 from claimflow.operators.cleaning import default_usage, repair_order
 from claimflow.operators.picking import dedupe
 from claimflow.operators.relational import append_rows, keys_of
-from claimflow.operators.shaping import project
+from claimflow.operators.shaping import Field, fields_for, project
 from claimflow.sources.contracts import CLAIM_COLUMNS, STATUS_LOG
 
 DEDUPE_KEYS = (
@@ -28,22 +29,44 @@ DEDUPE_KEYS = (
 )
 
 
-def clean_history(raw: DataFrame) -> DataFrame:
-    """Typed status log in English: one projection over the raw columns, no shuffle."""
-    log = life.normalise_status(project(raw, STATUS_LOG))
-    log = default_usage(log, "vehicle_usage", "customer_type", "Tổ chức", "Kinh doanh", "Không kinh doanh")
-    log = repair_order(log, "claim_submitted_date", "claim_opened_date", "claim_accident_date")
-    return log.withColumns(
-        {
-            "cost_copay_deductible": F.coalesce(
-                "cost_copay_deductible", (F.col("cost_copay") + F.col("cost_deductible")).cast("decimal(15,2)")
-            ),
-            "coverage": map_value("coverage", v.COVERAGE_BY_CODE, v.UNKNOWN),
-            "damage_type": map_value("damage_type", v.HISTORY_DAMAGE, ""),
-            "solutioncompensation": map_value("solutioncompensation", v.COMPENSATION_ROUTE, v.UNKNOWN),
-            "customer_type": map_value("customer_type", v.CLAIM_CUSTOMER),
-        }
-    )
+# Columns a cleaned column is derived from besides its own source.
+NEEDS = {
+    "vehicle_usage": ("customer_type",),
+    "claim_submitted_date": ("claim_opened_date", "claim_accident_date"),
+    "cost_copay_deductible": ("cost_copay", "cost_deductible"),
+}
+
+
+def source_fields(columns: Sequence[str] = ()) -> tuple[Field, ...]:
+    """The part of the log contract needed for the given cleaned columns (all by default)."""
+    if not columns:
+        return STATUS_LOG
+    return fields_for(STATUS_LOG, {*columns, *[n for c in columns for n in NEEDS.get(c, ())]})
+
+
+def clean_history(raw: DataFrame, *columns: str) -> DataFrame:
+    """Typed status log in English, whole or only the named columns: one projection over the raw columns, no shuffle."""
+    log = project(raw, source_fields(columns))
+    has = set(log.columns)
+    if "claim_status_name" in has:
+        log = life.normalise_status(log)
+    if "vehicle_usage" in has:
+        log = default_usage(log, "vehicle_usage", "customer_type", "Tổ chức", "Kinh doanh", "Không kinh doanh")
+    if "claim_submitted_date" in has:
+        log = repair_order(log, "claim_submitted_date", "claim_opened_date", "claim_accident_date")
+    derived = {
+        "coverage": lambda: map_value("coverage", v.COVERAGE_BY_CODE, v.UNKNOWN),
+        "damage_type": lambda: map_value("damage_type", v.HISTORY_DAMAGE, ""),
+        "solutioncompensation": lambda: map_value("solutioncompensation", v.COMPENSATION_ROUTE, v.UNKNOWN),
+        "customer_type": lambda: map_value("customer_type", v.CLAIM_CUSTOMER),
+    }
+    if "cost_copay_deductible" in has:
+        derived["cost_copay_deductible"] = lambda: F.coalesce(
+            "cost_copay_deductible", (F.col("cost_copay") + F.col("cost_deductible")).cast("decimal(15,2)")
+        )
+    wanted = {c: build() for c, build in derived.items() if c in has}
+    log = log.withColumns(wanted) if wanted else log
+    return log.select(*columns) if columns else log
 
 
 def deduped_history(log: DataFrame) -> DataFrame:

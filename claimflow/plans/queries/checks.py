@@ -8,7 +8,7 @@ from claimflow.functions.expressions import is_missing
 from claimflow.operators import checks as op
 from claimflow.operators.grouping import impute_by_mode
 from claimflow.operators.lifecycle import clean_log
-from claimflow.operators.shaping import project
+from claimflow.operators.shaping import fields_for, project
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.lifecycle import BASE
 from claimflow.plans.queries.registry import query
@@ -38,8 +38,9 @@ def _rules(table: str, keep: str, rules: dict[str, str]) -> str:
     ),
 )
 def l1_check_date_order(spark, sf):
-    typed = project(adapters.status_log_raw(spark, sf), STATUS_LOG)
-    return op.check_order(typed, KEEP)
+    dates = {c for pair in op.CLAIM_DATE_RULES.values() for c in pair}
+    fields = fields_for(STATUS_LOG, {*KEEP, *dates})
+    return op.check_order(project(adapters.status_log_raw(spark, sf, [f.source for f in fields]), fields), KEEP)
 
 
 @query(
@@ -54,6 +55,18 @@ def l2_check_sum(spark, sf):
     return op.check_sum(df, costs, "cost_copay_deductible").where(~F.col("is_sum_correct")).drop("is_sum_correct")
 
 
+AMOUNT_CHECK = (
+    "claimnumber",
+    "coverage",
+    "claim_status",
+    "claim_estimate",
+    "claim_estimate_beforetax",
+    "total_claim_estimate",
+    "compensation_total",
+    "compensation_amount_beforetax",
+)
+
+
 @query(
     "l3_check_amounts",
     f"WITH {sql.SNAPSHOT} "
@@ -70,7 +83,7 @@ def l2_check_sum(spark, sf):
     ),
 )
 def l3_check_amounts(spark, sf):
-    return op.check_amounts(snapshot(spark, sf), ["claimnumber", "coverage"])
+    return op.check_amounts(snapshot(spark, sf, *AMOUNT_CHECK), ["claimnumber", "coverage"])
 
 
 @query(
@@ -85,6 +98,16 @@ def l4_check_future(spark, sf):
     return late.select("policycode", "start_date")
 
 
+STATUS_DATES = (
+    "claim_status_name",
+    "updateddate",
+    "claim_submitted_date",
+    "claim_opened_date",
+    "claim_approved_date",
+    "payment_date",
+)
+
+
 @query(
     "l5_check_status_dates",
     f"WITH {sql.LOG} "
@@ -100,7 +123,7 @@ def l4_check_future(spark, sf):
     ),
 )
 def l5_check_status_dates(spark, sf):
-    return op.check_status_dates(log(spark, sf), KEEP)
+    return op.check_status_dates(log(spark, sf, *KEEP, *STATUS_DATES), KEEP)
 
 
 @query(
@@ -150,7 +173,7 @@ def l7_reconcile_keys(spark, sf):
     "WHERE compensation_total IS DISTINCT FROM c",
 )
 def l8_reconcile_values(spark, sf):
-    other = snapshot(spark, sf).groupBy("claimnumber").agg(F.max("compensation_total").alias("compensation_total"))
+    other = snapshot(spark, sf, "claimnumber", "compensation_total").groupBy("claimnumber").agg(F.max("compensation_total").alias("compensation_total"))
     return op.reconcile_values(log(spark, sf, *KEEP, "compensation_total"), other, CLAIM, ["compensation_total"])
 
 

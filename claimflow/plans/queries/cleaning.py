@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from claimflow.functions import vocabulary as v
 from claimflow.functions.expressions import full_months, map_value, month_key, parse_date, parse_money, ratio, to_day
 from claimflow.operators import cleaning as op
-from claimflow.plans.history import clean_history
 from claimflow.plans.policies import clean_policies
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.registry import query
-from claimflow.plans.snapshot import clean_snapshot
+from claimflow.plans.queries.relational import log, snapshot
 from claimflow.sources import adapters
 from claimflow.sources.contracts import DMY, DMY_DASH, STAMP
 from claimflow.sources.tables import load
@@ -141,10 +140,8 @@ def c10_apply_patches(spark, sf):
         "stack(2, 'claim_submitted_date', cast(to_date(o_orderdate) as string), 'agencycompensation', o_orderpriority) "
         "as (column_name, new_value)",
     )
-    log = clean_history(adapters.status_log_raw(spark, sf)).select(
-        "claimnumber", "row_index", "claim_submitted_date", "agencycompensation"
-    )
-    return op.apply_patches(log, patches, "claimnumber", ["claim_submitted_date", "agencycompensation"])
+    rows = log(spark, sf, "claimnumber", "row_index", "claim_submitted_date", "agencycompensation")
+    return op.apply_patches(rows, patches, "claimnumber", ["claim_submitted_date", "agencycompensation"])
 
 
 @query(
@@ -261,7 +258,10 @@ def c16_match_keywords_documents(spark, sf):
     "CAST(claim_approved_date - claim_submitted_date AS INTEGER) AS days_to_approval FROM log",
 )
 def c17_day_difference(spark, sf):
-    return clean_history(adapters.status_log_raw(spark, sf)).select(
+    rows = log(
+        spark, sf, "claimnumber", "row_index", "updateddate", "claim_submitted_date", "claim_approved_date"
+    )
+    return rows.select(
         "claimnumber",
         "row_index",
         F.datediff("updateddate", "claim_submitted_date").alias("days"),
@@ -307,7 +307,7 @@ def c20_compare_with_day(spark, sf):
     "round(CAST(compensation_total AS DOUBLE) / NULLIF(CAST(claim_estimate AS DOUBLE), 0), 6) AS paid_share FROM snapshot",
 )
 def c21_safe_ratio(spark, sf):
-    return clean_snapshot(adapters.snapshot_raw(spark, sf)).select(
+    return snapshot(spark, sf, "claimnumber", "coverage", "compensation_total", "claim_estimate").select(
         "claimnumber",
         "coverage",
         F.round(
@@ -349,7 +349,9 @@ def c7_clean_policies(spark, sf):
     "vehicle_usage, customer_type FROM log",
 )
 def c7_clean_history(spark, sf):
-    return clean_history(adapters.status_log_raw(spark, sf)).select(
+    return log(
+        spark,
+        sf,
         "claimnumber",
         "row_index",
         "claim_status_name",

@@ -8,23 +8,25 @@ from pyspark.sql import functions as F
 from claimflow.operators import relational as op
 from claimflow.operators.exposure import calendar
 from claimflow.operators.grouping import duplicated_keys, monthly
-from claimflow.plans.history import clean_history
+from claimflow.plans import history
+from claimflow.plans import snapshot as snapshots
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.registry import query
-from claimflow.plans.snapshot import clean_snapshot
 from claimflow.sources import adapters
 
 CLAIM = ["claimnumber"]
 
 
 def log(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    df = clean_history(adapters.status_log_raw(spark, sf))
-    return df.select(*columns) if columns else df
+    """The cleaned status log; with columns named, only those are derived at all."""
+    raw = adapters.status_log_raw(spark, sf, [f.source for f in history.source_fields(columns)])
+    return history.clean_history(raw, *columns)
 
 
 def snapshot(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    df = clean_snapshot(adapters.snapshot_raw(spark, sf))
-    return df.select(*columns) if columns else df
+    """The cleaned snapshot; with columns named, only those are derived at all."""
+    raw = adapters.snapshot_raw(spark, sf, [f.source for f in snapshots.source_fields(columns)])
+    return snapshots.clean_snapshot(raw, *columns)
 
 
 @query(
@@ -97,7 +99,7 @@ def e1_rows_of_keys(spark, sf):
 )
 def e2_compare_sources(spark, sf):
     amounts = ["total_claim_estimate", "compensation_total"]
-    per_claim = snapshot(spark, sf).groupBy("claimnumber").agg(*[F.max(c).alias(c) for c in amounts])
+    per_claim = snapshot(spark, sf, "claimnumber", *amounts).groupBy("claimnumber").agg(*[F.max(c).alias(c) for c in amounts])
     return op.compare(log(spark, sf, "claimnumber", "row_index", *amounts), per_claim, CLAIM, amounts)
 
 

@@ -8,7 +8,7 @@ from claimflow.functions.expressions import parse_money
 from claimflow.operators import shaping as op
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.registry import query
-from claimflow.plans.snapshot import clean_snapshot
+from claimflow.plans.queries.relational import snapshot
 from claimflow.sources import adapters
 from claimflow.sources.contracts import POLICY
 from claimflow.sources.tables import load
@@ -30,7 +30,7 @@ def _profile_sql(columns: tuple[str, ...], table: str) -> str:
 
 @query("a7_profile_table", f"WITH {sql.RAW_LOG} {_profile_sql(LOG_PROFILE, 'raw_log')}")
 def a7_profile_table(spark, sf):
-    return op.profile(adapters.status_log_raw(spark, sf).select(*LOG_PROFILE))
+    return op.profile(adapters.status_log_raw(spark, sf, LOG_PROFILE))
 
 
 @query(
@@ -44,7 +44,7 @@ def a7_profile_table(spark, sf):
 )
 def a7_schema_diff(spark, sf):
     return op.schema_diff(
-        adapters.status_log_raw(spark, sf).select(*LOG_PROFILE), adapters.snapshot_raw(spark, sf).select(*SNAP_PROFILE)
+        adapters.status_log_raw(spark, sf, LOG_PROFILE), adapters.snapshot_raw(spark, sf, SNAP_PROFILE)
     )
 
 
@@ -56,7 +56,9 @@ def a7_schema_diff(spark, sf):
     "CAST(total_claim_estimate AS DOUBLE) AS total_claim_estimate, processdays, customer_type FROM snapshot",
 )
 def b1_project_snapshot(spark, sf):
-    return clean_snapshot(adapters.snapshot_raw(spark, sf)).select(
+    return snapshot(
+        spark,
+        sf,
         "claimnumber",
         "coverage",
         "claim_status",
@@ -128,7 +130,7 @@ ZERO_TEST = ("cost_cuuho", "cost_3rdparty", "compensation_amount", "stbt")
     ),
 )
 def b7_zero_columns(spark, sf):
-    raw = adapters.snapshot_raw(spark, sf).select(*[parse_money(c).alias(c) for c in ZERO_TEST])
+    raw = adapters.snapshot_raw(spark, sf, ZERO_TEST).select(*[parse_money(c).alias(c) for c in ZERO_TEST])
     return op.zero_columns(raw, ZERO_TEST)
 
 

@@ -10,7 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 def load(spark: SparkSession, folder: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     """A base table by name: one Parquet file or folder `<name>.parquet`."""
     df = spark.read.parquet(f"{folder}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    return spread(df.select(*columns) if columns else df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores when a scan has fewer splits than there are cores, as with one file of one row group.
+
+    Cleaning costs far more per row than reading, so one shuffle of the raw columns pays off there. A
+    table with enough splits is left as it is. Columns and filters still reach the scan. Rows go by the
+    hash of their content, so a lost task sends them to the same place again without a sort.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
 
 
 def load_text(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
