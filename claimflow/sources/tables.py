@@ -13,15 +13,24 @@ def load(spark: SparkSession, folder: str, name: str, columns: Sequence[str] | N
     return spread(df.select(*columns) if columns else df)
 
 
+BYTES_PER_TASK = 256 * 1024  # cleaning is bound by CPU, so small tasks pay off
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when a scan has fewer splits than there are cores, as with one file of one row group.
+    """Use more cores when a scan has fewer splits than there are cores, as with one file of one row group.
 
     Cleaning costs far more per row than reading, so one shuffle of the raw columns pays off there. A
-    table with enough splits is left as it is. Columns and filters still reach the scan. Rows go by the
-    hash of their content, so a lost task sends them to the same place again without a sort.
+    table with enough splits is left as it is, and a tiny one too. Columns and filters still reach the
+    scan. Rows go by the hash of their content, so a lost task sends them to the same place again
+    without a sort.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
+    splits = df.rdd.getNumPartitions()
+    if splits >= cores:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(cores, -(-size // BYTES_PER_TASK))
+    return df.repartition(wanted, *df.columns) if wanted > splits else df
 
 
 def load_text(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
