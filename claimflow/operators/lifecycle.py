@@ -330,16 +330,34 @@ def clean_log(log: DataFrame) -> DataFrame:
     )
 
 
-def damage_facts(log: DataFrame) -> DataFrame:
-    """Per claim: number of different damage types, the first one, and all of them counted."""
+def damage_facts(log: DataFrame, with_status: bool = False) -> DataFrame:
+    """Per claim: number of different damage types, the first one, and all of them counted.
+
+    `with_status` adds claim_status and paid_on from the same pass over the log.
+    """
     value = F.when(F.trim("damage_type") != "", F.col("damage_type"))
-    per_value = log.groupBy("claimnumber", value.alias("v")).agg(F.count(F.lit(1)).alias("copies"))
+    name = F.col("claim_status_name") if with_status else None
+    carried = (
+        {
+            "rank": F.min(status_rank(name)),
+            "paid_on": F.max(F.when(name == "paid out", F.col("updateddate"))),
+        }
+        if with_status
+        else {}
+    )
+    per_value = log.groupBy("claimnumber", value.alias("v")).agg(
+        F.count(F.lit(1)).alias("copies"), *[c.alias(n) for n, c in carried.items()]
+    )
     named = F.col("v").isNotNull()
+    merged = (
+        [status_of_rank(F.min("rank")).alias("claim_status"), F.max("paid_on").alias("paid_on")] if with_status else []
+    )
     return per_value.groupBy("claimnumber").agg(
         F.count("v").alias("n_damages"),
         F.min("v").alias("only_damage"),
         F.array_sort(F.collect_list(F.when(named, F.struct(F.col("v").alias("value"), "copies")))).alias("damages"),
         F.sum(F.when(named, F.col("copies"))).alias("n_damage_rows"),
+        *merged,
     )
 
 

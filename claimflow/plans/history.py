@@ -12,7 +12,7 @@ from claimflow.functions import vocabulary as v
 from claimflow.functions.expressions import map_value
 from claimflow.operators import lifecycle as life
 from claimflow.operators.cleaning import default_usage, repair_order
-from claimflow.operators.picking import dedupe
+from claimflow.operators.picking import dedupe, pick
 from claimflow.operators.relational import append_rows, keys_of
 from claimflow.operators.shaping import Field, fields_for, project
 from claimflow.sources.contracts import CLAIM_COLUMNS, STATUS_LOG
@@ -92,12 +92,11 @@ def reduced_claims(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
 def history_only_claims(log: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Claims known only to the log, one row each, in the common claim schema.
 
-    The latest row, the claim facts and the damage facts are each one row per claim, so they meet in
-    plain joins, and the claims of the snapshot are removed at that level instead of from the log.
+    The latest row and the facts are each one row per claim, so they meet in a plain join, and the
+    claims of the snapshot are removed at that level instead of from the log.
     """
-    latest = life.reduce_history_only(log, "latest").drop("claim_status")
-    facts = life.claim_facts(log, "claim_status", "paid_on")
-    claims = latest.join(facts, life.CLAIM).join(life.damage_facts(log), life.CLAIM)
+    latest = pick(log, life.CLAIM, [F.desc("updateddate"), F.desc("row_index")])
+    claims = latest.join(life.damage_facts(log, with_status=True), life.CLAIM)
     claims = claims.join(keys_of(snapshot, life.CLAIM), life.CLAIM, "left_anti")
     claims = life.damage_labels(claims).withColumn("payment_date", life.paid_date())
     amounts = ("claim_estimate_first", "total_claim_estimate", "compensation_total")

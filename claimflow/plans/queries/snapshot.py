@@ -14,6 +14,7 @@ from claimflow.plans.queries.registry import query
 from claimflow.plans.queries.relational import CLAIM, log, snapshot
 from claimflow.plans.snapshot import final_claim_set
 from claimflow.sources import adapters
+from claimflow.sources.contracts import CLAIM_COLUMNS
 
 AMOUNTS = (
     "claim_estimate_first",
@@ -255,4 +256,6 @@ def _shown() -> str:
 
 @query("k8_final_claims", f"WITH {FINAL} SELECT {_shown()} FROM final")
 def k8_final_claims(spark, sf):
-    return final_claim_set(log(spark, sf), snapshot(spark, sf)).select(*COMMON)
+    history = {*CLAIM_COLUMNS, "claim_status_name", "row_index"} - {"claim_status", "processdays"}
+    both = {*CLAIM_COLUMNS, *BASE, "accident_type", "narrative"} - {"damage_type"}
+    return final_claim_set(log(spark, sf, *sorted(history)), snapshot(spark, sf, *sorted(both))).select(*COMMON)
