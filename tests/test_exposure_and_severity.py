@@ -24,7 +24,7 @@ def premium(df, **options):
     return {r["calendar_month"]: (float(r["earned_premium"]), r["active_policies"]) for r in rows}
 
 
-def test_calendar_has_the_reference_months(spark):
+def test_calendar_bounds(spark):
     months = [r["calendar_month"] for r in exposure.calendar(spark).orderBy("calendar_month").collect()]
     assert len(months) == 226 and months[0] == date(2011, 11, 1) and months[-1] == date(2030, 8, 1)
 
