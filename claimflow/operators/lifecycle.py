@@ -212,7 +212,7 @@ def reduce_assessment_pending(log: DataFrame, hot: DataFrame | None = None) -> D
     """
     r = _joint_zero(log, "claim_estimate", "claim_estimate_first")
     cells = _assessed_cells(r).select(*CELL, "claim_status", "any_valued", "last_index")
-    rows = join_facts(r, cells, CELL, "inner", hot)
+    rows = join_facts(r, cells, CELL, "inner", hot, null_safe=True)
     keep = _valued() | (~F.col("any_valued") & (F.col("row_index") == F.col("last_index")))
     return rows.where(keep).select(*log.columns, "claim_status")
 

@@ -45,7 +45,7 @@ def best_per(df: DataFrame, keys: Sequence[str], measures: Sequence[Column], hot
     """
     scored = df.withColumn("__score", F.struct(*[m.alias(f"m{i}") for i, m in enumerate(measures)]))
     best = scored.groupBy(*keys).agg(F.max("__score").alias("__best"))
-    kept = join_facts(scored, best, keys, "inner", hot)
+    kept = join_facts(scored, best, keys, "inner", hot, null_safe=True)
     return kept.where(F.col("__score") == F.col("__best")).drop("__score", "__best")
 
 
@@ -58,11 +58,15 @@ def at_latest(df: DataFrame, keys: Sequence[str], date: str, hot: DataFrame | No
 def duplicated_rows(df: DataFrame, keys: Sequence[str], hot: DataFrame | None = None) -> DataFrame:
     """All rows of the keys that have more than one row."""
     several = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).drop("__n")
-    return join_facts(df, several, keys, "left_semi", hot)
+    return join_facts(df, several, keys, "left_semi", hot, null_safe=True)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row of each group, with the size of the group in `group_size`."""
-    size = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_size"))
-    last = pick(df, keys, [F.desc(c) for c in order])
-    return last.join(size, list(keys))
+    """The last row of each group, with the size of the group in `group_size`, from one aggregate."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    groups = df.groupBy(*keys).agg(
+        F.max(F.struct(*order, *rest)).alias("__last"), F.count(F.lit(1)).alias("group_size")
+    )
+    return groups.select(
+        *[F.col(c) if c in keys else F.col(f"__last.{c}").alias(c) for c in df.columns], "group_size"
+    )

@@ -46,9 +46,12 @@ def join_facts(
     on: Sequence[str],
     how: str = "left",
     hot: DataFrame | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join `rows` with `facts` on the columns `on`; `facts` holds one row per key and `how` keeps `rows` on the left.
 
+    `null_safe` lets NULL keys meet, for facts grouped from the rows themselves; otherwise they match nothing.
+
     The salt of a row comes from its content and its input partition, so it is the same when a lost
     task is run again, and identical copies of one row in different partitions are spread too.
     """
@@ -69,7 +72,13 @@ def join_facts(
         .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SPLITS), F.lit(1)) - 1)))
         .drop(_HASH, _SPLITS)
     )
-    return left.join(right, [*on, _SALT], how).drop(_SALT)
+    if not null_safe:
+        return left.join(right, [*on, _SALT], how).drop(_SALT)
+    right = right.withColumnsRenamed({c: f"__right_{c}" for c in [*on, _SALT]})
+    met = F.col(_SALT) == F.col(f"__right_{_SALT}")
+    for c in on:
+        met = met & F.col(c).eqNullSafe(F.col(f"__right_{c}"))
+    return left.join(right, met, how).drop(_SALT, *[f"__right_{c}" for c in [*on, _SALT]])
 
 
 def with_facts(
@@ -81,4 +90,4 @@ def with_facts(
     """
     source = rows if where is None else rows.where(where)
     keyed = source.groupBy(*on).agg(*[c.alias(name) for name, c in facts.items()])
-    return join_facts(rows, keyed, on, "left" if where is not None else "inner", hot)
+    return join_facts(rows, keyed, on, "left" if where is not None else "inner", hot, null_safe=True)

@@ -72,6 +72,17 @@ def test_null_keys_do_not_empty_the_anti_join(spark):
     assert [r["k"] for r in rows_of(a, b, ["k"]).collect()] == ["x"]
 
 
+def test_rows_without_a_key_are_kept(spark, tiny_splits):
+    df = spark.createDataFrame([(None, i % 3) for i in range(20)] + [("a", 1), ("a", 2), ("b", 0)], "k string, v int")
+    w = Window.partitionBy("k")
+    same(with_facts(df, ["k"], m=F.max("v")), df.withColumn("m", F.max("v").over(w)))
+    same(picking.at_latest(df, ["k"], "v"), df.withColumn("m", F.max("v").over(w)).where("v = m").drop("m"))
+    assert picking.duplicated_rows(df, ["k"]).count() == 22
+    assert picking.best_per(df, ["k"], [F.col("v")]).where("k is null").count() == 6
+    sizes = {r["k"]: r["group_size"] for r in picking.keep_last(df, ["k"], ["v"]).collect()}
+    assert sizes == {None: 20, "a": 2, "b": 1}
+
+
 def test_update_source_with_two_rows_per_key_is_rejected(spark):
     a = spark.createDataFrame([("x", 1), ("y", 2)], "k string, v int")
     good = spark.createDataFrame([("x", 9)], "k string, v int")
