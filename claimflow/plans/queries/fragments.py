@@ -55,7 +55,7 @@ log_base AS (
          DATE '1996-01-01' + CAST(l_orderkey % 1200 AS INTEGER) AS base
   FROM lineitem),
 raw_log AS (
-  SELECT 'C' || k AS claimnumber, 'P' || k AS policycode, pk * 10000000 + sk * 10 + ln AS row_index,
+  SELECT 'C' || k AS claimnumber, 'P' || k AS policycode, (sk * 10 + ln) * 100000000 + price AS row_index,
     {pick(a.LOG_STATUS_NAMES, 'code')} AS claim_status_name,
     {dmy('(sk % 6) * 5')} AS updateddate,
     CASE WHEN k % 41 = 0 THEN {dmy('10')} ELSE {dmy('-(k % 5)')} END AS accidentdate,

@@ -90,7 +90,7 @@ def status_log_raw(spark: SparkSession, sf: str, columns: Sequence[str] | None =
         [
             "concat('C', k) as claimnumber",
             "concat('P', k) as policycode",
-            "pk * 10000000 + sk * 10 + ln as row_index",
+            "(sk * 10 + ln) * 100000000 + price as row_index",
             f"{_pick(LOG_STATUS_NAMES, 'code')} as claim_status_name",
             f"{_dmy(_plus('(sk % 6) * 5'))} as updateddate",
             f"case when k % 41 = 0 then {_dmy(_plus('10'))} else {_dmy(_plus('-(k % 5)'))} end as accidentdate",
