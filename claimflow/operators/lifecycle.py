@@ -189,7 +189,7 @@ def _assessed_cells(log: DataFrame) -> DataFrame:
         "assessment pending",
         n=F.count(F.lit(1)),
         n_valued=F.count_if(_valued()),
-        last_index=F.max("row_index"),
+        cell_last=F.max("row_index"),
     )
     own = F.col("claim_status_name") == F.col("claim_status")
     per_coverage = F.sum("n").over(Window.partitionBy("claimnumber", "coverage"))
@@ -200,7 +200,7 @@ def _assessed_cells(log: DataFrame) -> DataFrame:
     kept = kept.withColumn("stays", own).withColumn("claim_status", F.col("claim_status_name"))
     group = Window.partitionBy("claimnumber", "stays")
     return kept.withColumn("any_valued", F.sum("n_valued").over(group) > 0).withColumn(
-        "last_index", F.max("last_index").over(group)
+        "last_index", F.max("cell_last").over(group)
     )
 
 
@@ -221,7 +221,8 @@ def moved_status(log: DataFrame) -> DataFrame:
     """Claims taken for waiting for assessment whose latest rows say otherwise, with the strongest such state."""
     r = _joint_zero(log, "claim_estimate", "claim_estimate_first")
     rank = F.coalesce(status_rank("claim_status"), F.lit(len(STATUS_PRIORITY) + 1))
-    moved = _assessed_cells(r).where(~F.col("stays") & (~F.col("any_valued") | (F.col("n_valued") > 0)))
+    survives = (F.col("n_valued") > 0) | (~F.col("any_valued") & (F.col("cell_last") == F.col("last_index")))
+    moved = _assessed_cells(r).where(~F.col("stays") & survives)
     return (
         moved.groupBy("claimnumber")
         .agg(F.min(rank).alias("rank"))
