@@ -142,11 +142,12 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, that `exact_groups` keeps."""
     _, groups = _groups(docs, doc_id, text)
-    joined = _body(docs, text).join(groups.select("__sha", "keep_id", "ties"), "__sha", "left")
-    stays = joined.where(F.col("ties").isNull() | F.col(doc_id).eqNullSafe(F.col("keep_id")))
-    if groups.where(F.col("ties") > 1).isEmpty():
+    groups = groups.select("__sha", F.col("keep_id").alias("__keep_id"), F.col("ties").alias("__ties"))
+    joined = _body(docs, text).join(groups, "__sha", "left")
+    stays = joined.where(F.col("__ties").isNull() | F.col(doc_id).eqNullSafe(F.col("__keep_id")))
+    if groups.where(F.col("__ties") > 1).isEmpty():
         return stays.select(*docs.columns)
-    repeated = F.coalesce(F.col("ties") > 1, F.lit(False))
+    repeated = F.coalesce(F.col("__ties") > 1, F.lit(False))
     return (
         stays.where(~repeated)
         .unionByName(stays.where(repeated).dropDuplicates(["__sha"]))

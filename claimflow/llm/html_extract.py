@@ -10,6 +10,7 @@ it are kept, block by block in page order.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -65,6 +66,8 @@ GOOD_WORDS = frozenset("article content post entry main body story text page blo
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 WHOLE_POINTS = 25.0  # for a class that names an article
+LEAST_POINTS = 1e-6  # what is less is not passed on
+CONTAINERS = frozenset("div section article main body html".split())
 
 
 class Node:
@@ -123,14 +126,18 @@ def parse(html: str) -> Node:
     """The tree of a page; elements that are read as raw text are left out with what they hold."""
     root = Node("html", {}, None)
     stack, at, end = [root], 0, len(html)
+    open_: Counter[str] = Counter()
 
     def text(piece: str) -> None:
         if piece:
             stack[-1].children.append(piece)
 
     def close(tags, barrier) -> None:
+        if not any(open_[t] for t in tags):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in tags:
+                open_.subtract(n.tag for n in stack[k:])
                 del stack[k:]
                 return
             if stack[k].tag in barrier:
@@ -165,20 +172,24 @@ def parse(html: str) -> Node:
             if tag in CLOSES:
                 close(*CLOSES[tag])
             if tag in HEADINGS and stack[-1].tag in HEADINGS:
-                stack.pop()
+                open_[stack.pop().tag] -= 1
             if tag == "a":
                 close(("a",), BLOCKS)
-            if tag == "body" and any(n.tag == "head" for n in stack):
+            if tag == "body":
                 close(("head",), ())
             node = Node(tag, _attributes(m["attrs"]) if m["attrs"].strip() else {}, stack[-1])
             stack[-1].children.append(node)
             if tag not in VOID and not (m["attrs"].endswith("/") and tag not in BLOCKS):
                 stack.append(node)
+                open_[tag] += 1
     return root
 
 
-def _prune(root: Node) -> None:
-    """Cut out what is not the article. An element that holds the article stays, whatever it is called."""
+def _prune(root: Node) -> list[Node]:
+    """Cut out what is not the article. An element that holds the article stays, whatever it is called.
+
+    Returns the elements, parents first; those cut out hold no text that counts.
+    """
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -199,6 +210,7 @@ def _prune(root: Node) -> None:
         node.children = [
             c for c in node.children if not isinstance(c, Node) or c.main or not other[id(c)]
         ]
+    return order
 
 
 def _blocks(node: Node, out: list[tuple[Node, str, int]]) -> None:
@@ -245,31 +257,31 @@ def _is_link_list(node: Node) -> bool:
 def main_text(html: str) -> str:
     """The article's blocks, each on one line, joined by blank lines; empty if there is none."""
     root = parse(html)
-    _prune(root)
+    order = _prune(root)
     blocks: list[tuple[Node, str, int]] = []
     _blocks(root, blocks)
     if not blocks:
         return ""
     for owner, body, linked in blocks:
         points = (1.0 + body.count(",") + min(len(body) / 100, 3.0)) * (1 - linked / len(body))
-        # a block whose element holds other blocks as well is a container itself
-        at = owner if owner.tag in ("div", "section", "article", "main", "body", "html") else owner.parent
-        level = 1
-        up: Node | None = owner
-        while up is not None:
-            up.size += len(body)
-            up.links += linked
-            up = up.parent
-        while at is not None:
-            at.score += points / level
-            level = 2 * level
+        owner.size += len(body)
+        owner.links += linked
+        # an element that holds text of its own beside blocks is a container itself
+        at = owner if owner.tag in CONTAINERS else owner.parent
+        while at is not None and points > LEAST_POINTS:
+            at.score += points
+            points /= 2
             at = at.parent
     containers: dict[int, Node] = {}
     for owner, _, _ in blocks:
-        at = owner if owner.tag in ("div", "section", "article", "main", "body", "html") else owner.parent
+        at = owner if owner.tag in CONTAINERS else owner.parent
         while at is not None and id(at) not in containers:
             containers[id(at)] = at
             at = at.parent
+    for node in reversed(order):  # children before their parents
+        if node.parent is not None:
+            node.parent.size += node.size
+            node.parent.links += node.links
 
     def worth(node: Node) -> float:
         named = any(not GOOD_WORDS.isdisjoint(words) for words in _names(node.attrs)) or node.tag in ("article", "main")
@@ -295,16 +307,15 @@ def main_text(html: str) -> str:
     elif best.tag in ("article", "main") and family is not None:
         kept |= {id(s) for s in family.children if isinstance(s, Node) and s.tag == best.tag and s.score >= 0.2 * best.score}
 
-    def is_kept(node: Node | None) -> bool:
-        while node is not None:
-            if id(node) in kept:
-                return True
-            if _is_link_list(node) and sum(isinstance(c, Node) for c in node.children) > 1:
-                return False
-            node = node.parent
-        return False
-
-    return "\n\n".join(body for owner, body, _ in blocks if is_kept(owner))
+    stays: dict[int, bool] = {}
+    for node in order:  # parents first
+        if id(node) in kept:
+            stays[id(node)] = True
+        elif _is_link_list(node) and sum(isinstance(c, Node) for c in node.children) > 1:
+            stays[id(node)] = False
+        else:
+            stays[id(node)] = node.parent is not None and stays[id(node.parent)]
+    return "\n\n".join(body for owner, body, _ in blocks if stays[id(owner)])
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -140,13 +140,13 @@ def sentence_table() -> dict[str, str]:
 
 
 def rule_pattern(identifiers: tuple[str, ...]) -> str:
-    """A rule over identifiers that each stand between single blanks."""
+    """A rule over identifiers that are parted by single blanks, with one before and one after all."""
     between = rf"(?: [^ ]+){{0,{GAP}}} "
     return " " + between.join(i.replace(".", r"\.") for i in identifiers) + " "
 
 
 def _sentences(lowered: Column) -> Column:
-    """Plain sentences of a lower-case text: lines as they are, then paragraphs with their lines joined.
+    """Plain sentences of a lower-case text: lines as they are, then what is new in paragraphs with their lines joined.
 
     A notice may stand on a line of its own or be wrapped over several; each reading finds its kind.
     """
@@ -161,7 +161,7 @@ def _sentences(lowered: Column) -> Column:
         return F.transform(F.split(text, "\n"), lambda s: F.trim(s))
 
     by_line = plain(lowered)
-    return F.concat(by_line, F.array(F.lit("")), F.filter(plain(joined), lambda s: ~F.array_contains(by_line, s)))
+    return F.concat(by_line, F.array_except(plain(joined), by_line))
 
 
 def _identifier(sentence: Column, table: Column) -> Column:
@@ -188,7 +188,7 @@ def scan_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     found = F.filter(F.transform(hopeful, lambda s: _identifier(s, table)), lambda i: i.isNotNull())
     rows = rows.select("doc_id", F.when(hinted, F.array_join(found, " ")).otherwise(F.lit("")).alias("sentence_ids"))
 
-    begin = F.struct(F.concat(F.lit(" "), F.regexp_replace("sentence_ids", " ", "  "), F.lit(" ")).alias("left"), F.array().cast("array<string>").alias("licences"))
+    begin = F.struct(F.concat(F.lit(" "), F.col("sentence_ids"), F.lit(" ")).alias("left"), F.array().cast("array<string>").alias("licences"))
     end = F.aggregate(
         rules,
         begin,

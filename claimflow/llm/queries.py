@@ -131,8 +131,8 @@ read AS (SELECT rid, 0 AS reading, string_split({plain.format("low")}, '\n') AS
   UNION ALL SELECT rid, 1, string_split({plain.format(joined)}, '\n') FROM docs),
 cut AS (SELECT rid, reading, trim(unnest(parts)) AS s, unnest(range(len(parts))) AS k FROM read),
 kept AS (SELECT * FROM cut WHERE reading = 0
-  UNION ALL SELECT c.* FROM cut c WHERE reading = 1
-    AND NOT EXISTS (SELECT 1 FROM cut b WHERE b.rid = c.rid AND b.reading = 0 AND b.s = c.s)),
+  UNION ALL SELECT rid, 1, s, min(k) FROM cut c WHERE reading = 1
+    AND NOT EXISTS (SELECT 1 FROM cut b WHERE b.rid = c.rid AND b.reading = 0 AND b.s = c.s) GROUP BY rid, s),
 known(s, id) AS (VALUES {table}),
 cored AS (SELECT rid, reading, k, s, regexp_replace(regexp_replace(s, '{license_scan.REFERENCE}', 'licensed under '),
   '{license_scan.IDENTIFIER}', 'licensed under ') AS core FROM kept),
@@ -140,7 +140,7 @@ named AS (SELECT c.rid, c.reading, c.k, coalesce(a.id, b.id,
   CASE WHEN regexp_matches(c.s, '{license_scan.COPYRIGHT}') THEN 'copyright' END) AS id
   FROM cored c LEFT JOIN known a ON a.s = c.s LEFT JOIN known b ON b.s = c.core),
 ids AS (SELECT rid, string_agg(id, ' ' ORDER BY reading, k) AS ids FROM named WHERE id IS NOT NULL GROUP BY rid),
-s0 AS (SELECT rid, ' ' || replace(ids, ' ', '  ') || ' ' AS "left", CAST([] AS VARCHAR[]) AS found FROM ids),
+s0 AS (SELECT rid, ' ' || ids || ' ' AS "left", CAST([] AS VARCHAR[]) AS found FROM ids),
 {", ".join(steps)}
 SELECT d.doc_id, coalesce(i.ids, '') AS sentence_ids,
   coalesce(array_to_string(list_sort(list_distinct(f.found)), ','), '') AS licences
