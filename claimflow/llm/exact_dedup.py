@@ -143,7 +143,8 @@ def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """The rows of `docs`, all columns, that `exact_groups` keeps."""
     _, groups = _groups(docs, doc_id, text)
     groups = groups.select("__sha", F.col("keep_id").alias("__keep_id"), F.col("ties").alias("__ties"))
-    joined = _body(docs, text).join(groups, "__sha", "left")
+    # one plan at every size: both sides are shuffled, and a hot digest is split
+    joined = _body(docs, text).join(groups.hint("merge"), "__sha", "left")
     stays = joined.where(F.col("__ties").isNull() | F.col(doc_id).eqNullSafe(F.col("__keep_id")))
     if groups.where(F.col("__ties") > 1).isEmpty():
         return stays.select(*docs.columns)

@@ -242,4 +242,5 @@ def drop_near_copies(
     groups = _components(docs, doc_id, text, words, budget)
     stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stays = save(stays.select(F.col("doc_id").alias("__stays")).distinct(), "simhash-stays")
-    return docs.join(stays, F.col(doc_id).eqNullSafe(F.col("__stays")), "left_semi")
+    # one plan at every size: both sides are shuffled
+    return docs.join(stays.hint("merge"), F.col(doc_id).eqNullSafe(F.col("__stays")), "left_semi")
