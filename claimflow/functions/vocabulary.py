@@ -39,6 +39,7 @@ STATUS_PRIORITY = (
     "estimate pending",
 )
 
+# Policy states.
 POLICY_STATUS = {
     "Đang có hiệu lực": "Active",
     "Chấm dứt": "Terminated",
@@ -46,11 +47,14 @@ POLICY_STATUS = {
     "Chưa tới hiệu lực": "Not Activated",
 }
 
+# Vehicle usages.
 USAGE = {"Không kinh doanh": "Non-commercial", "Kinh doanh": "Commercial"}
 
+# Customer types.
 POLICY_CUSTOMER = {"Cá nhân": "Personal", "Tổ chức": "Business"}
 CLAIM_CUSTOMER = {"Cá nhân": "personal", "Tổ chức": "business"}
 
+# Coverages by code.
 COVERAGE_BY_CODE = {
     "LPX": "Personal injury coverage",
     "TNDSBB": "Auto liability coverage",
@@ -58,6 +62,7 @@ COVERAGE_BY_CODE = {
     "TNDSTN": "Comprehensive coverage",
 }
 
+# Coverages by name.
 COVERAGE_BY_NAME = {
     "Tai nạn LPX & NNTX": "Personal injury coverage",
     "TNDS bắt buộc": "Auto liability coverage",
@@ -65,8 +70,10 @@ COVERAGE_BY_NAME = {
     "TNDS tự nguyện": "Comprehensive coverage",
 }
 
+# Compensation routes.
 COMPENSATION_ROUTE = {"Tự bồi thường": "Self-insurance", "Bồi thường hệ thống": "Traditional insurance"}
 
+# Damage groups.
 INJURY = "Personal Injury Loss"
 PARTIAL_TOTAL = "Partial/Total Loss"
 THIRD_PARTY_VEHICLE = "Third-Party Vehicle Property"
@@ -74,6 +81,7 @@ THIRD_PARTY_OTHER = "Other Third-Party Property"
 THEFT = "Theft"
 UNKNOWN = "Unknown"
 
+# Damage names of the log.
 HISTORY_DAMAGE = {
     "Tổn thất về người": INJURY,
     "Tổn thất bộ phận/toàn bộ": PARTIAL_TOTAL,
@@ -86,6 +94,7 @@ HISTORY_DAMAGE = {
 # Phrases of the accident narrative that mean someone was hurt.
 INJURY_PHRASES = ("người chết", "bị thương", "tử vong", "cấp cứu", "bệnh viện", "nhập viện")
 
+# Vehicle types by class.
 VEHICLE_CLASSES = {
     "Private Passenger Vehicles": (
         "Xe không kinh doanh đến 08 chỗ",
@@ -111,109 +120,96 @@ VEHICLE_CLASSES = {
     ),
 }
 
-# Loss causes as the snapshot writes them.
-CAR = "Đâm/va xe ô tô"
-BIKE = "Đâm/va xe máy"
-FIXED_OBJECT = "Đâm/va vật thể cố định"
-ANIMAL = "Đâm/va động vật"
-FALLING_OBJECT = "Vật thể khác rơi vào"
-ROLLOVER = "Lật xe"
-VEHICLE_FALL = "Rơi xe"
-VANDALISM = "Bị phá hoại"
-FIRE = "Hỏa hoạn, cháy, nổ"
-STOLEN = "Mất cắp"
-NATURE = "Do thiên nhiên"
-FLOODING = "Thủy kích"
-OTHER = "Khác"
-RESCUE = "Chi phí cứu hộ"
-
-
-def causes(*parts: str) -> str:
-    """A claim can name several causes; the source joins them with a comma, order kept."""
-    return ",".join(parts)
-
-
+# Loss causes as the snapshot writes them, several joined by commas, by accident type.
 ACCIDENT_TYPES = {
     "Car Accidents": (
-        CAR,
-        causes(CAR, OTHER),
-        causes(CAR, FIXED_OBJECT),
-        causes(FALLING_OBJECT, CAR),
-        causes(FIXED_OBJECT, CAR),
+        "Đâm/va xe ô tô",
+        "Đâm/va xe ô tô,Khác",
+        "Đâm/va xe ô tô,Đâm/va vật thể cố định",
+        "Vật thể khác rơi vào,Đâm/va xe ô tô",
+        "Đâm/va vật thể cố định,Đâm/va xe ô tô",
     ),
     "Bicycle/Motorcycle Accidents": (
-        BIKE,
-        causes(BIKE, OTHER),
-        causes(OTHER, BIKE),
-        causes(BIKE, FIXED_OBJECT),
-        causes(FIXED_OBJECT, BIKE),
-        causes(BIKE, FALLING_OBJECT),
-        causes(FALLING_OBJECT, BIKE, FIXED_OBJECT),
+        "Đâm/va xe máy",
+        "Đâm/va xe máy,Khác",
+        "Khác,Đâm/va xe máy",
+        "Đâm/va xe máy,Đâm/va vật thể cố định",
+        "Đâm/va vật thể cố định,Đâm/va xe máy",
+        "Đâm/va xe máy,Vật thể khác rơi vào",
+        "Vật thể khác rơi vào,Đâm/va xe máy,Đâm/va vật thể cố định",
     ),
     "Single-Vehicle Accident": (
-        FIXED_OBJECT,
-        ANIMAL,
-        ROLLOVER,
-        VEHICLE_FALL,
-        causes(OTHER, FIXED_OBJECT),
-        causes(FIXED_OBJECT, FALLING_OBJECT),
-        causes(FALLING_OBJECT, FIXED_OBJECT),
-        causes(ANIMAL, FIXED_OBJECT),
-        causes(FIXED_OBJECT, ANIMAL),
-        causes(FIXED_OBJECT, ROLLOVER),
-        causes(VEHICLE_FALL, ROLLOVER),
+        "Đâm/va vật thể cố định",
+        "Đâm/va động vật",
+        "Lật xe",
+        "Rơi xe",
+        "Khác,Đâm/va vật thể cố định",
+        "Đâm/va vật thể cố định,Vật thể khác rơi vào",
+        "Vật thể khác rơi vào,Đâm/va vật thể cố định",
+        "Đâm/va động vật,Đâm/va vật thể cố định",
+        "Đâm/va vật thể cố định,Đâm/va động vật",
+        "Đâm/va vật thể cố định,Lật xe",
+        "Rơi xe,Lật xe",
     ),
     "External Causes/Non-Collison Damages": (
-        FALLING_OBJECT,
-        VANDALISM,
-        FIRE,
-        STOLEN,
-        NATURE,
-        FLOODING,
-        causes(OTHER, RESCUE),
+        "Vật thể khác rơi vào",
+        "Bị phá hoại",
+        "Hỏa hoạn, cháy, nổ",
+        "Mất cắp",
+        "Do thiên nhiên",
+        "Thủy kích",
+        "Khác,Chi phí cứu hộ",
+    ),
+    "Multi-Vehicle Accidents ": (
+        "Đâm/va xe máy,Đâm/va xe ô tô",
+        "Đâm/va xe ô tô,Đâm/va xe máy",
     ),
-    "Multi-Vehicle Accidents ": (causes(BIKE, CAR), causes(CAR, BIKE)),
 }
 
 # Causes that decide the damage group on their own, whatever the coverage.
 DAMAGE_BY_CAUSE = {
     PARTIAL_TOTAL: (
-        ROLLOVER,
-        FALLING_OBJECT,
-        VANDALISM,
-        VEHICLE_FALL,
-        FLOODING,
-        ANIMAL,
-        FIRE,
-        causes(VEHICLE_FALL, ROLLOVER),
+        "Lật xe",
+        "Vật thể khác rơi vào",
+        "Bị phá hoại",
+        "Rơi xe",
+        "Thủy kích",
+        "Đâm/va động vật",
+        "Hỏa hoạn, cháy, nổ",
+        "Rơi xe,Lật xe",
+    ),
+    THEFT: (
+        "Mất cắp",
+    ),
+    THIRD_PARTY_OTHER: (
+        "Đâm/va vật thể cố định",
+        "Khác,Đâm/va vật thể cố định",
     ),
-    THEFT: (STOLEN,),
-    THIRD_PARTY_OTHER: (FIXED_OBJECT, causes(OTHER, FIXED_OBJECT)),
 }
 
 # Causes that decide the damage group under compulsory liability only.
 DAMAGE_BY_LIABILITY_CAUSE = {
     THIRD_PARTY_VEHICLE: (
-        BIKE,
-        CAR,
-        causes(BIKE, OTHER),
-        causes(OTHER, BIKE),
-        causes(BIKE, FIXED_OBJECT),
-        causes(FIXED_OBJECT, BIKE),
-        causes(BIKE, FALLING_OBJECT),
-        causes(FALLING_OBJECT, BIKE, FIXED_OBJECT),
-        causes(CAR, OTHER),
-        causes(CAR, FIXED_OBJECT),
-        causes(FALLING_OBJECT, CAR),
-        causes(FIXED_OBJECT, CAR),
-        causes(BIKE, CAR),
+        "Đâm/va xe máy",
+        "Đâm/va xe ô tô",
+        "Đâm/va xe máy,Khác",
+        "Khác,Đâm/va xe máy",
+        "Đâm/va xe máy,Đâm/va vật thể cố định",
+        "Đâm/va vật thể cố định,Đâm/va xe máy",
+        "Đâm/va xe máy,Vật thể khác rơi vào",
+        "Vật thể khác rơi vào,Đâm/va xe máy,Đâm/va vật thể cố định",
+        "Đâm/va xe ô tô,Khác",
+        "Đâm/va xe ô tô,Đâm/va vật thể cố định",
+        "Vật thể khác rơi vào,Đâm/va xe ô tô",
+        "Đâm/va vật thể cố định,Đâm/va xe ô tô",
+        "Đâm/va xe máy,Đâm/va xe ô tô",
     ),
     THIRD_PARTY_OTHER: (
-        causes(FIXED_OBJECT, FALLING_OBJECT),
-        causes(FALLING_OBJECT, FIXED_OBJECT),
-        causes(ANIMAL, FIXED_OBJECT),
-        causes(FIXED_OBJECT, ANIMAL),
-        causes(FIXED_OBJECT, ROLLOVER),
+        "Đâm/va vật thể cố định,Vật thể khác rơi vào",
+        "Vật thể khác rơi vào,Đâm/va vật thể cố định",
+        "Đâm/va động vật,Đâm/va vật thể cố định",
+        "Đâm/va vật thể cố định,Đâm/va động vật",
+        "Đâm/va vật thể cố định,Lật xe",
     ),
 }
 

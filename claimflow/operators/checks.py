@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from claimflow.functions.expressions import is_missing
 from claimflow.operators.grouping import duplicated_keys
-from claimflow.operators.relational import compare, missing_in, rows_of
+from claimflow.operators.shaping import Field
+from claimflow.operators.relational import compare, keys_of
 
 # Pairs of dates whose first must not lie after the second.
 CLAIM_DATE_RULES = {
@@ -19,6 +20,8 @@ CLAIM_DATE_RULES = {
     "accident after opened": ("claim_accident_date", "claim_opened_date"),
     "accident after updated": ("claim_accident_date", "updateddate"),
 }
+SNAPSHOT_DATE_RULES = {"created after payment": ("createddate", "payment_date")}
+POLICY_DATE_RULES = {"created after start": ("createddate", "start_date"), "start after end": ("start_date", "end_date")}
 
 
 def violations(df: DataFrame, rules: Mapping[str, Column], keep: Sequence[str]) -> DataFrame:
@@ -91,16 +94,49 @@ def paid_never_approved(log: DataFrame) -> DataFrame:
 
 
 def missing_report(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
-    """Per column: rows and distinct keys with a missing value, all columns in one pass over the table."""
-    flags = F.array(*[F.when(is_missing(c), F.lit(c)) for c in columns])
-    per_key = (
-        df.select(key, F.explode(F.array_compact(flags)).alias("column_name"))
-        .groupBy("column_name", key)
-        .agg(F.count(F.lit(1)).alias("n"))
+    """Per column: rows and distinct keys with a missing value, a row for every column, in one pass over the table."""
+    per_key = df.groupBy(key).agg(*[F.count_if(is_missing(c)).alias(f"{c}|missing") for c in columns])
+    wide = per_key.agg(
+        *[F.coalesce(F.sum(f"`{c}|missing`"), F.lit(0)).alias(f"{c}|rows") for c in columns],
+        *[F.count_if(F.col(f"`{c}|missing`") > 0).alias(f"{c}|keys") for c in columns],
     )
-    return per_key.groupBy("column_name").agg(
-        F.sum("n").alias("missing_rows"), F.count(F.lit(1)).alias("missing_keys")
+    each = [
+        F.struct(
+            F.lit(c).alias("column_name"), F.col(f"`{c}|rows`").alias("missing_rows"), F.col(f"`{c}|keys`").alias("missing_keys")
+        )
+        for c in columns
+    ]
+    return wide.select(F.explode(F.array(*each)).alias("r")).select("r.*")
+
+
+def milestone_coverage(facts: DataFrame, milestones: Sequence[str]) -> DataFrame:
+    """Per milestone: claims that reached it and claims that did not. `facts` holds one row per claim."""
+    wide = facts.agg(F.count(F.lit(1)).alias("claims"), *[F.count(c).alias(c) for c in milestones])
+    each = [
+        F.struct(
+            F.lit(c).alias("milestone"), F.col(c).alias("with_date"), (F.col("claims") - F.col(c)).alias("without_date")
+        )
+        for c in milestones
+    ]
+    return wide.select(F.explode(F.array(*each)).alias("r")).select("r.*")
+
+
+def unreadable_report(raw: DataFrame, contract: Sequence[Field]) -> DataFrame:
+    """Per money, date and int column of a source: values that are entered, and those that cannot be read."""
+    typed = [f for f in contract if f.kind != "text"]
+    wide = raw.agg(
+        *[F.count_if(~is_missing(f.source)).alias(f"{f.target}|entered") for f in typed],
+        *[F.count_if(~is_missing(f.source) & f.parsed().isNull()).alias(f"{f.target}|unreadable") for f in typed],
     )
+    each = [
+        F.struct(
+            F.lit(f.target).alias("column_name"),
+            F.col(f"`{f.target}|entered`").alias("entered"),
+            F.col(f"`{f.target}|unreadable`").alias("unreadable"),
+        )
+        for f in typed
+    ]
+    return wide.select(F.explode(F.array(*each)).alias("r")).select("r.*")
 
 
 def reconcile_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
@@ -124,12 +160,8 @@ def reconcile_values(a: DataFrame, b: DataFrame, on: Sequence[str], columns: Seq
 
 def recoverable(df: DataFrame, other: DataFrame, key: str, column: str) -> DataFrame:
     """Keys that miss the value here and have it in `other` (another source, or another row of this one)."""
-    lacking = df.where(is_missing(column)).select(key).distinct()
-    return rows_of(lacking, other.where(~is_missing(column)), [key])
-
-
-def unmatched_rows(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
-    return missing_in(df, other, on)
+    lacking, known = keys_of(df.where(is_missing(column)), [key]), keys_of(other.where(~is_missing(column)), [key])
+    return lacking.join(known, key, "left_semi")
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:

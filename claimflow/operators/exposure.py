@@ -70,11 +70,7 @@ def earned_premium_monthly(
         F.sum(monthly_share(mode)).alias("share"),
         F.count("policycode").alias("policies"),
     )
-    months = expand_months(pairs, "first_month", "last_month")
-    if first is not None:
-        months = months.where(F.col("calendar_month") >= F.lit(first).cast("date"))
-    if last is not None:
-        months = months.where(F.col("calendar_month") <= F.lit(last).cast("date"))
+    months = expand_months(pairs, "first_month", "last_month", since=first, until=last)
     return months.groupBy("calendar_month").agg(
         F.sum("share").alias("earned_premium"), F.sum("policies").alias("active_policies")
     )

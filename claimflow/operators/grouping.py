@@ -34,39 +34,31 @@ def concat_distinct(df: DataFrame, keys: Sequence[str], column: str, sep: str =
     return per_value.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(column)), sep).alias(output))
 
 
-def spell_counts(counts: Column, total: Column, sep: str = ",", spell_out: int = 100_000) -> Column:
-    """Text of a counted list [(value, copies)]: spelled out up to `spell_out` values, `value*copies` beyond."""
-    spelled = F.array_join(
+def spelled(counts: Column, sep: str = ",") -> Column:
+    """Text of a counted list [(value, copies)], every copy written out."""
+    return F.array_join(
         F.flatten(F.transform(counts, lambda x: F.array_repeat(x["value"], x["copies"].cast("int")))), sep
     )
-    short = F.array_join(
-        F.transform(counts, lambda x: F.concat(x["value"], F.lit("*"), x["copies"].cast("string"))), sep
-    )
-    return F.when(total <= spell_out, spelled).otherwise(short)
 
 
 def concat_all(
     df: DataFrame,
     keys: Sequence[str],
     column: str,
-    sep: str = ",",
     output: str = "values",
-    spell_out: int = 100_000,
 ) -> DataFrame:
-    """Sorted values per key with duplicates kept, as one text, and their number `n_values`.
+    """Sorted values per key with their copies, as an array of (value, copies), and their number `n_values`.
 
-    Values are counted first, so a group never travels row by row. A group with more than `spell_out`
-    values is written in counted form (`value*copies`), which says the same in bounded space.
+    Values are counted first, so a group never travels row by row. The column is meant to be a category: an array
+    holds each of a key's values once. `spelled` turns it into text where a caller wants that.
     """
     per_value = (
         df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("copies"))
     )
-    counted = per_value.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(column).alias("value"), "copies"))).alias("counts"),
+    return per_value.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(column).alias("value"), "copies"))).alias(output),
         F.sum("copies").alias("n_values"),
     )
-    text = spell_counts(F.col("counts"), F.col("n_values"), sep, spell_out)
-    return counted.withColumn(output, text).drop("counts")
 
 
 def sum_over(df: DataFrame, keys: Sequence[str], column: str, output: str | None = None) -> DataFrame:

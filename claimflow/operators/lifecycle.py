@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from claimflow.functions.expressions import map_value
 from claimflow.functions.vocabulary import HISTORY_STATUS, STATUS_PRIORITY
 from claimflow.operators.cleaning import gross_up
-from claimflow.operators.grouping import spell_counts
 from claimflow.operators.picking import pick
 from claimflow.operators.skew import join_facts, with_facts
 
@@ -77,9 +76,9 @@ def resolve_status(log: DataFrame) -> DataFrame:
     return claim_facts(log, "claim_status")
 
 
-def with_status(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def with_status(log: DataFrame) -> DataFrame:
     """The log with the resolved claim_status on every row."""
-    return join_facts(log, resolve_status(log), CLAIM, "inner", hot)
+    return join_facts(log, resolve_status(log), CLAIM, "inner")
 
 
 def milestones(log: DataFrame) -> DataFrame:
@@ -87,20 +86,20 @@ def milestones(log: DataFrame) -> DataFrame:
     return claim_facts(log, *MILESTONES)
 
 
-def with_milestones(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    return join_facts(log, milestones(log), CLAIM, "inner", hot)
+def with_milestones(log: DataFrame) -> DataFrame:
+    return join_facts(log, milestones(log), CLAIM, "inner")
 
 
-def _at_latest_of(log: DataFrame, status: str, hot: DataFrame | None) -> DataFrame:
+def _at_latest_of(log: DataFrame, status: str) -> DataFrame:
     """Rows at the latest date of the claims resolved to `status`: one aggregate and one join."""
     facts = claim_facts(log, "claim_status", "latest_date").where(F.col("claim_status") == status)
-    rows = join_facts(log, facts, CLAIM, "inner", hot)
+    rows = join_facts(log, facts, CLAIM, "inner")
     return rows.where(F.col("updateddate") == F.col("latest_date")).drop("latest_date")
 
 
-def relabel_latest(log: DataFrame, status: str = "assessment pending", hot: DataFrame | None = None) -> DataFrame:
+def relabel_latest(log: DataFrame, status: str = "assessment pending") -> DataFrame:
     """Latest rows of the claims resolved to `status`; rows in another state give the claim that state."""
-    latest = _at_latest_of(log, status, hot)
+    latest = _at_latest_of(log, status)
     return latest.withColumn("relabelled", F.col("claim_status") != F.col("claim_status_name")).withColumn(
         "claim_status", F.col("claim_status_name")
     )
@@ -172,9 +171,9 @@ def reduce_estimate_pending(log: DataFrame) -> DataFrame:
     return _unrow(kept, "best", log.columns)
 
 
-def reduce_documents_pending(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def reduce_documents_pending(log: DataFrame) -> DataFrame:
     """Rows at the latest date of the claims waiting for documents."""
-    return _at_latest_of(log, "documents pending", hot).select(*log.columns, "claim_status")
+    return _at_latest_of(log, "documents pending").select(*log.columns, "claim_status")
 
 
 def _assessed_cells(log: DataFrame) -> DataFrame:
@@ -204,7 +203,7 @@ def _assessed_cells(log: DataFrame) -> DataFrame:
     )
 
 
-def reduce_assessment_pending(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def reduce_assessment_pending(log: DataFrame) -> DataFrame:
     """Latest rows of the claims waiting for assessment, with corrected claim_status.
 
     After the choice of `_assessed_cells`, separately for rows that stay and rows that move to another
@@ -212,7 +211,7 @@ def reduce_assessment_pending(log: DataFrame, hot: DataFrame | None = None) -> D
     """
     r = _joint_zero(log, "claim_estimate", "claim_estimate_first")
     cells = _assessed_cells(r).select(*CELL, "claim_status", "any_valued", "last_index")
-    rows = join_facts(r, cells, CELL, "inner", hot, null_safe=True)
+    rows = join_facts(r, cells, CELL, "inner", null_safe=True)
     keep = _valued() | (~F.col("any_valued") & (F.col("row_index") == F.col("last_index")))
     return rows.where(keep).select(*log.columns, "claim_status")
 
@@ -275,7 +274,7 @@ def reduce_paid_out(log: DataFrame) -> DataFrame:
     return _unrow(paid, "last", log.columns, compensation_total=F.col("total"))
 
 
-def _closed_with_previous(log: DataFrame, status: str, columns: Sequence[str], hot: DataFrame | None) -> DataFrame:
+def _closed_with_previous(log: DataFrame, status: str, columns: Sequence[str]) -> DataFrame:
     """Rows in `status` of the claims resolved to it, beside amounts of the claim's latest row in another state."""
     r = _zero(log, AMOUNTS)
     own = F.col("claim_status_name") == status
@@ -283,22 +282,22 @@ def _closed_with_previous(log: DataFrame, status: str, columns: Sequence[str], h
     claims = r.groupBy("claimnumber").agg(
         status_of_rank(F.min(status_rank("claim_status_name"))).alias("claim_status"), previous
     )
-    return join_facts(r.where(own), claims.where(F.col("claim_status") == status), CLAIM, "inner", hot)
+    return join_facts(r.where(own), claims.where(F.col("claim_status") == status), CLAIM, "inner")
 
 
-def reduce_cancelled(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def reduce_cancelled(log: DataFrame) -> DataFrame:
     """Cancelled rows with the amounts of the claim's latest other row, where there is one."""
     taken = ["total_claim_estimate", "claim_estimate_first", "compensation_total"]
-    rows = _closed_with_previous(log, "cancelled", taken, hot)
+    rows = _closed_with_previous(log, "cancelled", taken)
     inherited = {
         c: F.when(F.col("previous").isNotNull(), F.col(f"previous.{c}")).otherwise(F.col(c)) for c in taken
     }
     return rows.withColumns(inherited).select(*log.columns, "claim_status")
 
 
-def reduce_denied(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def reduce_denied(log: DataFrame) -> DataFrame:
     """Denied rows; a zero estimate comes from the claim's latest other row, else from the compensation."""
-    rows = _closed_with_previous(log, "denied", ["total_claim_estimate"], hot)
+    rows = _closed_with_previous(log, "denied", ["total_claim_estimate"])
     entered = F.nullif(F.col("total_claim_estimate"), zero())
     previous = F.nullif(F.col("previous.total_claim_estimate"), zero())
     estimate = F.coalesce(entered, previous, F.col("compensation_total"))
@@ -357,13 +356,12 @@ def damage_facts(log: DataFrame, with_status: bool = False) -> DataFrame:
         F.count("v").alias("n_damages"),
         F.min("v").alias("only_damage"),
         F.array_sort(F.collect_list(F.when(named, F.struct(F.col("v").alias("value"), "copies")))).alias("damages"),
-        F.sum(F.when(named, F.col("copies"))).alias("n_damage_rows"),
         *merged,
     )
 
 
 def damage_labels(rows: DataFrame) -> DataFrame:
-    """Rows that carry `damage_facts`: fill blanks and write the list."""
+    """Rows that carry `damage_facts`: fill blanks and name the values, as an array of (value, copies)."""
     n = F.col("n_damages")
     blank = F.coalesce(F.trim("damage_type") == "", F.lit(True))
     damage = (
@@ -372,24 +370,25 @@ def damage_labels(rows: DataFrame) -> DataFrame:
         .when(n == 1, F.col("only_damage"))
         .otherwise(F.lit("Multiple"))
     )
-    values = spell_counts(F.col("damages"), F.col("n_damage_rows"))
-    listed = F.when(n == 0, F.lit("Unclassified")).when(n == 1, F.col("only_damage")).otherwise(values)
+    one = F.when(n == 0, F.lit("Unclassified")).when(n == 1, F.col("only_damage"))
+    single = F.array(F.struct(one.alias("value"), F.lit(1).cast("long").alias("copies")))
+    listed = F.when(n <= 1, single).otherwise(F.col("damages"))
     return rows.withColumns({"damage_type_list": listed, "damage_type": damage}).drop(
-        "n_damages", "only_damage", "damages", "n_damage_rows"
+        "n_damages", "only_damage", "damages"
     )
 
 
-def consolidate_damage(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def consolidate_damage(log: DataFrame) -> DataFrame:
     """Damage type per claim: blanks take the claim's only value, `Multiple` beside several, `Unclassified` beside none.
 
-    `damage_type_list` names the claim's value, or all of them sorted when there are several.
+    `damage_type_list` holds the claim's value, or all of them sorted and counted when there are several.
     """
-    return damage_labels(join_facts(log, damage_facts(log), CLAIM, "inner", hot))
+    return damage_labels(join_facts(log, damage_facts(log), CLAIM, "inner"))
 
 
-def promote_paid(rows: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def promote_paid(rows: DataFrame) -> DataFrame:
     """Approved claims with a paid-out row are paid out."""
-    paid = with_facts(rows, CLAIM, hot, __paid=F.max(F.col("claim_status_name") == "paid out"))
+    paid = with_facts(rows, CLAIM, __paid=F.max(F.col("claim_status_name") == "paid out"))
     return paid.withColumn(
         "claim_status",
         F.when((F.col("claim_status") == "approved") & F.col("__paid"), F.lit("paid out")).otherwise(F.col("claim_status")),
@@ -432,10 +431,10 @@ def paid_date() -> Column:
     return F.when(F.col("claim_status") == "paid out", paid).otherwise(F.col("payment_date"))
 
 
-def payment_date(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def payment_date(log: DataFrame) -> DataFrame:
     """The log with claim_status and the corrected payment date on every row."""
     facts = claim_facts(log, "claim_status", "paid_on")
-    return join_facts(log, facts, CLAIM, "inner", hot).withColumn("payment_date", paid_date()).drop("paid_on")
+    return join_facts(log, facts, CLAIM, "inner").withColumn("payment_date", paid_date()).drop("paid_on")
 
 
 def reduce_history_only(log: DataFrame, variant: str = "latest") -> DataFrame:

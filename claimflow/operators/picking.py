@@ -38,27 +38,27 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataF
     return pick(df, keys, order)
 
 
-def best_per(df: DataFrame, keys: Sequence[str], measures: Sequence[Column], hot: DataFrame | None = None) -> DataFrame:
+def best_per(df: DataFrame, keys: Sequence[str], measures: Sequence[Column]) -> DataFrame:
     """Rows ranked first by several measures, highest first; all tied rows stay.
 
     `measures` are ordering expressions where larger is better.
     """
     scored = df.withColumn("__score", F.struct(*[m.alias(f"m{i}") for i, m in enumerate(measures)]))
     best = scored.groupBy(*keys).agg(F.max("__score").alias("__best"))
-    kept = join_facts(scored, best, keys, "inner", hot, null_safe=True)
+    kept = join_facts(scored, best, keys, "inner", null_safe=True)
     return kept.where(F.col("__score") == F.col("__best")).drop("__score", "__best")
 
 
-def at_latest(df: DataFrame, keys: Sequence[str], date: str, hot: DataFrame | None = None) -> DataFrame:
+def at_latest(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
     """Rows at the latest date of their key; all rows of that date stay."""
-    dated = with_facts(df, keys, hot, __latest=F.max(date))
+    dated = with_facts(df, keys, __latest=F.max(date))
     return dated.where(F.col(date) == F.col("__latest")).drop("__latest")
 
 
-def duplicated_rows(df: DataFrame, keys: Sequence[str], hot: DataFrame | None = None) -> DataFrame:
+def duplicated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows of the keys that have more than one row."""
     several = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).drop("__n")
-    return join_facts(df, several, keys, "left_semi", hot, null_safe=True)
+    return join_facts(df, several, keys, "left_semi", null_safe=True)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

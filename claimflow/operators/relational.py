@@ -26,6 +26,11 @@ def rows_of(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
 present_in = rows_of
 
 
+def keys_only_in(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Keys of `df` that do not occur in `other`: distinct on both sides, so a plain join reuses their partitioning."""
+    return keys_of(df, on).join(keys_of(other, on), list(on), "left_anti")
+
+
 def missing_in(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of `df` whose key does not occur in `other`.
 
@@ -125,7 +130,22 @@ def month_pairs(df: DataFrame, start: str, end: str, *measures: Column) -> DataF
     )
 
 
-def expand_months(df: DataFrame, first: str, last: str, month: str = "calendar_month") -> DataFrame:
-    """One row per month touched by [first, last]: the range join with the calendar as an explode."""
-    months = F.sequence(F.trunc(first, "MM"), F.trunc(last, "MM"), F.expr("interval 1 month"))
-    return df.where(F.col(first) <= F.col(last)).withColumn(month, F.explode(months))
+def expand_months(
+    df: DataFrame,
+    first: str,
+    last: str,
+    month: str = "calendar_month",
+    since: str | None = None,
+    until: str | None = None,
+) -> DataFrame:
+    """One row per month touched by [first, last]: the range join with the calendar as an explode.
+
+    `since` and `until` bound the months before they are spread, so a mistyped year makes no extra rows.
+    """
+    begin, end = F.trunc(first, "MM"), F.trunc(last, "MM")
+    if since is not None:
+        begin = F.greatest(begin, F.trunc(F.lit(since).cast("date"), "MM"))
+    if until is not None:
+        end = F.least(end, F.trunc(F.lit(until).cast("date"), "MM"))
+    valid = df.where((F.col(first) <= F.col(last)) & (begin <= end))
+    return valid.withColumn(month, F.explode(F.sequence(begin, end, F.expr("interval 1 month"))))

@@ -123,52 +123,52 @@ def settlement_duration(claims: DataFrame, cuts: Sequence[float]) -> DataFrame:
     )
 
 
-def loss_concentration(claims: DataFrame, shares: Sequence[float], width: int = 1000) -> DataFrame:
+LEVEL_BITS = 10  # bits of an amount that one level of buckets tells apart
+LEVELS = 5  # amounts are DECIMAL(15,2): below 2^50 cents
+
+
+def loss_concentration(claims: DataFrame, shares: Sequence[float]) -> DataFrame:
     """Share of losses in the largest `shares` of settled claims, exactly, without sorting the claims.
 
-    Claims are counted per amount bucket; only the bucket that holds the cut is then counted per exact
-    amount. Buckets are bounded by the largest amount over `width`, exact amounts by the cents in one bucket.
+    The cut of every share is found level by level: a level counts the claims of at most 1,024 buckets inside the
+    bucket that the level before ended in, and its last level's buckets are single amounts. Windows see the
+    buckets of one share at one level.
     """
-    settled = _settled(claims).select("compensation_total", F.floor(F.col("compensation_total") / width).alias("bucket"))
-    buckets = settled.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("compensation_total").cast("decimal(38,2)").alias("amount")
-    )
-    above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    cuts = (
-        buckets.withColumns(
-            {
-                "n_above": F.coalesce(F.sum("n").over(above), F.lit(0)),
-                "amount_above": F.coalesce(F.sum("amount").over(above), F.lit(0).cast("decimal(38,2)")),
-                "total_n": F.sum("n").over(everything),
-                "total_amount": F.sum("amount").over(everything),
-            }
+    cents = (F.col("compensation_total").cast("decimal(17,2)") * 100).cast("long")
+    settled = _settled(claims).where(F.col("compensation_total").isNotNull()).select(cents.alias("cents"))
+    # each amount once, with its copies: what the levels read again and again
+    amounts = settled.groupBy("cents").agg(F.count(F.lit(1)).alias("n"))
+    amounts = amounts.withColumn("amount", (F.col("cents").cast("decimal(20,0)") * F.col("n")).cast("decimal(38,0)"))
+    total = amounts.agg(F.sum("n").alias("total_n"), F.sum("amount").alias("total_amount"))
+    cut = total.withColumn("share", F.explode(F.array(*[F.lit(s) for s in shares]))).select(
+        "share",
+        F.ceil(F.round(F.col("share") * F.col("total_n"), 6)).alias("n_top"),
+        "total_amount",
+        F.lit(None).cast("long").alias("inside"),
+        F.lit(0).cast("long").alias("n_above"),
+        F.lit(0).cast("decimal(38,0)").alias("amount_above"),
+    )
+    for level in reversed(range(LEVELS)):
+        bucket = F.shiftright("cents", LEVEL_BITS * level)
+        buckets = amounts.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+        # `cut` holds one row per share
+        met = F.col("inside").isNull() | (F.shiftright("bucket", LEVEL_BITS) == F.col("inside"))
+        met = met if level == LEVELS - 1 else F.shiftright("bucket", LEVEL_BITS) == F.col("inside")
+        rows = buckets.join(F.broadcast(cut), met)
+        above = Window.partitionBy("share").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+        n_above = F.col("n_above") + F.coalesce(F.sum("n").over(above), F.lit(0))
+        amount_above = F.col("amount_above") + F.coalesce(F.sum("amount").over(above), F.lit(0))
+        rows = rows.withColumns({"__n": n_above, "__amount": amount_above.cast("decimal(38,0)")})
+        cut = rows.where((F.col("__n") < F.col("n_top")) & (F.col("n_top") <= F.col("__n") + F.col("n"))).select(
+            "share", "n_top", "total_amount", F.col("bucket").alias("inside"), F.col("__n").alias("n_above"), F.col("__amount").alias("amount_above")
         )
-        .withColumn("share", F.explode(F.array(*[F.lit(s) for s in shares])))
-        .withColumn("n_top", F.ceil(F.round(F.col("share") * F.col("total_n"), 6)))
-        .where((F.col("n_above") < F.col("n_top")) & (F.col("n_top") <= F.col("n_above") + F.col("n")))
-        .select("share", "bucket", "n_above", "amount_above", "n_top", "total_amount")
-    )
-    wanted = cuts.select("bucket").distinct()  # one row per share
-    values = (
-        settled.join(F.broadcast(wanted), "bucket", "left_semi")
-        .groupBy("bucket", "compensation_total")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    inside = values.join(cuts, "bucket")
-    upto = Window.partitionBy("share").orderBy(F.desc("compensation_total")).rowsBetween(Window.unboundedPreceding, -1)
-    room = F.col("n_top") - F.col("n_above") - F.coalesce(F.sum("copies").over(upto), F.lit(0))
-    taken = F.greatest(F.lit(0), F.least(F.col("copies"), room))
-    part = inside.withColumn("taken", taken).groupBy("share").agg(
-        F.max("n_top").alias("top_claims"),
-        (F.max("amount_above") + F.sum(F.col("taken") * F.col("compensation_total"))).alias("top_amount"),
-        F.max("total_amount").alias("total_amount"),
-    )
-    return part.select(
+    in_cut = (F.col("n_top") - F.col("n_above")).cast("decimal(18,0)") * F.col("inside")
+    top = (F.col("amount_above") + in_cut).cast("double") / 100
+    return cut.select(
         "share",
-        "top_claims",
-        _double("top_amount").alias("top_amount"),
-        ratio(_double("top_amount"), _double("total_amount")).alias("loss_share"),
+        F.col("n_top").alias("top_claims"),
+        top.alias("top_amount"),
+        ratio(top, F.col("total_amount").cast("double") / 100).alias("loss_share"),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,20 +25,21 @@ class Field:
     kind: str = "text"
     fmt: str | None = None
 
-    def expression(self) -> Column:
+    def parsed(self) -> Column:
+        """The typed value, NULL where the text is missing or cannot be read."""
         c = F.col(self.source)
         if self.kind == "date":
-            out = parse_date(c, self.fmt or "yyyy-MM-dd")
-        elif self.kind == "money":
-            out = parse_money(c)
-        elif self.kind == "money0":
-            out = money_or_zero(c)
-        elif self.kind == "int":
-            out = blank_to_null(c).try_cast("int")
-        elif self.kind == "text":
-            out = c
-        else:
-            raise ValueError(f"unknown kind {self.kind!r}")
+            return parse_date(c, self.fmt or "yyyy-MM-dd")
+        if self.kind in ("money", "money0"):
+            return parse_money(c)
+        if self.kind == "int":
+            return blank_to_null(c).try_cast("int")
+        if self.kind == "text":
+            return c
+        raise ValueError(f"unknown kind {self.kind!r}")
+
+    def expression(self) -> Column:
+        out = money_or_zero(F.col(self.source)) if self.kind == "money0" else self.parsed()
         return out.alias(self.target)
 
 
@@ -67,10 +69,12 @@ def add_empty(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 def with_row_index(df: DataFrame, columns: Sequence[str] | None = None, name: str = "row_index") -> DataFrame:
     """A stable tie-break for sources without a row key: a hash of the row's own content.
 
-    It does not depend on partitioning or on a rerun, needs no shuffle, and rows that share it are
-    identical in the given columns, so choosing between them cannot change a result.
+    It does not depend on partitioning or on a rerun and needs no shuffle. The hash skips NULLs, so whether a
+    column is NULL is hashed as well: rows that share the index are identical in the given columns (or collide in
+    64 bits), so choosing between them does not change a result.
     """
-    return df.withColumn(name, F.xxhash64(*(columns or df.columns)))
+    parts = [x for c in (columns or df.columns) for x in (F.col(c).isNull(), F.col(c))]
+    return df.withColumn(name, F.xxhash64(*parts))
 
 
 def zero_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -124,6 +128,15 @@ def profile(df: DataFrame, distinct: bool = False) -> DataFrame:
     return wide.select(F.explode(F.array(*per_column)).alias("p")).select("p.*")
 
 
+def distinct_counts(sources: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Per source: rows and distinct values of each key, for all sources in one job."""
+    tagged = [df.select(F.lit(name).alias("source"), *keys) for name, df in sources.items()]
+    rows = reduce(lambda x, y: x.unionByName(y), tagged)
+    return rows.groupBy("source").agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count_distinct(k).alias(f"distinct_{k}") for k in keys]
+    )
+
+
 def schema_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """Columns of two sources side by side: where each is present, its types and missing counts."""
     left, right = (

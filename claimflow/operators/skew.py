@@ -1,11 +1,9 @@
 """Joins between many rows and one row per key that stay balanced when a key holds a large share of the rows.
 
-A window over the key, or a plain shuffle join on it, sends all rows of a key to one task. Here the
-rows are first reduced to per-key facts (a hash aggregate, combined on the map side), and the facts
-are joined back. Keys with very many rows are found with one mergeable sketch and spread over several
-reducers by a salt; the single fact row of such a key is repeated once per salt value.
-
-The sketch only steers placement. A key it misses is still joined correctly, just unsalted.
+A window over the key sends all rows of a key to one task. Here the rows are first reduced to per-key
+facts (a hash aggregate, combined on the map side), and the facts are joined back by a plain equi join.
+Adaptive execution splits a heavy key's rows over several tasks while the join runs, by what it has
+measured; nothing is sampled, capped or salted beforehand.
 """
 
 from __future__ import annotations
@@ -15,79 +13,44 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_SPLIT_CONF = "claimflow.skew.rowsPerSplit"
-ROWS_PER_SPLIT = 2_000_000
-HOT_KEYS_KEPT = 1_000  # size bound of the broadcast list: 1,000 rows of two longs, whatever the data
-SKETCH_ITEMS = 10_000
-
-_HASH, _SALT, _SPLITS = "__key_hash", "__salt", "__splits"
+JOINS = ("left", "inner", "left_semi", "left_anti")  # adaptive execution can split the rows of all of these
 
 
-def _rows_per_split(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(ROWS_PER_SPLIT_CONF, str(ROWS_PER_SPLIT)))
+def _shuffled_again(facts: DataFrame, on: Sequence[str]) -> DataFrame:
+    """`facts` with their keys passed through an expression, so that the join shuffles them.
 
-
-def hot_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame:
-    """At most HOT_KEYS_KEPT key hashes with the number of splits each needs, in one pass without a key shuffle."""
-    per_split = _rows_per_split(rows)
-    sketch = rows.select(F.xxhash64(*on).alias(_HASH)).agg(
-        F.expr(f"approx_top_k({_HASH}, {HOT_KEYS_KEPT}, {SKETCH_ITEMS})").alias("top")
-    )
-    return (
-        sketch.select(F.explode("top").alias("t"))
-        .select(F.col("t.item").alias(_HASH), F.ceil(F.col("t.count") / per_split).cast("int").alias(_SPLITS))
-        .where(F.col(_SPLITS) > 1)
-    )
+    Facts are mostly an aggregate on the key and would keep its partitioning. Then only the rows would come
+    out of a shuffle, and adaptive execution splits a heavy key only where both sides do. Facts are one row
+    per key, so their shuffle is small beside that of the rows.
+    """
+    return facts.withColumns({c: F.element_at(F.array(c), 1) for c in on})
 
 
 def join_facts(
-    rows: DataFrame,
-    facts: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    hot: DataFrame | None = None,
-    null_safe: bool = False,
+    rows: DataFrame, facts: DataFrame, on: Sequence[str], how: str = "left", null_safe: bool = False
 ) -> DataFrame:
     """Join `rows` with `facts` on the columns `on`; `facts` holds one row per key and `how` keeps `rows` on the left.
 
     `null_safe` lets NULL keys meet, for facts grouped from the rows themselves; otherwise they match nothing.
-
-    The salt of a row comes from its content and its input partition, so it is the same when a lost
-    task is run again, and identical copies of one row in different partitions are spread too.
     """
-    if how not in ("left", "inner", "left_semi", "left_anti"):
+    if how not in JOINS:
         raise ValueError(f"unsupported join type {how!r}")
     on = list(on)
-    hot = hot_keys(rows, on) if hot is None else hot
-    hot_small = F.broadcast(hot)  # bounded by HOT_KEYS_KEPT
-    key_hash = F.xxhash64(*on)
-
-    left = rows.withColumn(_HASH, key_hash).join(hot_small, _HASH, "left")
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]) + F.spark_partition_id(), F.col(_SPLITS))
-    left = left.withColumn(_SALT, F.coalesce(spread.cast("int"), F.lit(0))).drop(_HASH, _SPLITS)
-
-    right = (
-        facts.withColumn(_HASH, key_hash)
-        .join(hot_small, _HASH, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SPLITS), F.lit(1)) - 1)))
-        .drop(_HASH, _SPLITS)
-    )
+    right = _shuffled_again(facts, on)
     if not null_safe:
-        return left.join(right, [*on, _SALT], how).drop(_SALT)
-    right = right.withColumnsRenamed({c: f"__right_{c}" for c in [*on, _SALT]})
-    met = F.col(_SALT) == F.col(f"__right_{_SALT}")
+        return rows.join(right, on, how)
+    right = right.withColumnsRenamed({c: f"__right_{c}" for c in on})
+    met = F.lit(True)
     for c in on:
         met = met & F.col(c).eqNullSafe(F.col(f"__right_{c}"))
-    return left.join(right, met, how).drop(_SALT, *[f"__right_{c}" for c in [*on, _SALT]])
+    return rows.join(right, met, how).drop(*[f"__right_{c}" for c in on])
 
 
-def with_facts(
-    rows: DataFrame, on: Sequence[str], hot: DataFrame | None = None, where: Column | None = None, **facts: Column
-) -> DataFrame:
+def with_facts(rows: DataFrame, on: Sequence[str], where: Column | None = None, **facts: Column) -> DataFrame:
     """Add per-key aggregates to every row: what `agg(...) OVER (PARTITION BY key)` returns.
 
     `where` restricts the rows the aggregates look at; keys without such rows get NULL.
     """
     source = rows if where is None else rows.where(where)
     keyed = source.groupBy(*on).agg(*[c.alias(name) for name, c in facts.items()])
-    return join_facts(rows, keyed, on, "left" if where is not None else "inner", hot, null_safe=True)
+    return join_facts(rows, keyed, on, "left" if where is not None else "inner", null_safe=True)

@@ -21,9 +21,9 @@ SETTLED = ("paid out", "approved")
 ESTIMATED = ("in process", "denied", "estimate pending", "documents pending")
 
 
-def multi_row(df: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def multi_row(df: DataFrame) -> DataFrame:
     """Rows of the claims that have more than one row."""
-    return duplicated_rows(df, CLAIM, hot)
+    return duplicated_rows(df, CLAIM)
 
 
 def _class_facts(df: DataFrame, classes: dict[str, tuple[Column, str, Sequence[str]]], sep: str) -> DataFrame:
@@ -45,7 +45,7 @@ def _class_facts(df: DataFrame, classes: dict[str, tuple[Column, str, Sequence[s
     return df.groupBy("claimnumber").agg(*out)
 
 
-def rollup_coverage_v1(df: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def rollup_coverage_v1(df: DataFrame) -> DataFrame:
     """First method: per status, zero rows of multi-row claims go; differing amounts are summed, coverages joined.
 
     As in its source, a claim whose rows are all zero disappears; the second method is the one carried forward.
@@ -59,7 +59,7 @@ def rollup_coverage_v1(df: DataFrame, hot: DataFrame | None = None) -> DataFrame
         "cancelled": (status == "cancelled", "claim_estimate_first", ["claim_estimate_first"]),
     }
     facts = _class_facts(df, classes, ", ")
-    joined = join_facts(df, facts, CLAIM, "inner", hot)
+    joined = join_facts(df, facts, CLAIM, "inner")
     several = F.col("__rows") > 1
     zero = (
         (status.isin(*SETTLED) & (F.col("compensation_total") == 0))
@@ -80,7 +80,7 @@ def rollup_coverage_v1(df: DataFrame, hot: DataFrame | None = None) -> DataFrame
     return kept.select(*df.columns)
 
 
-def rollup_coverage_v2(df: DataFrame, hot: DataFrame | None = None, index: str = "row_index") -> DataFrame:
+def rollup_coverage_v2(df: DataFrame, index: str = "row_index") -> DataFrame:
     """Second method: per status class, sum the amounts of multi-row claims without zeros, then one best row per claim."""
     status = F.col("claim_status")
     estimates = ["claim_estimate_first", "claim_estimate", "claim_estimate_beforetax"]
@@ -94,7 +94,7 @@ def rollup_coverage_v2(df: DataFrame, hot: DataFrame | None = None, index: str =
         "cancelled": (status == "cancelled", "claim_estimate_first", ["claim_estimate_first"]),
     }
     facts = _class_facts(df, classes, ", ")
-    joined = join_facts(df, facts, CLAIM, "inner", hot)
+    joined = join_facts(df, facts, CLAIM, "inner")
     for name, (_, _, amounts) in classes.items():
         apply = (F.col("__rows") > 1) & (F.col(f"__{name}_n") > 0) & (F.col(f"__{name}_zeros") == 0)
         sets = {a: F.when(apply, F.col(f"__{name}_{a}")).otherwise(F.col(a)) for a in amounts}
@@ -128,11 +128,11 @@ def damage_class(cause: str, coverage: str, injured: Column) -> Column:
 
 
 def classify_damage(
-    df: DataFrame, hot: DataFrame | None = None, cause: str = "accident_type", text: str = "narrative"
+    df: DataFrame, cause: str = "accident_type", text: str = "narrative"
 ) -> DataFrame:
     """Damage group per row; an injury phrase in any row of the claim decides for all of them."""
     flags = df.groupBy("claimnumber").agg(F.max(any_phrase(text, v.INJURY_PHRASES)).alias("__injured"))
-    joined = join_facts(df, flags, CLAIM, "inner", hot)
+    joined = join_facts(df, flags, CLAIM, "inner")
     return joined.withColumn("damage_type", damage_class(cause, "coverage", F.col("__injured"))).drop("__injured")
 
 

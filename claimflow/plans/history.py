@@ -74,21 +74,30 @@ def deduped_history(log: DataFrame) -> DataFrame:
     return dedupe(log, DEDUPE_KEYS, [F.asc("updateddate"), F.asc("row_index")])
 
 
-def reduced_claims(log: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def reduced_claims(log: DataFrame) -> DataFrame:
     """The reductions of all states, one below the other."""
     parts = [
         life.reduce_estimate_pending(log),
-        life.reduce_documents_pending(log, hot),
-        life.reduce_assessment_pending(log, hot),
+        life.reduce_documents_pending(log),
+        life.reduce_assessment_pending(log),
         life.reduce_in_process(log),
         life.reduce_approved(log),
         life.reduce_paid_out(log),
-        life.reduce_cancelled(log, hot),
-        life.reduce_denied(log, hot),
+        life.reduce_cancelled(log),
+        life.reduce_denied(log),
     ]
     return reduce(append_rows, parts)
 
 
+def reduced_with_facts(log: DataFrame) -> DataFrame:
+    """The reduced claims of a log without copies, with the claim's damage and milestones on every row left.
+
+    Both are facts of the whole claim, one row each, and meet the few rows that the reductions leave.
+    """
+    facts = life.milestones(log).join(life.damage_facts(log), life.CLAIM)
+    return life.damage_labels(reduced_claims(log).join(facts, life.CLAIM))
+
+
 def history_only_claims(log: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Claims known only to the log, one row each, in the common claim schema.
 

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from claimflow.functions.expressions import is_missing
 from claimflow.operators import checks as op
 from claimflow.operators.grouping import impute_by_mode
-from claimflow.operators.lifecycle import clean_log
+from claimflow.operators.lifecycle import clean_log, milestones
 from claimflow.operators.shaping import fields_for, project
 from claimflow.plans.queries import fragments as sql
-from claimflow.plans.queries.lifecycle import BASE
+from claimflow.plans.queries.lifecycle import BASE, MILESTONES
 from claimflow.plans.queries.registry import query
 from claimflow.plans.queries.relational import CLAIM, log, snapshot
 from claimflow.sources import adapters
-from claimflow.sources.contracts import STATUS_LOG
+from claimflow.sources.contracts import POLICY, SNAPSHOT, STATUS_LOG
 
 KEEP = ["claimnumber", "row_index"]
 
@@ -43,6 +43,27 @@ def l1_check_date_order(spark, sf):
     return op.check_order(project(adapters.status_log_raw(spark, sf, [f.source for f in fields]), fields), KEEP)
 
 
+@query(
+    "l1_created_after_payment",
+    f"WITH {sql.SNAPSHOT} SELECT claimnumber, coverage, 'created after payment' AS rule FROM snapshot WHERE createddate > payment_date",
+)
+def l1_created_after_payment(spark, sf):
+    rows = snapshot(spark, sf, "claimnumber", "coverage", "createddate", "payment_date")
+    return op.check_order(rows, ["claimnumber", "coverage"], op.SNAPSHOT_DATE_RULES)
+
+
+@query(
+    "l1_policy_date_order",
+    f"WITH {sql.RAW_POLICIES}, p AS (SELECT policycode, {sql.date('createddate')} AS createddate, {sql.date('ngaybatdau')} AS start_date, "
+    f"{sql.date('ngayketthuc')} AS end_date FROM raw_policies) "
+    + _rules("p", "policycode", {"created after start": "createddate > start_date", "start after end": "start_date > end_date"}),
+)
+def l1_policy_date_order(spark, sf):
+    fields = fields_for(POLICY, {"policycode", "createddate", "start_date", "end_date"})
+    raw = adapters.policies_raw(spark, sf, [f.source for f in fields])
+    return op.check_order(project(raw, fields), ["policycode"], op.POLICY_DATE_RULES)
+
+
 @query(
     "l2_check_sum",
     f"WITH {sql.SNAPSHOT} SELECT claimnumber, coverage, CAST(cost_copay AS DOUBLE) AS cost_copay, "
@@ -147,7 +168,7 @@ def _is_missing(c: str) -> str:
     f"WITH {sql.LOG} "
     + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, COUNT(*) AS missing_rows, COUNT(DISTINCT claimnumber) AS missing_keys "
-        f"FROM log WHERE {_is_missing(c)} HAVING COUNT(*) > 0"
+        f"FROM log WHERE {_is_missing(c)}"
         for c in MISSING
     ),
 )
@@ -155,6 +176,58 @@ def l6_missing_report(spark, sf):
     return op.missing_report(log(spark, sf, "claimnumber", *MISSING), MISSING, "claimnumber")
 
 
+@query(
+    "l6_milestone_coverage",
+    f"WITH {sql.LOG}, per AS (SELECT claimnumber, "
+    + ", ".join(f"MIN(CASE WHEN claim_status_name = '{s}' THEN updateddate END) AS {c}" for c, s in MILESTONES.items())
+    + " FROM log GROUP BY claimnumber) "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS milestone, COUNT({c}) AS with_date, COUNT(*) - COUNT({c}) AS without_date FROM per" for c in MILESTONES
+    ),
+)
+def l6_milestone_coverage(spark, sf):
+    return op.milestone_coverage(milestones(log(spark, sf, "claimnumber", "claim_status_name", "updateddate")), list(MILESTONES))
+
+
+def _unreadable(contract, table: str) -> str:
+    parts = []
+    for f in contract:
+        if f.kind == "text":
+            continue
+        if f.kind == "date":
+            source = f"split_part({f.source}, ' @', 1)" if "@" in f.fmt else f.source
+            value = sql.date(source, {"dd/MM/yyyy": "%d/%m/%Y", "yyyy-MM-dd": "%Y-%m-%d", "dd-MM-yyyy": "%d-%m-%Y"}.get(f.fmt, "%b %d, %Y"))
+        else:
+            value = sql.money(f.source) if f.kind.startswith("money") else f"TRY_CAST({f.source} AS INTEGER)"
+        entered = f"NOT {_is_missing(f.source)}"
+        parts.append(
+            f"SELECT '{f.target}' AS column_name, COUNT(*) FILTER (WHERE {entered}) AS entered, "
+            f"COUNT(*) FILTER (WHERE {entered} AND {value} IS NULL) AS unreadable FROM {table}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+# columns that the statements of the checking engine derive as well
+LOG_TYPED = fields_for(STATUS_LOG, {"updateddate", "claim_approved_date", "payment_date", "claim_estimate_first", "claim_estimate", "total_claim_estimate", "compensation_total"})
+SNAPSHOT_TYPED = fields_for(SNAPSHOT, {"createddate", "updateddate", "payment_date", "claim_approved_date", "claim_estimate", "compensation_total", "processdays"})
+POLICY_TYPED = fields_for(POLICY, {"createddate", "start_date", "end_date", "finalprice", "vehicle_seats"})
+
+
+@query("s3_unreadable_log", f"WITH {sql.RAW_LOG} {_unreadable(LOG_TYPED, 'raw_log')}")
+def s3_unreadable_log(spark, sf):
+    return op.unreadable_report(adapters.status_log_raw(spark, sf, [f.source for f in LOG_TYPED]), LOG_TYPED)
+
+
+@query("s3_unreadable_snapshot", f"WITH {sql.RAW_SNAPSHOT} {_unreadable(SNAPSHOT_TYPED, 'raw_snapshot')}")
+def s3_unreadable_snapshot(spark, sf):
+    return op.unreadable_report(adapters.snapshot_raw(spark, sf, [f.source for f in SNAPSHOT_TYPED]), SNAPSHOT_TYPED)
+
+
+@query("s3_unreadable_policies", f"WITH {sql.RAW_POLICIES} {_unreadable(POLICY_TYPED, 'raw_policies')}")
+def s3_unreadable_policies(spark, sf):
+    return op.unreadable_report(adapters.policies_raw(spark, sf, [f.source for f in POLICY_TYPED]), POLICY_TYPED)
+
+
 @query(
     "l7_reconcile_keys",
     f"WITH {sql.LOG}, {sql.SNAPSHOT}, a AS (SELECT DISTINCT claimnumber FROM log), b AS (SELECT DISTINCT claimnumber FROM snapshot) "

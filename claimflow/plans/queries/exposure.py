@@ -9,6 +9,7 @@ from claimflow.operators import exposure as op
 from claimflow.operators.grouping import monthly
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.registry import query
+from claimflow.plans.queries.snapshot import FINAL, final_claims
 from claimflow.sources import adapters
 
 FIRST, LAST = "1994-11-01", "2004-12-01"
@@ -24,6 +25,10 @@ def premium(spark: SparkSession, sf: str) -> DataFrame:
     return op.earned_premium_monthly(adapters.policies(spark, sf))
 
 
+# the final claims under the name the statements read
+ON_FINAL = f"{FINAL}, claims AS (SELECT * FROM final)"
+
+
 def money(column: str, digits: int = 2):
     return F.round(F.col(column).cast("double"), digits).alias(column)
 
@@ -92,6 +97,15 @@ def m5_claims_monthly(spark, sf):
     return op.claims_monthly(adapters.claims(spark, sf))
 
 
+@query(
+    "m5_final_claims_monthly",
+    f"WITH {ON_FINAL} SELECT CAST(CAST(date_trunc('month', claim_submitted_date) AS DATE) AS VARCHAR) AS calendar_month, "
+    "CAST(SUM(compensation_total) AS DOUBLE) AS claims_amount, COUNT(DISTINCT claimnumber) AS claim_count FROM claims GROUP BY 1",
+)
+def m5_final_claims_monthly(spark, sf):
+    return op.claims_monthly(final_claims(spark, sf))
+
+
 @query(
     "m6_loss_ratio_monthly",
     f"WITH {sql.EARNED}, {sql.CLAIMS}, {LOSSES} SELECT {MONTH}, {PREMIUM}, CAST(incurred_losses AS DOUBLE) AS incurred_losses, "
@@ -102,6 +116,16 @@ def m6_loss_ratio_monthly(spark, sf):
     return joined.select("calendar_month", money("earned_premium"), "incurred_losses", money("loss_ratio", 6))
 
 
+@query(
+    "m6_final_loss_ratio_monthly",
+    f"WITH {sql.EARNED}, {ON_FINAL}, {LOSSES} SELECT {MONTH}, {PREMIUM}, CAST(incurred_losses AS DOUBLE) AS incurred_losses, "
+    "round(CAST(incurred_losses AS DOUBLE) / earned_premium, 6) AS loss_ratio FROM premium LEFT JOIN losses USING (calendar_month)",
+)
+def m6_final_loss_ratio_monthly(spark, sf):
+    joined = op.loss_ratio_monthly(premium(spark, sf), final_claims(spark, sf))
+    return joined.select("calendar_month", money("earned_premium"), "incurred_losses", money("loss_ratio", 6))
+
+
 @query(
     "m7_monthly_loss_view",
     f"WITH {sql.EARNED}, {sql.CLAIMS}, {LOSSES} SELECT {MONTH}, {PREMIUM}, "
@@ -112,6 +136,16 @@ def m7_monthly_loss_view(spark, sf):
     return view.select("calendar_month", money("earned_premium"), "incurred_losses")
 
 
+@query(
+    "m7_final_monthly_loss_view",
+    f"WITH {sql.EARNED}, {ON_FINAL}, {LOSSES} SELECT {MONTH}, {PREMIUM}, "
+    "CAST(COALESCE(incurred_losses, 0) AS DOUBLE) AS incurred_losses FROM premium LEFT JOIN losses USING (calendar_month)",
+)
+def m7_final_monthly_loss_view(spark, sf):
+    view = op.monthly_loss_view(premium(spark, sf), final_claims(spark, sf))
+    return view.select("calendar_month", money("earned_premium"), "incurred_losses")
+
+
 @query(
     "m8_policy_claim_counts",
     f"WITH {sql.EARNED}, {sql.CLAIMS}, {sql.months(FIRST, LAST).replace('months AS', 'spine AS')}, "
@@ -124,6 +158,18 @@ def m8_policy_claim_counts(spark, sf):
     return op.policy_claim_counts(op.calendar(spark, FIRST, LAST), premium(spark, sf), adapters.claims(spark, sf))
 
 
+@query(
+    "m8_final_policy_claim_counts",
+    f"WITH {sql.EARNED}, {ON_FINAL}, {sql.months(FIRST, LAST).replace('months AS', 'spine AS')}, "
+    "submitted AS (SELECT CAST(date_trunc('month', claim_submitted_date) AS DATE) AS calendar_month, "
+    "COUNT(DISTINCT claimnumber) AS new_claims FROM claims GROUP BY 1) "
+    f"SELECT {MONTH}, COALESCE(active_policies, 0) AS active_policies, COALESCE(new_claims, 0) AS new_claims "
+    "FROM spine LEFT JOIN premium USING (calendar_month) LEFT JOIN submitted USING (calendar_month)",
+)
+def m8_final_policy_claim_counts(spark, sf):
+    return op.policy_claim_counts(op.calendar(spark, FIRST, LAST), premium(spark, sf), final_claims(spark, sf))
+
+
 @query(
     "m9_severity_monthly",
     f"WITH {sql.EARNED}, {sql.CLAIMS}, approved AS (SELECT CAST(date_trunc('month', claim_approved_date) AS DATE) AS calendar_month, "
@@ -139,6 +185,21 @@ def m9_severity_monthly(spark, sf):
     )
 
 
+@query(
+    "m9_final_severity_monthly",
+    f"WITH {sql.EARNED}, {ON_FINAL}, approved AS (SELECT CAST(date_trunc('month', claim_approved_date) AS DATE) AS calendar_month, "
+    "SUM(compensation_total) AS incurred_losses, COUNT(*) AS n FROM claims WHERE claim_status IN ('paid out', 'approved') GROUP BY 1) "
+    f"SELECT {MONTH}, {PREMIUM}, CAST(incurred_losses AS DOUBLE) AS incurred_losses, "
+    "round(CAST(incurred_losses AS DOUBLE) / earned_premium, 6) AS loss_ratio, "
+    "round(CAST(incurred_losses AS DOUBLE) / n, 4) AS avg_compensation FROM premium LEFT JOIN approved USING (calendar_month)",
+)
+def m9_final_severity_monthly(spark, sf):
+    joined = op.severity_monthly(premium(spark, sf), final_claims(spark, sf))
+    return joined.select(
+        "calendar_month", money("earned_premium"), "incurred_losses", money("loss_ratio", 6), money("avg_compensation", 4)
+    )
+
+
 @query(
     "m10_carried_over",
     f"WITH {sql.POLICIES} SELECT CAST(SUM(finalprice) AS DOUBLE) AS premium, COUNT(DISTINCT policycode) AS policies FROM policies "

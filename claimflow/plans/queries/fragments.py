@@ -52,10 +52,11 @@ log_base AS (
   SELECT l_orderkey AS k, l_partkey AS pk, l_suppkey AS sk, CAST(l_linenumber AS BIGINT) AS ln,
          CAST(round(l_extendedprice * 100) AS BIGINT) AS price,
          (l_partkey + 3 * l_suppkey + 7 * l_linenumber) % 20 AS code,
-         DATE '1996-01-01' + CAST(l_orderkey % 1200 AS INTEGER) AS base
+         DATE '1996-01-01' + CAST(l_orderkey % 1200 AS INTEGER) AS base,
+         unnest(range(0, CASE WHEN (l_partkey + l_suppkey) % 23 = 3 THEN 2 ELSE 1 END)) AS copy
   FROM lineitem),
 raw_log AS (
-  SELECT 'C' || k AS claimnumber, 'P' || k AS policycode, (sk * 10 + ln) * 100000000 + price AS row_index,
+  SELECT 'C' || k AS claimnumber, 'P' || k AS policycode, ((sk * 10 + ln) * 100000000 + price) * 2 + copy AS row_index,
     {pick(a.LOG_STATUS_NAMES, 'code')} AS claim_status_name,
     {dmy('(sk % 6) * 5')} AS updateddate,
     CASE WHEN k % 41 = 0 THEN {dmy('10')} ELSE {dmy('-(k % 5)')} END AS accidentdate,
@@ -111,6 +112,12 @@ log AS (
   SELECT *, CASE WHEN requested > claim_opened_date THEN claim_accident_date ELSE requested END AS claim_submitted_date
   FROM log_typed)"""
 
+# the log with copies removed: one row per claim, state, coverage, damage and amounts
+DEDUPED = f"""{LOG.replace("log AS (", "full_log AS (").replace("raw_full_log", "raw_log")},
+log AS (
+  SELECT * FROM full_log QUALIFY ROW_NUMBER() OVER (PARTITION BY claimnumber, claim_status_name, coverage, damage_type,
+    compensation_total, claim_estimate, total_claim_estimate, claim_estimate_first ORDER BY updateddate, row_index) = 1)"""
+
 STATUS_CHAIN = "".join(
     f"WHEN bool_or(claim_status_name = {q(s)}) THEN {q(s)} " for s in v.STATUS_PRIORITY
 )
@@ -119,16 +126,19 @@ ROWS = f"""{LOG},
 resolved AS (SELECT claimnumber, CASE {STATUS_CHAIN} END AS claim_status FROM log GROUP BY claimnumber),
 log_rows AS (SELECT l.*, r.claim_status FROM log l JOIN resolved r USING (claimnumber))"""
 
+DEDUPED_ROWS = ROWS.replace(LOG, DEDUPED)
+
 RAW_SNAPSHOT = f"""
 snap_base AS (
   SELECT o_orderkey AS k, o_custkey AS c, CAST(round(o_totalprice * 100) AS BIGINT) AS price,
+         CASE WHEN o_orderstatus = 'P' THEN 'S' ELSE 'C' END AS book,
          DATE '1996-01-01' + CAST(o_orderkey % 1200 AS INTEGER) AS base,
          unnest(range(0, CASE WHEN o_custkey % 20 = 0 THEN 3 WHEN o_custkey % 4 = 0 THEN 2 ELSE 1 END)) AS i
-  FROM orders WHERE o_orderstatus <> 'P'),
-snap_parts AS (SELECT *, price // (i + 1) AS p, k % 10 IN (5, 6, 7) AS settled, k % 10 IN (1, 2, 5, 6, 7, 8) AS decided
+  FROM orders),
+snap_parts AS (SELECT *, price // (CASE WHEN k % 3 = 0 THEN 1 ELSE i + 1 END) AS p, k % 10 IN (5, 6, 7) AS settled, k % 10 IN (1, 2, 5, 6, 7, 8) AS decided
   FROM snap_base),
 raw_snapshot AS (
-  SELECT 'C' || k AS claimnumber, 'P' || k AS policycode,
+  SELECT book || k AS claimnumber, 'P' || k AS policycode,
     CASE WHEN k % 101 = 0 THEN '2' ELSE {pick(a.SNAPSHOT_STATUS_NAMES, 'k % 10')} END AS statusname,
     {pick(a.COVERAGE_NAMES, '(k + i) % 4')} AS loai_hinh_trans,
     {pick(a.CAUSES, f'(k + 3 * i) % {len(a.CAUSES)}')} AS nguyen_nhan_ton_that,
@@ -242,14 +252,14 @@ claims AS (
     CAST(o_orderdate AS DATE) + CAST(1 + o_orderkey % 3 AS INTEGER) AS claim_opened_date,
     CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderdate AS DATE) + CAST(5 + o_orderkey % 60 AS INTEGER) END
       AS claim_approved_date,
-    updated AS updateddate,
+    COALESCE(updated, CAST(o_orderdate AS DATE)) AS updateddate,
     {pick(list(v.COVERAGE_BY_CODE.values()), 'o_orderkey % 4')} AS coverage,
     {pick([v.INJURY, v.PARTIAL_TOTAL, v.THIRD_PARTY_VEHICLE, v.THIRD_PARTY_OTHER, v.THEFT], 'o_custkey % 5')}
       AS damage_type,
     {pick(list(v.VEHICLE_CLASSES), 'o_custkey % 7')} AS vehicle_type,
-    total AS claim_estimate_first, CAST(o_totalprice AS DECIMAL(15,2)) AS total_claim_estimate,
-    CASE WHEN o_orderstatus <> 'O' THEN CAST(total * 0.8 AS DECIMAL(15,2)) ELSE 0 END AS compensation_total
-  FROM orders JOIN (
+    COALESCE(total, 0) AS claim_estimate_first, CAST(o_totalprice AS DECIMAL(15,2)) AS total_claim_estimate,
+    CASE WHEN o_orderstatus <> 'O' THEN CAST(COALESCE(total, 0) * 0.8 AS DECIMAL(15,2)) ELSE 0 END AS compensation_total
+  FROM orders LEFT JOIN (
     SELECT l_orderkey, CAST(SUM(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(15,2)) AS total,
            CAST(MAX(l_shipdate) AS DATE) AS updated
     FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey)"""

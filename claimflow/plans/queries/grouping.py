@@ -102,7 +102,8 @@ def f6_concat_distinct(spark, sf):
 )
 def f7_concat_all(spark, sf):
     rows = log(spark, sf, "claimnumber", "damage_type").where("damage_type <> ''")
-    return op.concat_all(rows, CLAIM, "damage_type", ",", "damages")
+    counted = op.concat_all(rows, CLAIM, "damage_type", "damages")
+    return counted.withColumn("damages", op.spelled(F.col("damages")))
 
 
 @query(

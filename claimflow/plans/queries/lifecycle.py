@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.operators import lifecycle as op
+from claimflow.operators.grouping import spelled
 from claimflow.operators.relational import keys_of
+from claimflow.plans import history
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.registry import query
 from claimflow.plans.queries.relational import CLAIM, log, snapshot
@@ -27,6 +29,11 @@ BASE = (
 OUT = [*BASE, "claim_status"]
 
 
+def deduped(spark: SparkSession, sf: str, *more: str) -> DataFrame:
+    """The log after its copies are removed: what the reductions and all that follows read."""
+    return history.deduped_history(log(spark, sf, *dict.fromkeys((*BASE, *history.DEDUPE_KEYS, *more))))
+
+
 def rows(spark: SparkSession, sf: str, *more: str) -> DataFrame:
     """The log with the resolved state on every row."""
     return op.with_status(log(spark, sf, *BASE, *more))
@@ -131,11 +138,11 @@ def j3_milestones(spark, sf):
 
 @query(
     "j4_relabel_latest",
-    f"WITH {sql.ROWS}, {latest('assessment pending')} SELECT claimnumber, row_index, claim_status_name AS claim_status, "
+    f"WITH {sql.DEDUPED_ROWS}, {latest('assessment pending')} SELECT claimnumber, row_index, claim_status_name AS claim_status, "
     "CAST(claim_status <> claim_status_name AS INTEGER) AS relabelled FROM latest_rows",
 )
 def j4_relabel_latest(spark, sf):
-    return op.relabel_latest(log(spark, sf, *BASE)).select("claimnumber", "row_index", "claim_status", "relabelled")
+    return op.relabel_latest(deduped(spark, sf)).select("claimnumber", "row_index", "claim_status", "relabelled")
 
 
 J5A = f"{latest('estimate pending')}, {joint_zero('latest_rows')}, {drop_zero('filled', 'claimnumber')}"
@@ -143,19 +150,19 @@ J5A = f"{latest('estimate pending')}, {joint_zero('latest_rows')}, {drop_zero('f
 
 @query(
     "j5a_reduce_estimate_pending",
-    f"WITH {sql.ROWS}, {J5A} SELECT {out()} FROM valued "
+    f"WITH {sql.DEDUPED_ROWS}, {J5A} SELECT {out()} FROM valued "
     "QUALIFY ROW_NUMBER() OVER (PARTITION BY claimnumber, coverage ORDER BY row_index DESC) = 1",
 )
 def j5a_reduce_estimate_pending(spark, sf):
-    return op.reduce_estimate_pending(log(spark, sf, *BASE)).select(*OUT)
+    return op.reduce_estimate_pending(deduped(spark, sf)).select(*OUT)
 
 
 @query(
     "j5b_reduce_documents_pending",
-    f"WITH {sql.ROWS}, {latest('documents pending')} SELECT {out()} FROM latest_rows",
+    f"WITH {sql.DEDUPED_ROWS}, {latest('documents pending')} SELECT {out()} FROM latest_rows",
 )
 def j5b_reduce_documents_pending(spark, sf):
-    return op.reduce_documents_pending(log(spark, sf, *BASE)).select(*OUT)
+    return op.reduce_documents_pending(deduped(spark, sf)).select(*OUT)
 
 
 J5C = (
@@ -169,9 +176,9 @@ J5C = (
 )
 
 
-@query("j5c_reduce_assessment_pending", f"WITH {sql.ROWS}, {J5C} SELECT {out()} FROM assessed")
+@query("j5c_reduce_assessment_pending", f"WITH {sql.DEDUPED_ROWS}, {J5C} SELECT {out()} FROM assessed")
 def j5c_reduce_assessment_pending(spark, sf):
-    return op.reduce_assessment_pending(log(spark, sf, *BASE)).select(*OUT)
+    return op.reduce_assessment_pending(deduped(spark, sf)).select(*OUT)
 
 
 J5D = (
@@ -184,11 +191,11 @@ J5D = (
 
 @query(
     "j5d_reduce_in_process",
-    f"WITH {sql.ROWS}, {J5D} SELECT {out()} FROM spread QUALIFY CASE WHEN nc = 1 THEN row_index = MAX(row_index) OVER "
+    f"WITH {sql.DEDUPED_ROWS}, {J5D} SELECT {out()} FROM spread QUALIFY CASE WHEN nc = 1 THEN row_index = MAX(row_index) OVER "
     "(PARTITION BY claimnumber) ELSE row_index = MIN(row_index) OVER (PARTITION BY claimnumber, coverage) END",
 )
 def j5d_reduce_in_process(spark, sf):
-    return op.reduce_in_process(log(spark, sf, *BASE)).select(*OUT)
+    return op.reduce_in_process(deduped(spark, sf)).select(*OUT)
 
 
 def previous(source: str, status: str, name: str = "previous") -> str:
@@ -212,24 +219,24 @@ J5E = (
 )
 
 
-@query("j5e_reduce_approved", f"WITH {sql.ROWS}, {J5E} SELECT {out()} FROM approved1")
+@query("j5e_reduce_approved", f"WITH {sql.DEDUPED_ROWS}, {J5E} SELECT {out()} FROM approved1")
 def j5e_reduce_approved(spark, sf):
-    return op.reduce_approved(log(spark, sf, *BASE)).select(*OUT)
+    return op.reduce_approved(deduped(spark, sf)).select(*OUT)
 
 
 @query(
     "j5f_reduce_paid_out",
-    f"WITH {sql.ROWS}, {latest('paid out')}, {zeroed('latest_rows', 'paid0', *AMOUNTS)} SELECT "
+    f"WITH {sql.DEDUPED_ROWS}, {latest('paid out')}, {zeroed('latest_rows', 'paid0', *AMOUNTS)} SELECT "
     + out(compensation_total="SUM(compensation_total) OVER (PARTITION BY claimnumber, coverage)")
     + " FROM paid0 QUALIFY ROW_NUMBER() OVER (PARTITION BY claimnumber, coverage ORDER BY row_index DESC) = 1",
 )
 def j5f_reduce_paid_out(spark, sf):
-    return op.reduce_paid_out(log(spark, sf, *BASE)).select(*OUT)
+    return op.reduce_paid_out(deduped(spark, sf)).select(*OUT)
 
 
 @query(
     "j5g_reduce_cancelled",
-    f"WITH {sql.ROWS}, closed AS (SELECT * FROM log_rows WHERE claim_status = 'cancelled'), "
+    f"WITH {sql.DEDUPED_ROWS}, closed AS (SELECT * FROM log_rows WHERE claim_status = 'cancelled'), "
     f"{zeroed('closed', 'closed0', *AMOUNTS)}, {previous('closed0', 'cancelled')} SELECT "
     + out(
         "c.",
@@ -241,12 +248,12 @@ def j5f_reduce_paid_out(spark, sf):
     + " FROM closed0 c LEFT JOIN previous p ON p.claimnumber = c.claimnumber WHERE c.claim_status_name = 'cancelled'",
 )
 def j5g_reduce_cancelled(spark, sf):
-    return op.reduce_cancelled(log(spark, sf, *BASE)).select(*OUT)
+    return op.reduce_cancelled(deduped(spark, sf)).select(*OUT)
 
 
 @query(
     "j5h_reduce_denied",
-    f"WITH {sql.ROWS}, closed AS (SELECT * FROM log_rows WHERE claim_status = 'denied'), "
+    f"WITH {sql.DEDUPED_ROWS}, closed AS (SELECT * FROM log_rows WHERE claim_status = 'denied'), "
     f"{zeroed('closed', 'closed0', *AMOUNTS)}, {previous('closed0', 'denied')} SELECT "
     + out(
         "c.",
@@ -256,7 +263,7 @@ def j5g_reduce_cancelled(spark, sf):
     + " FROM closed0 c LEFT JOIN previous p ON p.claimnumber = c.claimnumber WHERE c.claim_status_name = 'denied'",
 )
 def j5h_reduce_denied(spark, sf):
-    return op.reduce_denied(log(spark, sf, *BASE)).select(*OUT)
+    return op.reduce_denied(deduped(spark, sf)).select(*OUT)
 
 
 def _rank(column: str) -> str:
@@ -266,7 +273,7 @@ def _rank(column: str) -> str:
 
 @query(
     "j6_clean_log",
-    f"WITH {sql.ROWS}, {J5C.replace('latest_rows', 'latest_assessed')}, {J5E}, moved AS (SELECT claimnumber, "
+    f"WITH {sql.DEDUPED_ROWS}, {J5C.replace('latest_rows', 'latest_assessed')}, {J5E}, moved AS (SELECT claimnumber, "
     f"arg_min(claim_status, {_rank('claim_status')}) AS s FROM assessed WHERE claim_status <> 'assessment pending' GROUP BY 1), "
     "one AS (SELECT * FROM log_rows QUALIFY ROW_NUMBER() OVER (PARTITION BY claimnumber, claim_status_name, coverage "
     f"ORDER BY updateddate, row_index DESC) = 1), {zeroed('one', 'one0', *AMOUNTS)} SELECT "
@@ -279,7 +286,7 @@ def _rank(column: str) -> str:
     + " FROM one0 o LEFT JOIN moved m ON m.claimnumber = o.claimnumber LEFT JOIN approved1 a ON a.claimnumber = o.claimnumber",
 )
 def j6_clean_log(spark, sf):
-    return op.clean_log(log(spark, sf, *BASE)).select(*OUT)
+    return op.clean_log(deduped(spark, sf)).select(*OUT)
 
 
 @query(
@@ -291,7 +298,8 @@ def j6_clean_log(spark, sf):
     "WHEN f.n = 1 THEN only_one ELSE listed END AS damage_type_list FROM log l LEFT JOIN facts f USING (claimnumber)",
 )
 def j7_consolidate_damage(spark, sf):
-    return op.consolidate_damage(log(spark, sf, "claimnumber", "row_index", "damage_type"))
+    rows = op.consolidate_damage(log(spark, sf, "claimnumber", "row_index", "damage_type"))
+    return rows.withColumn("damage_type_list", spelled(F.col("damage_type_list")))
 
 
 HISTORY_ONLY = f"{sql.ROWS}, {sql.SNAPSHOT}, alone AS (SELECT * FROM log_rows WHERE claimnumber NOT IN (SELECT claimnumber FROM snapshot))"
@@ -395,3 +403,62 @@ def j13_history_only_distinct_amounts(spark, sf):
 )
 def j13_history_only_largest(spark, sf):
     return history_only(spark, sf, "largest").select(*OUT)
+
+
+@query(
+    "j13_history_only_in_process",
+    f"WITH {HISTORY_ONLY} SELECT {out()} FROM alone WHERE claim_status = 'in process' AND claim_status_name = 'in process' "
+    "QUALIFY ROW_NUMBER() OVER (PARTITION BY claimnumber ORDER BY updateddate DESC, row_index DESC) = 1",
+)
+def j13_history_only_in_process(spark, sf):
+    return history_only(spark, sf, "in process").select(*OUT)
+
+
+def _reduced(name: str, body: str) -> str:
+    """One reduction of the chain as CTEs of its own."""
+    return body.replace("latest_rows", f"{name}_latest").replace("filled", f"{name}_filled")
+
+
+CHAIN = f"""{sql.DEDUPED_ROWS},
+{_reduced("ep", J5A).replace("valued", "ep_valued")},
+{_reduced("dp", latest("documents pending"))},
+{_reduced("ap", J5C)},
+{_reduced("ip", J5D)},
+{J5E.replace("previous", "approved_previous")},
+{_reduced("po", latest("paid out"))}, {zeroed("po_latest", "paid0", *AMOUNTS)},
+cancelled AS (SELECT * FROM log_rows WHERE claim_status = 'cancelled'), {zeroed("cancelled", "cancelled0", *AMOUNTS)},
+{previous("cancelled0", "cancelled", "cancelled_previous")},
+refused AS (SELECT * FROM log_rows WHERE claim_status = 'denied'), {zeroed("refused", "refused0", *AMOUNTS)},
+{previous("refused0", "denied", "refused_previous")},
+reduced AS (
+  SELECT {out()} FROM ep_valued QUALIFY ROW_NUMBER() OVER (PARTITION BY claimnumber, coverage ORDER BY row_index DESC) = 1
+  UNION ALL SELECT {out()} FROM dp_latest
+  UNION ALL SELECT {out()} FROM assessed
+  UNION ALL SELECT {out()} FROM spread QUALIFY CASE WHEN nc = 1 THEN row_index = MAX(row_index) OVER (PARTITION BY claimnumber)
+    ELSE row_index = MIN(row_index) OVER (PARTITION BY claimnumber, coverage) END
+  UNION ALL SELECT {out()} FROM approved1
+  UNION ALL SELECT {out(compensation_total="SUM(compensation_total) OVER (PARTITION BY claimnumber, coverage)")} FROM paid0
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY claimnumber, coverage ORDER BY row_index DESC) = 1
+  UNION ALL SELECT {out("c.", **{
+      c: f"CASE WHEN p.claimnumber IS NULL THEN c.{c} ELSE p.{c} END"
+      for c in ("total_claim_estimate", "claim_estimate_first", "compensation_total")
+  })} FROM cancelled0 c LEFT JOIN cancelled_previous p ON p.claimnumber = c.claimnumber WHERE c.claim_status_name = 'cancelled'
+  UNION ALL SELECT {out("c.", total_claim_estimate="COALESCE(NULLIF(CASE WHEN c.total_claim_estimate = 0 AND p.claimnumber IS NOT NULL "
+      "THEN p.total_claim_estimate ELSE c.total_claim_estimate END, 0), c.compensation_total)")}
+    FROM refused0 c LEFT JOIN refused_previous p ON p.claimnumber = c.claimnumber WHERE c.claim_status_name = 'denied'),
+stamps AS (SELECT claimnumber, """ + ", ".join(
+    f"MIN(CASE WHEN claim_status_name = '{s}' THEN updateddate END) AS {c}" for c, s in MILESTONES.items()
+) + """ FROM log GROUP BY claimnumber),
+damage AS (SELECT claimnumber, COUNT(DISTINCT damage_type) AS n, MIN(damage_type) AS only_one FROM log
+  WHERE damage_type <> '' GROUP BY claimnumber)
+SELECT r.*, CASE WHEN n IS NULL THEN 'Unclassified' WHEN l.damage_type <> '' THEN l.damage_type WHEN n = 1 THEN only_one
+    ELSE 'Multiple' END AS damage_type, """ + ", ".join(f"CAST(s.{c} AS VARCHAR) AS {c}" for c in MILESTONES) + """
+FROM reduced r JOIN log l ON l.claimnumber = r.claimnumber AND l.row_index = r.row_index
+JOIN stamps s ON s.claimnumber = r.claimnumber LEFT JOIN damage ON damage.claimnumber = r.claimnumber"""
+
+
+@query("j_chain_reduced_claims", f"WITH {CHAIN}")
+def j_chain_reduced_claims(spark, sf):
+    """Copies removed, damage consolidated, every state reduced, milestones on every row that is left."""
+    rows = history.reduced_with_facts(deduped(spark, sf, "damage_type"))
+    return rows.select(*OUT, "damage_type", *MILESTONES)

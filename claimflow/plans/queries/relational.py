@@ -109,8 +109,7 @@ def e2_compare_sources(spark, sf):
     "ON l.claimnumber = s.claimnumber WHERE s.claimnumber IS NULL",
 )
 def e3_missing_in_snapshot(spark, sf):
-    keys = op.keys_of(log(spark, sf, "claimnumber"), CLAIM)
-    return op.missing_in(keys, snapshot(spark, sf, "claimnumber"), CLAIM)
+    return op.keys_only_in(log(spark, sf, "claimnumber"), snapshot(spark, sf, "claimnumber"), CLAIM)
 
 
 @query(

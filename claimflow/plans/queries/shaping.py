@@ -48,6 +48,18 @@ def a7_schema_diff(spark, sf):
     )
 
 
+@query(
+    "a7_distinct_counts",
+    f"WITH {sql.RAW_LOG}, {sql.RAW_SNAPSHOT} SELECT 'log' AS source, COUNT(*) AS rows, COUNT(DISTINCT claimnumber) AS distinct_claimnumber, "
+    "COUNT(DISTINCT policycode) AS distinct_policycode FROM raw_log UNION ALL SELECT 'snapshot', COUNT(*), COUNT(DISTINCT claimnumber), "
+    "COUNT(DISTINCT policycode) FROM raw_snapshot",
+)
+def a7_distinct_counts(spark, sf):
+    keys = ("claimnumber", "policycode")
+    sources = {"log": adapters.status_log_raw(spark, sf, keys), "snapshot": adapters.snapshot_raw(spark, sf, keys)}
+    return op.distinct_counts(sources, keys)
+
+
 @query(
     "b1_project_snapshot",
     f"WITH {sql.SNAPSHOT} SELECT claimnumber, coverage, claim_status, CAST(claim_submitted_date AS VARCHAR) "
@@ -97,6 +109,15 @@ def b3_cast_columns(spark, sf):
     return op.cast_columns(raw, {"sochongoi": "int", "lpx": "decimal(15,2)"}).select("policycode", "sochongoi", "lpx")
 
 
+@query(
+    "b4_add_empty",
+    f"WITH {sql.RAW_POLICIES} SELECT policycode, CAST(NULL AS VARCHAR) AS reviewed_date, CAST(NULL AS VARCHAR) AS reviewer FROM raw_policies",
+)
+def b4_add_empty(spark, sf):
+    raw = adapters.policies_raw(spark, sf, ["policycode"])
+    return op.add_empty(raw, {"reviewed_date": "date", "reviewer": "string"})
+
+
 @query(
     "b5_drop_columns",
     f"WITH {sql.RAW_POLICIES} SELECT sogcn, policycode, customercode, status_trans FROM raw_policies",

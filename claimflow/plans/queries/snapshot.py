@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.functions import vocabulary as v
 from claimflow.operators import snapshot as op
 from claimflow.operators.cleaning import rollup_category
 from claimflow.operators.relational import update_from
+from claimflow.plans.history import DEDUPE_KEYS, deduped_history
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.lifecycle import REPAIRED
 from claimflow.plans.queries.registry import query
@@ -218,7 +220,7 @@ COARSE = (
     "CASE WHEN claim_status IN ('assessment pending', 'estimate pending', 'documents pending', 'in process') "
     "THEN 'in process' ELSE claim_status END"
 )
-FINAL = f"""{sql.ROWS}, {sql.SNAPSHOT}, {V2}, {FLAGGED},
+FINAL = f"""{sql.DEDUPED_ROWS}, {sql.SNAPSHOT}, {V2}, {FLAGGED},
 snapshot_damage AS (
   SELECT claimnumber, {sql.damage_case('accident_type', 'coverage', 'injured')} AS damage_type FROM flagged
   QUALIFY ROW_NUMBER() OVER (PARTITION BY claimnumber ORDER BY coverage, accident_type) = 1),
@@ -242,6 +244,14 @@ from_log AS (
 final AS (SELECT * REPLACE ({FINAL_DAYS} AS processdays) FROM (SELECT * FROM from_snapshot UNION ALL BY NAME SELECT * FROM from_log))"""
 
 
+def final_claims(spark: SparkSession, sf: str) -> DataFrame:
+    """Claims of both sources, one row each, the log without its copies: the input of the loss metrics."""
+    history = {*CLAIM_COLUMNS, *DEDUPE_KEYS, "row_index"} - {"claim_status", "processdays"}
+    both = {*CLAIM_COLUMNS, *BASE, "accident_type", "narrative"} - {"damage_type"}
+    rows = deduped_history(log(spark, sf, *sorted(history)))
+    return final_claim_set(rows, snapshot(spark, sf, *sorted(both)))
+
+
 def _shown() -> str:
     parts = []
     for c in COMMON:
@@ -256,6 +266,4 @@ def _shown() -> str:
 
 @query("k8_final_claims", f"WITH {FINAL} SELECT {_shown()} FROM final")
 def k8_final_claims(spark, sf):
-    history = {*CLAIM_COLUMNS, "claim_status_name", "row_index"} - {"claim_status", "processdays"}
-    both = {*CLAIM_COLUMNS, *BASE, "accident_type", "narrative"} - {"damage_type"}
-    return final_claim_set(log(spark, sf, *sorted(history)), snapshot(spark, sf, *sorted(both))).select(*COMMON)
+    return final_claims(spark, sf).select(*COMMON)

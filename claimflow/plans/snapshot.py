@@ -59,10 +59,10 @@ def clean_snapshot(raw: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def snapshot_claims(df: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def snapshot_claims(df: DataFrame) -> DataFrame:
     """One row per claim in the common claim schema: durations, rolled-up coverages, damage and vehicle classes."""
     timed = process_days(df, "repair")
-    claims = snap.rollup_coverage_v2(timed, hot)
+    claims = snap.rollup_coverage_v2(timed)
     claims = claims.join(snap.damage_per_claim(df), "claimnumber", "left")  # one row per claim on both sides
     claims = snap.classify_vehicle(claims)
     coarse = F.when(F.col("claim_status").isin(*v.OPEN_STATES), F.lit("in process")).otherwise(F.col("claim_status"))

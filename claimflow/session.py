@@ -7,21 +7,19 @@ import os
 from pyspark.sql import SparkSession
 
 
-# Methods above this size are not compiled by the JVM. Below the limit Spark splits a long projection
-# into small methods instead of generating one that is only interpreted.
-HUGE_METHOD = "spark.sql.codegen.hugeMethodLimit"
-HUGE_METHOD_DEFAULT, HUGE_METHOD_JIT = "65535", "8000"
-
-
-def tune(spark: SparkSession) -> None:
-    """Runtime settings the wide cleaning projections need; a value the user has set stays."""
-    if spark.conf.get(HUGE_METHOD, HUGE_METHOD_DEFAULT) == HUGE_METHOD_DEFAULT:
-        spark.conf.set(HUGE_METHOD, HUGE_METHOD_JIT)
+SETTINGS = {
+    # Methods above this size are not compiled by the JVM. Below the limit Spark splits a long projection
+    # into small methods instead of generating one that is only interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A heavy key is split in a join even where what follows has to shuffle once more for it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
 
 
 def local_session(cores: int | str = 8, app: str = "claimflow") -> SparkSession:
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        SparkSession.builder.config(map=SETTINGS)
+        .master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", os.environ.get("CLAIMFLOW_SHUFFLE_PARTITIONS", "8"))

@@ -1,8 +1,8 @@
-"""The insurance schemas expressed over the available warehouse tables.
+"""The claim and policy schemas expressed over the available warehouse tables.
 
 Each adapter derives one source, with the blanks, dashes, thousands separators, date texts and
 Vietnamese category values the cleaning plans expect, row by row from `orders` or `lineitem`.
-Nothing is sampled and no join is planned, so the size of every source follows its base table.
+Every row of a base table is used, so the size of every source follows it.
 """
 
 from __future__ import annotations
@@ -73,7 +73,7 @@ def _select(rows: DataFrame, expressions: list[str], columns: Sequence[str] | No
 
 
 def status_log_raw(spark: SparkSession, sf: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Claim status log, one row per line of an order: all columns text but the source's row key."""
+    """Claim status log, one row per line of an order, some entered twice: all columns text but the source's row key."""
     rows = load(
         spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
     ).selectExpr(
@@ -84,13 +84,14 @@ def status_log_raw(spark: SparkSession, sf: str, columns: Sequence[str] | None =
         "cast(round(l_extendedprice * 100) as bigint) as price",
         "(l_partkey + 3 * l_suppkey + 7 * l_linenumber) % 20 as code",
         "date_add(date'1996-01-01', cast(l_orderkey % 1200 as int)) as base",
+        "explode(sequence(0, case when (l_partkey + l_suppkey) % 23 = 3 then 1 else 0 end)) as copy",
     )
     return _select(
         rows,
         [
             "concat('C', k) as claimnumber",
             "concat('P', k) as policycode",
-            "(sk * 10 + ln) * 100000000 + price as row_index",
+            "((sk * 10 + ln) * 100000000 + price) * 2 + copy as row_index",
             f"{_pick(LOG_STATUS_NAMES, 'code')} as claim_status_name",
             f"{_dmy(_plus('(sk % 6) * 5'))} as updateddate",
             f"case when k % 41 = 0 then {_dmy(_plus('10'))} else {_dmy(_plus('-(k % 5)'))} end as accidentdate",
@@ -129,24 +130,28 @@ def status_log_raw(spark: SparkSession, sf: str, columns: Sequence[str] | None =
 
 
 def snapshot_raw(spark: SparkSession, sf: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Claim snapshot, one row per claim and coverage: the orders that are not pending, with one to three coverages."""
+    """Claim snapshot, one row per claim and coverage: every order, with one to three coverages.
+
+    Pending orders carry claim numbers of their own, so each source has claims that the other does not know. Every
+    third claim has the same amounts under each of its coverages.
+    """
     rows = (
         load(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
-        .where("o_orderstatus <> 'P'")
         .selectExpr(
             "o_orderkey as k",
+            "case when o_orderstatus = 'P' then 'S' else 'C' end as book",
             "o_custkey as c",
             "cast(round(o_totalprice * 100) as bigint) as price",
             "date_add(date'1996-01-01', cast(o_orderkey % 1200 as int)) as base",
             "explode(sequence(0, case when o_custkey % 20 = 0 then 2 when o_custkey % 4 = 0 then 1 else 0 end)) as i",
         )
-        .selectExpr("*", "price div (i + 1) as p", "k % 10 in (5, 6, 7) as settled", "k % 10 in (1, 2, 5, 6, 7, 8) as decided")
+        .selectExpr("*", "price div (case when k % 3 = 0 then 1 else i + 1 end) as p", "k % 10 in (5, 6, 7) as settled", "k % 10 in (1, 2, 5, 6, 7, 8) as decided")
     )
     stamp = "MMM d, yyyy \\'@\\' HH:mm:ss.SSS"
     return _select(
         rows,
         [
-            "concat('C', k) as claimnumber",
+            "concat(book, k) as claimnumber",
             "concat('P', k) as policycode",
             f"case when k % 101 = 0 then '2' else {_pick(SNAPSHOT_STATUS_NAMES, 'k % 10')} end as statusname",
             f"{_pick(COVERAGE_NAMES, '(k + i) % 4')} as loai_hinh_trans",
@@ -244,7 +249,7 @@ def policies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def claims(spark: SparkSession, sf: str) -> DataFrame:
-    """Claims already typed, one per order that has lines: the input of the loss metrics."""
+    """Claims already typed, one per order, with or without lines: the input of the loss metrics."""
     lines = (
         load(spark, sf, "lineitem", ["l_orderkey", "l_extendedprice", "l_shipdate"])
         .selectExpr(
@@ -256,7 +261,13 @@ def claims(spark: SparkSession, sf: str) -> DataFrame:
         .agg(F.sum("price").cast("decimal(15,2)").alias("total"), F.max("ship").alias("updated"))
     )
     orders = load(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
-    joined = orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "inner")
+    joined = orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left")
+    joined = joined.withColumns(
+        {
+            "total": F.coalesce("total", F.lit(0).cast("decimal(15,2)")),
+            "updated": F.coalesce("updated", F.to_date("o_orderdate")),
+        }
+    )
     return joined.selectExpr(
         "concat('C', o_orderkey) as claimnumber",
         "concat('P', o_orderkey) as policycode",

@@ -7,30 +7,19 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-def load(spark: SparkSession, folder: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """A base table by name: one Parquet file or folder `<name>.parquet`."""
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread(df.select(*columns) if columns else df)
-
-
-BYTES_PER_TASK = 256 * 1024  # cleaning is bound by CPU, so small tasks pay off
+SCAN_PARTITIONS = "claimflow.scan.partitions"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use more cores when a scan has fewer splits than there are cores, as with one file of one row group.
+def load(spark: SparkSession, folder: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """A base table by name: one Parquet file or folder `<name>.parquet`.
 
-    Cleaning costs far more per row than reading, so one shuffle of the raw columns pays off there. A
-    table with enough splits is left as it is, and a tiny one too. Columns and filters still reach the
-    scan. Rows go by the hash of their content, so a lost task sends them to the same place again
-    without a sort.
+    How a table is split is up to its row groups and `spark.sql.files.*`. For a table that came as one large row
+    group a user can set `claimflow.scan.partitions`, and it is dealt out evenly before cleaning; unset by default.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    if splits >= cores:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    wanted = min(cores, -(-size // BYTES_PER_TASK))
-    return df.repartition(wanted, *df.columns) if wanted > splits else df
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    df = df.select(*columns) if columns else df
+    parts = spark.conf.get(SCAN_PARTITIONS, "")
+    return df.repartition(int(parts)) if parts else df
 
 
 def load_text(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
@@ -58,11 +47,6 @@ def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int)
     return df.sparkSession.table(table)
 
 
-def clone(df: DataFrame, path: str) -> DataFrame:
-    """Copy of a table under the same schema."""
-    return save_stage(df, path)
-
-
 def append_stage(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

@@ -6,22 +6,29 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from claimflow.session import local_session, tune  # noqa: E402
+from claimflow.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, "claimflow-tests")
-    tune(session)
     yield session
     session.stop()
 
 
 @pytest.fixture
 def tiny_splits(spark):
-    """Treat keys with more than five rows as hot, so the salted path runs on small data."""
-    from claimflow.operators.skew import ROWS_PER_SPLIT_CONF
-
-    spark.conf.set(ROWS_PER_SPLIT_CONF, "5")
+    """Partitions of a few rows count as skewed, so adaptive execution splits heavy keys on small data."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     yield
-    spark.conf.unset(ROWS_PER_SPLIT_CONF)
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)

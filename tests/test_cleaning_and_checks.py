@@ -78,14 +78,46 @@ def test_small_shaping_tools(spark):
     assert shaping.cast_columns(df, {"t": "int"}).where("t is null").count() == 2
 
 
+def test_row_index_tells_swapped_nulls_apart(spark):
+    df = spark.createDataFrame([(None, 1), (1, None), (None, None), (1, 1)], "a int, b int")
+    indexed = shaping.with_row_index(df)
+    assert indexed.select("row_index").distinct().count() == 4
+    again = {tuple(r) for r in shaping.with_row_index(df.repartition(7)).collect()}
+    assert again == {tuple(r) for r in indexed.collect()}
+
+
+def test_unreadable_values_are_counted(spark):
+    contract = (
+        shaping.Field("m", "money", "money0"),
+        shaping.Field("d", "day", "date", "dd/MM/yyyy"),
+        shaping.Field("t", "text"),
+    )
+    raw = spark.createDataFrame([("1,000", "31/01/2022", "x"), ("abc", "2022-01-31", "x"), ("-", "", "x"), (None, None, None)], "m string, d string, t string")
+    got = sorted(map(tuple, checks.unreadable_report(raw, contract).collect()))
+    assert got == [("day", 2, 1), ("money", 2, 1)]
+
+
+def test_distinct_counts_of_all_sources(spark):
+    a = spark.createDataFrame([("x", 1), ("x", 2), (None, 2)], "k string, n int")
+    got = sorted(map(tuple, shaping.distinct_counts({"a": a, "b": a.limit(0).union(a.where("n = 1"))}, ["k", "n"]).collect()))
+    assert got == [("a", 3, 1, 2), ("b", 1, 1, 1)]
+
+
+def test_months_are_bounded_before_they_are_spread(spark):
+    df = spark.sql("select date'2022-01-31' as a, date'9999-03-01' as b union all select date'1000-05-02', date'1000-05-03'")
+    out = relational.expand_months(df, "a", "b", since="2022-02-01", until="2022-04-15")
+    assert sorted(str(r["calendar_month"]) for r in out.collect()) == ["2022-02-01", "2022-03-01", "2022-04-01"]
+    assert relational.keys_only_in(df, df.where("a > date'2000-01-01'"), ["a"]).count() == 1
+
+
 def test_value_lists(spark):
     df = spark.createDataFrame([("C", "b"), ("C", "a"), ("C", "b"), ("C", None), ("D", "x")], "k string, v string")
     distinct = {r["k"]: r["values"] for r in as_dicts(grouping.concat_distinct(df, ["k"], "v"))}
     assert distinct == {"C": "a, b", "D": "x"}
     every = {r["k"]: r["values"] for r in as_dicts(grouping.concat_all(df, ["k"], "v"))}
-    assert every == {"C": "a,b,b", "D": "x"}
-    counted = {r["k"]: (r["values"], r["n_values"]) for r in as_dicts(grouping.concat_all(df, ["k"], "v", spell_out=2))}
-    assert counted == {"C": ("a*1,b*2", 3), "D": ("x", 1)}
+    assert {k: [tuple(x) for x in v] for k, v in every.items()} == {"C": [("a", 1), ("b", 2)], "D": [("x", 1)]}
+    spelled = grouping.concat_all(df, ["k"], "v").withColumn("values", grouping.spelled(F.col("values")))
+    assert {r["k"]: (r["values"], r["n_values"]) for r in as_dicts(spelled)} == {"C": ("a,b,b", 3), "D": ("x", 1)}
 
 
 def test_copies_are_removed(spark):
@@ -123,6 +155,10 @@ def test_date_rules_and_reports(spark):
     assert broken == [("C1", r) for r in sorted(("submitted after opened", "accident after submitted", "accident after opened", "accident after updated"))]
     report = {r["column_name"]: r["missing_rows"] for r in as_dicts(checks.missing_report(df, ["unit", "claim_opened_date"], "claimnumber"))}
     assert report == {"unit": 1, "claim_opened_date": 1}
+    whole = checks.missing_report(df, ["unit", "claimnumber"], "claimnumber")
+    assert sorted(map(tuple, whole.collect())) == [("claimnumber", 0, 0), ("unit", 1, 1)]
+    reached = checks.milestone_coverage(df, ["claim_opened_date", "updateddate"])
+    assert sorted(map(tuple, reached.collect())) == [("claim_opened_date", 1, 1), ("updateddate", 2, 0)]
     assert checks.check_future(df, "updateddate").count() == 0
     assert checks.assert_unique(df, ["claimnumber"]).count() == 0
     assert checks.assert_none(df, F.col("unit") == "").first()[0] == 1
@@ -142,7 +178,7 @@ def test_stages_round_trip(spark, tmp_path):
     saved = tables.save_stage(df, path, ["s"])
     assert sorted(map(tuple, saved.select("s", "n").collect())) == [("a", 1), ("b", 2)]
     plain = str(tmp_path / "plain")
-    tables.clone(df, plain)
+    tables.save_stage(df, plain)
     tables.append_stage(df, plain)
     assert spark.read.parquet(plain).count() == 4
     text = str(tmp_path / "text.csv")

@@ -6,6 +6,7 @@ import pytest
 from helpers import COVERAGES, LOG_SCHEMA, STATES, as_dicts, key_set, log_rows
 from pyspark.sql import functions as F
 
+from claimflow.operators.grouping import spelled
 from claimflow.operators import lifecycle as life
 
 ZERO = Decimal("0.00")
@@ -207,7 +208,8 @@ def test_clean_log_is_unique_and_keeps_every_claim(log):
 
 def test_damage_is_consolidated(log, tiny_splits):
     got = defaultdict(list)
-    for r in as_dicts(life.consolidate_damage(log)):
+    named = life.consolidate_damage(log)
+    for r in as_dicts(named.withColumn("damage_type_list", spelled(F.col("damage_type_list")))):
         got[r["claimnumber"]].append(r)
     for claim, rows in by_claim(log).items():
         values = sorted(r["damage_type"] for r in rows if r["damage_type"])

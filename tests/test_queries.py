@@ -29,6 +29,6 @@ def test_contract(spark):
 
 
 @pytest.mark.parametrize("name", ["j5c_reduce_assessment_pending", "j7_consolidate_damage", "k3_rollup_coverage_v2", "g9_at_latest_date"])
-def test_salted_path_equals_sql(spark, con, tiny_splits, name):
+def test_split_path_equals_sql(spark, con, tiny_splits, name):
     ok, text = oracle.compare(QUERIES[name](spark, FOLDER), con, SQL[name])
     assert ok, f"{name}: {text}"

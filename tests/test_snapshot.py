@@ -114,7 +114,7 @@ def test_damage_cascade_over_all_causes(spark, tiny_splits):
 
 def test_injury_in_one_row_decides_for_the_claim(spark):
     df = spark.createDataFrame(
-        [("C1", v.BIKE, A, "tử vong"), ("C1", v.STOLEN, B, None)],
+        [("C1", "Đâm/va xe máy", A, "tử vong"), ("C1", "Mất cắp", B, None)],
         "claimnumber string, accident_type string, coverage string, narrative string",
     )
     assert {r["damage_type"] for r in as_dicts(snap.classify_damage(df))} == {v.INJURY}
@@ -122,7 +122,7 @@ def test_injury_in_one_row_decides_for_the_claim(spark):
 
 def test_accident_and_vehicle_classes(spark):
     df = spark.createDataFrame(
-        [(v.BIKE, "Xe tải"), ("-", "Xe lạ"), (None, None), ("Khác", "Xe bus")], "accident_type string, vehicle_type string"
+        [("Đâm/va xe máy", "Xe tải"), ("-", "Xe lạ"), (None, None), ("Khác", "Xe bus")], "accident_type string, vehicle_type string"
     )
     got = [tuple(r) for r in snap.classify_vehicle(snap.classify_accident(df)).collect()]
     assert got == [
