@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
@@ -68,10 +69,41 @@ def ratio(a: str | Column, b: str | Column) -> Column:
     return F.try_divide(col(a), col(b))
 
 
+MARKS = "\u0300\u0301\u0302\u0303\u0306\u0309\u031b\u0323"  # combining: tones, and the shapes of letters like â, ă and ơ
+
+
+def _accented_letters() -> dict[str, str]:
+    """Lower-case letter with marks -> its base, from the letters' own decompositions."""
+    parts = {chr(c): unicodedata.normalize("NFD", chr(c)) for c in (*range(0xE0, 0x1B1), *range(0x1EA0, 0x1EFA))}
+    return {"đ": "d"} | {x: d[0] for x, d in parts.items() if len(d) > 1 and x.islower() and set(d[1:]) <= set(MARKS)}
+
+
+ACCENTED = _accented_letters()
+
+
+def bare(c: str | Column) -> Column:
+    """Lower case without tones and other marks, whether letters are one character or a base with combining marks."""
+    return F.translate(F.lower(col(c)), "".join(ACCENTED) + MARKS, "".join(ACCENTED.values()))
+
+
+def bare_text(text: str) -> str:
+    """`bare` of a constant."""
+    return "".join(ACCENTED.get(x, x) for x in text.lower() if x not in MARKS)
+
+
+def _any_of(phrases: Sequence[str]) -> str:
+    return "|".join("\\Q" + p + "\\E" for p in phrases)
+
+
 def any_phrase(text: str | Column, phrases: Sequence[str]) -> Column:
-    """True when the whole text holds one of the phrases, ignoring case. NULL text -> False."""
-    escaped = "|".join("\\Q" + p.lower() + "\\E" for p in phrases)
-    return F.coalesce(F.lower(col(text)).rlike(escaped), F.lit(False))
+    """True when the whole text holds one of the phrases, ignoring case. NULL text -> False.
+
+    Text with combining marks is compared without its marks.
+    """
+    low = F.lower(col(text))
+    found = low.rlike(_any_of([p.lower() for p in phrases]))
+    apart = low.rlike(f"[{MARKS}]") & bare(text).rlike(_any_of([bare_text(p) for p in phrases]))
+    return F.coalesce(found | apart, F.lit(False))
 
 
 def fold_tone(c: str | Column) -> Column:
@@ -89,7 +121,8 @@ def map_value(
 
     The vocabulary is part of the code and small, so it becomes one literal map inside code generation
     and no join is planned. `unmatched` is the value of everything else (NULL by default);
-    `keep=True` leaves unmatched values as they are.
+    `keep=True` leaves unmatched values as they are. A value not found as written is looked up without its tones and
+    other marks, where that names one entry only.
     """
     c = col(c)
     pairs: list[Column] = []
@@ -99,7 +132,14 @@ def map_value(
         if key not in seen:
             seen.add(key)
             pairs += [F.lit(key), F.lit(target)]
-    found = F.element_at(F.create_map(*pairs), fold_tone(c))
+    targets: dict[str, set[str]] = {}
+    for source, target in mapping.items():
+        targets.setdefault(bare_text(source.strip()), set()).add(target)
+    plain = [F.lit(x) for key, names in targets.items() if len(names) == 1 for x in (key, *names)]
+    found = F.coalesce(
+        F.element_at(F.create_map(*pairs), fold_tone(c)),
+        F.element_at(F.create_map(*plain), bare(F.trim(c))) if plain else F.lit(None).cast("string"),
+    )
     if keep:
         return F.coalesce(found, c)
     if unmatched is None:

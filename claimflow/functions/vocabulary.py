@@ -71,7 +71,8 @@ COVERAGE_BY_NAME = {
 }
 
 # Compensation routes.
-COMPENSATION_ROUTE = {"Tự bồi thường": "Self-insurance", "Bồi thường hệ thống": "Traditional insurance"}
+OWN_ROUTE, SYSTEM_ROUTE = "Self-insurance", "Traditional insurance"
+COMPENSATION_ROUTE = {"Tự bồi thường": OWN_ROUTE, "Bồi thường hệ thống": SYSTEM_ROUTE}
 
 # Damage groups.
 INJURY = "Personal Injury Loss"

@@ -8,6 +8,7 @@ from claimflow.functions import vocabulary as v
 from claimflow.functions.expressions import full_months, map_value, month_key, parse_date, parse_money, ratio, to_day
 from claimflow.operators import cleaning as op
 from claimflow.plans.policies import clean_policies
+from claimflow.plans.queries import expected
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.registry import query
 from claimflow.plans.queries.relational import log, snapshot
@@ -146,8 +147,8 @@ def c10_apply_patches(spark, sf):
 
 @query(
     "c11_translate",
-    f"WITH {sql.RAW_POLICIES} SELECT policycode, {sql.case('status_trans', v.POLICY_STATUS)} AS status_trans, "
-    f"{sql.case('mdsd', v.USAGE)} AS mdsd, {sql.case('customer_type_trans', v.POLICY_CUSTOMER)} AS customer_type_trans "
+    f"WITH {sql.RAW_POLICIES} SELECT policycode, {sql.case('status_trans', expected.POLICY_STATUS)} AS status_trans, "
+    f"{sql.case('mdsd', expected.USAGE)} AS mdsd, {sql.case('customer_type_trans', expected.POLICY_CUSTOMER)} AS customer_type_trans "
     "FROM raw_policies",
 )
 def c11_translate(spark, sf):
@@ -161,8 +162,8 @@ def c11_translate(spark, sf):
 @query(
     "c11_translate_status_coarse",
     f"WITH {sql.RAW_SNAPSHOT} SELECT claimnumber, loai_hinh_trans, "
-    f"{sql.case('statusname', v.SNAPSHOT_STATUS_COARSE)} AS statusname, "
-    f"{sql.case('solutioncompensation', v.COMPENSATION_ROUTE, sql.q('Unknown'))} AS solutioncompensation "
+    f"{sql.case('statusname', expected.SNAPSHOT_STATUS_COARSE)} AS statusname, "
+    f"{sql.case('solutioncompensation', expected.COMPENSATION_ROUTE, sql.q('Unknown'))} AS solutioncompensation "
     "FROM raw_snapshot",
 )
 def c11_translate_status_coarse(spark, sf):
@@ -321,8 +322,8 @@ def c21_safe_ratio(spark, sf):
     f"WITH {sql.RAW_POLICIES} SELECT sogcn AS certificate_no, policycode, CAST({sql.date('createddate')} AS VARCHAR) AS createddate, "
     f"CAST({sql.date('ngaybatdau')} AS VARCHAR) AS start_date, CAST({sql.date('ngayketthuc')} AS VARCHAR) AS end_date, "
     f"CAST({sql.money('finalprice')} AS DOUBLE) AS finalprice, CAST({sql.money('lpx')} AS DOUBLE) AS personal_injury_coverage, "
-    f"TRY_CAST(sochongoi AS INTEGER) AS vehicle_seats, {sql.case('status_trans', v.POLICY_STATUS)} AS status_trans, "
-    f"{sql.case('mdsd', v.USAGE)} AS vehicle_usage FROM raw_policies WHERE {sql.date('ngaybatdau')} IS NOT NULL",
+    f"TRY_CAST(sochongoi AS INTEGER) AS vehicle_seats, {sql.case('status_trans', expected.POLICY_STATUS)} AS status_trans, "
+    f"{sql.case('mdsd', expected.USAGE)} AS vehicle_usage FROM raw_policies WHERE {sql.date('ngaybatdau')} IS NOT NULL",
 )
 def c7_clean_policies(spark, sf):
     return clean_policies(adapters.policies_raw(spark, sf)).select(

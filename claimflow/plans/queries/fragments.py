@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from claimflow.functions import vocabulary as v
-from claimflow.functions.expressions import members_to_group
+from claimflow.plans.queries import expected as v
 from claimflow.sources import adapters as a
 
 
@@ -27,6 +26,10 @@ def case(column: str, mapping: Mapping[str, str], otherwise: str = "NULL") -> st
     return f"CASE {column} {whens} ELSE {otherwise} END"
 
 
+def members_to_group(groups: Mapping[str, tuple[str, ...]]) -> dict[str, str]:
+    return {member: group for group, members in groups.items() for member in members}
+
+
 def commas(amount: str) -> str:
     return "format('{:,}', " + amount + ")"
 

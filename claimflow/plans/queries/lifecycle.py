@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimflow.functions import vocabulary as v
 from claimflow.operators import lifecycle as op
 from claimflow.operators.grouping import spelled
 from claimflow.operators.relational import keys_of
 from claimflow.plans import history
+from claimflow.plans.queries import expected
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.registry import query
 from claimflow.plans.queries.relational import CLAIM, log, snapshot
 from claimflow.sources import adapters
+from claimflow.sources.tables import stage
 
 BASE = (
     "claimnumber",
@@ -39,6 +42,11 @@ def rows(spark: SparkSession, sf: str, *more: str) -> DataFrame:
     return op.with_status(log(spark, sf, *BASE, *more))
 
 
+def staged(spark: SparkSession, sf: str, *more: str) -> DataFrame:
+    """The log without copies as a table: for what reads it more than once."""
+    return stage(deduped(spark, sf, *more), "deduped-log")
+
+
 def out(alias: str = "", **replaced: str) -> str:
     """Select list of the reduced rows; `replaced` gives SQL for single columns."""
     parts = []
@@ -83,6 +91,7 @@ def zeroed(source: str, name: str, *columns: str) -> str:
 
 
 AMOUNTS = op.AMOUNTS
+OWN_ROUTE = expected.COMPENSATION_ROUTE["Tự bồi thường"]
 
 
 @query(
@@ -178,7 +187,7 @@ J5C = (
 
 @query("j5c_reduce_assessment_pending", f"WITH {sql.DEDUPED_ROWS}, {J5C} SELECT {out()} FROM assessed")
 def j5c_reduce_assessment_pending(spark, sf):
-    return op.reduce_assessment_pending(deduped(spark, sf)).select(*OUT)
+    return op.reduce_assessment_pending(staged(spark, sf)).select(*OUT)
 
 
 J5D = (
@@ -267,7 +276,7 @@ def j5h_reduce_denied(spark, sf):
 
 
 def _rank(column: str) -> str:
-    whens = " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(op.STATUS_PRIORITY, start=1))
+    whens = " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(expected.STATUS_PRIORITY, start=1))
     return f"CASE {column} {whens} ELSE 99 END"
 
 
@@ -286,7 +295,7 @@ def _rank(column: str) -> str:
     + " FROM one0 o LEFT JOIN moved m ON m.claimnumber = o.claimnumber LEFT JOIN approved1 a ON a.claimnumber = o.claimnumber",
 )
 def j6_clean_log(spark, sf):
-    return op.clean_log(deduped(spark, sf)).select(*OUT)
+    return op.clean_log(staged(spark, sf)).select(*OUT)
 
 
 @query(
@@ -312,13 +321,13 @@ def history_only(spark: SparkSession, sf: str, variant: str) -> DataFrame:
 
 @query(
     "j8_promote_paid",
-    f"WITH {sql.LOG} SELECT claimnumber, row_index, CASE WHEN solutioncompensation <> 'Self-insurance' THEN 'in process' "
+    f"WITH {sql.LOG} SELECT claimnumber, row_index, CASE WHEN solutioncompensation <> '{OWN_ROUTE}' THEN 'in process' "
     "WHEN bool_or(claim_status_name = 'paid out') OVER (PARTITION BY claimnumber) THEN 'paid out' ELSE 'approved' END "
     "AS claim_status FROM log",
 )
 def j8_promote_paid(spark, sf):
     rows = log(spark, sf, "claimnumber", "row_index", "claim_status_name", "solutioncompensation")
-    entered = F.when(F.col("solutioncompensation") == "Self-insurance", "approved").otherwise("in process")
+    entered = F.when(F.col("solutioncompensation") == v.OWN_ROUTE, "approved").otherwise("in process")
     return op.promote_paid(rows.withColumn("claim_status", entered)).select("claimnumber", "row_index", "claim_status")
 
 
@@ -460,5 +469,5 @@ JOIN stamps s ON s.claimnumber = r.claimnumber LEFT JOIN damage ON damage.claimn
 @query("j_chain_reduced_claims", f"WITH {CHAIN}")
 def j_chain_reduced_claims(spark, sf):
     """Copies removed, damage consolidated, every state reduced, milestones on every row that is left."""
-    rows = history.reduced_with_facts(deduped(spark, sf, "damage_type"))
+    rows = history.reduced_with_facts(staged(spark, sf, "damage_type"))
     return rows.select(*OUT, "damage_type", *MILESTONES)

@@ -17,6 +17,7 @@ from claimflow.plans.queries.relational import CLAIM, log, snapshot
 from claimflow.plans.snapshot import final_claim_set
 from claimflow.sources import adapters
 from claimflow.sources.contracts import CLAIM_COLUMNS
+from claimflow.sources.tables import stage
 
 AMOUNTS = (
     "claim_estimate_first",
@@ -248,8 +249,8 @@ def final_claims(spark: SparkSession, sf: str) -> DataFrame:
     """Claims of both sources, one row each, the log without its copies: the input of the loss metrics."""
     history = {*CLAIM_COLUMNS, *DEDUPE_KEYS, "row_index"} - {"claim_status", "processdays"}
     both = {*CLAIM_COLUMNS, *BASE, "accident_type", "narrative"} - {"damage_type"}
-    rows = deduped_history(log(spark, sf, *sorted(history)))
-    return final_claim_set(rows, snapshot(spark, sf, *sorted(both)))
+    rows = stage(deduped_history(log(spark, sf, *sorted(history))), "deduped-log")
+    return final_claim_set(rows, stage(snapshot(spark, sf, *sorted(both)), "clean-snapshot"))
 
 
 def _shown() -> str:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +44,33 @@ def save_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+CHECKPOINT_CONF = "spark.checkpoint.dir"
+
+
+@functools.cache
+def _local_folder() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="claimflow-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for intermediate tables; a session on this machine alone gets one of its own."""
+    folder = spark.conf.get(CHECKPOINT_CONF, "")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
+    return _local_folder()
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """`save_stage` into the shared folder, under a path of its own."""
+    return save_stage(df, new_path(df.sparkSession, name))
+
+
 def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> DataFrame:
     """Materialise a stage as a bucketed table, so later joins and aggregates on the keys need no shuffle."""
     df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)

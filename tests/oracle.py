@@ -62,7 +62,7 @@ def compare(df, con, sql: str) -> tuple[bool, str]:
             )
             return (True, f"{len(a)} rows, close") if same else (False, f"{sorted(left_columns)}\n   spark {x}\n   sql   {y}")
     types = {type(v) for r in right[:2000] for v in r}
-    odd = types - {int, float, str, type(None)}
+    odd = types - {bool, int, float, str, type(None)}
     return not odd, f"{len(a)} rows" + (f" odd types {odd}" if odd else "")
 
 

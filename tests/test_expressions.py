@@ -79,3 +79,21 @@ def test_phrases_are_literal_and_case_blind(spark):
 def test_safe_ratio(spark):
     assert one(spark, 0, lambda c: x.ratio(F.lit(1.0), c), "int") is None
     assert one(spark, 4, lambda c: x.ratio(F.lit(1.0), c), "int") == 0.25
+
+
+def test_text_is_folded_to_one_form(spark):
+    import unicodedata
+
+    from claimflow.functions import vocabulary as v
+    from claimflow.functions.expressions import any_phrase, bare, bare_text, map_value
+
+    raw = [*v.HISTORY_STATUS, *v.COVERAGE_BY_NAME, *v.HISTORY_DAMAGE, "ĐÃ HUỶ", "hoá đơn", "Thuỷ kích", "ngước ậm ữ"]
+    forms = [(x, f(x)) for x in raw for f in (lambda t: t, str.upper, lambda t: unicodedata.normalize("NFD", t))]
+    df = spark.createDataFrame(forms, "x string, y string")
+    got = df.select("x", bare("y").alias("f")).collect()
+    assert all(r["f"] == bare_text(r["x"]) and r["f"].isascii() for r in got)
+    named = df.where(F.col("x").isin(*v.HISTORY_STATUS)).select("x", map_value("y", v.HISTORY_STATUS).alias("m"))
+    assert all(r["m"] == v.HISTORY_STATUS[r["x"]] for r in named.collect())
+    texts = [unicodedata.normalize(f, t) for f in ("NFC", "NFD") for t in ("Lái xe BỊ THƯƠNG nhẹ", "đưa đi Cấp Cứu")]
+    flags = spark.createDataFrame([(t,) for t in [*texts, "xe bị xước", None]], "t string").select(any_phrase("t", v.INJURY_PHRASES))
+    assert [r[0] for r in flags.collect()] == [True] * 4 + [False] * 2
