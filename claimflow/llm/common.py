@@ -1,35 +1,22 @@
-"""Shared folder for intermediate tables, and small column helpers."""
+"""Intermediate tables, shipping of the package, and small column helpers."""
 
 from __future__ import annotations
 
 import functools
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHECKPOINT_CONF = "spark.checkpoint.dir"
+from claimflow.sources.tables import new_path
+from claimflow.sources.tables import stage as save
 
-
-@functools.cache
-def _local_folder() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="claimflow-")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for intermediate tables; a session on this machine alone gets one of its own."""
-    folder = spark.conf.get(CHECKPOINT_CONF, "")
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
-    return _local_folder()
+__all__ = ["ascii_lower", "new_path", "save", "ship", "tables_of"]
 
 
 @functools.cache
@@ -47,30 +34,13 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(_package())
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def save(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to the shared folder and go on from the files: cuts lineage and survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def tables_of(spark: SparkSession, folder: str, name: str, columns: list[str]) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
-def whole_text(column: str = "text") -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
-
-
 def lower_ascii(texts: pa.Array) -> pa.Array:
     """A-Z to a-z and nothing else; null as empty."""
     return pc.ascii_lower(pc.fill_null(texts, ""))
 
 
 ascii_lower = F.arrow_udf(lower_ascii, T.StringType())
-
-
