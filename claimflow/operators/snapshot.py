@@ -128,10 +128,10 @@ def damage_class(cause: str, coverage: str, injured: Column) -> Column:
 
 
 def classify_damage(
-    df: DataFrame, cause: str = "accident_type", text: str = "narrative"
+    df: DataFrame, cause: str = "accident_type", text: str = "narrative", phrases: Sequence[str] = v.INJURY_PHRASES
 ) -> DataFrame:
     """Damage group per row; an injury phrase in any row of the claim decides for all of them."""
-    flags = df.groupBy("claimnumber").agg(F.max(any_phrase(text, v.INJURY_PHRASES)).alias("__injured"))
+    flags = df.groupBy("claimnumber").agg(F.max(any_phrase(text, phrases)).alias("__injured"))
     joined = join_facts(df, flags, CLAIM, "inner")
     return joined.withColumn("damage_type", damage_class(cause, "coverage", F.col("__injured"))).drop("__injured")
 

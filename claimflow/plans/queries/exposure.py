@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimflow.operators import exposure as op
 from claimflow.operators.grouping import monthly
+from claimflow.plans.metrics import register_metric_views
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.registry import query
 from claimflow.plans.queries.snapshot import FINAL, final_claims
@@ -200,6 +201,24 @@ def m9_final_severity_monthly(spark, sf):
     )
 
 
+@query(
+    "a6_metric_views",
+    f"WITH {sql.EARNED}, {sql.CLAIMS}, {LOSSES}, submitted AS (SELECT CAST(date_trunc('month', claim_submitted_date) AS DATE) "
+    "AS calendar_month, COUNT(DISTINCT claimnumber) AS new_claims FROM claims GROUP BY 1) "
+    f"SELECT {MONTH}, {PREMIUM}, CAST(COALESCE(incurred_losses, 0) AS DOUBLE) AS incurred_losses, active_policies, "
+    "COALESCE(new_claims, 0) AS new_claims FROM premium LEFT JOIN losses USING (calendar_month) "
+    f"LEFT JOIN submitted USING (calendar_month) WHERE calendar_month BETWEEN DATE '{FIRST}' AND DATE '{LAST}'",
+)
+def a6_metric_views(spark, sf):
+    """Both views, read by name."""
+    register_metric_views(spark, adapters.policies(spark, sf), adapters.claims(spark, sf), FIRST, LAST)
+    both = spark.sql(
+        "SELECT calendar_month, earned_premium, incurred_losses, active_policies, new_claims "
+        "FROM v_monthly_loss_ratio JOIN v_monthly_policy_claim_counts USING (calendar_month)"
+    )
+    return both.withColumn("earned_premium", money("earned_premium"))
+
+
 @query(
     "m10_carried_over",
     f"WITH {sql.POLICIES} SELECT CAST(SUM(finalprice) AS DOUBLE) AS premium, COUNT(DISTINCT policycode) AS policies FROM policies "

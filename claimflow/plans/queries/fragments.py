@@ -56,7 +56,7 @@ log_base AS (
          CAST(round(l_extendedprice * 100) AS BIGINT) AS price,
          (l_partkey + 3 * l_suppkey + 7 * l_linenumber) % 20 AS code,
          DATE '1996-01-01' + CAST(l_orderkey % 1200 AS INTEGER) AS base,
-         unnest(range(0, CASE WHEN (l_partkey + l_suppkey) % 23 = 3 THEN 2 ELSE 1 END)) AS copy
+         unnest(range(0, CASE WHEN l_orderkey % 23 = 3 THEN 2 ELSE 1 END)) AS copy
   FROM lineitem),
 raw_log AS (
   SELECT 'C' || k AS claimnumber, 'P' || k AS policycode, ((sk * 10 + ln) * 100000000 + price) * 2 + copy AS row_index,

@@ -12,7 +12,7 @@ from claimflow.plans import history
 from claimflow.plans import snapshot as snapshots
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.registry import query
-from claimflow.sources import adapters
+from claimflow.sources import adapters, tables
 
 CLAIM = ["claimnumber"]
 
@@ -250,6 +250,27 @@ def a4_append_rows(spark, sf):
     return op.append_rows(rows.where(name == "estimate pending"), rows.where(name == "documents pending"))
 
 
+@query(
+    "a2_save_stage",
+    f"WITH {sql.LOG} SELECT claimnumber, row_index, claim_status_name FROM log WHERE claim_status_name = 'estimate pending'",
+)
+def a2_save_stage(spark, sf):
+    rows = log(spark, sf, "claimnumber", "row_index", "claim_status_name")
+    return tables.stage(rows.where(F.col("claim_status_name") == "estimate pending"), "estimate-pending")
+
+
+@query("a3_fill_cloned_table", f"WITH {sql.LOG} SELECT claimnumber, row_index, coverage FROM log")
+def a3_fill_cloned_table(spark, sf):
+    """A table of the same schema, filled in two steps."""
+    rows = log(spark, sf, "claimnumber", "row_index", "coverage")
+    path = tables.new_path(spark, "clone")
+    tables.save_stage(rows.limit(0), path)
+    collision = F.col("coverage") == "Collision coverage"
+    tables.append_stage(rows.where(collision), path)
+    tables.append_stage(rows.where(~collision), path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @query(
     "h1_sorted_policies",
     f"WITH {sql.POLICIES} SELECT certificate_no, policycode, CAST(start_date AS VARCHAR) AS start_date FROM policies "

@@ -17,7 +17,7 @@ from claimflow.plans.queries.relational import CLAIM, log, snapshot
 from claimflow.plans.snapshot import final_claim_set
 from claimflow.sources import adapters
 from claimflow.sources.contracts import CLAIM_COLUMNS
-from claimflow.sources.tables import stage
+from claimflow.sources.tables import load, stage
 
 AMOUNTS = (
     "claim_estimate_first",
@@ -154,6 +154,31 @@ def k4_classify_damage(spark, sf):
     return op.classify_damage(df).drop("narrative")
 
 
+TEXT_PHRASES = ("the of", "de la", "und der")
+
+
+@query(
+    "k4_classify_damage_documents",
+    "WITH told AS (SELECT doc_id, 'C' || (doc_id // 3) AS claimnumber, "
+    f"{sql.pick(list(sql.v.COVERAGE_BY_CODE.values()), 'doc_id % 4')} AS coverage, "
+    f"{sql.pick(adapters.CAUSES, f'doc_id % {len(adapters.CAUSES)}')} AS accident_type, text FROM documents), "
+    "flagged AS (SELECT *, bool_or("
+    + " OR ".join(f"contains(lower(text), '{p}')" for p in TEXT_PHRASES)
+    + f") OVER (PARTITION BY claimnumber) AS injured FROM told) SELECT doc_id, claimnumber, "
+    f"{sql.damage_case('accident_type', 'coverage', 'injured')} AS damage_type FROM flagged",
+)
+def k4_classify_damage_documents(spark, sf):
+    """Whole document texts as narratives, three to a claim."""
+    told = load(spark, sf, "documents", ["doc_id", "text"]).selectExpr(
+        "doc_id",
+        "concat('C', doc_id div 3) as claimnumber",
+        f"{adapters._pick(list(v.COVERAGE_BY_CODE.values()), 'doc_id % 4')} as coverage",
+        f"{adapters._pick(adapters.CAUSES, f'doc_id % {len(adapters.CAUSES)}')} as accident_type",
+        "text as narrative",
+    )
+    return op.classify_damage(told, phrases=TEXT_PHRASES).select("doc_id", "claimnumber", "damage_type")
+
+
 @query(
     "k5_classify_accident",
     f"WITH {sql.RAW_SNAPSHOT} SELECT CASE WHEN nguyen_nhan_ton_that IN ('', '-') THEN 'Unknown' ELSE "

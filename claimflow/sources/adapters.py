@@ -73,7 +73,7 @@ def _select(rows: DataFrame, expressions: list[str], columns: Sequence[str] | No
 
 
 def status_log_raw(spark: SparkSession, sf: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Claim status log, one row per line of an order, some entered twice: all columns text but the source's row key."""
+    """Claim status log, one row per line of an order, those of some orders entered twice: all columns text but the source's row key."""
     rows = load(
         spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
     ).selectExpr(
@@ -84,7 +84,7 @@ def status_log_raw(spark: SparkSession, sf: str, columns: Sequence[str] | None =
         "cast(round(l_extendedprice * 100) as bigint) as price",
         "(l_partkey + 3 * l_suppkey + 7 * l_linenumber) % 20 as code",
         "date_add(date'1996-01-01', cast(l_orderkey % 1200 as int)) as base",
-        "explode(sequence(0, case when (l_partkey + l_suppkey) % 23 = 3 then 1 else 0 end)) as copy",
+        "explode(sequence(0, case when l_orderkey % 23 = 3 then 1 else 0 end)) as copy",
     )
     return _select(
         rows,
