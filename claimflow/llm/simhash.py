@@ -32,16 +32,21 @@ LEAVES = 16  # pairs of nodes with no more pairs of leaves are compared leaf by
 FRONT = 1 << 19  # node pairs looked at together
 
 
-def simhash(text: str, words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
-    """Unsigned fingerprint: a bit is set if it is in over half the hashes of the shingles, repeats included."""
+def shingle_hashes(text: str, words: int = SHINGLE_WORDS, seed: int = SEED) -> np.ndarray:
+    """XXH64 of every shingle, repeats included; of the whole sequence where it has fewer words, none without words."""
     joined = b" ".join(text.encode("utf-8", "surrogatepass").lower().split())  # bytes: A-Z and the six blanks only
     if not joined:
-        return 0
+        return np.zeros(0, np.uint64)
     gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 0x20)
     starts = [0, *(gaps + 1).tolist()]
     ends = [*gaps.tolist(), len(joined)][words - 1 :] or [len(joined)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts, ends, strict=False)], np.uint64)
+    return np.array([digest(joined[a:b], seed) for a, b in zip(starts, ends, strict=False)], np.uint64)
+
+
+def simhash(text: str, words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
+    """Unsigned fingerprint: a bit is set if it is in over half the hashes of the shingles, repeats included."""
+    hashes = shingle_hashes(text, words, seed)
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 4096):
         part = hashes[at : at + 4096].astype(">u8").view(np.uint8).reshape(-1, 8)
@@ -63,7 +68,9 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wo
     return docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text)).alias("fingerprint"))
 
 
-def walk_together(a: np.ndarray, b: np.ndarray, depth: int, spent: int, budget: int, same: bool) -> Iterator[tuple]:
+def walk_together(
+    a: np.ndarray, b: np.ndarray, depth: int, spent: int, budget: int, same: bool, leaves: int = LEAVES
+) -> Iterator[tuple]:
     """Index pairs (i, j) of leaves of two subtrees (sorted unsigned arrays, roots at `depth`) within the budget."""
     stack = [(depth, np.array([[0, len(a), 0, len(b), spent]], np.int64))]
     while stack:
@@ -72,7 +79,7 @@ def walk_together(a: np.ndarray, b: np.ndarray, depth: int, spent: int, budget:
             stack += [(depth, part) for part in np.array_split(front, -(-len(front) // FRONT))]
             continue
         na, nb = front[:, 1] - front[:, 0], front[:, 3] - front[:, 2]
-        few = (na * nb <= LEAVES) | (depth == BITS)
+        few = (na * nb <= leaves) | (depth == BITS)
         if few.any():
             alo, blo, na, nb = front[few, 0], front[few, 2], na[few], nb[few]
             n = na * nb
@@ -166,12 +173,11 @@ def _walk(prefix_bits: int, budget: int):
                 a, b = (np.frombuffer(x[k].as_py(), np.uint64) for x in (lefts, rights))
                 same = np.array_equal(a, b)
                 spent = 0
-                depth = prefix_bits if not same or prefix_bits == 0 else prefix_bits
                 if not same:
                     spent = int(np.bitwise_count((a[0] ^ b[0]) >> np.uint64(BITS - prefix_bits))) if prefix_bits else 0
                 values = a if same else np.concatenate([a, b])
                 label, shift = np.arange(len(values)), 0 if same else len(a)
-                for i, j in walk_together(a, b, depth, spent, budget, same):
+                for i, j in walk_together(a, b, prefix_bits, spent, budget, same):
                     label = join_labels(label, i, j + shift)
                 linked = np.flatnonzero(label != np.arange(len(values)))
                 found_a.append(values[linked])
@@ -222,25 +228,19 @@ def near_groups(
     )
 
 
-def _components(docs: DataFrame, doc_id: str, text: str, words: int, budget: int) -> DataFrame:
-    rows = save(fingerprints(docs, doc_id, text, words), "simhash-rows")
-    distinct = save(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+def rooted(distinct: DataFrame, budget: int = BUDGET) -> DataFrame:
+    """(fingerprint, first, root) of distinct rows (fingerprint, first): root is the same for all of a component."""
     found = connected_components(trie_links(distinct, distinct.count(), budget))
-    rooted = distinct.join(found, distinct["fingerprint"] == found["node"], "left").select(
+    joined = distinct.join(found, distinct["fingerprint"] == found["node"], "left").select(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
     )
-    rooted = save(rooted, "simhash-roots")
-    least = save(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")
-    labels = save(rooted.join(least, "root").select("fingerprint", "component_id"), "simhash-labels")
-    return rows.join(labels, "fingerprint")
+    return save(joined, "simhash-roots")
 
 
-def drop_near_copies(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, budget: int = BUDGET
-) -> DataFrame:
-    """The rows of `docs`, all columns, whose doc_id is that of their component; without any doc_id all rows stay."""
-    groups = _components(docs, doc_id, text, words, budget)
-    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stays = save(stays.select(F.col("doc_id").alias("__stays")).distinct(), "simhash-stays")
-    # one plan at every size: both sides are shuffled
-    return docs.join(stays.hint("merge"), F.col(doc_id).eqNullSafe(F.col("__stays")), "left_semi")
+def _components(docs: DataFrame, doc_id: str, text: str, words: int, budget: int) -> DataFrame:
+    rows = save(fingerprints(docs, doc_id, text, words), "simhash-rows")
+    distinct = save(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    roots = rooted(distinct, budget)
+    least = save(roots.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")
+    labels = save(roots.join(least, "root").select("fingerprint", "component_id"), "simhash-labels")
+    return rows.join(labels, "fingerprint")

@@ -5,7 +5,8 @@ from collections import defaultdict
 import corpus_pipeline
 import oracle
 import pytest
-from test_dedup import brute_components, brute_simhash, lowered
+from test_dedup import lowered
+from test_near_copies import brute_stays
 from test_packing import check_mix, check_packing
 
 from claimflow.llm import queries as corpus
@@ -42,9 +43,7 @@ def check_stages(before, after):
     for r in language:
         groups[lowered(r[1])].append(r[0])
     assert sorted(r[0] for r in exact) == sorted(max(ids) for ids in groups.values())
-    prints = [(r[0], brute_simhash(r[1])) for r in exact]
-    component = brute_components(prints)
-    assert sorted(r[0] for r in near) == sorted(d for d, f in prints if component[f] == d)
+    assert sorted(r[0] for r in near) == sorted(brute_stays([(r[0], r[1]) for r in exact]))
     times = defaultdict(int)
     for r in mixed:
         times[r[0]] += 1
