@@ -7,7 +7,7 @@ length * (mean * mean + deviation * deviation). Bounds are taken coarse to fine;
 found so far is left out, and the rest gets its exact score.
 
 Queries and candidates are packed into blocks. Every block of queries meets every block of candidates in a task
-of its own, and gives out at most k candidates for each query.
+of its own, and gives out at most k candidates, of as many ids, for each query.
 """
 
 from __future__ import annotations
@@ -94,23 +94,25 @@ def _scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 def top_candidates(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, candidates: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, candidate, score) of at least the k best candidates of every query in a block, its own id left out.
+    """(query, candidate, score) of the k best candidates of every query in a block, its own id left out.
 
-    Ties at the k-th score go to the smaller id.
+    Rows of one id are one candidate, by its best score. Ties at the k-th score go to the smaller id.
     """
+    firsts = np.unique(ids, return_index=True)[1]  # a row of every id
+    repeated = len(firsts) < len(ids)
     own = query_ids[:, None] == ids[None, :]
     alive = ~own
     k = min(k, len(ids))
     q, c = queries.astype(np.float64), candidates.astype(np.float64)
-    floor = np.full(len(queries), -np.inf)  # a score that k candidates of the query are known to reach
+    floor = np.full(len(queries), -np.inf)  # a score that k candidates of the query, of as many ids, are known to reach
     keep = np.arange(len(ids))  # candidates that some query may still want
     for segments in SEGMENTS:
         bound = segment_statistics(q, segments) @ segment_statistics(c[keep], segments).T
         bound += 1e-9 * np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(c[keep], axis=1)[None, :] + 1e-6
         bound[~alive[:, keep]] = -np.inf
-        if segments == SEGMENTS[0] and len(keep) > 4 * k:
+        if segments == SEGMENTS[0] and len(firsts) > 4 * k:
             # the most hopeful candidates' exact scores set the first floor
-            hopeful = np.argpartition(-bound, k, axis=1)[:, : k + 1]
+            hopeful = firsts[np.argpartition(-bound[:, firsts], k, axis=1)[:, : k + 1]]
             exact = np.einsum("qkd,qd->qk", c[keep][hopeful], q)
             exact[~np.take_along_axis(alive[:, keep], hopeful, 1)] = -np.inf
             exact.sort(axis=1)
@@ -124,7 +126,10 @@ def top_candidates(
     out_q, out_c, out_s = [], [], []
     for row in range(len(queries)):
         at = np.flatnonzero(live[row])
-        if len(at) > k:
+        if repeated:
+            at = at[np.lexsort((ids[keep[at]], -score[row, at]))]
+            at = at[np.sort(np.unique(ids[keep[at]], return_index=True)[1])[:k]]
+        elif len(at) > k:
             value = score[row, at]
             kth = np.partition(value, len(value) - k)[len(value) - k]
             at = at[value >= kth]
