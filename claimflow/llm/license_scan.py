@@ -120,12 +120,14 @@ RULES = (
     ("Proprietary", ("copyright", "all_rights_reserved")),
 )
 
-# Every known sentence holds one of these, so a text without any needs no sentences. Patterns read alike in both engines.
+# Every known sentence holds one of these or begins as REFERENCE does. Patterns read alike in both engines.
 TRIGGERS = ("licens", "licenc", "permission", "permitted", "redistribut", "copyright", "warrant", "liab", "rights reserved", "free software", "released under")
 REFERENCE = (
     r"^(?:(?:this|the) (?:work|software|program|project|file|code|document|text|content|library|material) (?:is|are) )?"
     r"(?:dual )?(?:licensed|licenced|released|distributed|available|made available|published|provided|shared) under (?:the )?(?:terms of (?:the )?)?"
 )
+# A text without any of these words, which no line break parts, has no such sentence in either reading.
+WORDS = ("licens", "licenc", "permission", "permitted", "redistribut", "copyright", "warrant", "liab", "rights", "software", "under")
 IDENTIFIER = r"^spdx license identifier "
 COPYRIGHT = r"^(?:copyright (?:c )?[0-9]{4}|c copyright [0-9]{4}|copyright c ).*$"
 
@@ -182,9 +184,9 @@ def scan_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
 
     hinted = F.lit(False)
-    for trigger in TRIGGERS:
-        hinted = hinted | lowered.contains(trigger)
-    hopeful = F.filter(_sentences(lowered), lambda s: s.rlike("|".join(TRIGGERS)))
+    for word in WORDS:
+        hinted = hinted | F.replace(lowered, F.lit("\r"), F.lit("")).contains(word)
+    hopeful = F.filter(_sentences(lowered), lambda s: s.rlike("|".join((*TRIGGERS, REFERENCE))))
     found = F.filter(F.transform(hopeful, lambda s: _identifier(s, table)), lambda i: i.isNotNull())
     rows = rows.select("doc_id", F.when(hinted, F.array_join(found, " ")).otherwise(F.lit("")).alias("sentence_ids"))
 
