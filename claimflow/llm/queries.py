@@ -13,6 +13,7 @@ from claimflow.llm import (
     html_extract,
     language_id,
     license_scan,
+    merkle,
     mixing,
     packing,
     simhash,
@@ -79,6 +80,12 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(tables_of(spark, folder, "documents", ["doc_id", "text"]))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    documents = tables_of(spark, folder, "documents", list(merkle.COLUMNS))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle.manifest(documents, {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}, tampered)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -106,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_warc_archives,
         op9_exact_top_k,
         op10_exact_dedup,
+        op11_merkle_manifest,
         pipeline,
     )
     return {f.__name__: _shipped(f) for f in ops}
@@ -185,10 +193,52 @@ SELECT b.doc_id, g.keep_id, g.group_size, b.doc_id = g.keep_id AS kept, sha256(b
 FROM bodies b JOIN groups g USING (body)"""
 
 
+_LEAF = "sha256(" + " || ".join(
+    f"coalesce(CAST(octet_length(encode({c})) AS VARCHAR) || ':' || {c}, '-')"
+    for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST({n} AS VARCHAR)", "text")
+) + ")"
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+  list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+  lambda x, b: list_reduce(list_prepend(xor(x, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+    lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)), 4294967295)"""
+MANIFEST_SQL = f"""
+WITH RECURSIVE placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, row_number() OVER () AS rid
+  FROM (SELECT doc_id, lang, {_LEAF.format(n="n_chars")} AS leaf,
+    CASE WHEN {_CRC} % 7 = 0 THEN {_LEAF.format(n="(n_chars + 1)")} ELSE {_LEAF.format(n="n_chars")} END AS found FROM documents)),
+levels(lang, level, nodes) AS (
+  SELECT lang, 0, list(leaf ORDER BY p) FROM placed GROUP BY lang
+  UNION ALL SELECT lang, level + 1,
+    list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM levels WHERE len(nodes) > 1),
+trees AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS p FROM levels WHERE len(nodes) = 1),
+tops(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY p) FROM trees
+  UNION ALL SELECT level + 1,
+    list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM tops WHERE len(nodes) > 1),
+steps AS (
+  SELECT rid, level, (d.p >> level) % 2 AS slot, nodes[xor(d.p >> level, 1) + 1] AS sibling
+  FROM placed d JOIN levels l ON d.lang IS NOT DISTINCT FROM l.lang AND len(nodes) > 1
+  UNION ALL SELECT rid, 1000 + level, (t.p >> level) % 2, nodes[xor(t.p >> level, 1) + 1]
+  FROM placed d JOIN trees t ON d.lang IS NOT DISTINCT FROM t.lang JOIN tops ON len(nodes) > 1),
+proofs AS (
+  SELECT rid, string_agg(sibling, '' ORDER BY level) AS siblings,
+    list(CAST(slot AS VARCHAR) || coalesce(sibling, '') ORDER BY level) AS path FROM steps GROUP BY rid),
+folded AS (
+  SELECT d.*, t.subroot, (SELECT nodes[1] FROM tops WHERE len(nodes) = 1) AS root,
+    sha256(coalesce(p.siblings, '')) AS proof_sha256,
+    list_reduce(list_prepend(d.found, coalesce(p.path, [])),
+      lambda x, s: CASE WHEN s[1] = '0' THEN sha256(x || s[2:]) ELSE sha256(s[2:] || x) END) AS folded_root
+  FROM placed d JOIN trees t ON d.lang IS NOT DISTINCT FROM t.lang LEFT JOIN proofs p USING (rid))
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_license_scan": _licence_sql(),
         "op8_warc_archives": _payload_sql(),
         "op9_exact_top_k": SEARCH_SQL,
         "op10_exact_dedup": DEDUP_SQL,
+        "op11_merkle_manifest": MANIFEST_SQL,
     }
