@@ -15,6 +15,7 @@ from claimflow.llm import (
     license_scan,
     merkle,
     mixing,
+    online_packing,
     packing,
     simhash,
     token_output,
@@ -86,6 +87,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(documents, {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}, tampered)
 
 
+def op12_online_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return online_packing.pieces(online_packing.pack_online(tables_of(spark, folder, "documents", ["doc_id", "text"])))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -114,6 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_exact_top_k,
         op10_exact_dedup,
         op11_merkle_manifest,
+        op12_online_packing,
         pipeline,
     )
     return {f.__name__: _shipped(f) for f in ops}
