@@ -10,10 +10,13 @@ no padding. A task packs its own rows, so no token is shuffled.
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 from collections import deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,22 +29,77 @@ VOCABULARY = "byte_bpe_50k.json"
 END = 0  # the id that ends a document
 OPEN = 8192  # open windows that a task holds before it closes all but one of them
 BYTES = 1 << 20  # of text that is tokenised at once
+MEMO = 1 << 19  # pieces of text whose ids a task remembers
+LONGEST = 64  # characters of such a piece
+# From a white space that follows something else up to the next such place
+PART = re.compile(r"\s*\S+(?:[^\S \n\t\r]\s*\S*)*|\s+")
+PLAIN = re.compile(r" \S+")
 WRITTEN = 256  # sequences handed on at once
 PIECE = "struct<doc_id:long,start:long,length:long,doc_tokens:long,offset:long>"
 SEQUENCES = f"sequence_id long, n_tokens int, n_padding int, ids binary, pieces array<{PIECE}>"
 
 
-@functools.cache
-def tokenizer(vocabulary: str):
-    """A tokenizer by the path of its file, or by its name among the public ones."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task a core
-    from tokenizers import Tokenizer
+class Encoder:
+    """Ids of texts by a tokenizer, given by the path of its file or by its name among the public ones.
+
+    Where the tokenizer splits texts at white space by the byte-level rule, a piece of text from one white space to the
+    next always has the same ids. Then the ids of short pieces are remembered, and only new ones are tokenised.
+    """
 
-    if not os.path.isabs(vocabulary):
-        import public_tokenizers
+    def __init__(self, vocabulary: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task a core
+        from tokenizers import Tokenizer
+
+        if not os.path.isabs(vocabulary):
+            import public_tokenizers
+
+            vocabulary = public_tokenizers.path(vocabulary)
+        self.model = Tokenizer.from_file(str(vocabulary))
+        setup = json.loads(self.model.to_str())
+        split = setup.get("pre_tokenizer") or {}
+        own_space = any(t["lstrip"] or t["rstrip"] for t in setup["added_tokens"])
+        self.local = (
+            split.get("type") == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"]
+            and setup["normalizer"] is None and not own_space
+        )
+        self.known: dict[str, bytes] = {}
+        self.spaced = np.zeros(self.model.get_vocab_size(), bool)  # ids of tokens that begin with a space
+        self.spaced[[i for token, i in self.model.get_vocab().items() if token[0] == "\u0120"]] = True
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, parts: list[str]) -> None:
+        plain = [p for p in parts if PLAIN.fullmatch(p)]
+        if plain:  # one after the other they are a text, and each begins where a token begins with a space
+            ids = self._ids("".join(plain))
+            begins = np.flatnonzero(self.spaced[ids]).tolist()
+            data = ids.tobytes()
+            for part, a, b in zip(plain, begins, [*begins[1:], len(ids)], strict=True):
+                self.known[part] = data[4 * a : 4 * b]
+        for part in parts:
+            if part not in self.known:
+                self.known[part] = self._ids(part).tobytes()
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        if not self.local:
+            yield from map(self._ids, texts)
+            return
+        split = [PART.findall(t) for t in texts]
+        unknown = set(chain.from_iterable(split)).difference(self.known)
+        long = {p: self._ids(p).tobytes() for p in unknown if len(p) > LONGEST}
+        if len(self.known) + len(unknown) > MEMO:
+            unknown = set(chain.from_iterable(split))
+            self.known.clear()
+        self._learn([p for p in unknown if len(p) <= LONGEST])
+        for parts in split:
+            found = (long[p] if len(p) > LONGEST else self.known[p] for p in parts) if long else map(self.known.__getitem__, parts)
+            yield np.frombuffer(b"".join(found), "<u4")
 
-        vocabulary = public_tokenizers.path(vocabulary)
-    return Tokenizer.from_file(str(vocabulary))
+
+@functools.cache
+def encoder(vocabulary: str) -> Encoder:
+    return Encoder(vocabulary)
 
 
 @dataclass
@@ -169,12 +227,11 @@ def pack_pieces(pieces: Iterable[Piece], size: int, most_open: int) -> Iterator[
 
 
 def _tokenised(batches: Iterator[pa.RecordBatch], vocabulary: str, end: int, most: int) -> Iterator[Piece]:
-    model = tokenizer(vocabulary)
+    encode, last = encoder(vocabulary).encode, np.array([end], "<u4")
 
     def encoded(ids: list, texts: list[str]) -> Iterator[Piece]:
-        for doc_id, found in zip(ids, model.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            tokens = np.array([*found.ids, end], "<u4")
-            yield Piece(doc_id, 0, tokens, len(tokens))
+        for doc_id, found in zip(ids, encode(texts), strict=True):
+            yield Piece(doc_id, 0, np.concatenate([found, last]), len(found) + 1)
 
     ids, texts, held = [], [], 0
     for batch in batches:

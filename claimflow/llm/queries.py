@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from claimflow.llm import (
     exact_dedup,
+    hard_negatives,
     html_extract,
     language_id,
     license_scan,
@@ -91,6 +92,12 @@ def op12_online_packing(spark: SparkSession, folder: str) -> DataFrame:
     return online_packing.pieces(online_packing.pack_online(tables_of(spark, folder, "documents", ["doc_id", "text"])))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = tables_of(spark, folder, "embeddings", ["vec_id", "label", "embedding"])
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -120,6 +127,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_exact_dedup,
         op11_merkle_manifest,
         op12_online_packing,
+        op13_hard_negatives,
         pipeline,
     )
     return {f.__name__: _shipped(f) for f in ops}
@@ -199,6 +207,26 @@ SELECT b.doc_id, g.keep_id, g.group_size, b.doc_id = g.keep_id AS kept, sha256(b
 FROM bodies b JOIN groups g USING (body)"""
 
 
+NEGATIVES_SQL = """
+WITH used AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.rid, a.vec_id AS anchor_id, c.rid AS other, c.vec_id AS other_id, a.label = c.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM used a JOIN used c ON a.vec_id % 100 = 0 AND a.rid <> c.rid AND len(a.v) = len(c.v)),
+positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, other_id, other) AS place FROM scored WHERE same)
+  WHERE place <= 5),
+hard AS (
+  SELECT p.rid, p.anchor_id, p.place, p.other_id AS positive_id, n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.rid, p.place ORDER BY n.score DESC, n.other_id, n.other) AS rank
+  FROM positives p JOIN scored n ON n.rid = p.rid AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 5"""
+
 _LEAF = "sha256(" + " || ".join(
     f"coalesce(CAST(octet_length(encode({c})) AS VARCHAR) || ':' || {c}, '-')"
     for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST({n} AS VARCHAR)", "text")
@@ -247,4 +275,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_exact_top_k": SEARCH_SQL,
         "op10_exact_dedup": DEDUP_SQL,
         "op11_merkle_manifest": MANIFEST_SQL,
+        "op13_hard_negatives": NEGATIVES_SQL,
     }

@@ -39,6 +39,31 @@ def test_every_choice_is_the_least(seed, size):
         assert levels.open == sum(map(len, levels.held))
 
 
+ODD = " \n\t\r\x0b\x0c\x1c\x1f\x85\xa0\u2003\u2028\u3000\u200b" + "aAéß1٣漢!'<|🙂\u0301\u0120"
+
+
+@pytest.mark.parametrize("vocabulary", [op.VOCABULARY, "word_bpe_49k.json"])
+def test_remembered_ids_are_the_tokenizers(vocabulary):
+    rng, encoder = random.Random(6), op.Encoder(vocabulary)
+    model = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+    texts = ["", " ", "\n", "a<|endoftext|>b <|endoftext|> c", "we'll we'd", "x" * 300 + " " + "y " * 90]
+    texts += ["".join(rng.choices(ODD, k=rng.randint(1, 40))) for _ in range(3000)]
+    texts += [" ".join(rng.choices(["one", "Zwei", "trés", "4,5", "it's", "\u3000x", "y\x1c"], k=30)) for _ in range(300)]
+    for at in range(0, len(texts), 50):
+        for text, ids in zip(texts[at : at + 50], encoder.encode(texts[at : at + 50]), strict=True):
+            assert ids.tolist() == model.encode(text, add_special_tokens=False).ids
+
+
+def test_what_is_remembered_is_bounded(monkeypatch):
+    monkeypatch.setattr(op, "MEMO", 20)
+    encoder, rng = op.Encoder(op.VOCABULARY), random.Random(5)
+    for _ in range(50):
+        texts = [" ".join(f"w{rng.randint(0, 60)}" for _ in range(8)) for _ in range(3)]
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            assert ids.tolist() == encoder.model.encode(text, add_special_tokens=False).ids
+        assert len(encoder.known) <= 20 + 24
+
+
 def check(rows, sequences, size=op.WINDOW, vocabulary=op.VOCABULARY, end=op.END):
     """rows: (doc_id, text). Every id lies in one piece, sequences are gapless and need no padding."""
     model = Tokenizer.from_file(public_tokenizers.path(vocabulary))
