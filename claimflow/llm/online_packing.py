@@ -29,7 +29,8 @@ VOCABULARY = "byte_bpe_50k.json"
 END = 0  # the id that ends a document
 OPEN = 8192  # open windows that a task holds before it closes all but one of them
 BYTES = 1 << 20  # of text that is tokenised at once
-MEMO = 1 << 19  # pieces of text whose ids a task remembers
+MEMO = 1 << 20  # pieces of text whose ids a task remembers
+JOINED = 512  # of them that are tokenised as one text
 LONGEST = 64  # characters of such a piece
 # From a white space that follows something else up to the next such place
 PART = re.compile(r"\s*\S+(?:[^\S \n\t\r]\s*\S*)*|\s+")
@@ -70,16 +71,17 @@ class Encoder:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4")
 
     def _learn(self, parts: list[str]) -> None:
-        plain = [p for p in parts if PLAIN.fullmatch(p)]
+        plain, others = [], []
+        for part in parts:
+            (plain if PLAIN.fullmatch(part) else others).append(part)
         if plain:  # one after the other they are a text, and each begins where a token begins with a space
-            ids = self._ids("".join(plain))
-            begins = np.flatnonzero(self.spaced[ids]).tolist()
+            texts = ["".join(plain[k : k + JOINED]) for k in range(0, len(plain), JOINED)]
+            ids = np.concatenate([np.array(x.ids, "<u4") for x in self.model.encode_batch_fast(texts, add_special_tokens=False)])
+            begins = (4 * np.flatnonzero(self.spaced[ids])).tolist()
             data = ids.tobytes()
-            for part, a, b in zip(plain, begins, [*begins[1:], len(ids)], strict=True):
-                self.known[part] = data[4 * a : 4 * b]
-        for part in parts:
-            if part not in self.known:
-                self.known[part] = self._ids(part).tobytes()
+            self.known.update(zip(plain, map(data.__getitem__, map(slice, begins, [*begins[1:], len(data)])), strict=True))
+        for part in others:
+            self.known[part] = self._ids(part).tobytes()
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if not self.local:
