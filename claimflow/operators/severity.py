@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimflow.functions.expressions import ratio
+from claimflow.operators import summaries
 from claimflow.operators.grouping import monthly
 from claimflow.operators.lifecycle import process_days
 from claimflow.operators.relational import expand_months
+from claimflow.sources.tables import stage
 
 SETTLED = ("paid out", "approved")
 BANDS = ("low", "moderate", "high", "severe")
@@ -32,13 +34,10 @@ def frequency_severity(claims: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("claim_count"),
         F.sum("compensation_total").alias("amount"),
     ).select("calendar_month", "claim_count", ratio(_double("amount"), "claim_count").alias("severity"))
-    before = series.select(
-        F.add_months("calendar_month", 1).alias("calendar_month"),
-        F.col("claim_count").alias("__count"),
-        F.col("severity").alias("__severity"),
-    )
-    joined = series.join(before, "calendar_month", "left")
-    return joined.select(
+    # the series holds a row a month, so one window over all of them stays small
+    last = Window.orderBy(_month_number()).rangeBetween(-1, -1)
+    before = series.withColumns({"__count": F.first("claim_count").over(last), "__severity": F.first("severity").over(last)})
+    return before.select(
         "calendar_month",
         "claim_count",
         "severity",
@@ -47,8 +46,12 @@ def frequency_severity(claims: DataFrame) -> DataFrame:
     )
 
 
-def severity_band(amount: str | Column, cuts: Sequence[float]) -> Column:
-    """Band of an amount by three ascending cut points."""
+def _month_number() -> Column:
+    return F.year("calendar_month") * 12 + F.month("calendar_month")
+
+
+def severity_band(amount: str | Column, cuts: Sequence[float | Column]) -> Column:
+    """Band of an amount by three ascending cut points, numbers or columns."""
     a = F.col(amount) if isinstance(amount, str) else amount
     low, moderate, high = cuts
     return (
@@ -56,9 +59,44 @@ def severity_band(amount: str | Column, cuts: Sequence[float]) -> Column:
     )
 
 
+CUT_SHARES = (0.5, 0.8, 0.95)  # the quantiles that part the bands
+
+
+def amount_summary(claims: DataFrame, segment: Sequence[str], bits: int = summaries.BITS) -> DataFrame:
+    """Mergeable summary of the compensation of settled claims per submission month and segment: a stage to keep."""
+    settled = _settled(claims).where(F.col("claim_submitted_date").isNotNull())
+    dated = settled.withColumn("calendar_month", F.trunc("claim_submitted_date", "MM"))
+    return summaries.summarise(dated, ["calendar_month", *segment], "compensation_total", bits)
+
+
+def segment_cuts(summary: DataFrame, segment: Sequence[str], shares: Sequence[float] = CUT_SHARES) -> DataFrame:
+    """Cut points of every segment over all months of a summary."""
+    return summaries.cut_points(summaries.merge(summary, segment), segment, shares)
+
+
+def trailing_cuts(summary: DataFrame, segment: Sequence[str], months: int = 12, shares: Sequence[float] = CUT_SHARES) -> DataFrame:
+    """Cut points of every month and segment from the months before it."""
+    before = summaries.trailing(summary, "calendar_month", segment, months)
+    return summaries.cut_points(before, ["calendar_month", *segment], shares)
+
+
+def banded(claims: DataFrame, cuts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Settled claims with the band that the cut points of their keys give them; without cut points there is no band.
+
+    `cuts` holds one row per key: `cut_1` to `cut_3` beside `keys`, of which `calendar_month` is the submission month.
+    """
+    dated = _settled(claims).withColumn("calendar_month", F.trunc("claim_submitted_date", "MM"))
+    met = dated.join(cuts, list(keys), "left")
+    return met.withColumn("band", severity_band("compensation_total", [F.col(f"cut_{k}") for k in (1, 2, 3)])).drop("cut_1", "cut_2", "cut_3")
+
+
 def severity_mix(claims: DataFrame, cuts: Sequence[float]) -> DataFrame:
     """Per submission month: claims of each band and the share of severe and high ones."""
-    banded = _settled(claims).withColumn("band", severity_band("compensation_total", cuts))
+    return band_mix(_settled(claims).withColumn("band", severity_band("compensation_total", cuts)))
+
+
+def band_mix(banded: DataFrame) -> DataFrame:
+    """`severity_mix` of claims that have their band."""
     counts = monthly(
         banded,
         "claim_submitted_date",
@@ -113,7 +151,12 @@ def settlement_duration(claims: DataFrame, cuts: Sequence[float]) -> DataFrame:
 
     Days are whole numbers, so the exact percentiles come from a counted histogram.
     """
-    timed = process_days(_settled(claims), "final").withColumn("band", severity_band("compensation_total", cuts))
+    return band_durations(_settled(claims).withColumn("band", severity_band("compensation_total", cuts)))
+
+
+def band_durations(banded: DataFrame) -> DataFrame:
+    """`settlement_duration` of claims that have their band."""
+    timed = process_days(banded, "final")
     histogram = timed.where(F.col("processdays").isNotNull()).groupBy("band", "processdays").agg(F.count(F.lit(1)).alias("n"))
     return histogram.groupBy("band").agg(
         F.sum("n").alias("claim_count"),
@@ -139,6 +182,7 @@ def loss_concentration(claims: DataFrame, shares: Sequence[float]) -> DataFrame:
     # each amount once, with its copies: what the levels read again and again
     amounts = settled.groupBy("cents").agg(F.count(F.lit(1)).alias("n"))
     amounts = amounts.withColumn("amount", (F.col("cents").cast("decimal(20,0)") * F.col("n")).cast("decimal(38,0)"))
+    amounts = stage(amounts, "concentration-amounts")
     total = amounts.agg(F.sum("n").alias("total_n"), F.sum("amount").alias("total_amount"))
     cut = total.withColumn("share", F.explode(F.array(*[F.lit(s) for s in shares]))).select(
         "share",
@@ -186,13 +230,13 @@ def stressed_loss_ratio(loss_ratios: DataFrame, stresses: Sequence[float]) -> Da
 
 def lead_lag(series: DataFrame, lead: str, follow: str, lags: Sequence[int]) -> DataFrame:
     """Correlation of one monthly series with another some months later, per lag."""
-    leading = series.select(F.col("calendar_month").alias("__month"), F.col(lead).alias("__lead")).withColumn(
-        "lag", F.explode(F.array(*[F.lit(n) for n in lags]))
-    )
-    shifted = leading.select(F.add_months("__month", F.col("lag")).alias("calendar_month"), "lag", "__lead")
-    pairs = shifted.join(series.select("calendar_month", F.col(follow).alias("__follow")), "calendar_month").where(
-        F.col("__lead").isNotNull() & F.col("__follow").isNotNull()
-    )
+    # the series holds a row a month, so one window over all of them stays small
+    ordered = Window.orderBy(_month_number())
+    earlier = {f"__lead_{n}": F.first(lead).over(ordered.rangeBetween(-n, -n)) for n in lags}
+    each = [F.struct(F.lit(n).alias("lag"), F.col(f"__lead_{n}").alias("__lead")) for n in lags]
+    pairs = series.withColumns(earlier).select(F.col(follow).alias("__follow"), F.explode(F.array(*each)).alias("__pair"))
+    pairs = pairs.select("__follow", "__pair.lag", "__pair.__lead")
+    pairs = pairs.where(F.col("__lead").isNotNull() & F.col("__follow").isNotNull())
     return pairs.groupBy("lag").agg(
         F.count(F.lit(1)).alias("months"), F.corr(_double("__lead"), _double("__follow")).alias("correlation")
     )

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from claimflow.operators import severity as op
+from claimflow.operators import summaries
 from claimflow.operators.exposure import loss_ratio_monthly
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.exposure import LOSSES, MONTH, money, premium
 from claimflow.plans.queries.registry import query
 from claimflow.sources import adapters
+from claimflow.sources.tables import stage
 
 CUTS = (50_000, 150_000, 300_000)
 SETTLED = "claim_status IN ('paid out', 'approved')"
@@ -63,6 +65,86 @@ def r3_estimation_error(spark, sf):
     )
 
 
+SEGMENT = ["coverage"]
+SETTLED_CENTS = (
+    f"settled AS (SELECT *, {SUBMITTED} AS calendar_month, CAST(compensation_total * 100 AS BIGINT) AS c FROM claims WHERE {SETTLED})"
+)
+
+
+def bucket_floor(cents: str) -> str:
+    """The least amount of the bucket an amount lies in: all but its eleven leading binary digits are zero."""
+    unit = f"CAST(pow(2, greatest(length(bin({cents})) - 11, 0)) AS BIGINT)"
+    return f"({cents} // {unit}) * {unit}"
+
+
+def cuts_sql(source: str, keys: str) -> str:
+    """cut_1 to cut_3 per key of `source` (keys, c): the largest amount in the bucket of each quantile."""
+    shares = ", ".join(f"(CAST({s} AS DOUBLE), 'cut_{k}')" for k, s in enumerate(op.CUT_SHARES, 1))
+    return f"""
+places AS (SELECT {keys}, c, ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY c) AS rn, COUNT(*) OVER (PARTITION BY {keys}) AS n FROM {source}),
+asked(share, name) AS (VALUES {shares}),
+exact AS (SELECT {keys}, share, name, n, c FROM places, asked WHERE rn = greatest(ceil(round(share * n, 6)), 1)),
+tops AS (SELECT {keys}, {bucket_floor("c")} AS b, MAX(c) AS high FROM {source} GROUP BY ALL),
+read AS (SELECT e.*, t.high FROM exact e JOIN tops t USING ({keys}) WHERE t.b = {bucket_floor("e.c")}),
+cuts AS (SELECT {keys}, """ + ", ".join(f"MAX(high) FILTER (WHERE name = 'cut_{k}') AS cut_{k}" for k in (1, 2, 3)) + f" FROM read GROUP BY {keys})"
+
+
+BAND_BY_CUTS = "CASE WHEN c < cut_1 THEN 'low' WHEN c < cut_2 THEN 'moderate' WHEN c < cut_3 THEN 'high' WHEN c >= cut_3 THEN 'severe' END"
+MIX_BY_BAND = (
+    "COUNT(*) AS claim_count, "
+    + ", ".join(f"COUNT(*) FILTER (WHERE band = '{b}') AS n_{b}" for b in op.BANDS)
+    + ", round(CAST(COUNT(*) FILTER (WHERE band IN ('severe', 'high')) AS DOUBLE) / COUNT(*), 6) AS severe_high_share"
+)
+
+
+def kept_summary(spark, sf):
+    """The summary as a stage: what follows reads it and not the claims."""
+    return stage(op.amount_summary(adapters.claims(spark, sf), SEGMENT), "amount-summary")
+
+
+@query(
+    "r2_cut_points",
+    f"WITH {sql.CLAIMS}, {SETTLED_CENTS}, {cuts_sql('settled', 'coverage')} "
+    "SELECT coverage, share, n, c / 100.0 AS exact, 1 AS within FROM exact",
+)
+def r2_cut_points(spark, sf):
+    """Exact quantiles of every segment, and whether those of the merged summary lie above them by less than their error."""
+    read = summaries.quantiles(summaries.merge(kept_summary(spark, sf), SEGMENT), SEGMENT, op.CUT_SHARES)
+    # buckets of as many digits as an amount has hold one amount each
+    whole = summaries.merge(op.amount_summary(adapters.claims(spark, sf), SEGMENT, bits=50), SEGMENT)
+    exact = summaries.quantiles(whole, SEGMENT, op.CUT_SHARES).withColumnRenamed("amount", "exact")
+    most = F.col("exact") * F.lit(1 + 2.0**-summaries.BITS)
+    within = (F.col("amount") >= F.col("exact")) & (F.col("amount").cast("double") <= most)
+    return exact.join(read.select(*SEGMENT, "share", "amount"), [*SEGMENT, "share"]).select(*SEGMENT, "share", "n", "exact", within.alias("within"))
+
+
+@query(
+    "r2_severity_mix_by_segment",
+    f"WITH {sql.CLAIMS}, {SETTLED_CENTS}, {cuts_sql('settled', 'coverage')}, "
+    f"b AS (SELECT calendar_month, {BAND_BY_CUTS} AS band FROM settled JOIN cuts USING (coverage)) SELECT {MONTH}, {MIX_BY_BAND} FROM b GROUP BY calendar_month",
+)
+def r2_severity_mix_by_segment(spark, sf):
+    """The mix by cut points that come from the claims of each segment."""
+    claims = adapters.claims(spark, sf)
+    mix = op.band_mix(op.banded(claims, op.segment_cuts(kept_summary(spark, sf), SEGMENT), SEGMENT))
+    return mix.withColumn("severe_high_share", money("severe_high_share", 6))
+
+
+@query(
+    "r2_severity_mix_trailing",
+    f"WITH {sql.CLAIMS}, {SETTLED_CENTS}, ahead AS (SELECT DISTINCT calendar_month AS m FROM settled), "
+    "before AS (SELECT m AS at_month, coverage, c FROM settled JOIN ahead ON calendar_month < m AND calendar_month >= m - INTERVAL 12 MONTH), "
+    f"{cuts_sql('before', 'at_month, coverage')}, b AS (SELECT s.calendar_month, {BAND_BY_CUTS} AS band FROM settled s "
+    "LEFT JOIN cuts ON s.coverage = cuts.coverage AND s.calendar_month = at_month) "
+    f"SELECT {MONTH}, {MIX_BY_BAND} FROM b GROUP BY calendar_month",
+)
+def r2_severity_mix_trailing(spark, sf):
+    """The mix of every month by cut points from the twelve months before it, merged from the kept summary."""
+    cuts = op.trailing_cuts(kept_summary(spark, sf), SEGMENT)
+    mix = op.band_mix(op.banded(adapters.claims(spark, sf), cuts, ["calendar_month", *SEGMENT]))
+    return mix.withColumn("severe_high_share", money("severe_high_share", 6))
+
+
 UNTIL = "2001-12-01"
 
 
@@ -87,6 +169,20 @@ def r5_settlement_duration(spark, sf):
     return days.select("band", "claim_count", money("mean_days", 6), money("median_days", 6), money("p90_days", 6))
 
 
+@query(
+    "r5_settlement_duration_by_segment",
+    f"WITH {sql.CLAIMS}, {SETTLED_CENTS}, {cuts_sql('settled', 'coverage')}, t AS (SELECT {BAND_BY_CUTS} AS band, "
+    "CAST(claim_approved_date - claim_submitted_date AS INTEGER) AS d FROM settled JOIN cuts USING (coverage)) "
+    "SELECT band, COUNT(*) AS claim_count, round(AVG(d), 6) AS mean_days, "
+    "round(quantile_cont(d, 0.5), 6) AS median_days, round(quantile_cont(d, 0.9), 6) AS p90_days FROM t GROUP BY band",
+)
+def r5_settlement_duration_by_segment(spark, sf):
+    """Durations by bands whose cut points come from the claims of each segment."""
+    claims = adapters.claims(spark, sf)
+    days = op.band_durations(op.banded(claims, op.segment_cuts(kept_summary(spark, sf), SEGMENT), SEGMENT))
+    return days.select("band", "claim_count", money("mean_days", 6), money("median_days", 6), money("p90_days", 6))
+
+
 def _top(share: float) -> str:
     return (
         f"SELECT CAST({share} AS DOUBLE) AS share, COUNT(*) AS top_claims, CAST(SUM(c) AS DOUBLE) AS top_amount, "
