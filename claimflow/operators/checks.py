@@ -12,6 +12,7 @@ from claimflow.functions.expressions import is_missing
 from claimflow.operators.grouping import duplicated_keys
 from claimflow.operators.shaping import Field
 from claimflow.operators.relational import compare, keys_of
+from claimflow.sources.hashed import HashedStage, differing
 
 # Pairs of dates whose first must not lie after the second.
 CLAIM_DATE_RULES = {
@@ -158,6 +159,28 @@ def reconcile_values(a: DataFrame, b: DataFrame, on: Sequence[str], columns: Seq
     return matched.where(differs)
 
 
+def unequal_rows(a: HashedStage, b: HashedStage) -> DataFrame:
+    """Rows that the two stages do not hold equally often, with their copies in each (`copies_a`, `copies_b`).
+
+    Only the buckets whose checksums differ are read. A changed row appears as it was and as it is. NULLs are equal.
+    """
+    buckets = differing(a, b)
+    sides = [
+        stage.rows(buckets).withColumns({"copies_a": F.lit(in_a).cast("long"), "copies_b": F.lit(1 - in_a).cast("long")})
+        for stage, in_a in ((a, 1), (b, 0))
+    ]
+    both = sides[0].unionByName(sides[1]).groupBy(*a.columns).agg(F.sum("copies_a").alias("copies_a"), F.sum("copies_b").alias("copies_b"))
+    return both.where(F.col("copies_a") != F.col("copies_b"))
+
+
+def reconcile_stages(a: HashedStage, b: HashedStage) -> DataFrame:
+    """Keys whose rows differ: `only a`, `only b` or `differs`. Keys held equally by both are left out and mostly not read."""
+    rows = unequal_rows(a, b)
+    per_key = rows.groupBy(*a.keys).agg(F.max(F.least("copies_a", "copies_b")).alias("__shared"), F.sum("copies_a").alias("__a"), F.sum("copies_b").alias("__b"))
+    found = F.when(F.col("__b") == 0, "only a").when(F.col("__a") == 0, "only b").otherwise("differs")
+    return per_key.select(*a.keys, found.alias("found"))
+
+
 def recoverable(df: DataFrame, other: DataFrame, key: str, column: str) -> DataFrame:
     """Keys that miss the value here and have it in `other` (another source, or another row of this one)."""
     lacking, known = keys_of(df.where(is_missing(column)), [key]), keys_of(other.where(~is_missing(column)), [key])

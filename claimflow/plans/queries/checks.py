@@ -14,6 +14,8 @@ from claimflow.plans.queries.lifecycle import BASE, MILESTONES
 from claimflow.plans.queries.registry import query
 from claimflow.plans.queries.relational import CLAIM, log, snapshot
 from claimflow.sources import adapters
+from claimflow.sources.hashed import save_hashed
+from claimflow.sources.tables import stage
 from claimflow.sources.contracts import POLICY, SNAPSHOT, STATUS_LOG
 
 KEEP = ["claimnumber", "row_index"]
@@ -250,6 +252,48 @@ def l8_reconcile_values(spark, sf):
     return op.reconcile_values(log(spark, sf, *KEEP, "compensation_total"), other, CLAIM, ["compensation_total"])
 
 
+TODAY_SQL = f"""{sql.CLAIMS},
+keyed AS (SELECT CAST(substr(claimnumber, 2) AS BIGINT) AS k, claimnumber, claim_status, compensation_total AS c FROM claims),
+a AS (SELECT claimnumber, claim_status, c FROM keyed WHERE k % 173 <> 9),
+b AS (SELECT claimnumber, CASE WHEN k % 149 = 2 THEN 'denied' ELSE claim_status END AS claim_status, CASE WHEN k % 113 = 3 THEN NULL ELSE c END AS c
+  FROM keyed WHERE k % 131 <> 4),
+counted AS (SELECT claimnumber, claim_status, c, SUM(in_a) AS copies_a, SUM(in_b) AS copies_b
+  FROM (SELECT *, 1 AS in_a, 0 AS in_b FROM a UNION ALL SELECT *, 0, 1 FROM b) GROUP BY 1, 2, 3),
+unequal AS (SELECT * FROM counted WHERE copies_a <> copies_b)"""
+
+
+def two_days(spark, sf):
+    """The claims as two sources hold them, a few days apart: some missing on either side, some restated."""
+    k = F.substring("claimnumber", 2, 20).cast("long")
+    claims = stage(adapters.claims(spark, sf).select("claimnumber", "claim_status", "compensation_total"), "claims")
+    before = claims.where(k % 173 != 9)
+    after = claims.where(k % 131 != 4).withColumns(
+        {
+            "claim_status": F.when(k % 149 == 2, "denied").otherwise(F.col("claim_status")),
+            "compensation_total": F.when(k % 113 != 3, F.col("compensation_total")),
+        }
+    )
+    return [save_hashed(df, name, ["claimnumber"], levels=2) for df, name in ((before, "claims-before"), (after, "claims-after"))]
+
+
+@query(
+    "l7_reconcile_stages",
+    f"WITH {TODAY_SQL} SELECT claimnumber, CASE WHEN SUM(copies_b) = 0 THEN 'only a' WHEN SUM(copies_a) = 0 THEN 'only b' ELSE 'differs' END "
+    "AS found FROM unequal GROUP BY claimnumber",
+)
+def l7_reconcile_stages(spark, sf):
+    return op.reconcile_stages(*two_days(spark, sf))
+
+
+@query(
+    "l8_reconcile_stages",
+    f"WITH {TODAY_SQL} SELECT claimnumber, claim_status, CAST(c AS DOUBLE) AS compensation_total, CAST(copies_a AS BIGINT) AS copies_a, "
+    "CAST(copies_b AS BIGINT) AS copies_b FROM unequal",
+)
+def l8_reconcile_stages(spark, sf):
+    return op.unequal_rows(*two_days(spark, sf))
+
+
 @query(
     "l9_recoverable",
     f"WITH {sql.LOG}, {sql.SNAPSHOT} SELECT DISTINCT claimnumber FROM log WHERE agencycompensation = '' AND claimnumber IN "
