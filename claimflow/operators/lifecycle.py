@@ -11,7 +11,8 @@ needs the resolved state joined to the rows beforehand.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,15 +61,18 @@ def claim_facts(log: DataFrame, *names: str) -> DataFrame:
         "claim_status": lambda: status_of_rank(F.min(status_rank(name))),
         "latest_date": lambda: F.max("updateddate"),
         "paid_on": lambda: F.max(F.when(name == "paid out", F.col("updateddate"))),
-        "documents_pending_date": lambda: first_date_of("documents pending"),
-        "estimate_pending_date": lambda: first_date_of("estimate pending"),
-        "assessment_pending_date": lambda: first_date_of("assessment pending"),
-        "process_start_date": lambda: first_date_of("in process"),
+        **{n: functools.partial(first_date_of, state) for n, state in MILESTONE_STATES.items()},
     }
     return log.groupBy("claimnumber").agg(*[facts[n]().alias(n) for n in (names or facts)])
 
 
-MILESTONES = ("documents_pending_date", "estimate_pending_date", "assessment_pending_date", "process_start_date")
+MILESTONE_STATES = {
+    "documents_pending_date": "documents pending",
+    "estimate_pending_date": "estimate pending",
+    "assessment_pending_date": "assessment pending",
+    "process_start_date": "in process",
+}
+MILESTONES = tuple(MILESTONE_STATES)
 
 
 def resolve_status(log: DataFrame) -> DataFrame:
@@ -105,235 +109,266 @@ def relabel_latest(log: DataFrame, status: str = "assessment pending") -> DataFr
     )
 
 
-def _joint_zero(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Two amounts entered together: if one is missing, both are 0."""
-    broken = F.col(a).isNull() | F.col(b).isNull()
-    return df.withColumns({c: F.when(broken, zero()).otherwise(F.col(c)) for c in (a, b)})
+CELL = ("claimnumber", "coverage", "claim_status_name", "updateddate")
+LATEST_STATES = ("estimate pending", "documents pending", "assessment pending", "in process", "paid out")  # read at the latest date
+CARRIED = ("total_claim_estimate", "claim_estimate_first", "compensation_total")  # amounts that other rows may take
 
 
-def _zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), zero()) for c in columns})
+def _over(*more: str) -> Window:
+    return Window.partitionBy("claimnumber", *more)
 
 
-def _row(df: DataFrame, first: Sequence[str] = ("row_index",)) -> Column:
-    """The row as a struct ordered by the given columns, to be carried through min and max."""
-    return F.struct(*first, *[c for c in df.columns if c not in first and c != "claimnumber"])
+def _valued() -> Column:
+    """A row with an estimate. Both estimates are entered together: if one is missing, both count as 0."""
+    first, second = F.col("claim_estimate_first"), F.col("claim_estimate")
+    return F.coalesce((second + first).isNotNull() & ((second != 0) | (first != 0)), F.lit(False))
 
 
-def _unrow(df: DataFrame, row: str, columns: Sequence[str], **replaced: Column) -> DataFrame:
-    """Back from a carried row to columns, with claim_status added."""
-    return df.select(
-        "claimnumber",
-        *[replaced.get(c, F.col(f"{row}.{c}")).alias(c) for c in columns if c != "claimnumber"],
-        "claim_status",
+def day_cells(log: DataFrame) -> DataFrame:
+    """One row per (claim, coverage, state, date): counts, row indexes, sums and the last row's amounts, all of fixed width.
+
+    It is one hash aggregate, combined on the map side, and cells of parts of a log add up to those of the whole.
+    """
+    last = lambda c: F.max_by(F.coalesce(F.col(c), zero()), "row_index")
+    return log.groupBy(*CELL).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(_valued()).alias("n_valued"),
+        F.max(F.when(_valued(), F.col("row_index"))).alias("last_valued"),
+        F.min("row_index").alias("first"),
+        F.max("row_index").alias("last"),
+        F.sum(F.coalesce(F.col("compensation_total"), zero())).cast("decimal(15,2)").alias("paid"),
+        *[last(c).alias(f"last_{c}") for c in CARRIED],
     )
 
 
-CELL = ("claimnumber", "coverage", "claim_status_name", "updateddate")
+def _assessed(cells: DataFrame) -> DataFrame:
+    """What the reduction of claims waiting for assessment asks of cells at the latest date.
+
+    Where a claim repeats a coverage, cells in another state give way to cells in the claim's own state. What is left
+    in another state takes that state; zero rows go when others remain in the group (claim, stays or moves).
+    """
+    own, latest = F.col("claim_status_name") == F.col("claim_status"), F.col("at_latest")
+    cells = cells.withColumns({"own": own, "n_coverage": F.sum(F.when(latest, F.col("n"))).over(_over("coverage"))})
+    repeats, owns = F.max("n_coverage").over(_over()) > 1, F.max(F.when(latest, F.col("own"))).over(_over())
+    cells = cells.withColumn("stands", latest & ~(repeats & owns & ~F.col("own")))
+    any_valued = F.coalesce(F.sum(F.when(F.col("stands"), F.col("n_valued"))).over(_over("own")), F.lit(0)) > 0
+    last = F.max(F.when(F.col("stands"), F.col("last"))).over(_over("own"))
+    cells = cells.withColumns({"any_valued": any_valued, "group_last": last})
+    survives = F.col("stands") & ((F.col("n_valued") > 0) | (~F.col("any_valued") & (F.col("last") == F.col("group_last"))))
+    return cells.withColumn("survives", survives)
 
 
-def _over_claim() -> Window:
-    return Window.partitionBy("claimnumber")
+def _decided(log: DataFrame, *states: str) -> DataFrame:
+    """The cells of a log with everything the reductions know of their claims, in windows over cells alone.
 
+    Given states, only the cells of the claims resolved to them go on.
 
-def _day_cells(log: DataFrame, **aggregates: Column) -> DataFrame:
-    """One row per (claim, coverage, state, date) with the resolved claim_status and the claim's latest date."""
-    cells = log.groupBy(*CELL).agg(*[a.alias(name) for name, a in aggregates.items()])
-    rank = F.min(status_rank("claim_status_name")).over(_over_claim())
-    latest = F.max("updateddate").over(_over_claim())
-    return cells.withColumn("claim_status", status_of_rank(rank)).withColumn("latest_date", latest)
+    claim_status, at_latest, previous (the amounts of the claim's latest row in another state), approved (its last
+    approved row) and what `_assessed` adds. How many cells a claim has is bounded by the calendar and the vocabularies.
+    """
+    cells = day_cells(log)
+    rank = F.min(status_rank("claim_status_name")).over(_over())
+    latest = F.max("updateddate").over(_over())
+    cells = cells.withColumns({"claim_status": status_of_rank(rank), "at_latest": F.coalesce(F.col("updateddate") == latest, F.lit(False))})
+    cells = cells.where(F.col("claim_status").isin(*states)) if states else cells
+    amounts = [F.col(f"last_{c}").alias(c) for c in CARRIED]
+    state, status, row = F.col("claim_status_name"), F.col("claim_status"), F.struct("updateddate", "last", *amounts)
+    carried = {
+        "previous": F.max(F.when(status.isin("approved", "cancelled", "denied") & (state != status), row)).over(_over()),
+        "approved": F.max(F.when((status == "approved") & (state == status), row)).over(_over()),
+    }
+    return _assessed(cells.withColumns(carried))
 
 
-def _latest_cells(log: DataFrame, status: str, **aggregates: Column) -> DataFrame:
-    """The cells at the latest date of the claims resolved to `status`."""
-    return _day_cells(log, **aggregates).where(
-        (F.col("claim_status") == status) & (F.col("updateddate") == F.col("latest_date"))
+def _approved_estimate() -> Column:
+    """The estimate of an approved claim: its last approved row's, else that of the row before, else from the compensation."""
+    entered, net = F.col("approved.total_claim_estimate"), F.col("approved.compensation_total")
+    return (
+        F.when(entered != 0, entered)
+        .when(F.col("previous").isNotNull(), F.col("previous.total_claim_estimate"))
+        .when(net != 0, gross_up(net))
+        .otherwise(entered)
     )
 
 
-def _valued() -> Column:
-    return (F.col("claim_estimate") != 0) | (F.col("claim_estimate_first") != 0)
-
+def _chosen(log: DataFrame, *states: str) -> DataFrame:
+    """Cells that the reductions keep rows of, with the index of the row (`only`; NULL for all rows of the cell).
 
-def reduce_estimate_pending(log: DataFrame) -> DataFrame:
-    """Latest date; joint zero fill; zero rows go when the claim has others; last row per (claim, coverage).
-
-    A claim whose rows are all zero keeps its last row.
+    `valued_only` asks for rows with an estimate. `rule` is the resolved state, `claim_status` the state that comes out.
     """
-    r = _joint_zero(log, "claim_estimate", "claim_estimate_first").withColumn("valued", _valued())
-    cells = _latest_cells(r, "estimate pending", best=F.max(_row(r, ("valued", "row_index"))))
-    best = cells.groupBy("claimnumber", "coverage", "claim_status").agg(F.max("best").alias("best"))
-    kept = (
-        best.withColumn("any_valued", F.max("best.valued").over(_over_claim()))
-        .withColumn("last_index", F.max("best.row_index").over(_over_claim()))
-        .where(F.col("best.valued") | (~F.col("any_valued") & (F.col("best.row_index") == F.col("last_index"))))
+    state, status, last = F.col("claim_status_name"), F.col("claim_status"), F.col("last")
+    # these states are read at the claim's latest date; the others name their rows by state
+    cells = _decided(log, *states).where(~F.col("claim_status").isin(*LATEST_STATES) | F.col("at_latest"))
+    by_coverage = _over("coverage")
+    cells = cells.withColumns({"cover_valued": F.max("last_valued").over(by_coverage), "cover_last": F.max("last").over(by_coverage)})
+    best = F.coalesce("cover_valued", "cover_last")
+    mine = state == status
+    n_mine = F.count_if(state == "in process").over(_over())
+    facts = {
+        "best_last": F.max(best).over(_over()),
+        "claim_valued": F.max("cover_valued").over(_over()).isNotNull(),
+        "n_mine": n_mine,
+        "paid_sum": F.sum("paid").over(by_coverage).cast("decimal(15,2)"),
+    }
+    cells = cells.withColumns(facts)
+    is_last_approved = (state == "approved") & F.struct("updateddate", "last").eqNullSafe(F.struct("approved.updateddate", "approved.last"))
+    keeps = {
+        "estimate pending": F.when(F.col("cover_valued").isNotNull(), F.col("last_valued") == F.col("cover_valued")).otherwise(
+            ~F.col("claim_valued") & (last == F.col("cover_last")) & (last == F.col("best_last"))
+        ),
+        "documents pending": F.lit(True),
+        "assessment pending": F.col("survives"),
+        "in process": mine,
+        "approved": is_last_approved,
+        "paid out": last == F.col("cover_last"),
+        "cancelled": mine,
+        "denied": mine,
+    }
+    only = {
+        "estimate pending": best,
+        "assessment pending": F.when(~F.col("any_valued"), F.col("group_last")),
+        "in process": F.when(F.col("n_mine") == 1, last).otherwise(F.col("first")),
+        "approved": last,
+        "paid out": last,
+    }
+
+    def by_rule(values: dict[str, Column]) -> Column:
+        return reduce(lambda chain, item: chain.when(status == item[0], item[1]), values.items(), F)
+
+    chosen = cells.where(F.coalesce(by_rule(keeps), F.lit(False)))
+    assessed = status == "assessment pending"
+    return chosen.select(
+        *CELL,
+        status.alias("rule"),
+        F.when(assessed, state).otherwise(status).alias("claim_status"),
+        by_rule(only).alias("only"),
+        (assessed & F.col("any_valued")).alias("valued_only"),
+        "previous",
+        "paid_sum",
+        _approved_estimate().alias("approved_estimate"),
     )
-    return _unrow(kept, "best", log.columns)
 
 
-def reduce_documents_pending(log: DataFrame) -> DataFrame:
-    """Rows at the latest date of the claims waiting for documents."""
-    return _at_latest_of(log, "documents pending").select(*log.columns, "claim_status")
+def _reduced_amounts() -> dict[str, Column]:
+    """The amounts of the rows that the reductions keep, by the rule that keeps them."""
+    rule, previous = F.col("rule"), F.col("previous")
+    waiting, raw = rule.isin("estimate pending", "assessment pending"), rule == "documents pending"
+    filled = {c: F.coalesce(F.col(c), zero()) for c in AMOUNTS}
+    joint = F.col("claim_estimate").isNull() | F.col("claim_estimate_first").isNull()
+    inherited = {c: F.when((rule == "cancelled") & previous.isNotNull(), F.col(f"previous.{c}")) for c in CARRIED}
+    denied = F.coalesce(
+        F.nullif(F.col("total_claim_estimate"), zero()), F.nullif(F.col("previous.total_claim_estimate"), zero()), filled["compensation_total"]
+    )
+    first, total, paid = "claim_estimate_first", "total_claim_estimate", "compensation_total"
+    return {
+        "claim_estimate": F.when(raw, F.col("claim_estimate")).when(waiting & joint, zero()).otherwise(filled["claim_estimate"]),
+        first: F.when(raw | (rule == "approved"), F.col(first)).when(waiting & joint, zero()).otherwise(F.coalesce(inherited[first], filled[first])),
+        total: F.when(raw | waiting | (rule == "in process"), F.col(total))
+        .when(rule == "approved", F.col("approved_estimate"))
+        .when(rule == "denied", denied)
+        .otherwise(F.coalesce(inherited[total], filled[total])),
+        paid: F.when(raw | waiting, F.col(paid)).when(rule == "paid out", F.col("paid_sum")).otherwise(F.coalesce(inherited[paid], filled[paid])),
+    }
 
 
-def _assessed_cells(log: DataFrame) -> DataFrame:
-    """Cells that survive the reduction of claims waiting for assessment, with their corrected claim_status.
+def reduce_claims(log: DataFrame, *states: str) -> DataFrame:
+    """The rows that stand for the claims resolved to the given states (all by default), with claim_status.
 
-    Where a claim repeats a coverage, cells in another state give way to cells in the claim's own state.
-    What is left in another state takes that state. `any_valued` and `last_index` describe the group
-    (claim, stays or moves) the cell belongs to. `log` is already joint-zero filled.
+    The log is read twice: once for the day cells, whose windows decide which rows stay, and once to fetch these. Whole
+    rows meet no aggregate and no window. The states' rules:
+
+    * estimate pending: latest date; zero rows go when the claim has others, a claim of zero rows keeps its last one;
+      last row per (claim, coverage); an estimate missing on one side is 0 on both.
+    * documents pending: all rows at the latest date.
+    * assessment pending: as `_assessed`; what is left in another state takes that state.
+    * in process: rows in that state at the latest date, the last one of a single coverage, the first of each of several.
+    * approved: the latest approved row, its estimate by `_approved_estimate`.
+    * paid out: latest date; compensation summed per (claim, coverage), last row kept.
+    * cancelled: cancelled rows with the amounts of the claim's latest other row, where there is one.
+    * denied: denied rows; a zero estimate comes from the claim's latest other row, else from the compensation.
     """
-    cells = _latest_cells(
-        log,
-        "assessment pending",
-        n=F.count(F.lit(1)),
-        n_valued=F.count_if(_valued()),
-        cell_last=F.max("row_index"),
-    )
-    own = F.col("claim_status_name") == F.col("claim_status")
-    per_coverage = F.sum("n").over(Window.partitionBy("claimnumber", "coverage"))
-    cells = cells.withColumn("n_coverage", per_coverage)
-    cells = cells.withColumn("repeats", F.max("n_coverage").over(_over_claim()) > 1)
-    cells = cells.withColumn("owns", F.max(own).over(_over_claim()))
-    kept = cells.where(~(F.col("repeats") & F.col("owns") & ~own))
-    kept = kept.withColumn("stays", own).withColumn("claim_status", F.col("claim_status_name"))
-    group = Window.partitionBy("claimnumber", "stays")
-    return kept.withColumn("any_valued", F.sum("n_valued").over(group) > 0).withColumn(
-        "last_index", F.max("cell_last").over(group)
-    )
+    chosen = _chosen(log, *states)
+    rows = join_facts(log, chosen, CELL, "inner", null_safe=True)
+    kept = rows.where((F.col("only").isNull() | (F.col("row_index") == F.col("only"))) & (~F.col("valued_only") | _valued()))
+    return kept.select(*[_reduced_amounts().get(c, F.col(c)).alias(c) for c in log.columns], "claim_status")
 
 
-def reduce_assessment_pending(log: DataFrame) -> DataFrame:
-    """Latest rows of the claims waiting for assessment, with corrected claim_status.
+def reduce_estimate_pending(log: DataFrame) -> DataFrame:
+    return reduce_claims(log, "estimate pending")
 
-    After the choice of `_assessed_cells`, separately for rows that stay and rows that move to another
-    state: zero rows go when others remain; a group of zero rows keeps its last one.
-    """
-    r = _joint_zero(log, "claim_estimate", "claim_estimate_first")
-    cells = _assessed_cells(r).select(*CELL, "claim_status", "any_valued", "last_index")
-    rows = join_facts(r, cells, CELL, "inner", null_safe=True)
-    keep = _valued() | (~F.col("any_valued") & (F.col("row_index") == F.col("last_index")))
-    return rows.where(keep).select(*log.columns, "claim_status")
 
+def reduce_documents_pending(log: DataFrame) -> DataFrame:
+    """Rows at the latest date of the claims waiting for documents."""
+    return _at_latest_of(log, "documents pending").select(*log.columns, "claim_status")
 
-def moved_status(log: DataFrame) -> DataFrame:
-    """Claims taken for waiting for assessment whose latest rows say otherwise, with the strongest such state."""
-    r = _joint_zero(log, "claim_estimate", "claim_estimate_first")
-    rank = F.coalesce(status_rank("claim_status"), F.lit(len(STATUS_PRIORITY) + 1))
-    survives = (F.col("n_valued") > 0) | (~F.col("any_valued") & (F.col("cell_last") == F.col("last_index")))
-    moved = _assessed_cells(r).where(~F.col("stays") & survives)
-    return (
-        moved.groupBy("claimnumber")
-        .agg(F.min(rank).alias("rank"))
-        .select("claimnumber", F.coalesce(status_of_rank(F.col("rank")), F.lit("submitted")).alias("moved_status"))
-    )
+
+def reduce_assessment_pending(log: DataFrame) -> DataFrame:
+    return reduce_claims(log, "assessment pending")
 
 
 def reduce_in_process(log: DataFrame) -> DataFrame:
-    """Rows in process at the claim's latest date: the last one of a single coverage, the first of each of several."""
-    r = _zero(log, ("claim_estimate", "claim_estimate_first", "compensation_total"))
-    cells = _latest_cells(r, "in process", first=F.min(_row(r)), last=F.max(_row(r)))
-    mine = cells.where(F.col("claim_status_name") == "in process")
-    coverages = F.count(F.lit(1)).over(_over_claim())
-    chosen = mine.withColumn("n", coverages).withColumn(
-        "chosen", F.when(F.col("n") == 1, F.col("last")).otherwise(F.col("first"))
-    )
-    return _unrow(chosen, "chosen", log.columns)
+    return reduce_claims(log, "in process")
 
 
 def reduce_approved(log: DataFrame) -> DataFrame:
-    """Latest approved row per claim; a zero estimate comes from the latest row in another state, else from the compensation.
-
-    All of it is one aggregate per claim.
-    """
-    r = _zero(log, ("claim_estimate", "total_claim_estimate", "compensation_total"))
-    approved = F.col("claim_status_name") == "approved"
-    order = ("updateddate", "row_index")
-    claims = r.groupBy("claimnumber").agg(
-        status_of_rank(F.min(status_rank("claim_status_name"))).alias("claim_status"),
-        F.max(F.when(approved, _row(r, order))).alias("last"),
-        F.max(F.when(~approved, F.struct(*order, "total_claim_estimate"))).alias("previous"),
-    )
-    entered, net = F.col("last.total_claim_estimate"), F.col("last.compensation_total")
-    estimate = (
-        F.when(entered != 0, entered)
-        .when(F.col("previous").isNotNull(), F.col("previous.total_claim_estimate"))
-        .when(net != 0, gross_up(net))
-        .otherwise(entered)
-    )
-    return _unrow(claims.where(F.col("claim_status") == "approved"), "last", log.columns, total_claim_estimate=estimate)
+    return reduce_claims(log, "approved")
 
 
 def reduce_paid_out(log: DataFrame) -> DataFrame:
-    """Rows at the latest date of paid-out claims, compensation summed per (claim, coverage), last row kept."""
-    r = _zero(log, AMOUNTS)
-    cells = _latest_cells(r, "paid out", last=F.max(_row(r)), total=F.sum("compensation_total"))
-    paid = cells.groupBy("claimnumber", "coverage", "claim_status").agg(
-        F.max("last").alias("last"), F.sum("total").cast("decimal(15,2)").alias("total")
-    )
-    return _unrow(paid, "last", log.columns, compensation_total=F.col("total"))
-
-
-def _closed_with_previous(log: DataFrame, status: str, columns: Sequence[str]) -> DataFrame:
-    """Rows in `status` of the claims resolved to it, beside amounts of the claim's latest row in another state."""
-    r = _zero(log, AMOUNTS)
-    own = F.col("claim_status_name") == status
-    previous = F.max(F.when(~own, F.struct("updateddate", "row_index", *columns))).alias("previous")
-    claims = r.groupBy("claimnumber").agg(
-        status_of_rank(F.min(status_rank("claim_status_name"))).alias("claim_status"), previous
-    )
-    return join_facts(r.where(own), claims.where(F.col("claim_status") == status), CLAIM, "inner")
+    return reduce_claims(log, "paid out")
 
 
 def reduce_cancelled(log: DataFrame) -> DataFrame:
-    """Cancelled rows with the amounts of the claim's latest other row, where there is one."""
-    taken = ["total_claim_estimate", "claim_estimate_first", "compensation_total"]
-    rows = _closed_with_previous(log, "cancelled", taken)
-    inherited = {
-        c: F.when(F.col("previous").isNotNull(), F.col(f"previous.{c}")).otherwise(F.col(c)) for c in taken
-    }
-    return rows.withColumns(inherited).select(*log.columns, "claim_status")
+    return reduce_claims(log, "cancelled")
 
 
 def reduce_denied(log: DataFrame) -> DataFrame:
-    """Denied rows; a zero estimate comes from the claim's latest other row, else from the compensation."""
-    rows = _closed_with_previous(log, "denied", ["total_claim_estimate"])
-    entered = F.nullif(F.col("total_claim_estimate"), zero())
-    previous = F.nullif(F.col("previous.total_claim_estimate"), zero())
-    estimate = F.coalesce(entered, previous, F.col("compensation_total"))
-    return rows.withColumn("total_claim_estimate", estimate).select(*log.columns, "claim_status")
+    return reduce_claims(log, "denied")
+
+
+def _moved_rank() -> Column:
+    """Rank of the strongest state that surviving cells of a claim taken for waiting for assessment move to."""
+    moved = (F.col("claim_status") == "assessment pending") & ~F.col("own") & F.col("survives")
+    return F.when(moved, F.coalesce(status_rank("claim_status_name"), F.lit(len(STATUS_PRIORITY) + 1)))
+
+
+def _status_moved_to(rank: Column) -> Column:
+    return F.when(rank.isNotNull(), F.coalesce(status_of_rank(rank), F.lit("submitted")))
+
+
+def moved_status(log: DataFrame) -> DataFrame:
+    """Claims taken for waiting for assessment whose latest rows say otherwise, with the strongest such state."""
+    moved = _decided(log, "assessment pending").groupBy("claimnumber").agg(F.min(_moved_rank()).alias("rank")).where(F.col("rank").isNotNull())
+    return moved.select("claimnumber", _status_moved_to(F.col("rank")).alias("moved_status"))
 
 
 def clean_log(log: DataFrame) -> DataFrame:
     """One row per (claim, state, coverage): earliest date, then highest index; amounts zero-filled.
 
-    Claims relabelled while waiting for assessment take their new state, and approved rows take the
-    approved estimate. After the choice a claim has a bounded number of rows, so plain windows and
-    joins on the claim are safe.
+    Claims relabelled while waiting for assessment take their new state, and approved rows take the approved estimate.
+    The rows are chosen among day cells and fetched by a second scan, as in `reduce_claims`.
     """
-    r = _zero(log, AMOUNTS).withColumn("__back", -F.col("row_index"))
-    first = r.groupBy("claimnumber", "claim_status_name", "coverage").agg(
-        F.min(_row(r, ("updateddate", "__back"))).alias("first")
-    )
-    rank = F.min(status_rank("claim_status_name")).over(_over_claim())
-    rows = _unrow(first.withColumn("claim_status", status_of_rank(rank)), "first", log.columns)
-    approved = reduce_approved(log).select("claimnumber", F.col("total_claim_estimate").alias("approved_estimate"))
-    rows = rows.join(moved_status(log), CLAIM, "left").join(approved, CLAIM, "left")
+    cells = _decided(log)
+    place = F.struct("updateddate", (-F.col("last")).alias("back"))
+    is_first = place.eqNullSafe(F.col("first_place"))
+    cells = cells.withColumns({"first_place": F.min(place).over(_over("claim_status_name", "coverage")), "moved": F.min(_moved_rank()).over(_over())})
     is_approved = (F.col("claim_status_name") == "approved") & (F.col("claim_status") == "approved")
-    estimate = F.when(is_approved, F.coalesce("approved_estimate", "total_claim_estimate")).otherwise(
-        F.col("total_claim_estimate")
-    )
-    return (
-        rows.withColumn("total_claim_estimate", estimate)
-        .withColumn("claim_status", F.coalesce("moved_status", "claim_status"))
-        .select(*log.columns, "claim_status")
+    chosen = cells.where(is_first).select(
+        *CELL,
+        F.coalesce(_status_moved_to(F.col("moved")), "claim_status").alias("claim_status"),
+        F.when(is_approved, _approved_estimate()).alias("approved_estimate"),
+        F.col("last").alias("only"),
     )
+    rows = join_facts(log, chosen, CELL, "inner", null_safe=True).where(F.col("row_index") == F.col("only"))
+    filled = {c: F.coalesce(F.col(c), zero()) for c in AMOUNTS}
+    filled["total_claim_estimate"] = F.coalesce("approved_estimate", filled["total_claim_estimate"])
+    return rows.select(*[filled.get(c, F.col(c)).alias(c) for c in log.columns], "claim_status")
 
 
-def damage_facts(log: DataFrame, with_status: bool = False) -> DataFrame:
+def damage_facts(log: DataFrame, with_status: bool = False, with_milestones: bool = False) -> DataFrame:
     """Per claim: number of different damage types, the first one, and all of them counted.
 
-    `with_status` adds claim_status and paid_on from the same pass over the log.
+    `with_status` adds claim_status and paid_on, `with_milestones` the milestone dates, from the same pass over the log.
     """
     value = F.when(F.trim("damage_type") != "", F.col("damage_type"))
     name = F.col("claim_status_name") if with_status else None
@@ -345,8 +380,9 @@ def damage_facts(log: DataFrame, with_status: bool = False) -> DataFrame:
         if with_status
         else {}
     )
+    dates = {n: first_date_of(state) for n, state in MILESTONE_STATES.items()} if with_milestones else {}
     per_value = log.groupBy("claimnumber", value.alias("v")).agg(
-        F.count(F.lit(1)).alias("copies"), *[c.alias(n) for n, c in carried.items()]
+        F.count(F.lit(1)).alias("copies"), *[c.alias(n) for n, c in {**carried, **dates}.items()]
     )
     named = F.col("v").isNotNull()
     merged = (
@@ -357,6 +393,7 @@ def damage_facts(log: DataFrame, with_status: bool = False) -> DataFrame:
         F.min("v").alias("only_damage"),
         F.array_sort(F.collect_list(F.when(named, F.struct(F.col("v").alias("value"), "copies")))).alias("damages"),
         *merged,
+        *[F.min(n).alias(n) for n in dates],
     )
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from claimflow.functions.expressions import map_value
 from claimflow.operators import lifecycle as life
 from claimflow.operators.cleaning import default_usage, repair_order
 from claimflow.operators.picking import dedupe, pick
-from claimflow.operators.relational import append_rows, keys_of
+from claimflow.operators.relational import keys_of
 from claimflow.operators.shaping import Field, fields_for, project
 from claimflow.sources.contracts import CLAIM_COLUMNS, STATUS_LOG
 
@@ -75,18 +74,8 @@ def deduped_history(log: DataFrame) -> DataFrame:
 
 
 def reduced_claims(log: DataFrame) -> DataFrame:
-    """The reductions of all states, one below the other."""
-    parts = [
-        life.reduce_estimate_pending(log),
-        life.reduce_documents_pending(log),
-        life.reduce_assessment_pending(log),
-        life.reduce_in_process(log),
-        life.reduce_approved(log),
-        life.reduce_paid_out(log),
-        life.reduce_cancelled(log),
-        life.reduce_denied(log),
-    ]
-    return reduce(append_rows, parts)
+    """The reductions of all states, from one table of day cells."""
+    return life.reduce_claims(log)
 
 
 def reduced_with_facts(log: DataFrame) -> DataFrame:
@@ -94,7 +83,7 @@ def reduced_with_facts(log: DataFrame) -> DataFrame:
 
     Both are facts of the whole claim, one row each, and meet the few rows that the reductions leave.
     """
-    facts = life.milestones(log).join(life.damage_facts(log), life.CLAIM)
+    facts = life.damage_facts(log, with_milestones=True)
     return life.damage_labels(reduced_claims(log).join(facts, life.CLAIM))
 
 

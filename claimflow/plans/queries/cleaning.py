@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from claimflow.functions import vocabulary as v
 from claimflow.functions.expressions import full_months, map_value, month_key, parse_date, parse_money, ratio, to_day
 from claimflow.operators import cleaning as op
+from claimflow.operators.phrases import find_phrases, phrase_counts
 from claimflow.plans.policies import clean_policies
 from claimflow.plans.queries import expected
 from claimflow.plans.queries import fragments as sql
@@ -253,6 +254,38 @@ def c16_match_keywords_documents(spark, sf):
     return op.match_keywords(docs, "text", DOCUMENT_PHRASES).select("doc_id", "matched")
 
 
+PHRASES_SQL = """
+words AS (SELECT item_id, k, w[k] AS a, w[k + 1] AS b FROM (SELECT item_id, string_split(lower(text), ' ') AS w FROM benchmark), range(1, len(w)) AS r(k)),
+phrases AS (SELECT DISTINCT a || ' ' || b AS phrase FROM words WHERE a <> '' AND b <> ''),
+pairs AS (
+  SELECT doc_id, w || ' ' || lead(w) OVER later AS phrase, COALESCE(SUM(len(w) + 1) OVER earlier, 0) AS position
+  FROM (SELECT rid, doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS k
+    FROM (SELECT row_number() OVER () AS rid, doc_id, string_split(lower(text), ' ') AS w FROM documents))
+  WINDOW later AS (PARTITION BY rid ORDER BY k), earlier AS (PARTITION BY rid ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+found AS (SELECT doc_id, phrase, CAST(position AS INTEGER) AS position FROM pairs JOIN phrases USING (phrase))"""
+
+
+def benchmark_phrases(spark, sf):
+    """All pairs of neighbouring words in the passages of the benchmark, which come to the driver; the search checks their size."""
+    words = F.split(F.lower("text"), " ")
+    pairs = F.arrays_zip(words.alias("a"), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))).alias("b"))
+    each = load(spark, sf, "benchmark", ["text"]).select(F.explode(pairs).alias("pair")).select("pair.*")
+    named = each.where((F.col("a") != "") & (F.col("b") != "")).select(F.concat_ws(" ", "a", "b").alias("phrase")).distinct()
+    return [r["phrase"] for r in named.toLocalIterator()]
+
+
+@query("c16_phrase_positions", f"WITH {PHRASES_SQL} SELECT * FROM found")
+def c16_phrase_positions(spark, sf):
+    docs = load(spark, sf, "documents", ["doc_id", "text"])
+    return find_phrases(docs, "text", benchmark_phrases(spark, sf), ["doc_id"], between=" ")
+
+
+@query("c16_phrase_counts", f"WITH {PHRASES_SQL} SELECT phrase, COUNT(*) AS occurrences, COUNT(DISTINCT doc_id) AS found_in FROM found GROUP BY phrase")
+def c16_phrase_counts(spark, sf):
+    docs = load(spark, sf, "documents", ["doc_id", "text"])
+    return phrase_counts(find_phrases(docs, "text", benchmark_phrases(spark, sf), ["doc_id"], between=" "), "doc_id")
+
+
 @query(
     "c17_day_difference",
     f"WITH {sql.LOG} SELECT claimnumber, row_index, CAST(updateddate - claim_submitted_date AS INTEGER) AS days, "

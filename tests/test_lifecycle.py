@@ -3,7 +3,7 @@ from decimal import Decimal
 from itertools import combinations
 
 import pytest
-from helpers import COVERAGES, LOG_SCHEMA, STATES, as_dicts, key_set, log_rows
+from helpers import COVERAGES, LOG_COLUMNS, LOG_SCHEMA, STATES, as_dicts, key_set, log_rows
 from pyspark.sql import functions as F
 
 from claimflow.operators.grouping import spelled
@@ -283,3 +283,27 @@ def test_reductions_do_not_depend_on_partitioning(log, reduce):
     a = key_set(as_dicts(reduce(log)), *COMPARED)
     b = key_set(as_dicts(reduce(log.repartition(7, "updateddate"))), *COMPARED)
     assert a == b
+
+
+def test_all_states_at_once_are_the_states_one_by_one(log):
+    """The rows of `reduce_claims` are those of the eight reductions, each held against its own replay above."""
+    each = [
+        life.reduce_estimate_pending,
+        life.reduce_documents_pending,
+        life.reduce_assessment_pending,
+        life.reduce_in_process,
+        life.reduce_approved,
+        life.reduce_paid_out,
+        life.reduce_cancelled,
+        life.reduce_denied,
+    ]
+    parts = sorted(str(r) for reduction in each for r in reduction(log).select(*LOG_COLUMNS, "claim_status").collect())
+    assert sorted(map(str, life.reduce_claims(log).select(*LOG_COLUMNS, "claim_status").collect())) == parts
+
+
+def test_whole_rows_meet_no_sort_aggregate(spark, log):
+    """The plan has two scans of the log, and what is aggregated or windowed are cells of fixed width."""
+    for reduced in (life.reduce_claims(log), life.clean_log(log)):
+        plan = reduced._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+        assert reduced._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
