@@ -4,15 +4,11 @@ Two sets agree by 0.8 only if the first fifth of the one and the first fifth of
 that is the same for all sets (prefix filter). So no pair is lost at any size or density: rows that share such a hash
 are candidates, and a candidate pair is a link if the exact count of common hashes says so. The order is that of the
 hashes with common ones last (told by a sample, which bears on the work alone, not on the result).
-
-The wide fingerprints below (`wide_simhash`, `similar_links`) are an estimate, 512 bits of which 88 may differ, with
-a trie built in several turns that may miss pairs. `drop_near_copies` does not use them.
 """
 
 from __future__ import annotations
 
 import functools
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,14 +21,6 @@ from claimflow.llm.common import save
 from claimflow.llm.components import connected_components
 
 WORDS = 5
-LANES = 8  # 64-bit lanes of a wide fingerprint
-BUDGET = 88
-EXPECTED = 0.15  # share of bits that differ where the shingles agree by 0.8
-MISS = 0.01
-PATH_BUDGET = 18
-SUBTREE = 1024
-CHUNK = 1 << 17  # rows of a turn that a task holds
-SEED = 42
 SAMPLE = 16  # one row in so many tells which hashes are common
 OFTEN = 4  # rows of the sample that hold a common hash
 COMMON = 4096  # common hashes at most
@@ -40,126 +28,6 @@ PAIRS = 4  # pairs an entry for which no leaders are needed
 LEADERS = 6  # rounds of them at most
 
 
-def wide_simhash(text: str, words: int = WORDS) -> bytes:
-    """LANES * 64 bits: a bit is set if it is in over half the hashes of the distinct shingles; without words all zero."""
-    hashes = np.unique(simhash.shingle_hashes(text, words))
-    ones = np.zeros(LANES * 64, np.int64)
-    lanes = np.arange(LANES, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019) + np.uint64(0x9E3779B97F4A7C15)
-    for at in range(0, len(hashes), 255):  # sums of 255 bits fit a byte
-        mixed = hashes[at : at + 255, None] * (lanes | np.uint64(1))
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed ^= mixed >> np.uint64(32)
-        ones += np.unpackbits(mixed.view(np.uint8).reshape(len(mixed), -1), axis=1).sum(axis=0, dtype=np.uint8)
-    return np.packbits(2 * ones > len(hashes)).tobytes()
-
-
-def turns_for(rows: int) -> int:
-    """How many turns find a pair that differs in EXPECTED of its bits, but for MISS of such pairs."""
-    depth = math.ceil(math.log2(rows / SUBTREE)) + 1 if rows > SUBTREE else 0
-    agree = (1 - EXPECTED) ** depth
-    return 1 if agree == 1 else math.ceil(math.log(MISS) / math.log(1 - agree))
-
-
-def _lanes(column: pa.Array) -> np.ndarray:
-    """Wide fingerprints of a binary column, a row of lanes each."""
-    _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
-    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(np.uint64).reshape(-1, LANES)
-
-
-def _paths(turns: int):
-    """Every row once a turn, with the 64 bits that are its path in that turn."""
-    order = np.random.default_rng(SEED)
-    chosen = [order.permutation(LANES * 64)[:64] for _ in range(turns)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            bits = np.unpackbits(_lanes(batch.column(1)).view(np.uint8), axis=1)
-            for turn, at in enumerate(chosen):
-                path = np.ascontiguousarray(np.packbits(bits[:, at], axis=1)).view(">i8").astype(np.int64).ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(batch), turn), pa.int32()), pa.array(path), batch.column(0), batch.column(1)],
-                    names=["turn", "path", "row", "wide"],
-                )
-
-    return run
-
-
-def subtrees(paths: np.ndarray, most: int = SUBTREE) -> Iterator[tuple[int, int, int]]:
-    """(begin, end, depth) of the highest trie nodes of at most `most` leaves over sorted unsigned paths.
-
-    More leaves than that on one and the same path come in runs that share a leaf with the next.
-    """
-    stack = [(0, len(paths), 0)]
-    while stack:
-        lo, hi, depth = stack.pop()
-        if hi - lo < 2:
-            continue
-        if hi - lo <= most:
-            yield lo, hi, depth
-        elif depth == 64:
-            for at in range(lo, hi - 1, most - 1):
-                yield at, min(at + most, hi), depth
-        else:
-            bit = np.uint64(63 - depth)
-            middle = lo + int(np.searchsorted(paths[lo:hi], ((paths[lo] >> bit) | np.uint64(1)) << bit))
-            stack += [(lo, middle, depth + 1), (middle, hi, depth + 1)]
-
-
-def _links(budget: int):
-    def near(paths: np.ndarray, rows: np.ndarray, wide: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for lo, hi, depth in subtrees(paths):
-            part, label = wide[lo:hi], np.arange(hi - lo)
-            for i, j in simhash.walk_together(paths[lo:hi], paths[lo:hi], depth, 0, PATH_BUDGET, True, leaves=1024):
-                within = np.bitwise_count(part[i] ^ part[j]).sum(axis=1, dtype=np.int64) <= budget
-                label = simhash.join_labels(label, i[within], j[within])
-            linked = np.flatnonzero(label != np.arange(hi - lo))
-            yield rows[lo:hi][linked], rows[lo:hi][label[linked]]
-
-    def emit(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn, path, rows = (np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in held]) for k in range(3))
-        wide = np.concatenate([_lanes(b.column(3)) for b in held])
-        path = path.astype(np.int64).view(np.uint64)
-        order = np.lexsort((rows, path, turn))
-        turn, path, rows, wide = turn[order], path[order], rows[order], wide[order]
-        bounds = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), len(turn)]
-        for lo, hi in zip(bounds, bounds[1:], strict=False):
-            for a, b in near(path[lo:hi], rows[lo:hi], wide[lo:hi]):
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if len(batch):
-                held.append(batch)
-            if sum(map(len, held)) >= CHUNK:
-                yield from emit(held)
-                held = []
-        if held:
-            yield from emit(held)
-
-    return run
-
-
-def similar_links(rows: DataFrame, size: int, budget: int = BUDGET) -> DataFrame:
-    """Links (a, b) between rows (row long, wide binary) whose wide fingerprints differ in at most `budget` bits.
-
-    Each node gives out a spanning forest of what it links, so a group makes no more links a turn than it has rows.
-    """
-    turns = turns_for(size)
-    parts = max(1, -(-size * turns // CHUNK))
-    each = rows.select("row", "wide").mapInArrow(_paths(turns), "turn int, path long, row long, wide binary")
-    return (
-        each.repartitionByRange(parts, "turn", "path")
-        .sortWithinPartitions("turn", "path")
-        .mapInArrow(_links(budget), "a long, b long")
-        .distinct()
-    )
-
-
 def _sets(texts: pa.Array) -> pa.Array:
     """The distinct shingle hashes of every text; null texts count as empty."""
     return _listed([np.unique(simhash.shingle_hashes(t.as_py() or "", WORDS)).view(np.int64) for t in texts])

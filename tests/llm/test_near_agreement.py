@@ -4,28 +4,12 @@ import random
 
 import numpy as np
 import pytest
-from test_dedup import brute_components, brute_simhash
-from test_near_copies import DOCS, agreement, corpus, shingles
+from test_dedup import brute_simhash
+from test_near_copies import DOCS, agreement, corpus, exact_stays
 
 from claimflow.llm import near_copies
 
 
-def exact_stays(rows):
-    """rows: [(doc_id, text)] of known, distinct ids; the ids that stay."""
-    prints = [(d, brute_simhash(t)) for d, t in rows]
-    component = brute_components(prints)
-    sets = {d: shingles(t) for d, t in rows}
-    label = {d: component[f] for d, f in prints}
-    ids = sorted(label)
-    for k, a in enumerate(ids):
-        for b in ids[k + 1 :]:
-            both = len(sets[a] & sets[b])
-            if 9 * both >= 4 * (len(sets[a]) + len(sets[b])) and label[a] != label[b]:
-                low, high = sorted((label[a], label[b]))
-                label = {d: low if x == high else x for d, x in label.items()}
-    return {d for d in ids if label[d] == d}
-
-
 def test_only_texts_that_agree_go(spark):
     rows = corpus(400, random.Random(4))
     got = {r["doc_id"] for r in near_copies.drop_near_copies(spark.createDataFrame([(*r, "r", 1, 2) for r in rows], DOCS)).collect()}
