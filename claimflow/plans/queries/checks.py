@@ -15,7 +15,8 @@ from claimflow.plans.queries.registry import query
 from claimflow.plans.queries.relational import CLAIM, log, snapshot
 from claimflow.sources import adapters
 from claimflow.sources.hashed import save_hashed
-from claimflow.sources.tables import stage
+from claimflow.sources.stages import save_checked
+from claimflow.sources.tables import new_path, stage
 from claimflow.sources.contracts import POLICY, SNAPSHOT, STATUS_LOG
 
 KEEP = ["claimnumber", "row_index"]
@@ -149,6 +150,31 @@ def l5_check_status_dates(spark, sf):
     return op.check_status_dates(log(spark, sf, *KEEP, *STATUS_DATES), KEEP)
 
 
+OBSERVED_SQL = {
+    "submitted after opened": "claim_submitted_date > claim_opened_date",
+    "accident after submitted": "claim_accident_date > claim_submitted_date",
+    "accident after opened": "claim_accident_date > claim_opened_date",
+    "accident after updated": "claim_accident_date > updateddate",
+    "submitted not dated as submitted": "claim_status_name = 'submitted' AND updateddate <> claim_submitted_date",
+    "assessment not dated as opened": "claim_status_name = 'assessment pending' AND updateddate <> claim_opened_date",
+    "decided without approval date": "claim_status_name IN ('denied', 'approved', 'cancelled') AND claim_approved_date IS NULL",
+    "paid without payment date": "claim_status_name = 'paid out' AND payment_date IS NULL",
+}
+
+
+@query(
+    "l1_l5_checked_stage",
+    f"WITH {sql.LOG} "
+    + " UNION ALL ".join(f"SELECT '{rule}' AS rule, COUNT(*) FILTER (WHERE {broken}) AS violations, COUNT(*) AS checked FROM log" for rule, broken in OBSERVED_SQL.items()),
+)
+def l1_l5_checked_stage(spark, sf):
+    """Violations of all rules of the log, out of the job that writes it."""
+    rules = {name: F.col(a) > F.col(b) for name, (a, b) in op.CLAIM_DATE_RULES.items()}
+    rows = log(spark, sf, *KEEP, *dict.fromkeys((*STATUS_DATES, "claim_accident_date", "claim_opened_date", "claim_submitted_date", "updateddate")))
+    _, violations = save_checked(rows, new_path(spark, "checked-log"), {**rules, **op.status_date_rules()})
+    return violations
+
+
 @query(
     "l5_paid_never_approved",
     f"WITH {sql.LOG} SELECT DISTINCT claimnumber FROM log WHERE claim_status_name = 'paid out' AND claimnumber NOT IN "

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from claimflow.operators import grouping as op
-from claimflow.operators import picking
+from claimflow.operators import distinct, picking
 from claimflow.plans.history import DEDUPE_KEYS, deduped_history
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.registry import query
 from claimflow.plans.queries.relational import CLAIM, log, snapshot
 from claimflow.sources import adapters
-from claimflow.sources.tables import load
+from claimflow.sources.tables import load, stage
 
 
 @query(
@@ -244,3 +244,32 @@ def g8_keep_last(spark, sf):
 )
 def g9_at_latest_date(spark, sf):
     return picking.at_latest(log(spark, sf, "claimnumber", "row_index", "updateddate"), CLAIM, "updateddate")
+
+
+@query(
+    "f1_distinct_by_sketch",
+    """WITH held AS (SELECT DISTINCT CAST(date_trunc('quarter', CAST(o_orderdate AS DATE)) AS DATE) AS q, o_custkey AS c FROM orders),
+stays AS (SELECT a.q, COUNT(*) AS n FROM held a JOIN held b ON b.c = a.c AND b.q = a.q + INTERVAL 3 MONTH GROUP BY a.q)
+SELECT CAST(held.q AS VARCHAR) AS quarter, COUNT(*) AS customers, 1 AS within, COALESCE(ANY_VALUE(stays.n), 0) AS also_next, 1 AS next_within
+FROM held LEFT JOIN stays ON stays.q = held.q GROUP BY held.q""",
+)
+def f1_distinct_by_sketch(spark, sf):
+    """Customers of a quarter, and those it shares with the next, exact and by the united sketches of its months.
+
+    `within` tells whether the sketches are off by no more than four standard errors.
+    """
+    policies = adapters.policies(spark, sf).select("customercode", F.trunc("start_date", "MM").alias("month"), F.trunc("start_date", "quarter").alias("quarter"))
+    monthly_sketches = stage(distinct.sketches(policies, ["month"], "customercode"), "customer-sketches")
+    kept = distinct.unite(monthly_sketches.withColumn("quarter", F.trunc("month", "quarter")), ["quarter"])
+    before = kept.withColumn("quarter", F.add_months("quarter", -3))
+    read = distinct.counted(kept).join(distinct.shared(kept, before, ["quarter"]), "quarter", "left")
+    held = policies.select("quarter", "customercode").distinct()
+    # a customer's quarters: each says whether the one after is among them
+    told = held.unionByName(held.withColumn("quarter", F.add_months("quarter", -3)).withColumn("later", F.lit(1)), allowMissingColumns=True)
+    pairs = told.groupBy("quarter", "customercode").agg(F.count_if(F.col("later").isNull()).alias("own"), F.count("later").alias("next"))
+    exact = pairs.where("own > 0").groupBy("quarter").agg(F.count(F.lit(1)).alias("customers"), F.count_if(F.col("next") > 0).alias("also_next"))
+    most = 4 * distinct.error()
+    both = F.abs(F.coalesce("n_shared", F.lit(0)) - F.col("also_next")) <= most * 2 * F.col("customers") + 0.5
+    return exact.join(read, "quarter").select(
+        "quarter", "customers", (F.abs(F.col("n") - F.col("customers")) <= most * F.col("customers")).alias("within"), "also_next", both.alias("next_within")
+    )

@@ -12,7 +12,9 @@ from claimflow.plans import history
 from claimflow.plans import snapshot as snapshots
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.registry import query
-from claimflow.sources import adapters, tables
+from claimflow.functions.expressions import parse_money
+from claimflow.operators.shaping import Field
+from claimflow.sources import adapters, stages, tables
 
 CLAIM = ["claimnumber"]
 
@@ -259,6 +261,64 @@ def a2_save_stage(spark, sf):
     return tables.stage(rows.where(F.col("claim_status_name") == "estimate pending"), "estimate-pending")
 
 
+DECIDED = "claim_status = 'in process' AND updateddate >= DATE '1997-01-01'"
+
+
+@query(
+    "a2_rewrite_partitions",
+    f"WITH {sql.CLAIMS} SELECT claimnumber, CASE WHEN {DECIDED} AND year(claim_submitted_date) = 1996 THEN 'approved' ELSE claim_status END AS claim_status, "
+    f"CASE WHEN {DECIDED} AND year(claim_submitted_date) = 1996 THEN CAST(updateddate AS VARCHAR) ELSE CAST(claim_approved_date AS VARCHAR) END AS claim_approved_date, "
+    "year(claim_submitted_date) AS year FROM claims",
+)
+def a2_rewrite_partitions(spark, sf):
+    """A stage by year in which a status update reads and replaces the one year it touches, twice with the same outcome."""
+    columns = ("claimnumber", "claim_status", "claim_approved_date", "updateddate")
+    claims = adapters.claims(spark, sf).select(*columns, F.year("claim_submitted_date").alias("year"))
+    path = tables.new_path(spark, "claims-by-year")
+    written = tables.save_stage(claims, path, ["year"])
+    decided = (F.col("claim_status") == "in process") & (F.col("updateddate") >= F.lit("1997-01-01").cast("date"))
+    changes = written.where((F.col("year") == 1996) & decided).select(
+        "claimnumber", "year", F.lit("approved").alias("claim_status"), F.col("updateddate").alias("claim_approved_date")
+    )
+    changes = tables.stage(changes, "decisions")
+    for _ in range(2):
+        stages.rewrite_partitions(path, changes, "year", ["claimnumber"], ["claim_status", "claim_approved_date"])
+    return spark.read.parquet(path).select("claimnumber", "claim_status", "claim_approved_date", "year")
+
+
+EXPORT = "policycode string, customercode string, start_date string, finalprice string"
+EXPORT_CONTRACT = (Field("start_date", "start_date", "date", "dd/MM/yyyy"), Field("finalprice", "finalprice", "money"))
+
+
+@query(
+    "a1_text_with_rejects",
+    """WITH lines AS (SELECT o_orderkey AS k, 'P' || o_orderkey AS policycode, round(o_totalprice * 100) AS cents,
+  CASE WHEN o_orderkey % 61 = 5 OR o_orderkey % 67 = 6 THEN 'columns' WHEN o_orderkey % 71 = 7 AND o_orderkey % 73 = 8
+    THEN 'unreadable start_date,unreadable finalprice' WHEN o_orderkey % 71 = 7 THEN 'unreadable start_date'
+    WHEN o_orderkey % 73 = 8 THEN 'unreadable finalprice' ELSE 'read' END AS outcome FROM orders)
+SELECT outcome, COUNT(*) AS lines, CAST(SUM(CASE WHEN outcome = 'read' THEN cents END) AS DOUBLE) / 100 AS amount FROM lines GROUP BY outcome""",
+)
+def a1_text_with_rejects(spark, sf):
+    """Policies written as text with lines that miss or repeat a column or hold values that cannot be read, and read again."""
+    k = F.col("o_orderkey")
+    price = F.format_number(F.col("o_totalprice").cast("decimal(15,2)"), 2)
+    values = F.struct(
+        F.concat(F.lit("P"), k).alias("policycode"),
+        F.concat(F.lit("KH"), F.col("o_custkey")).alias("customercode"),
+        F.when(k % 71 == 7, "31/02/x").otherwise(F.date_format(F.to_date("o_orderdate"), "dd/MM/yyyy")).alias("start_date"),
+        F.when(k % 73 == 8, F.concat(price, F.lit(" vnd"))).otherwise(price).alias("finalprice"),
+    )
+    line = F.to_csv(values, {"quote": '"', "escape": '"'})
+    line = F.when(k % 61 == 5, F.concat(F.lit("P"), k)).when(k % 67 == 6, F.concat(line, F.lit(",more"))).otherwise(line)
+    path = tables.new_path(spark, "export")
+    tables.load(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]).select(line.alias("value")).write.text(path)
+    read, rejected = tables.load_text_checked(spark, path, EXPORT, EXPORT_CONTRACT, header=False)
+    outcomes = read.select(F.lit("read").alias("outcome"), parse_money("finalprice").alias("amount")).unionByName(
+        rejected.select(F.array_join("reasons", ",").alias("outcome"), F.lit(None).cast("decimal(15,2)").alias("amount"))
+    )
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("lines"), F.sum("amount").alias("amount"))
+
+
 @query("a3_fill_cloned_table", f"WITH {sql.LOG} SELECT claimnumber, row_index, coverage FROM log")
 def a3_fill_cloned_table(spark, sf):
     """A table of the same schema, filled in two steps."""

@@ -8,7 +8,11 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from claimflow.functions.expressions import is_missing
+from claimflow.operators.shaping import Field
 
 SCAN_PARTITIONS = "claimflow.scan.partitions"
 
@@ -30,6 +34,31 @@ def load_text(spark: SparkSession, path: str, schema: str, header: bool = True)
     return spark.read.schema(schema).csv(path, header=header, quote='"', escape='"')
 
 
+def load_text_checked(
+    spark: SparkSession, path: str, schema: str, contract: Sequence[Field] = (), header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """A delimited export in two parts: the rows that can be read, and those that cannot (record, reasons).
+
+    A row is rejected where its number of columns is not that of the schema (`columns`), or where an entered value of a
+    money, date or int column of the contract cannot be read (`unreadable` and the column). The record is the line as it
+    stands for the former, and the row written again for the latter. Every line of the files but headers and empty
+    lines is in one of the two parts.
+    """
+    columns = T.StructType.fromDDL(schema)
+    whole = T.StructType([*columns.fields, T.StructField("__corrupt", T.StringType())])
+    # a parser that reads only the columns asked for does not see that a line has too few or too many
+    options = {"header": header, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnPruning": "false", "columnNameOfCorruptRecord": "__corrupt"}
+    broken = F.col("__corrupt").isNotNull()
+    unreadable = [
+        F.when(~broken & ~is_missing(f.source) & f.parsed().isNull(), F.lit(f"unreadable {f.source}")) for f in contract if f.kind != "text"
+    ]
+    reasons = F.array_compact(F.array(F.when(broken, F.lit("columns")), *unreadable))
+    read = spark.read.schema(whole).options(**options).csv(path).withColumn("reasons", reasons)
+    good = F.size("reasons") == 0
+    record = F.coalesce("__corrupt", F.to_csv(F.struct(*columns.names)))
+    return read.where(good).select(*columns.names), read.where(~good).select(record.alias("record"), "reasons")
+
+
 def load_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """A database table; pass partitionColumn, lowerBound, upperBound and numPartitions to read in parallel."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
