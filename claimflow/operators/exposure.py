@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimflow.functions.expressions import full_months, month_key, ratio
@@ -163,3 +163,61 @@ def renewals(policies: DataFrame) -> DataFrame:
 
 def date_range(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.min(column).alias("first_date"), F.max(column).alias("last_date"))
+
+
+def running(events: DataFrame, at: str, deltas: Sequence[str], grid: DataFrame, point: str) -> DataFrame:
+    """For every point of `grid` the sums of the deltas of all events up to it.
+
+    Events are first added up by where they lie. The window runs over the points and places of a calendar, which it
+    alone bounds: how many events there are does not matter.
+    """
+    placed = events.where(F.col(at).isNotNull()).groupBy(F.col(at).alias(point)).agg(*[F.sum(d).alias(d) for d in deltas])
+    both = placed.withColumn("__asked", F.lit(False)).unionByName(
+        grid.select(point).distinct().withColumn("__asked", F.lit(True)), allowMissingColumns=True
+    )
+    merged = both.groupBy(point).agg(F.max("__asked").alias("__asked"), *[F.sum(d).alias(d) for d in deltas])
+    up_to = Window.orderBy(point).rowsBetween(Window.unboundedPreceding, 0)
+    sums = merged.select(point, "__asked", *[F.sum(d).over(up_to).alias(d) for d in deltas])
+    return sums.where("__asked").select(point, *deltas)
+
+
+def exposure_events(policies: DataFrame, amount: Column, first: Column, after: Column) -> DataFrame:
+    """Two events a policy: its amount and one policy come in force at `first` and go out at `after`."""
+    valid = policies.where(first.isNotNull() & after.isNotNull() & (first < after))
+    share = F.coalesce(amount, F.lit(0)).cast(PREMIUM)
+    each = F.array(
+        F.struct(first.alias("day"), share.alias("earned_premium"), F.lit(1).cast("long").alias("active_policies")),
+        F.struct(after.alias("day"), (-share).alias("earned_premium"), F.lit(-1).cast("long").alias("active_policies")),
+    )
+    return valid.select(F.explode(each).alias("event")).select("event.*")
+
+
+def earned_premium_daily(policies: DataFrame, days: DataFrame, day: str = "calendar_day") -> DataFrame:
+    """Premium earned on each day of a grid and the policies in force, the price spread evenly over the days of the term."""
+    share = F.try_divide(F.col("finalprice"), F.datediff("end_date", "start_date") + 1)
+    events = exposure_events(policies, share, F.col("start_date"), F.date_add("end_date", 1))
+    return running(events, "day", ["earned_premium", "active_policies"], days, day)
+
+
+def earned_premium_by_events(policies: DataFrame, calendar_months: DataFrame, mode: str = "full") -> DataFrame:
+    """`earned_premium_monthly` on a calendar without spreading a policy over its months; months in force nowhere are left out."""
+    first, after = F.trunc("start_date", "MM"), F.add_months(F.trunc("end_date", "MM"), 1)
+    whole = policies.where(F.col("start_date") <= F.col("end_date"))
+    events = exposure_events(whole, monthly_share(mode), first, after)
+    sums = running(events, "day", ["earned_premium", "active_policies"], calendar_months, "calendar_month")
+    return sums.where(F.col("active_policies") > 0)
+
+
+def day_grid(spark: SparkSession, first: str, last: str, step: int = 1) -> DataFrame:
+    """Every `step`-th day from `first` to `last`."""
+    days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.expr(f"interval {step} day"))
+    return spark.range(1).select(F.explode(days).alias("calendar_day"))
+
+
+def open_claims_daily(claims: DataFrame, closed: Column, days: DataFrame, day: str = "calendar_day") -> DataFrame:
+    """Claims open at the end of each day of a grid: submitted by then and not closed by then."""
+    known = claims.where(F.col("claim_submitted_date").isNotNull()).withColumn("__closed", closed)
+    comes = known.select(F.col("claim_submitted_date").alias("day"), F.lit(1).cast("long").alias("open_claims"))
+    last = F.greatest("__closed", F.col("claim_submitted_date"))
+    goes = known.where(F.col("__closed").isNotNull()).select(last.alias("day"), F.lit(-1).cast("long").alias("open_claims"))
+    return running(comes.unionByName(goes), "day", ["open_claims"], days, day).select(day, F.coalesce("open_claims", F.lit(0)).alias("open_claims"))

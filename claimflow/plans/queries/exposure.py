@@ -68,6 +68,42 @@ def m3_earned_premium_monthly(spark, sf):
     return premium(spark, sf).select("calendar_month", money("earned_premium"))
 
 
+@query(
+    "m3_earned_premium_by_events",
+    f"WITH {sql.EARNED} SELECT {MONTH}, {PREMIUM} FROM premium WHERE calendar_month BETWEEN DATE '{FIRST}' AND DATE '{LAST}'",
+)
+def m3_earned_premium_by_events(spark, sf):
+    """The monthly form out of what comes in force and goes out, summed up along the calendar."""
+    months = op.calendar(spark, FIRST, LAST)
+    return op.earned_premium_by_events(adapters.policies(spark, sf), months).select("calendar_month", money("earned_premium"))
+
+
+DAYS = ("1996-01-01", "1999-12-31", 3)
+DAY_GRID = f"days AS (SELECT CAST(unnest(generate_series(DATE '{DAYS[0]}', DATE '{DAYS[1]}', INTERVAL {DAYS[2]} DAY)) AS DATE) AS calendar_day)"
+
+
+@query(
+    "m3_earned_premium_daily",
+    f"WITH {sql.POLICIES}, {DAY_GRID} SELECT CAST(calendar_day AS VARCHAR) AS calendar_day, "
+    "round(SUM(CAST(finalprice AS DOUBLE) / (end_date - start_date + 1)), 2) AS earned_premium, COUNT(*) AS active_policies "
+    "FROM days JOIN policies ON calendar_day BETWEEN start_date AND end_date GROUP BY calendar_day",
+)
+def m3_earned_premium_daily(spark, sf):
+    daily = op.earned_premium_daily(adapters.policies(spark, sf), op.day_grid(spark, *DAYS))
+    return daily.where("active_policies > 0").select("calendar_day", money("earned_premium"), "active_policies")
+
+
+@query(
+    "r4_open_claims_daily",
+    f"WITH {sql.CLAIMS}, {DAY_GRID}, c AS (SELECT claim_submitted_date AS s, CASE WHEN claim_approved_date IS NOT NULL THEN greatest(claim_approved_date, claim_submitted_date) END AS e FROM claims) "
+    "SELECT CAST(calendar_day AS VARCHAR) AS calendar_day, COUNT(*) FILTER (WHERE s <= calendar_day AND (e IS NULL OR e > calendar_day)) AS open_claims "
+    "FROM days, c GROUP BY calendar_day",
+)
+def r4_open_claims_daily(spark, sf):
+    """Open claims on every day of a grid; a settled claim closes on approval."""
+    return op.open_claims_daily(adapters.claims(spark, sf), F.col("claim_approved_date"), op.day_grid(spark, *DAYS))
+
+
 @query(
     "m3_earned_premium_touched",
     f"WITH {sql.POLICIES}, {sql.months('1990-01-01', '2012-12-01')} SELECT {MONTH}, round(SUM(CAST(finalprice AS DOUBLE) / "

@@ -67,6 +67,26 @@ def d6_claim_history(spark, sf):
     return op.drill_through(rows, waiting, CLAIM, ["claimnumber", "updateddate", "row_index"])
 
 
+def bucketed(df: DataFrame, name: str, sort: list[str]) -> DataFrame:
+    """A table of eight buckets by claim under a name and a path of its own."""
+    path = tables.new_path(df.sparkSession, name)
+    return tables.save_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), CLAIM, 8, [*CLAIM, *sort], path)
+
+
+@query(
+    "d6_drill_through_bucketed",
+    f"WITH {sql.LOG}, waiting AS (SELECT DISTINCT claimnumber FROM log WHERE claim_status_name = 'documents pending') "
+    "SELECT claimnumber, row_index, claim_status_name, CAST(updateddate AS VARCHAR) AS updateddate FROM log JOIN waiting USING (claimnumber) "
+    "WHERE updateddate BETWEEN DATE '1995-01-01' AND DATE '1997-06-30'",
+)
+def d6_drill_through_bucketed(spark, sf):
+    """Histories of some claims in a span of dates out of a log that is bucketed by claim: no row of it is shuffled."""
+    rows = bucketed(log(spark, sf, "claimnumber", "row_index", "claim_status_name", "updateddate"), "log", ["updateddate"])
+    waiting = bucketed(rows.where(F.col("claim_status_name") == "documents pending").select(*CLAIM).distinct(), "waiting", [])
+    dated = rows.where(F.col("updateddate").between(F.lit("1995-01-01").cast("date"), F.lit("1997-06-30").cast("date")))
+    return dated.join(waiting.hint("merge"), CLAIM, "left_semi")
+
+
 @query(
     "d7_delete_where",
     f"WITH {sql.LOG} SELECT claimnumber, row_index, claim_status_name FROM log "

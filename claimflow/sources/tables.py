@@ -100,9 +100,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return save_stage(df, new_path(df.sparkSession, name))
 
 
-def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> DataFrame:
-    """Materialise a stage as a bucketed table, so later joins and aggregates on the keys need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+def save_bucketed(
+    df: DataFrame, table: str, keys: Sequence[str], buckets: int, sort: Sequence[str] = (), path: str | None = None
+) -> DataFrame:
+    """Materialise a stage as a table bucketed by `keys` and sorted within its buckets by `sort` (the keys by default).
+
+    Two tables of the same buckets join on the keys without a shuffle, and a filter on the keys reads their buckets
+    alone. `path` names a place outside the warehouse.
+    """
+    writer = df.repartition(buckets, *keys).write.mode("overwrite")
+    writer = writer.option("path", path) if path else writer
+    writer.bucketBy(buckets, *keys).sortBy(*(sort or keys)).saveAsTable(table)
     return df.sparkSession.table(table)
 
 
