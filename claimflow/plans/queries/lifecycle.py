@@ -163,7 +163,7 @@ J5A = f"{latest('estimate pending')}, {joint_zero('latest_rows')}, {drop_zero('f
     "QUALIFY ROW_NUMBER() OVER (PARTITION BY claimnumber, coverage ORDER BY row_index DESC) = 1",
 )
 def j5a_reduce_estimate_pending(spark, sf):
-    return op.reduce_estimate_pending(staged(spark, sf)).select(*OUT)
+    return op.reduce_estimate_pending(deduped(spark, sf)).select(*OUT)
 
 
 @query(
@@ -204,7 +204,7 @@ J5D = (
     "(PARTITION BY claimnumber) ELSE row_index = MIN(row_index) OVER (PARTITION BY claimnumber, coverage) END",
 )
 def j5d_reduce_in_process(spark, sf):
-    return op.reduce_in_process(staged(spark, sf)).select(*OUT)
+    return op.reduce_in_process(deduped(spark, sf)).select(*OUT)
 
 
 def previous(source: str, status: str, name: str = "previous") -> str:
@@ -230,7 +230,7 @@ J5E = (
 
 @query("j5e_reduce_approved", f"WITH {sql.DEDUPED_ROWS}, {J5E} SELECT {out()} FROM approved1")
 def j5e_reduce_approved(spark, sf):
-    return op.reduce_approved(staged(spark, sf)).select(*OUT)
+    return op.reduce_approved(deduped(spark, sf)).select(*OUT)
 
 
 @query(
@@ -240,7 +240,7 @@ def j5e_reduce_approved(spark, sf):
     + " FROM paid0 QUALIFY ROW_NUMBER() OVER (PARTITION BY claimnumber, coverage ORDER BY row_index DESC) = 1",
 )
 def j5f_reduce_paid_out(spark, sf):
-    return op.reduce_paid_out(staged(spark, sf)).select(*OUT)
+    return op.reduce_paid_out(deduped(spark, sf)).select(*OUT)
 
 
 @query(
@@ -257,7 +257,7 @@ def j5f_reduce_paid_out(spark, sf):
     + " FROM closed0 c LEFT JOIN previous p ON p.claimnumber = c.claimnumber WHERE c.claim_status_name = 'cancelled'",
 )
 def j5g_reduce_cancelled(spark, sf):
-    return op.reduce_cancelled(staged(spark, sf)).select(*OUT)
+    return op.reduce_cancelled(deduped(spark, sf)).select(*OUT)
 
 
 @query(
@@ -272,7 +272,7 @@ def j5g_reduce_cancelled(spark, sf):
     + " FROM closed0 c LEFT JOIN previous p ON p.claimnumber = c.claimnumber WHERE c.claim_status_name = 'denied'",
 )
 def j5h_reduce_denied(spark, sf):
-    return op.reduce_denied(staged(spark, sf)).select(*OUT)
+    return op.reduce_denied(deduped(spark, sf)).select(*OUT)
 
 
 def _rank(column: str) -> str:
@@ -428,7 +428,7 @@ def _reduced(name: str, body: str) -> str:
     return body.replace("latest_rows", f"{name}_latest").replace("filled", f"{name}_filled")
 
 
-CHAIN = f"""{sql.DEDUPED_ROWS},
+REDUCED = f"""{sql.DEDUPED_ROWS},
 {_reduced("ep", J5A).replace("valued", "ep_valued")},
 {_reduced("dp", latest("documents pending"))},
 {_reduced("ap", J5C)},
@@ -454,7 +454,9 @@ reduced AS (
   })} FROM cancelled0 c LEFT JOIN cancelled_previous p ON p.claimnumber = c.claimnumber WHERE c.claim_status_name = 'cancelled'
   UNION ALL SELECT {out("c.", total_claim_estimate="COALESCE(NULLIF(CASE WHEN c.total_claim_estimate = 0 AND p.claimnumber IS NOT NULL "
       "THEN p.total_claim_estimate ELSE c.total_claim_estimate END, 0), c.compensation_total)")}
-    FROM refused0 c LEFT JOIN refused_previous p ON p.claimnumber = c.claimnumber WHERE c.claim_status_name = 'denied'),
+    FROM refused0 c LEFT JOIN refused_previous p ON p.claimnumber = c.claimnumber WHERE c.claim_status_name = 'denied')"""
+
+CHAIN = REDUCED + """,
 stamps AS (SELECT claimnumber, """ + ", ".join(
     f"MIN(CASE WHEN claim_status_name = '{s}' THEN updateddate END) AS {c}" for c, s in MILESTONES.items()
 ) + """ FROM log GROUP BY claimnumber),
@@ -471,3 +473,9 @@ def j_chain_reduced_claims(spark, sf):
     """Copies removed, damage consolidated, every state reduced, milestones on every row that is left."""
     rows = history.reduced_with_facts(staged(spark, sf, "damage_type"))
     return rows.select(*OUT, "damage_type", *MILESTONES)
+
+
+@query("j5_reduce_all_states", f"WITH {REDUCED} SELECT * FROM reduced")
+def j5_reduce_all_states(spark, sf):
+    """The reductions of all eight states out of one table of day cells."""
+    return op.reduce_claims(staged(spark, sf)).select(*OUT)

@@ -303,7 +303,7 @@ def test_all_states_at_once_are_the_states_one_by_one(log):
 
 def test_whole_rows_meet_no_sort_aggregate(spark, log):
     """The plan has two scans of the log, and what is aggregated or windowed are cells of fixed width."""
-    for reduced in (life.reduce_claims(log), life.clean_log(log)):
+    for reduced in (life.reduce_claims(log), life.reduce_assessment_pending(log), life.clean_log(log)):
         plan = reduced._jdf.queryExecution().executedPlan().toString()
         assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
         assert reduced._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2
