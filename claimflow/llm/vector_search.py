@@ -7,7 +7,7 @@ length * (mean * mean + deviation * deviation). Bounds are taken coarse to fine;
 found so far is left out, and the rest gets its exact score.
 
 Queries and candidates are packed into blocks. Every block of queries meets every block of candidates in a task
-of its own, and gives out at most k candidates, of as many ids, for each query.
+of its own, and gives out at most k rows for each query.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 8192
 SEGMENTS = (1, 4, 16)  # coarse to fine
 BLOCKS = "block long, width int, ids binary, vectors binary"
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query long, query_id long, vec_id long, score long"
 
 
 def usable(vector: Column) -> Column:
@@ -94,25 +94,23 @@ def _scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 def top_candidates(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, candidates: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, candidate, score) of the k best candidates of every query in a block, its own id left out.
+    """(place of the query, candidate, score) of the k best rows for every query in a block, rows of its own id left out.
 
-    Rows of one id are one candidate, by its best score. Ties at the k-th score go to the smaller id.
+    Ties at the k-th score go to the smaller id.
     """
-    firsts = np.unique(ids, return_index=True)[1]  # a row of every id
-    repeated = len(firsts) < len(ids)
     own = query_ids[:, None] == ids[None, :]
     alive = ~own
     k = min(k, len(ids))
     q, c = queries.astype(np.float64), candidates.astype(np.float64)
-    floor = np.full(len(queries), -np.inf)  # a score that k candidates of the query, of as many ids, are known to reach
+    floor = np.full(len(queries), -np.inf)  # a score that k rows are known to reach for the query
     keep = np.arange(len(ids))  # candidates that some query may still want
     for segments in SEGMENTS:
         bound = segment_statistics(q, segments) @ segment_statistics(c[keep], segments).T
         bound += 1e-9 * np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(c[keep], axis=1)[None, :] + 1e-6
         bound[~alive[:, keep]] = -np.inf
-        if segments == SEGMENTS[0] and len(firsts) > 4 * k:
+        if segments == SEGMENTS[0] and len(ids) > 4 * k:
             # the most hopeful candidates' exact scores set the first floor
-            hopeful = firsts[np.argpartition(-bound[:, firsts], k, axis=1)[:, : k + 1]]
+            hopeful = np.argpartition(-bound, k, axis=1)[:, : k + 1]
             exact = np.einsum("qkd,qd->qk", c[keep][hopeful], q)
             exact[~np.take_along_axis(alive[:, keep], hopeful, 1)] = -np.inf
             exact.sort(axis=1)
@@ -126,15 +124,12 @@ def top_candidates(
     out_q, out_c, out_s = [], [], []
     for row in range(len(queries)):
         at = np.flatnonzero(live[row])
-        if repeated:
-            at = at[np.lexsort((ids[keep[at]], -score[row, at]))]
-            at = at[np.sort(np.unique(ids[keep[at]], return_index=True)[1])[:k]]
-        elif len(at) > k:
+        if len(at) > k:
             value = score[row, at]
             kth = np.partition(value, len(value) - k)[len(value) - k]
             at = at[value >= kth]
             at = at[np.lexsort((ids[keep[at]], -score[row, at]))[:k]]
-        out_q.append(np.full(len(at), query_ids[row]))
+        out_q.append(np.full(len(at), row))
         out_c.append(ids[keep[at]])
         out_s.append(score[row, at])
     empty = np.zeros(0, np.int64)
@@ -145,13 +140,14 @@ def _search(k: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
-                width = batch.column("width")[row].as_py()
+                width, block = batch.column("width")[row].as_py(), batch.column("query_block")[row].as_py()
                 query_ids, queries, ids, candidates = (
                     np.frombuffer(batch.column(name)[row].as_py(), np.int64)
                     for name in ("query_ids", "queries", "ids", "vectors")
                 )
-                found = top_candidates(query_ids, queries.reshape(-1, width), ids, candidates.reshape(-1, width), k)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["query_id", "vec_id", "score"])
+                place, vec_id, score = top_candidates(query_ids, queries.reshape(-1, width), ids, candidates.reshape(-1, width), k)
+                found = (block * QUERY_BLOCK + place, query_ids[place], vec_id, score)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["query", "query_id", "vec_id", "score"])
 
     return search
 
@@ -168,8 +164,8 @@ def top_k(
 
     Components become floor(scale * x). Ties go to the smaller vec_id. A candidate of the query's own vec_id takes no
     part. Vectors that are null, empty or hold null or non-finite components, and rows without a vec_id, take no part;
-    vectors meet only those of their own length. Rows repeated with one vec_id count as one candidate, by its
-    best score. An empty side gives no rows. Other columns are not looked at.
+    vectors meet only those of their own length. Rows repeated with one vec_id are ranked each by itself, and as queries
+    each has a ranking of its own. An empty side gives no rows. Other columns are not looked at.
     """
 
     def packed(df: DataFrame, limit: int, name: str) -> DataFrame:
@@ -184,13 +180,13 @@ def top_k(
     slots = max(1, blocks.count())
     blocks = blocks.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)))
     asked = asked.select(
+        F.col("block").alias("query_block"),
         F.col("width").alias("query_width"),
         F.col("ids").alias("query_ids"),
         F.col("vectors").alias("queries"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))).alias("query_slot"),
     )
     pairs = asked.join(blocks, (F.col("query_slot") == F.col("slot")) & (F.col("query_width") == F.col("width")))
-    found = pairs.select("width", "query_ids", "queries", "ids", "vectors").mapInArrow(_search(k), FOUND)
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = pairs.select("width", "query_block", "query_ids", "queries", "ids", "vectors").mapInArrow(_search(k), FOUND)
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -1,28 +1,53 @@
-"""Exact top-k search where one vec_id has many rows in a block."""
+"""Exact top-k search where one vec_id has many rows: each is ranked by itself."""
 
+from collections import Counter
+
+import duckdb
 import numpy as np
 from test_archives_and_search import brute, searched
 
 from claimflow.llm import vector_search
+from claimflow.llm.queries import SEARCH_SQL
 
 
-def test_an_id_repeated_in_one_block(spark):
+def repeated_rows():
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(0, 0.2, 16).tolist()) for i in range(300)]
     rows += [(1001, (rng.normal(0, 0.01, 16) + 0.9).tolist()) for _ in range(30)]  # high for many queries
     rows += [(1003, (rng.normal(0, 0.01, 16) - 0.9).tolist()) for _ in range(150)]
     rows += [(40, rng.normal(0, 0.3, 16).tolist()) for _ in range(30)]  # queries as well
+    return rows
+
+
+def by_sql(rows):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    return sorted(con.execute(SEARCH_SQL).fetchall())
+
+
+def test_an_id_repeated_in_one_block(spark):
+    rows = repeated_rows()
     got = searched(spark, rows)
     assert got == brute(rows, 20)
-    assert all(sum(1 for q, *_ in got if q == query) == 20 for query, *_ in got)
+    assert sum(1 for q, *_ in got if q == 40) == 31 * 20
+    assert max(Counter((q, c) for q, _, c, _ in got).values()) > 1
+
+
+def test_sql_ranks_rows_as_well():
+    rows = repeated_rows()[:400]
+    assert by_sql(rows) == brute(rows, 20)
+
+
+def test_three_rows_of_the_contract(spark):
+    rows = [(1, [0.5, 0.5]), (1, [0.25, 0.5]), (2, [0.1, 0.1]), (20, [1.0, 1.0])]
+    assert searched(spark, rows) == by_sql(rows) == [(20, 1, 1, 4096), (20, 2, 1, 3072), (20, 3, 2, 768)]
 
 
-def test_the_floor_counts_ids():
-    """300 rows of one id score best; the next 19 ids are beyond the bound of a floor that counts rows."""
+def test_the_floor_counts_rows():
     rng = np.random.default_rng(5)
     candidates = np.concatenate([np.full((300, 8), 50), rng.integers(1, 40, (200, 8))])
     ids = np.concatenate([np.full(300, 7), np.arange(100, 300)])
     queries = np.full((1, 8), 10)
-    _, found, score = vector_search.top_candidates(np.array([1]), queries, ids, candidates, 20)
-    want = sorted({(-int(c @ queries[0]), int(i)) for i, c in zip(ids, candidates, strict=True)})[:20]
-    assert sorted(zip((-score).tolist(), found.tolist(), strict=True)) == want
+    place, found, score = vector_search.top_candidates(np.array([1]), queries, ids, candidates, 20)
+    assert place.tolist() == [0] * 20 and found.tolist() == [7] * 20 and score.tolist() == [4000] * 20
