@@ -17,7 +17,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.llm.common import save
@@ -58,14 +58,17 @@ def _signed(values) -> pa.Array:
     return pa.array(np.asarray(values, np.uint64).view(np.int64), pa.int64())
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fingerprint as a signed long) per row; null texts count as empty."""
-
+def _fingerprint(text: str, words: int) -> Column:
     @F.arrow_udf("long")
     def fingerprint(texts: pa.Array) -> pa.Array:
-        return _signed([simhash(t or "", words) for t in texts.to_pylist()])
+        return _signed([simhash(t.as_py() or "", words) for t in texts])
+
+    return fingerprint(F.col(text))
 
-    return docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text)).alias("fingerprint"))
+
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
+    """(doc_id, fingerprint as a signed long) per row; null texts count as empty."""
+    return docs.select(F.col(doc_id).alias("doc_id"), _fingerprint(text, words).alias("fingerprint"))
 
 
 def walk_together(
@@ -244,3 +247,32 @@ def _components(docs: DataFrame, doc_id: str, text: str, words: int, budget: int
     least = save(roots.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")
     labels = save(roots.join(least, "root").select("fingerprint", "component_id"), "simhash-labels")
     return rows.join(labels, "fingerprint")
+
+
+def drop_near_copies(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, budget: int = BUDGET
+) -> DataFrame:
+    """The rows of `docs`, all columns: of every component of `near_groups` the one with the smallest doc_id.
+
+    A null doc_id counts as larger than any; ties go by a hash of the text, and of rows repeated with one doc_id and
+    text one stays. Null, empty and blank texts have fingerprint zero and are linked like any other. Texts of any length
+    are read whole. An empty table gives no rows. Other columns are carried, whatever they are called.
+    """
+    digest = F.xxhash64(F.col(text))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), digest.alias("digest"), _fingerprint(text, words).alias("fingerprint"))
+    rows = save(rows, "simhash-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "digest")
+    roots = rooted(save(rows.groupBy("fingerprint").agg(F.min(place).alias("first")), "simhash-distinct"), budget)
+    first = roots.groupBy("root").agg(F.min("first").alias("first"))
+    stays = save(first.select(F.col("first.doc_id").alias("__stays"), F.col("first.digest").alias("__digest")), "simhash-stays")
+    # rows that stay and have a copy of one doc_id and text
+    tied = rows.groupBy("doc_id", "digest").count().where("count > 1")
+    tied = save(tied.select(F.col("doc_id").alias("__stays"), F.col("digest").alias("__digest")), "simhash-tied")
+
+    same = F.col(doc_id).eqNullSafe(F.col("__stays")) & (digest == F.col("__digest"))
+    # one plan at every size: both sides are shuffled
+    kept = docs.join(stays.hint("merge"), same, "left_semi")
+    if tied.isEmpty():
+        return kept
+    one = kept.join(tied.hint("merge"), same).dropDuplicates(["__stays", "__digest"]).select(*docs.columns)
+    return kept.join(tied.hint("merge"), same, "left_anti").unionByName(one)

@@ -150,6 +150,44 @@ def test_near_groups(spark):
     assert sorted((str(r["doc_id"]), r["fingerprint"], str(r["component_id"])) for r in got.collect()) == want
 
 
+def brute_stays(rows):
+    """rows: [(doc_id, text)] of distinct ids; those that stay: the smallest of each component."""
+    prints = [(d, brute_simhash(t)) for d, t in rows]
+    component = brute_components(prints)
+    return {d for d, f in prints if component[f] == d}
+
+
+def test_near_rows_that_stay(spark):
+    rows = [r for r in dict(near_rows()).items() if r[0] is not None]
+    docs = spark.createDataFrame([(*r, 1, "z", 2) for r in rows], "doc_id long, text string, root int, first string, digest int")
+    stay = simhash.drop_near_copies(docs)
+    assert stay.columns == docs.columns
+    assert sorted(r["doc_id"] for r in stay.collect()) == sorted(brute_stays(rows))
+
+
+def test_near_rows_of_every_case(spark):
+    rows = [
+        (5, "alpha beta gamma delta epsilon zeta"),
+        (5, "alpha beta gamma delta epsilon zeta"),
+        (4, "ALPHA beta  gamma delta epsilon zeta"),
+        (None, "alpha beta gamma delta epsilon zeta"),
+        (None, "nothing like any of the others here"),
+        (None, "nothing like any of the others here"),
+        (7, None),
+        (6, ""),
+        (8, " \n"),
+        (9, "Word and more of it " * 20_000),
+        (9, "Word and more of it " * 20_000),
+        (5, "one id may have a text that differs from its other"),
+    ]
+    docs = spark.createDataFrame([(*r, None, None) for r in rows], "doc_id long, text string, root string, digest int")
+    got = [(r["doc_id"], len(r["text"] or "")) for r in simhash.drop_near_copies(docs).collect()]
+    assert sorted(got, key=str) == sorted([(4, 36), (None, 35), (6, 0), (9, 400_000), (5, 50)], key=str)
+    tied = docs.where("doc_id is null or doc_id = 9")
+    assert sorted(r["text"][:3] for r in simhash.drop_near_copies(tied).collect()) == ["Wor", "alp", "not"]
+    assert simhash.drop_near_copies(docs.limit(0)).collect() == []
+
+
 def test_near_query_against_brute_force(spark):
     import __spark_entry__ as entry
 
