@@ -3,12 +3,16 @@
 Every source gets a share of the budget by its weight. A source can give no more than `epochs` times its words; what
 it cannot give is shared among the others by weight, again and again until no target is above its cap. A document
 is then repeated target / size times: the whole part for every document of the source, the rest for those with
-the lowest seeded draws, as many as make up the missing words, and one beyond them that fits what is left best. The cut among the draws is found with histograms of
-the draws' bits, so no source, however large, is sorted or gathered.
+the lowest seeded draws, as many as make up the missing words. Where a long document ends this early, the cut is made again
+among the draws beyond it and the documents that still fit, until less is missing than an ordinary document has; one that
+fits this best is taken last. A cut is found with histograms of the draws' bits, so no source, however large, is sorted
+or gathered.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -20,6 +24,8 @@ EPOCHS = 3
 SEED = 42
 LEVEL_BITS = 10  # bits of a draw that a histogram tells apart
 LEVELS = 3
+DRAWS = 1 << LEVEL_BITS * LEVELS
+NEAR = 1e-5  # a source whose missing words are a smaller share of its target gets no further cut
 
 
 def _same_source(a: DataFrame, b: DataFrame) -> Column:
@@ -98,7 +104,7 @@ def _plan(
         _draw(seed, doc_id, text).alias("draw"),
     )
     rows = save(rows, "mixing-rows")
-    sizes = save(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "mixing-sources")
+    sizes = save(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows")), "mixing-sources")
     weights = cyclic_weights(sizes) if weights is None else weights
     weighted = sizes.join(weights, _same_source(sizes, weights), "left").drop(weights["source"])
     targets = water_fill(save(weighted, "mixing-weights"), epochs, budget)
@@ -107,30 +113,68 @@ def _plan(
     targets = save(targets.withColumn("whole", whole), "mixing-targets")
 
     rest = F.col("target") - F.col("whole") * size
-    wanted = targets.where(rest > 0).select("source", F.lit(0).cast("long").alias("low"), rest.alias("missing"))
-    part = rows.where(F.col("size") > 0).select("source", "size", "draw")
-    for level in range(LEVELS):
-        wanted = save(_cut(part, wanted, level), "mixing-cut")
-        below = LEVEL_BITS * (LEVELS - 1 - level)
-        inside = wanted.select(F.col("source").alias("__source"), F.shiftright("low", below).alias("__at"))
-        met = part["source"].eqNullSafe(inside["__source"]) & (F.shiftright(part["draw"], below) == inside["__at"])
-        part = part.join(inside, met).select("source", "size", "draw")
-    # draws below the cut are taken; what is still missing comes from the one draw beyond it that fits it best
-    cuts = wanted.select(F.col("source").alias("__cut_source"), F.col("low").alias("__cut"), F.col("missing").alias("__gap"))
-    beyond = rows.where(F.col("size") > 0).join(cuts, rows["source"].eqNullSafe(cuts["__cut_source"]))
-    beyond = beyond.where((F.col("draw") >= F.col("__cut")) & (F.col("size") < 2 * F.col("__gap")))
-    words = beyond.groupBy("source", "draw", "__gap").agg(F.sum("size").alias("words"))
-    misses = F.abs(F.col("words") - F.col("__gap"))
-    fitting = words.where(misses < F.col("__gap")).groupBy(F.col("source").alias("__fit_source"))
-    last = save(fitting.agg(F.min_by("draw", F.struct(misses, F.col("draw"))).alias("__last")), "mixing-last")
-    plan = targets.join(cuts, targets["source"].eqNullSafe(cuts["__cut_source"]), "left")
-    plan = plan.join(last, plan["source"].eqNullSafe(last["__fit_source"]), "left")
-    plan = save(plan.select(F.col("source").alias("__source"), "source_size", "target", "whole", "__cut", "__last"), "mixing-plan")
+    ordinary = F.greatest(size / F.col("rows"), NEAR * F.col("target"), F.lit(1.0))
+    wanted = targets.where(rest > 0).select("source", rest.alias("missing"), ordinary.alias("ordinary"))
+    spans, gaps = _cuts(rows.where(F.col("size") > 0).select("source", "size", "draw"), save(wanted, "mixing-wanted"))
+    spans = save(spans.groupBy("source").agg(F.collect_list(F.struct("low", "high", "largest")).alias("spans")), "mixing-spans")
+    # what is still missing comes from the one draw beyond that fits it best
+    left = spans.join(gaps, _same_source(spans, gaps)).select(spans["source"].alias("__left"), "spans", "missing")
+    beyond = rows.where(F.col("size") > 0).join(left, rows["source"].eqNullSafe(left["__left"]))
+    beyond = beyond.where(~_within("spans", F.col("draw"), F.col("size")) & (F.col("size") < 2 * F.col("missing")))
+    words = beyond.groupBy("source", "draw", "missing").agg(F.sum("size").alias("words"))
+    misses = F.abs(F.col("words") - F.col("missing"))
+    fitting = words.where(misses < F.col("missing")).groupBy(F.col("source").alias("__fit"), "missing")
+    last = fitting.agg(F.min_by("draw", F.struct(misses, F.col("draw"))).cast("long").alias("low"))
+    fits = (F.ceil(2 * F.col("missing")) - 1).cast("long")
+    last = save(last.select("__fit", F.array(F.struct("low", (F.col("low") + 1).alias("high"), fits.alias("largest"))).alias("last")), "mixing-last")
+    plan = targets.join(spans.withColumnRenamed("source", "__cut"), targets["source"].eqNullSafe(F.col("__cut")), "left")
+    plan = plan.join(last, plan["source"].eqNullSafe(last["__fit"]), "left")
+    due = F.when(F.col("last").isNull(), F.col("spans")).otherwise(F.concat("spans", "last"))
+    plan = save(plan.select(F.col("source").alias("__source"), "source_size", "target", "whole", due.alias("__spans")), "mixing-plan")
     return rows, plan
 
 
-def _times(whole: str, draw: str) -> Column:
-    due = (F.col(draw) < F.col("__cut")) | (F.col(draw) == F.col("__last"))
+def _within(spans: str, draw: Column, size: Column) -> Column:
+    return F.exists(spans, lambda s: (draw >= s["low"]) & (draw < s["high"]) & (size <= s["largest"]))
+
+
+def _cuts(rows: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Spans (source, low, high, largest) of what is due once more, and the words that are then missing (source, missing).
+
+    rows: (source, size, draw); wanted: (source, missing, ordinary). A span holds the draws from low to below high of texts of at
+    most `largest` words. The first takes all texts; the next begins beyond the draw that did not fit, without the texts
+    that are longer than what is missing, and so on until that is no more than an ordinary text or no draw is left.
+    """
+    open_ = wanted.select("*", F.lit(0).cast("long").alias("from"), F.lit(2**62).alias("largest"))
+    spans, gaps = [], []
+    while True:
+        bounds = open_.select(F.col("source").alias("__open"), "from", "largest")
+        fits = rows["source"].eqNullSafe(bounds["__open"]) & (F.col("draw") >= F.col("from")) & (F.col("size") <= F.col("largest"))
+        part = rows.join(bounds, fits).select("source", "size", "draw")
+        total = save(part.groupBy(F.col("source").alias("__total")).agg(F.sum("size").alias("words")), "mixing-total")
+        met = open_.join(total, open_["source"].eqNullSafe(total["__total"]), "left").drop("__total")
+        met = save(met.withColumn("words", F.coalesce("words", F.lit(0))), "mixing-open")
+        all_ = met.where("words < missing").select("source", F.lit(DRAWS).cast("long").alias("low"), (F.col("missing") - F.col("words")).alias("missing"))
+        cut = met.where("words >= missing").select("source", F.lit(0).cast("long").alias("low"), "missing")
+        for level in range(LEVELS):
+            cut = save(_cut(part, cut, level).drop("words"), "mixing-cut")
+            below = LEVEL_BITS * (LEVELS - 1 - level)
+            inside = cut.select(F.col("source").alias("__source"), F.shiftright("low", below).alias("__at"))
+            same = part["source"].eqNullSafe(inside["__source"]) & (F.shiftright(part["draw"], below) == inside["__at"])
+            part = part.join(inside, same).select("source", "size", "draw")
+        ends = cut.unionByName(all_).select(F.col("source").alias("__end"), F.col("low").alias("high"), F.col("missing").alias("gap"))
+        ended = save(met.join(ends, met["source"].eqNullSafe(ends["__end"])), "mixing-ended")
+        spans.append(ended.select("source", F.col("from").alias("low"), "high", "largest"))
+        again = (F.col("gap") > F.col("ordinary")) & (F.col("high") < DRAWS - 1)
+        gaps.append(ended.where(~again).select("source", F.col("gap").alias("missing")))
+        longest = F.floor("gap").cast("long")
+        open_ = ended.where(again).select("source", F.col("gap").alias("missing"), "ordinary", (F.col("high") + 1).alias("from"), longest.alias("largest"))
+        if open_.isEmpty():
+            return functools.reduce(DataFrame.unionByName, spans), functools.reduce(DataFrame.unionByName, gaps)
+
+
+def _times(whole: str, draw: str, size: Column) -> Column:
+    due = F.coalesce(_within("__spans", F.col(draw), size), F.lit(False))
     return F.col(whole) + F.when(due, 1).otherwise(0)
 
 
@@ -149,13 +193,14 @@ def repetitions(
     size: words of the text (null: 0). Null is a source of its own. weights: (source, weight), by default 1, 2, 3
     in turn over the sources by code point, null last. budget: words in all, by default the sum of all sizes. A
     row's draw comes from the seed, its doc_id and its text, so reruns agree and repeated rows are taken alike. A
-    source's taken words miss its target by less than the words at one draw, mostly by a few. Texts without words are taken
-    as often as others of their draw; a source without any words has target 0. An empty table gives no rows.
+    source's taken words miss its target by less than an ordinary text of it has, as long as texts that fit are left, mostly
+    by a few. Texts without words are taken as often as others of their draw; a source without any words has target 0.
+    An empty table gives no rows.
     """
     rows, plan = _plan(docs, weights, epochs, budget, seed, doc_id, text, source)
     return (
         rows.join(plan, rows["source"].eqNullSafe(plan["__source"]))
-        .withColumn("times", _times("whole", "draw").cast("long"))
+        .withColumn("times", _times("whole", "draw", F.col("size")).cast("long"))
         .select(
             "doc_id", "source", "size", "source_size", "target", "times", (F.col("size") * F.col("times")).alias("taken")
         )
@@ -172,9 +217,9 @@ def mix(
     text: str = "text",
     source: str = "source",
 ) -> DataFrame:
-    """The rows of `docs`, all columns, each as often as `repetitions` says."""
+    """The rows of `docs`, all columns, each as often as `repetitions` says, with its rules for nulls, repeats and no words."""
     _, plan = _plan(docs, weights, epochs, budget, seed, doc_id, text, source)
-    plan = plan.select("__source", F.col("whole").alias("__whole"), "__cut", "__last")
-    drawn = docs.withColumn("__draw", _draw(seed, doc_id, text))
-    copies = F.explode(F.array_repeat(F.lit(1), _times("__whole", "__draw").cast("int")))
+    plan = plan.select("__source", F.col("whole").alias("__whole"), "__spans")
+    drawn = docs.withColumns({"__draw": _draw(seed, doc_id, text), "__size": word_count(F.col(text))})
+    copies = F.explode(F.array_repeat(F.lit(1), _times("__whole", "__draw", F.col("__size")).cast("int")))
     return drawn.join(plan, drawn[source].eqNullSafe(plan["__source"])).select(*docs.columns, copies.alias("__copy")).drop("__copy")

@@ -93,6 +93,31 @@ def test_mixing_with_given_weights(spark):
     assert taken == {"a": 1500, "b": 500}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_a_long_text_at_the_cut(spark, seed):
+    """3,000 texts of 20 words and one of 30,000: wherever that one is drawn, the short ones fill the target."""
+    data = [(i, "w " * 20, "a", 1, 1, "x") for i in range(3000)] + [(3000, "w " * 30_000, "a", 1, 1, "x")]
+    data += [(4000 + i, "w " * 60, "b", 1, 1, "x") for i in range(1000)]
+    got = mixing.repetitions(spark.createDataFrame(data, DOCS), seed=seed).collect()
+    want = check_mix(data, got)
+    assert want == {"a": 50_000, "b": 100_000}
+    for s, target in want.items():
+        assert abs(sum(r["taken"] for r in got if r["source"] == s) - target) <= 60
+
+
+def test_mixing_of_halving_lengths(spark):
+    """Every cut ends in a text that is too long for what is missing; repeats of one row are taken alike."""
+    data = [(i, "w " * (1 << 15 - i % 16), "a", 1, 1, "x") for i in range(48)] + [(99, "w " * 700, "a", 1, 1, "x")] * 40
+    data += [(200 + i, "w " * 100, "b", 1, 1, "x") for i in range(1000)]
+    docs = spark.createDataFrame(data, DOCS)
+    got = mixing.repetitions(docs).collect()
+    want = check_mix(data, got)
+    ordinary = sum(r["size"] for r in got if r["source"] == "a") / 88
+    assert abs(sum(r["taken"] for r in got if r["source"] == "a") - want["a"]) <= ordinary
+    assert len({r["times"] for r in got if r["doc_id"] == 99}) == 1
+    assert mixing.mix(docs).count() == sum(r["times"] for r in got)
+
+
 def test_mix_query(spark):
     import __spark_entry__ as entry
 
