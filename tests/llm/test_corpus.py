@@ -5,8 +5,7 @@ from collections import defaultdict
 import corpus_pipeline
 import oracle
 import pytest
-from test_dedup import lowered
-from test_near_copies import exact_stays
+from test_dedup import brute_stays, lowered
 from test_packing import check_mix, check_packing
 
 from claimflow.llm import queries as corpus
@@ -43,7 +42,7 @@ def check_stages(before, after):
     for r in language:
         groups[lowered(r[1])].append(r[0])
     assert sorted(r[0] for r in exact) == sorted(max(ids) for ids in groups.values())
-    assert sorted(r[0] for r in near) == sorted(exact_stays([(r[0], r[1]) for r in exact]))
+    assert sorted(r[0] for r in near) == sorted(brute_stays([(r[0], r[1]) for r in exact]))
     times = defaultdict(int)
     for r in mixed:
         times[r[0]] += 1
