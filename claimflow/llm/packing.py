@@ -2,9 +2,10 @@
 
 Documents longer than the longest length are split without loss. Pieces are dealt by a hash of their content into
 groups of a bounded number of words, and each group is packed by itself: largest piece first, into the open
-sequence with the least room that holds it. Where none does, the length with the least cost per word that the rest
-of the group can still fill is opened. At the end every sequence shrinks to the least permitted length for what it
-holds, so a length that was chosen for the words to come costs nothing if they went elsewhere.
+sequence with the least room that holds it. Where none does, every permitted length is filled on trial with the pieces
+that are left, and the one whose filling costs least per word is opened. This is done with all lengths up to each one that
+holds the largest piece, and with the longest alone, and the packing that costs least is kept. In each of them every
+sequence shrinks at the end to the least permitted length for what it holds.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from claimflow.llm.words import word_count
 
 CAPACITIES = (1024, 2048, 4096, 8192)
 GROUP_WORDS = 1 << 19  # words that a group holds on average
+COPIES = 4096  # copies of a row that are numbered at once
 PACKED = (
     "doc_id long, copy long, size long, piece long, start long, length long, "
     "bin_id long, bin_capacity long, bin_used long, bin_offset long"
@@ -33,30 +35,63 @@ def sequence_cost(capacity: int) -> float:
     return capacity + 64.0
 
 
-def best_fit(
-    lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES, cost: Callable[[int], float] = sequence_cost
-) -> tuple[list[int], list[int]]:
-    """The bin of every piece, and the capacity of every bin. Pieces are given largest first, none above the largest."""
-    sizes = sorted(capacities)
-    left = sum(lengths)  # words that are not in a bin yet
+def _trial(values: list[int], counts: list[int], top: int, room: int) -> int:
+    """Words of the pieces left (`counts` of ascending `values`, none above index top) that largest first go into this room."""
+    begun = room
+    while top >= 0 and room:
+        top = bisect.bisect_right(values, room, 0, top + 1) - 1
+        if top >= 0:
+            room -= min(counts[top], room // values[top]) * values[top]
+            top -= 1
+    return begun - room
+
+
+def _fill(lengths: Sequence[int], sizes: list[int], opened: list[int], cost: Callable[[int], float]) -> tuple[list[int], list[int]]:
+    """The bin of every piece and what every bin holds, where bins of the lengths `opened` may be opened."""
+    values, counts = np.unique(np.array(lengths, np.int64), return_counts=True)
+    values, counts = values.tolist(), counts.tolist()
+    top = len(values) - 1
     rooms: list[tuple[int, int]] = []  # (room, bin) of open bins, least room first
-    bins, used, opened = [], [], []
+    bins, used = [], []
     for n in lengths:
+        while values[top] > n:
+            top -= 1
         at = bisect.bisect_left(rooms, (n, -1))
         if at < len(rooms):
             room, b = rooms.pop(at)
         else:
-            fitting = [c for c in sizes if c >= n]
-            room = min(fitting, key=lambda c: (cost(c) / min(c, left), -c))
-            b = len(used)
+            best = None
+            for c in opened:
+                if c >= n:
+                    filled = _trial(values, counts, top, c) if len(opened) > 1 else c
+                    key = (cost(sizes[bisect.bisect_left(sizes, filled)]) / filled, -c)
+                    best = key if best is None else min(best, key)
+            room, b = -best[1], len(used)
             used.append(0)
-            opened.append(room)
         used[b] += n
-        left -= n
+        counts[top] -= 1
         bins.append(b)
         if room > n:
             bisect.insort(rooms, (room - n, b))
-    return bins, [sizes[bisect.bisect_left(sizes, n)] for n in used]
+    return bins, used
+
+
+def best_fit(
+    lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES, cost: Callable[[int], float] = sequence_cost
+) -> tuple[list[int], list[int]]:
+    """The bin of every piece, and the capacity of every bin. Pieces are given largest first, none above the largest."""
+    sizes = sorted(capacities)
+    if not lengths:
+        return [], []
+    longest = [k for k, c in enumerate(sizes) if c >= lengths[0]]
+    best = None
+    for opened in [sizes[-1:], *[sizes[: k + 1] for k in reversed(longest)]]:
+        bins, used = _fill(lengths, sizes, opened, cost)
+        capacity = [sizes[bisect.bisect_left(sizes, n)] for n in used]
+        total = sum(map(cost, capacity))
+        if best is None or total < best[0]:
+            best = total, bins, capacity
+    return best[1:]
 
 
 def _pack_group(capacities: Sequence[int], cost: Callable[[int], float]):
@@ -129,6 +164,8 @@ def pack_documents(
     # a row counts as 64 words at least, so that rows without words are spread as well
     words = rows.agg(F.sum(F.greatest("size", F.lit(64)) * F.col("copies"))).first()[0] or 0
     groups = max(1, -(-words // group_words))
-    each = rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).drop("copies")
+    last = F.col("copies") - 1
+    blocks = rows.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(COPIES).cast("long"))))
+    each = blocks.withColumn("copy", F.explode(F.sequence(F.col("at"), F.least(F.col("at") + COPIES - 1, last)))).drop("copies", "at")
     dealt = each.withColumn("group", F.pmod(F.xxhash64("doc_id", "digest", "copy"), F.lit(groups)).cast("long"))
     return dealt.groupBy("group").applyInArrow(_pack_group(capacities, cost), PACKED)

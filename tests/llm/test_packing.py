@@ -142,6 +142,72 @@ def test_best_fit_by_hand():
     assert packing.best_fit([], (8,)) == ([], [])
 
 
+def packing_cost(lengths, bins, capacity, cost):
+    held = defaultdict(int)
+    for n, b in zip(lengths, bins, strict=True):
+        held[b] += n
+    assert all(held[b] <= c for b, c in enumerate(capacity)) and sorted(held) == list(range(len(capacity)))
+    return sum(map(cost, capacity))
+
+
+def least_cost(lengths, capacities, cost):
+    """Every way to share the pieces out."""
+
+    def go(k, loads):
+        if k == len(lengths):
+            return sum(cost(min(c for c in capacities if c >= n)) for n in loads)
+        best = go(k + 1, [*loads, lengths[k]])
+        for i, n in enumerate(loads):
+            if n + lengths[k] <= max(capacities):
+                best = min(best, go(k + 1, [*loads[:i], n + lengths[k], *loads[i + 1 :]]))
+        return best
+
+    return go(0, [])
+
+
+def longest_only(lengths, capacities):
+    """Best fit into the longest sequence alone, each shrunk at the end."""
+    loads = []
+    for n in lengths:
+        fits = [i for i, held in enumerate(loads) if held + n <= max(capacities)]
+        if fits:
+            loads[max(fits, key=lambda i: loads[i])] += n
+        else:
+            loads.append(n)
+    return [min(c for c in capacities if c >= n) for n in loads]
+
+
+def test_lengths_are_chosen_jointly():
+    rng = np.random.default_rng(8)
+    capacities, better, optimal, mixed = (4, 8, 16), 0, 0, 0
+    cost = lambda c: c + 1.0
+    for _ in range(300):
+        lengths = sorted(rng.integers(1, 17, rng.integers(1, 8)).tolist(), reverse=True)
+        bins, capacity = packing.best_fit(lengths, capacities, cost)
+        total = packing_cost(lengths, bins, capacity, cost)
+        least, plain = least_cost(lengths, capacities, cost), sum(map(cost, longest_only(lengths, capacities)))
+        assert least <= total <= plain
+        better += total < plain
+        optimal += total == least
+        mixed += len(set(capacity)) > 1
+    assert better >= 10 and optimal >= 250 and mixed >= 50, (better, optimal, mixed)
+
+
+@pytest.mark.parametrize("low, high", [(1, 8192), (1, 400), (3000, 6000), (900, 1100)])
+def test_joint_choice_on_large_groups(low, high):
+    lengths = sorted(np.random.default_rng(low).integers(low, high, 600).tolist(), reverse=True)
+    bins, capacity = packing.best_fit(lengths)
+    plain = sum(map(packing.sequence_cost, longest_only(lengths, packing.CAPACITIES)))
+    assert packing_cost(lengths, bins, capacity, packing.sequence_cost) <= plain
+
+
+def test_many_copies_of_one_row(spark):
+    data = [(1, "a b c", "s", 1, 1, "x")] * 9000
+    got = packing.pack_documents(spark.createDataFrame(data, DOCS).coalesce(1), (64, 128)).collect()
+    assert sorted(r["copy"] for r in got) == list(range(9000))
+    check_packing(data, got, (64, 128))
+
+
 def check_packing(data, got, capacities):
     bins, docs = defaultdict(list), defaultdict(list)
     for r in got:
