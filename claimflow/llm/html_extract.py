@@ -29,7 +29,8 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=/"'>]+)""")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math".split())
+RAW = frozenset("script style textarea title".split())  # read as raw text, to the end of the page where they are not closed
+CUT = frozenset("noscript iframe noembed noframes xmp template svg".split())  # left out as a whole where they are closed
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table "
@@ -62,6 +63,12 @@ OTHER_WORDS = frozenset(
     "pagination toolbar skip hidden".split()
 )
 LAYOUT = frozenset("has with no is without".split())
+# words that say nothing of a part beside one of those above; any other word ("related work") makes it part of an article
+NEUTRAL_WORDS = frozenset(
+    "area article articles bar block body bottom box button buttons by container content count for global group icon icons "
+    "inline inner item items left link links list main media more outer page panel post posts right row section site slot "
+    "text title top unit us wrap wrapper".split()
+)
 GOOD_WORDS = frozenset("article content post entry main body story text page blog".split())
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -106,8 +113,11 @@ def _is_other(node: Node) -> bool:
         return True
     for words in _names(attrs):
         if words and words[0] not in LAYOUT and not OTHER_WORDS.isdisjoint(words):
+            inside = _inside(node, ("article", "main"))
             # the heading of an article may stand in a "header" of its own
-            if OTHER_WORDS.intersection(words) == {"header"} and _inside(node, ("article", "main")):
+            if inside and OTHER_WORDS.intersection(words) == {"header"}:
+                continue
+            if inside and any(w.isalpha() and w not in OTHER_WORDS and w not in NEUTRAL_WORDS for w in words):
                 continue
             return True
     return False
@@ -123,10 +133,14 @@ def _inside(node: Node, tags: tuple[str, ...]) -> bool:
 
 
 def parse(html: str) -> Node:
-    """The tree of a page; elements that are read as raw text are left out with what they hold."""
+    """The tree of a page, without scripts and other elements that hold no text of it.
+
+    An element of CUT that is never closed is no more than its tag: what follows is read as if it were not there.
+    """
     root = Node("html", {}, None)
     stack, at, end = [root], 0, len(html)
     open_: Counter[str] = Counter()
+    unclosed: set[str] = set()
 
     def text(piece: str) -> None:
         if piece:
@@ -161,10 +175,15 @@ def parse(html: str) -> Node:
             tag = m["start"].lower()
             if tag == "html":
                 continue
-            if tag in RAW:
-                if not m["attrs"].rstrip().endswith("/"):
+            if tag in RAW or tag in CUT:
+                if tag not in unclosed and not m["attrs"].rstrip().endswith("/"):
                     over = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
-                    at = over.end() if over else end
+                    if over:
+                        at = over.end()
+                    elif tag in RAW:
+                        at = end
+                    else:
+                        unclosed.add(tag)
                 text(" ")
                 continue
             if tag in BLOCKS:
@@ -311,7 +330,7 @@ def main_text(html: str) -> str:
     for node in order:  # parents first
         if id(node) in kept:
             stays[id(node)] = True
-        elif _is_link_list(node) and sum(isinstance(c, Node) for c in node.children) > 1:
+        elif _is_link_list(node) and sum(isinstance(c, Node) for c in node.children) > 1 and not _inside(node, ("article", "main")):
             stays[id(node)] = False
         else:
             stays[id(node)] = node.parent is not None and stays[id(node.parent)]

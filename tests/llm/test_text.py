@@ -95,6 +95,12 @@ PAGES = [
     ("<article><p>kept</p><p class='x", "kept"),
     ("<table><tr><td>a<td>b<tr><td>c</table>", "a\n\nb\n\nc"),
     ("<article><p>see <a href='/x'>this <b>link</a> here</b></p></article>", "see this link here"),
+    ("<article><p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> in this formula</p></article>", "Energy is E=m in this formula"),
+    ("<article><p>before</p><svg><text>gone</text></svg><p>after</p></article>", "before\n\nafter"),
+    ("<article><p>before</p><svg><path d='x'><p>after an open one</p><noscript><p>and another</p></article>", "before\n\nafter an open one\n\nand another"),
+    ("<article><p>Text, of it.</p><ul><li><a href=a>First reference</a><li><a href=b>Second reference</a></ul><nav><a href=c>menu</a></nav></article>", "Text, of it.\n\nFirst reference\n\nSecond reference"),
+    ('<article><p class="social-history">Social history, of it.</p><div class="related-work"><p>Related work, and more.</p></div></article>', "Social history, of it.\n\nRelated work, and more."),
+    ('<article><p>Kept, all of it.</p><div class="related-posts"><p>gone</p></div><div class="ad-slot-2">gone</div><div class="share-buttons">gone</div><div class="newsletter">gone</div><div id="comments-section"><p>gone, too</p></div></article>', "Kept, all of it."),
     ('<article><h1>Only a title</h1></article><div class="ad">Buy this, and that, and those, now.</div>', "Only a title"),
 ]
 
@@ -113,6 +119,33 @@ def test_long_and_deep_pages():
     assert html_extract.main_text("<" * 50_000).startswith("<<")
 
 
+def test_articles_of_made_pages():
+    """Pages with a known article between and around parts that are not its own."""
+    rng = np.random.default_rng(3)
+    word = lambda: f"w{rng.integers(0, 999)}"
+    others = [
+        '<nav><ul><li><a href="/a">Menu entry</a></ul></nav>', '<aside><p>side, side, side</p></aside>', '<div class="ad">buy, buy, now</div>',
+        "<script>var a = '</p>';</script>", "<style>p {}</style>", "<form><p>mail</p><input></form>", '<div class="cookie-notice"><p>we use cookies</p></div>',
+        '<section id="comments"><article class="comment"><p>nice, nice, nice</p></article></section>', "<svg><text>drawn</text></svg>",
+    ]
+    inside = [
+        ("<p>{}</p>", 1), ("<h2>{}</h2>", 1), ("<blockquote>{}</blockquote>", 1), ("<ul><li>{}</li><li>{}</li></ul>", 2), ("<table><tr><td>{}</td><td>{}</td></tr></table>", 2),
+        ('<ol><li><a href="#">{}</a><li><a href="#">{}</a></ol>', 2), ("<p><math><mi>{}</mi></math></p>", 1), ('<div class="side-effects"><p>{}</p></div>', 1), ("<pre>{}</pre>", 1),
+    ]
+    for _ in range(300):
+        blocks, parts = ["Title"], ["<h1>Title</h1>"]
+        for _ in range(rng.integers(1, 12)):
+            if rng.random() < 0.3:
+                parts.append(others[rng.integers(len(others))])
+            shape, n = inside[rng.integers(len(inside))]
+            held = [" ".join(word() for _ in range(rng.integers(1, 30))) for _ in range(n)]
+            blocks += held
+            parts.append(shape.format(*held))
+        around = [others[k] for k in rng.integers(0, len(others) - 2, 4)]
+        page = f"<html><head><title>t</title></head><body><header>Site</header>{around[0]}{around[1]}<article>{''.join(parts)}</article>{around[2]}{around[3]}<footer>f</footer></body></html>"
+        assert html_extract.main_text(page) == "\n\n".join(blocks)
+
+
 def test_extract_every_case(spark):
     data = [(1, "u", "<p>é</p>"), (2, None, None), (3, "v", ""), (1, "u", "<p>é</p>"), (None, "w", "<p>x</p>")]
     pages = spark.createDataFrame([(*r, "t", 7) for r in data], "page_id long, url string, html string, text string, n_chars int")
