@@ -23,6 +23,14 @@ LICENCE_NAMES = {
     "LGPL-2.1": ("gnu lesser general public license version 2 1", "lgpl version 2 1", "lgpl v2 1"),
     "LGPL-3.0": ("gnu lesser general public license version 3", "lgpl version 3", "lgpl v3", "lgplv3"),
     "AGPL-3.0": ("gnu affero general public license version 3", "agpl version 3", "agpl v3", "agplv3"),
+    **{
+        f"{name}-{version}-{kind}": (f"{name.lower()} {version.replace('.', ' ')} {kind.replace('-', ' ')}",)
+        for name, versions in {"GPL": ("2.0", "3.0"), "LGPL": ("2.1", "3.0"), "AGPL": ("3.0",)}.items()
+        for version in versions
+        for kind in ("only", "or-later")
+    },
+    "Zlib": ("zlib license", "zlib"),
+    "BSL-1.0": ("boost software license version 1 0", "bsl 1 0"),
     "Unlicense": ("unlicense",),
     "CC0-1.0": ("cc0 1 0", "cc0", "creative commons zero 1 0"),
     "CC-BY-4.0": ("cc by 4 0", "creative commons attribution 4 0 international license"),
@@ -98,6 +106,27 @@ LICENCE_SENTENCES = {
         "this program is distributed in the hope that it will be useful but without any warranty without even the implied "
         "warranty of merchantability or fitness for a particular purpose",
     ),
+    "mpl_terms": (
+        "this source code form is subject to the terms of the mozilla public license",  # "v. 2.0" ends it; only 2.0 says so
+        "this source code form is subject to the terms of the mozilla public license version 2 0",
+    ),
+    "zlib_grant": (
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it "
+        "and redistribute it freely subject to the following restrictions",
+    ),
+    "unlicense_grant": ("this is free and unencumbered software released into the public domain",),
+    "lgpl21_grant": (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public "
+        "license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    ),
+    "lgpl3_grant": (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public "
+        "license as published by the free software foundation either version 3 of the license or at your option any later version",
+    ),
+    "agpl3_grant": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public "
+        "license as published by the free software foundation either version 3 of the license or at your option any later version",
+    ),
     "all_rights_reserved": ("all rights reserved",),
 }
 
@@ -116,19 +145,29 @@ RULES = (
     ("GPL-3.0-or-later", ("gpl3_grant",)),
     ("GPL-2.0-or-later", ("gpl2_grant", "gpl_warranty")),
     ("GPL-2.0-or-later", ("gpl2_grant",)),
+    ("MPL-2.0", ("mpl_terms",)),
+    ("Zlib", ("zlib_grant",)),
+    ("Unlicense", ("unlicense_grant",)),
+    ("LGPL-2.1-or-later", ("lgpl21_grant",)),
+    ("LGPL-3.0-or-later", ("lgpl3_grant",)),
+    ("AGPL-3.0-or-later", ("agpl3_grant",)),
     *((licence, (f"ref:{licence}",)) for licence in LICENCE_NAMES),
-    ("Proprietary", ("copyright", "all_rights_reserved")),
 )
+# holds where the identifiers of a text are of these two kinds alone, so no sentence of another licence is among them
+PROPRIETARY = r"^ (?:(?:copyright|all_rights_reserved) )*copyright (?:copyright )*all_rights_reserved (?:(?:copyright|all_rights_reserved) )*$"
 
 # Every known sentence holds one of these or begins as REFERENCE does. Patterns read alike in both engines.
-TRIGGERS = ("licens", "licenc", "permission", "permitted", "redistribut", "copyright", "warrant", "liab", "rights reserved", "free software", "released under")
+TRIGGERS = ("licens", "licenc", "permission", "permitted", "redistribut", "copyright", "warrant", "liab", "rights reserved", "free software", "released under", "mozilla", "unencumbered")
 REFERENCE = (
     r"^(?:(?:this|the) (?:work|software|program|project|file|code|document|text|content|library|material) (?:is|are) )?"
     r"(?:dual )?(?:licensed|licenced|released|distributed|available|made available|published|provided|shared) under (?:the )?(?:terms of (?:the )?)?"
 )
 # A text without any of these words, which no line break parts, has no such sentence in either reading.
-WORDS = ("licens", "licenc", "permission", "permitted", "redistribut", "copyright", "warrant", "liab", "rights", "software", "under")
+WORDS = ("licens", "licenc", "permission", "permitted", "redistribut", "copyright", "warrant", "liab", "rights", "software", "under", "mozilla", "unencumbered")
 IDENTIFIER = r"^spdx license identifier "
+NUMBER = r"^(?:[0-9]{1,2}|[a-z]) "  # of a list's entry
+MARKS = r"\n[ \t]*(?:#+|//+|/?\*+|;+|--+)[ \t]*"  # that begin the lines of a comment
+ENTRY = r"[:;,][ \t]*(?:and |or )?[ \t]*\(?[0-9a-z][0-9]?[.)][ \t]+"  # a list's entry in running text
 COPYRIGHT = r"^(?:copyright (?:c )?[0-9]{4}|c copyright [0-9]{4}|copyright c ).*$"
 
 
@@ -152,12 +191,13 @@ def _sentences(lowered: Column) -> Column:
 
     A notice may stand on a line of its own or be wrapped over several; each reading finds its kind.
     """
-    joined = F.regexp_replace(lowered, r"\r", "")
+    lowered = F.regexp_replace(F.concat(F.lit("\n"), F.regexp_replace(lowered, r"\r", "")), MARKS, "\n")
+    joined = lowered
     joined = F.regexp_replace(joined, r"\n[ \t]*\n", "\u0001")
     joined = F.regexp_replace(joined, r"\n", " ")
 
     def plain(text: Column) -> Column:
-        text = F.regexp_replace(text, r"([.!?])[ \t]+", "$1\n")
+        text = F.regexp_replace(F.regexp_replace(text, ENTRY, "\n"), r"([.!?])[ \t]+", "$1\n")
         text = F.regexp_replace(text, "\u0001", "\n")
         text = F.regexp_replace(text, r"[^a-z0-9\n]+", " ")
         return F.transform(F.split(text, "\n"), lambda s: F.trim(s))
@@ -168,7 +208,8 @@ def _sentences(lowered: Column) -> Column:
 
 def _identifier(sentence: Column, table: Column) -> Column:
     core = F.regexp_replace(F.regexp_replace(sentence, REFERENCE, "licensed under "), IDENTIFIER, "licensed under ")
-    known = F.coalesce(F.try_element_at(table, sentence), F.try_element_at(table, core))
+    numbered = F.regexp_replace(sentence, NUMBER, "")
+    known = F.coalesce(F.try_element_at(table, sentence), F.try_element_at(table, core), F.try_element_at(table, numbered))
     return F.coalesce(known, F.when(sentence.rlike(COPYRIGHT), F.lit("copyright")))
 
 
@@ -200,4 +241,6 @@ def scan_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         ),
         lambda acc: F.array_join(F.array_sort(F.array_distinct(acc["licences"])), ","),
     )
+    alone = F.regexp_like(F.concat(F.lit(" "), F.col("sentence_ids"), F.lit(" ")), F.lit(PROPRIETARY))
+    end = F.when(alone, F.lit("Proprietary")).otherwise(end)
     return rows.select("doc_id", "sentence_ids", F.when(F.col("sentence_ids") != "", end).otherwise(F.lit("")).alias("licences"))

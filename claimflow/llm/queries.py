@@ -136,9 +136,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def _licence_sql() -> str:
     table = ", ".join(f"('{s}', '{i}')" for s, i in license_scan.sentence_table().items())
     plain = (
-        "regexp_replace(replace(regexp_replace({}, '([.!?])[ \\t]+', '\\1\n', 'g'), chr(1), '\n'), '[^a-z0-9\n]+', ' ', 'g')"
+        f"regexp_replace(replace(regexp_replace(regexp_replace({{}}, '{license_scan.ENTRY}', '\n', 'g'), '([.!?])[ \\t]+', '\\1\n', 'g'), chr(1), '\n'), '[^a-z0-9\n]+', ' ', 'g')"
     )
-    joined = "replace(regexp_replace(replace(low, '\r', ''), '\n[ \\t]*\n', chr(1), 'g'), '\n', ' ')"
+    joined = "replace(regexp_replace(low, '\n[ \\t]*\n', chr(1), 'g'), '\n', ' ')"
     steps, last = [], "s0"
     for n, (licence, ids) in enumerate(license_scan.RULES, 1):
         pattern = license_scan.rule_pattern(ids)
@@ -148,7 +148,8 @@ def _licence_sql() -> str:
         )
         last = f"s{n}"
     return f"""
-WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, lower(coalesce(text, '')) AS low FROM documents),
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, 
+  regexp_replace('\n' || replace(lower(coalesce(text, '')), '\r', ''), '{license_scan.MARKS}', '\n', 'g') AS low FROM documents),
 read AS (SELECT rid, 0 AS reading, string_split({plain.format("low")}, '\n') AS parts FROM docs
   UNION ALL SELECT rid, 1, string_split({plain.format(joined)}, '\n') FROM docs),
 cut AS (SELECT rid, reading, trim(unnest(parts)) AS s, unnest(range(len(parts))) AS k FROM read),
@@ -157,15 +158,16 @@ kept AS (SELECT * FROM cut WHERE reading = 0
     AND NOT EXISTS (SELECT 1 FROM cut b WHERE b.rid = c.rid AND b.reading = 0 AND b.s = c.s) GROUP BY rid, s),
 known(s, id) AS (VALUES {table}),
 cored AS (SELECT rid, reading, k, s, regexp_replace(regexp_replace(s, '{license_scan.REFERENCE}', 'licensed under '),
-  '{license_scan.IDENTIFIER}', 'licensed under ') AS core FROM kept),
-named AS (SELECT c.rid, c.reading, c.k, coalesce(a.id, b.id,
+  '{license_scan.IDENTIFIER}', 'licensed under ') AS core, regexp_replace(s, '{license_scan.NUMBER}', '') AS numbered FROM kept),
+named AS (SELECT c.rid, c.reading, c.k, coalesce(a.id, b.id, n.id,
   CASE WHEN regexp_matches(c.s, '{license_scan.COPYRIGHT}') THEN 'copyright' END) AS id
-  FROM cored c LEFT JOIN known a ON a.s = c.s LEFT JOIN known b ON b.s = c.core),
+  FROM cored c LEFT JOIN known a ON a.s = c.s LEFT JOIN known b ON b.s = c.core LEFT JOIN known n ON n.s = c.numbered),
 ids AS (SELECT rid, string_agg(id, ' ' ORDER BY reading, k) AS ids FROM named WHERE id IS NOT NULL GROUP BY rid),
 s0 AS (SELECT rid, ' ' || ids || ' ' AS "left", CAST([] AS VARCHAR[]) AS found FROM ids),
 {", ".join(steps)}
 SELECT d.doc_id, coalesce(i.ids, '') AS sentence_ids,
-  coalesce(array_to_string(list_sort(list_distinct(f.found)), ','), '') AS licences
+  CASE WHEN regexp_matches(' ' || i.ids || ' ', '{license_scan.PROPRIETARY}') THEN 'Proprietary'
+    ELSE coalesce(array_to_string(list_sort(list_distinct(f.found)), ','), '') END AS licences
 FROM docs d LEFT JOIN ids i USING (rid) LEFT JOIN {last} f USING (rid)"""
 
 

@@ -223,6 +223,19 @@ LICENCES = [
     (14, "Copyright 2020 Somebody.\nAll rights reserved.", "Proprietary"),
     (14, "Released under the MIT License.", "MIT"),
     (None, "Released under the MIT License.", "MIT"),
+    (15, "Copyright (c) 2020, Somebody.\nAll rights reserved.\n\n" + BSD + NAMES, "BSD-3-Clause"),
+    (16, " ".join(BSD.split()), "BSD-2-Clause"),
+    (17, "\n".join(f"# {line}".rstrip() for line in ("Copyright (c) 2020, Somebody.\nAll rights reserved.\n\n" + BSD + NAMES).split("\n")), "BSD-3-Clause"),
+    (18, "/*\n" + "\n".join(f" * {line}" for line in MIT.split("\n")) + "\n */", "MIT"),
+    (19, BSD.replace("1. ", "(1) ").replace("2. ", "(2) ") , "BSD-2-Clause"),
+    (20, "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed with this\n// file, You can obtain one at https://mozilla.org/MPL/2.0/.", "MPL-2.0"),
+    (21, "// SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0-only"),
+    (22, "/* SPDX-License-Identifier: LGPL-2.1-or-later */", "LGPL-2.1-or-later"),
+    (23, "This is free and unencumbered software released into the public domain.", "Unlicense"),
+    (24, "Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n\n1. The origin must not be misrepresented.", "Zlib"),
+    (25, "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "LGPL-2.1-or-later"),
+    (26, "Copyright 2020 Somebody.\nAll rights reserved.\nReleased under the MIT License.", "MIT"),
+    (27, "We met: a friend, b. and others under the bridge.", ""),
 ]
 
 
