@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from claimflow.operators.phrases import automaton, find_phrases, phrase_counts
+from claimflow.operators.phrases import _by_words, automaton, find_phrases, phrase_counts
 
 WORDS = ["a", "ab", "b", "knee", "injury", "gãy", "xương", "đau"]
 
@@ -63,3 +63,20 @@ def test_nothing_to_find(spark):
 def test_the_size_of_what_is_sent_is_checked():
     with pytest.raises(ValueError, match="more than 10 characters"):
         automaton(["123456", "78901"], most=10)
+
+
+def test_words_are_searched_without_a_node_per_character(spark):
+    rng = random.Random(5)
+    rows = some(rng, 100)
+    phrases = {" ".join(rng.choices(WORDS, k=rng.randint(1, 4))) for _ in range(400)} | {" a", "b ", "a  b", "  "}
+    wanted, sizes, parted = _by_words(phrases, " ,")
+    assert wanted == phrases and sizes == [1, 2, 3, 4] and parted.findall("a, b") == [",", " "]
+    df = spark.createDataFrame([*rows, (101, " a  b "), (102, "  "), (103, ",a")], "id int, note string")
+    for between in (" ", ", ", "", "]^-"):
+        found = find_phrases(df, "note", phrases, ["id"], between)
+        assert sorted(map(tuple, found.collect()), key=str) == brute(map(tuple, df.collect()), phrases, between)
+
+
+def test_the_size_of_words_is_checked_as_well(spark):
+    with pytest.raises(ValueError, match="more than 10 characters"):
+        find_phrases(spark.createDataFrame([(1, "a")], "id int, note string"), "note", ["123456", "78901"], ["id"], " ", most=10)
