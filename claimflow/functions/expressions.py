@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterable, Mapping, Sequence
 
@@ -45,8 +46,27 @@ def money_or_zero(c: str | Column, money: str = MONEY) -> Column:
 
 
 def parse_date(c: str | Column, fmt: str) -> Column:
-    """Text to DATE under one format; markers and unreadable text -> NULL."""
-    return F.try_to_timestamp(blank_to_null(c), F.lit(fmt)).cast("date")
+    """Text to DATE under one format; markers and unreadable text -> NULL.
+
+    Text of the usual form (a pattern of one dd, MM and yyyy, filled with as many digits) is put in ISO order and cast, at a
+    fraction of the cost of the parser that reads all the rest.
+    """
+    parsed = F.try_to_timestamp(blank_to_null(c), F.lit(fmt)).cast("date")
+    if sorted(re.split("[/-]", fmt)) != ["MM", "dd", "yyyy"]:
+        return parsed
+    text = col(c).cast("string")
+
+    def part(name: str) -> Column:
+        return F.substr(text, F.lit(fmt.index(name) + 1), F.lit(len(name)))
+
+    usual = F.octet_length(text) == len(fmt)
+    for at, sign in enumerate(fmt, start=1):
+        if sign in "/-":
+            usual = usual & (F.substr(text, F.lit(at), F.lit(1)) == sign)
+    # the cast refuses whatever is no digit, but for signs that end the day and the year 0
+    ends_in_digit = F.substr(part("dd"), F.lit(2), F.lit(1)).between("0", "9")
+    iso = F.concat(part("yyyy"), F.lit("-"), part("MM"), F.lit("-"), part("dd")).try_cast("date")
+    return F.coalesce(F.when(usual & ends_in_digit & (part("yyyy") > "0000"), iso), parsed)
 
 
 def to_day(c: str | Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimflow.session import compiled
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +37,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
             raise ValueError(f"query {name} is registered twice")
 
         def run(spark: SparkSession, sf: str) -> DataFrame:
+            compiled(spark)
             return present(fn(spark, sf))
 
         QUERIES[name] = run

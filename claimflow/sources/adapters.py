@@ -62,6 +62,12 @@ def _dmy(date: str, pattern: str = "dd/MM/yyyy") -> str:
     return f"date_format({date}, '{pattern}')"
 
 
+def _day(date: str, sign: str = "/", first: str = "day") -> str:
+    """Day, month and year (or year, month and day) of a date within the years 1000 to 9999, without a formatter."""
+    parts = [f"lpad(day({date}), 2, '0')", f"lpad(month({date}), 2, '0')", f"year({date})"]
+    return f"concat_ws('{sign}', {', '.join(parts if first == 'day' else parts[::-1])})"
+
+
 def _plus(days: str) -> str:
     return f"date_add(base, cast({days} as int))"
 
@@ -93,14 +99,14 @@ def status_log_raw(spark: SparkSession, sf: str, columns: Sequence[str] | None =
             "concat('P', k) as policycode",
             "((sk * 10 + ln) * 100000000 + price) * 2 + copy as row_index",
             f"{_pick(LOG_STATUS_NAMES, 'code')} as claim_status_name",
-            f"{_dmy(_plus('(sk % 6) * 5'))} as updateddate",
-            f"case when k % 41 = 0 then {_dmy(_plus('10'))} else {_dmy(_plus('-(k % 5)'))} end as accidentdate",
-            f"case when k % 37 = 0 then {_dmy(_plus('7'))} else {_dmy('base')} end as requesterdate",
-            f"{_dmy(_plus('1 + k % 3'))} as ngay_mo_hsbt",
-            f"case when k % 4 = 0 then '' else {_dmy(_plus('20 + k % 9'), 'yyyy-MM-dd')} end as flex_ngay_duyet",
-            f"case when k % 3 = 0 then '' else {_dmy(_plus('25 + k % 7'))} end as ngay_thanh_toan",
-            f"{_dmy(_plus('-100'))} as ngaybatdau",
-            f"{_dmy(_plus('265'))} as ngayketthuc",
+            f"{_day(_plus('(sk % 6) * 5'))} as updateddate",
+            f"case when k % 41 = 0 then {_day(_plus('10'))} else {_day(_plus('-(k % 5)'))} end as accidentdate",
+            f"case when k % 37 = 0 then {_day(_plus('7'))} else {_day('base')} end as requesterdate",
+            f"{_day(_plus('1 + k % 3'))} as ngay_mo_hsbt",
+            f"case when k % 4 = 0 then '' else {_day(_plus('20 + k % 9'), '-', 'year')} end as flex_ngay_duyet",
+            f"case when k % 3 = 0 then '' else {_day(_plus('25 + k % 7'))} end as ngay_thanh_toan",
+            f"{_day(_plus('-100'))} as ngaybatdau",
+            f"{_day(_plus('265'))} as ngayketthuc",
             f"{_pick(COVERAGE_CODES, 'sk % 4')} as loai_hinh",
             "case when (ln + k) % 3 <> 0 then '' else "
             f"{_pick(DAMAGE_NAMES, '(k + case when k % 11 = 0 then ln else 0 end) % 7')} end as pham_vi",
@@ -160,15 +166,15 @@ def snapshot_raw(spark: SparkSession, sf: str, columns: Sequence[str] | None = N
             "when k % 14 = 1 then 'Lái xe BỊ THƯƠNG nhẹ' "
             "when k % 14 = 2 and i = 0 then 'Người đi đường tử vong' else 'Xe va quệt nhẹ' end as noi_dung_tai_nan",
             f"{_pick(['Tự bồi thường', 'Bồi thường hệ thống', '12'], 'k % 3')} as solutioncompensation",
-            f"{_dmy(_plus('-5'), 'dd-MM-yyyy')} as createddate",
-            f"case when k % 101 = 0 then '-' else {_dmy(_plus('40'), 'dd-MM-yyyy')} end as updateddate",
-            f"case when k % 12 = 0 then '-' when k % 23 = 0 then {_dmy(_plus('-10'))} else {_dmy(_plus('-3'))} end "
+            f"{_day(_plus('-5'), '-')} as createddate",
+            f"case when k % 101 = 0 then '-' else {_day(_plus('40'), '-')} end as updateddate",
+            f"case when k % 12 = 0 then '-' when k % 23 = 0 then {_day(_plus('-10'))} else {_day(_plus('-3'))} end "
             "as payment_date",
-            f"{_dmy(_plus('-100'))} as ngaybatdau",
-            f"{_dmy(_plus('265'))} as ngayketthuc",
-            f"case when k % 61 = 0 then {_dmy(_plus('9'))} else {_dmy('base')} end as requesterdate",
-            f"{_dmy(_plus('1 + k % 3'))} as ngay_mo_hsbt",
-            f"{_dmy(_plus('-(k % 5)'))} as accidentdate",
+            f"{_day(_plus('-100'))} as ngaybatdau",
+            f"{_day(_plus('265'))} as ngayketthuc",
+            f"case when k % 61 = 0 then {_day(_plus('9'))} else {_day('base')} end as requesterdate",
+            f"{_day(_plus('1 + k % 3'))} as ngay_mo_hsbt",
+            f"{_day(_plus('-(k % 5)'))} as accidentdate",
             f"case when decided and k % 17 <> 0 then {_dmy(_plus('15 + k % 20'), stamp)} else '-' end as approveddate",
             f"case when (k + i) % 6 = 0 then '-' else {_commas('p')} end as uoc_bt_ban_dau",
             f"case when (k + i) % 7 = 0 then '-' else {_commas('p - p div 10')} end as ubt",

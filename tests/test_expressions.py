@@ -1,10 +1,13 @@
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from claimflow.functions import expressions as x
 from claimflow.functions import vocabulary as v
+from claimflow.session import compiled
+from claimflow.sources.adapters import _day, _dmy
 
 
 def one(spark, value, expression, kind="string"):
@@ -97,3 +100,41 @@ def test_text_is_folded_to_one_form(spark):
     texts = [unicodedata.normalize(f, t) for f in ("NFC", "NFD") for t in ("Lái xe BỊ THƯƠNG nhẹ", "đưa đi Cấp Cứu")]
     flags = spark.createDataFrame([(t,) for t in [*texts, "xe bị xước", None]], "t string").select(any_phrase("t", v.INJURY_PHRASES))
     assert [r[0] for r in flags.collect()] == [True] * 4 + [False] * 2
+
+
+ODD_DATES = (
+    "01/02/2000", "31/12/1999", "31/02/2000", "29/02/2000", "29/02/1900", "1 /02/2000", "1T/02/2000", " 1/02/2000", "01/02/200 ", "01/02/0000",
+    "01/02/0001", "-1/02/2000", "01/-2/2000", "01/02/-200", "01/02/+200", "01-02-2000", "01/02-2000", "1/2/2000", "01/02/2000 ", "2000/02/01", "00/01/2000",
+    "01/13/2000", "à1/2/2000", "0\n/02/2000", "", "-", " ", None, "text text ", "2000-02-01", "2000-2-001", "2000-02-1 ", "10-11-2012", "9999-12-31", "31/12/9999",
+)
+
+
+@pytest.mark.parametrize("fmt", ["dd/MM/yyyy", "dd-MM-yyyy", "yyyy-MM-dd"])
+def test_the_short_way_to_dates_reads_what_the_parser_reads(spark, fmt):
+    df = spark.createDataFrame([(d,) for d in ODD_DATES], "d string")
+    parser = F.try_to_timestamp(x.blank_to_null("d"), F.lit(fmt)).cast("date")
+    rows = df.select("d", x.parse_date("d", fmt).cast("string").alias("got"), parser.cast("string").alias("want")).collect()
+    assert [(r["d"], r["got"]) for r in rows] == [(r["d"], r["want"]) for r in rows]
+    assert sum(r["got"] is not None for r in rows) >= 2
+    plan = df.select(x.parse_date("d", fmt))._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat(" in plan and "try_cast" in plan
+
+
+def test_wide_projections_are_compiled_unless_the_session_says_otherwise(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        compiled(spark)
+        assert spark.conf.get(key) == "8000"
+        spark.conf.set(key, "9000")
+        compiled(spark)
+        assert spark.conf.get(key) == "9000"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_days_put_together_are_those_of_the_formatter(spark):
+    days = spark.sql("select explode(sequence(date'1995-12-25', date'2000-03-05')) as base")
+    pairs = [(_day("base"), _dmy("base")), (_day("base", "-"), _dmy("base", "dd-MM-yyyy")), (_day("base", "-", "year"), _dmy("base", "yyyy-MM-dd"))]
+    assert days.selectExpr(*[f"count_if({a} = {b}) = count(*)" for a, b in pairs]).first() == (True, True, True)
