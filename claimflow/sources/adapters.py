@@ -55,7 +55,14 @@ def _pick(values: list[str], index: str) -> str:
 
 
 def _commas(amount: str) -> str:
-    return f"format_number({amount}, 0)"
+    """A whole number with its thousands parted; numbers of up to nine digits without a formatter."""
+    high, mid = f"({amount}) div 1000000", f"({amount}) div 1000"
+    three = [f"substr(cast(1000 + {x} % 1000 as string), 2)" for x in (f"({mid})", f"({amount})")]
+    return (
+        f"case when ({amount}) between 1000000 and 999999999 then concat(cast({high} as string), ',', {three[0]}, ',', {three[1]}) "
+        f"when ({amount}) between 1000 and 999999 then concat(cast({mid} as string), ',', {three[1]}) "
+        f"else format_number({amount}, 0) end"
+    )
 
 
 def _dmy(date: str, pattern: str = "dd/MM/yyyy") -> str:
@@ -64,7 +71,8 @@ def _dmy(date: str, pattern: str = "dd/MM/yyyy") -> str:
 
 def _day(date: str, sign: str = "/", first: str = "day") -> str:
     """Day, month and year (or year, month and day) of a date within the years 1000 to 9999, without a formatter."""
-    parts = [f"lpad(day({date}), 2, '0')", f"lpad(month({date}), 2, '0')", f"year({date})"]
+    two = _array([f"{n:02d}" for n in range(1, 32)])
+    parts = [f"element_at({two}, day({date}))", f"element_at({two}, month({date}))", f"year({date})"]
     return f"concat_ws('{sign}', {', '.join(parts if first == 'day' else parts[::-1])})"
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from claimflow.functions import expressions as x
 from claimflow.functions import vocabulary as v
 from claimflow.session import compiled
-from claimflow.sources.adapters import _day, _dmy
+from claimflow.sources.adapters import _commas, _day, _dmy
 
 
 def one(spark, value, expression, kind="string"):
@@ -138,3 +138,37 @@ def test_days_put_together_are_those_of_the_formatter(spark):
     days = spark.sql("select explode(sequence(date'1995-12-25', date'2000-03-05')) as base")
     pairs = [(_day("base"), _dmy("base")), (_day("base", "-"), _dmy("base", "dd-MM-yyyy")), (_day("base", "-", "year"), _dmy("base", "yyyy-MM-dd"))]
     assert days.selectExpr(*[f"count_if({a} = {b}) = count(*)" for a, b in pairs]).first() == (True, True, True)
+
+
+ODD_MONEY = (
+    "0", "12", "1,234,567", "1,2,3", "007", "12.5", "1,234.567", "-5", "-", "", " ", " 12", "12 ", "12\t", "12\x7f", "1\x7f2", "1e3", "1E-1", "+7", "abc", "1a", "1 2",
+    "9999999999999", "9999999999999.99", "10000000000000", "99999999999999999999", "9223372036854775808", "1-", ",1", "1,", "\u0661\u0662", "1\u0662", ":", None,
+)
+
+
+@pytest.mark.parametrize("money", ["decimal(15,2)", "decimal(5,0)"])
+def test_the_short_way_to_money_reads_what_the_decimal_parser_reads(spark, money):
+    df = spark.createDataFrame([(t,) for t in ODD_MONEY], "t string")
+    text = F.trim("t")
+    parser = F.when(~text.isin("", "-"), F.replace(text, F.lit(","), F.lit("")).try_cast(money))
+    rows = df.select("t", x.parse_money("t", money).alias("got"), parser.alias("want")).collect()
+    assert [(r["t"], r["got"]) for r in rows] == [(r["t"], r["want"]) for r in rows]
+    assert sum(r["got"] is not None for r in rows) >= 10
+    plan = df.select(x.parse_money("t", money))._jdf.queryExecution().optimizedPlan().toString()
+    assert "as bigint" in plan  # whole numbers do not go through the decimal parser
+
+
+def test_names_found_as_written_need_no_change_of_letters(spark):
+    mapping = {"Đã hủy": "a", "ĐÃ HỦY": "b", "Mới": "c"}
+    texts = ["Đã hủy", "ĐÃ HỦY", " đã huỷ ", "Mới", "mới", "moi", "da huy", "", "khác", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(x.map_value("t", mapping).alias("m"))
+    assert [r["m"] for r in rows.collect()] == ["a", "a", "a", "c", "c", "c", None, None, None, None]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "keys: [Đã hủy,ĐÃ HỦY,Mới]" in plan
+
+
+def test_thousands_put_together_are_those_of_the_formatter(spark):
+    edges = [n * s for n in (0, 1, 9, 10, 999, 1000, 1001, 10007, 999999, 1000000, 1002003, 999999999, 1000000000, 2**53) for s in (1, -1)]
+    numbers = spark.createDataFrame([(n,) for n in [*edges, None]], "n bigint")
+    rows = numbers.selectExpr("n", f"{_commas('n')} as got", "format_number(n, 0) as want", f"{_commas('n - n div 10')} as less", "format_number(n - n div 10, 0) as want_less").collect()
+    assert [(r["n"], r["got"], r["less"]) for r in rows] == [(r["n"], r["want"], r["want_less"]) for r in rows]
