@@ -16,7 +16,8 @@ import re
 from collections import deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +36,25 @@ LONGEST = 64  # characters of such a piece
 # From a white space that follows something else up to the next such place
 PART = re.compile(r"\s*\S+(?:[^\S \n\t\r]\s*\S*)*|\s+")
 PLAIN = re.compile(r" \S+")
+LINE = re.compile(r"\n(?<=\S\n)")  # the end of a line, where a text is cut as well
+# A space between white space, or white space and the end, where no text may be cut, or one before the end of a line
+UNCUT = re.compile(r" (?:(?!\S)(?<=\s )|(?=\n))")
 WRITTEN = 256  # sequences handed on at once
 PIECE = "struct<doc_id:long,start:long,length:long,doc_tokens:long,offset:long>"
 SEQUENCES = f"sequence_id long, n_tokens int, n_padding int, ids binary, pieces array<{PIECE}>"
 
 
+def written(word: str) -> str:
+    """A word of a text cut at spaces and ends of lines, with what it was cut at."""
+    return word if word[:1] == "\n" else f" {word}"
+
+
 class Encoder:
     """Ids of texts by a tokenizer, given by the path of its file or by its name among the public ones.
 
     Where the tokenizer splits texts at white space by the byte-level rule, a piece of text from one white space to the
-    next always has the same ids. Then the ids of short pieces are remembered, and only new ones are tokenised.
+    next always has the same ids. Then the ids of short pieces are remembered, and only new ones are tokenised. Texts are cut at
+    spaces and ends of lines, those with longer runs of white space by a pattern.
     """
 
     def __init__(self, vocabulary: str):
@@ -63,40 +73,61 @@ class Encoder:
             split.get("type") == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"]
             and setup["normalizer"] is None and not own_space
         )
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # of words, each with the space or the end of line before it
+        self.others: dict[str, bytes] = {}  # of other parts, as the first word of a text
         self.spaced = np.zeros(self.model.get_vocab_size(), bool)  # ids of tokens that begin with a space
         self.spaced[[i for token, i in self.model.get_vocab().items() if token[0] == "\u0120"]] = True
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, parts: list[str]) -> None:
-        plain, others = [], []
-        for part in parts:
-            (plain if PLAIN.fullmatch(part) else others).append(part)
+    def _learn(self, words: set[str], parts: set[str]) -> dict[str, bytes]:
+        """Ids of words and other parts of text: remembered, but for those of long ones, which are given back."""
+        if len(self.known) + len(self.others) + len(words) + len(parts) > MEMO:
+            self.known.clear()
+            self.others.clear()
+        plain, long = [], {}
+        for word in words.difference(self.known):
+            part = written(word)
+            if len(part) > LONGEST:
+                long[part] = self._ids(part).tobytes()
+            elif PLAIN.fullmatch(part):
+                plain.append(word)
+            else:
+                self.known[word] = self._ids(part).tobytes()
+        for part in parts.difference(self.others):
+            (self.others if len(part) <= LONGEST else long)[part] = self._ids(part).tobytes()
         if plain:  # one after the other they are a text, and each begins where a token begins with a space
-            texts = ["".join(plain[k : k + JOINED]) for k in range(0, len(plain), JOINED)]
+            texts = [" " + " ".join(plain[k : k + JOINED]) for k in range(0, len(plain), JOINED)]
             ids = np.concatenate([np.array(x.ids, "<u4") for x in self.model.encode_batch_fast(texts, add_special_tokens=False)])
             begins = (4 * np.flatnonzero(self.spaced[ids])).tolist()
             data = ids.tobytes()
             self.known.update(zip(plain, map(data.__getitem__, map(slice, begins, [*begins[1:], len(data)])), strict=True))
-        for part in others:
-            self.known[part] = self._ids(part).tobytes()
+        return long
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if not self.local:
             yield from map(self._ids, texts)
             return
-        split = [PART.findall(t) for t in texts]
-        unknown = set(chain.from_iterable(split)).difference(self.known)
-        long = {p: self._ids(p).tobytes() for p in unknown if len(p) > LONGEST}
-        if len(self.known) + len(unknown) > MEMO:
-            unknown = set(chain.from_iterable(split))
-            self.known.clear()
-        self._learn([p for p in unknown if len(p) <= LONGEST])
-        for parts in split:
-            found = (long[p] if len(p) > LONGEST else self.known[p] for p in parts) if long else map(self.known.__getitem__, parts)
-            yield np.frombuffer(b"".join(found), "<u4")
+        cuts, new, parts = [], set(), set()
+        for text in texts:
+            if UNCUT.search(text):
+                pieces, words = PART.findall(text), []
+            else:
+                first, *words = LINE.sub(" \n", text).split(" ")
+                pieces = [first]
+            ids = list(map(self.known.get, words))
+            if not all(ids):
+                new.update(compress(words, map(not_, ids)))
+            new.update(p[1:] for p in pieces if PLAIN.fullmatch(p))
+            parts.update(p for p in pieces if not PLAIN.fullmatch(p))
+            cuts.append((pieces, words, ids))
+        long = self._learn(new, parts)
+        for pieces, words, ids in cuts:
+            begin = [self.known.get(p[1:]) or long[p] if PLAIN.fullmatch(p) else self.others.get(p) or long.get(p, b"") for p in pieces]
+            if not all(ids):
+                ids = [known or self.known.get(w) or long[written(w)] for w, known in zip(words, ids, strict=True)]
+            yield np.frombuffer(b"".join([*begin, *ids]), "<u4")
 
 
 @functools.cache

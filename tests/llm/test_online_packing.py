@@ -54,6 +54,20 @@ def test_remembered_ids_are_the_tokenizers(vocabulary):
             assert ids.tolist() == model.encode(text, add_special_tokens=False).ids
 
 
+def test_usual_texts_are_cut_without_a_pattern(monkeypatch):
+    """Texts without runs of white space are cut at spaces and ends of lines; the pattern is for the others."""
+    encoder = op.Encoder(op.VOCABULARY)
+    texts = ["one two\nthree four\n\nfive six\n", " one", "one ", "two\tone  two x", "\none two", "x" * 70 + " " + "y" * 70 + "\n" + "z" * 70, ""]
+    monkeypatch.setattr(op, "PART", None)
+    for _ in range(2):
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            assert ids.tolist() == encoder.model.encode(text, add_special_tokens=False).ids
+    monkeypatch.undo()
+    others = ["one  ", "one \n two", "  two", "one   two", "one\n\n two \n ", " \n", "one \ntwo", "   ", "\n one\n  two", "one\r\n\ttwo\n\n\nx"]
+    for text, ids in zip(others, encoder.encode(others), strict=True):
+        assert ids.tolist() == encoder.model.encode(text, add_special_tokens=False).ids
+
+
 def test_what_is_remembered_is_bounded(monkeypatch):
     monkeypatch.setattr(op, "MEMO", 20)
     encoder, rng = op.Encoder(op.VOCABULARY), random.Random(5)
