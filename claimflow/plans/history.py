@@ -14,6 +14,7 @@ from claimflow.operators.cleaning import default_usage, repair_order
 from claimflow.operators.picking import dedupe, pick
 from claimflow.operators.relational import keys_of
 from claimflow.operators.shaping import Field, fields_for, project
+from claimflow.operators.skew import join_facts
 from claimflow.sources.contracts import CLAIM_COLUMNS, STATUS_LOG
 
 DEDUPE_KEYS = (
@@ -87,15 +88,27 @@ def reduced_with_facts(log: DataFrame) -> DataFrame:
     return life.damage_labels(reduced_claims(log).join(facts, life.CLAIM))
 
 
+def beyond_snapshot(log: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """The log's rows of the claims that the snapshot does not know.
+
+    The claim number decides alone, so Spark carries the join below the cleaning: raw rows meet the snapshot's claims, and
+    only what is left is cleaned.
+    """
+    return join_facts(log, keys_of(snapshot, life.CLAIM), life.CLAIM, "left_anti")
+
+
 def history_only_claims(log: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Claims known only to the log, one row each, in the common claim schema.
+    """Claims known only to the log, one row each, in the common claim schema."""
+    return log_claims(beyond_snapshot(log, snapshot))
+
+
+def log_claims(log: DataFrame) -> DataFrame:
+    """The claims of a log, one row each, in the common claim schema.
 
-    The latest row and the facts are each one row per claim, so they meet in a plain join, and the
-    claims of the snapshot are removed at that level instead of from the log.
+    The latest row and the facts are each one row per claim, so they meet in a plain join.
     """
     latest = pick(log, life.CLAIM, [F.desc("updateddate"), F.desc("row_index")])
     claims = latest.join(life.damage_facts(log, with_status=True), life.CLAIM)
-    claims = claims.join(keys_of(snapshot, life.CLAIM), life.CLAIM, "left_anti")
     claims = life.damage_labels(claims).withColumn("payment_date", life.paid_date())
     amounts = ("claim_estimate_first", "total_claim_estimate", "compensation_total")
     claims = claims.withColumns({c: F.coalesce(F.col(c), life.zero()) for c in amounts})

@@ -151,7 +151,7 @@ def j3_milestones(spark, sf):
     "CAST(claim_status <> claim_status_name AS INTEGER) AS relabelled FROM latest_rows",
 )
 def j4_relabel_latest(spark, sf):
-    return op.relabel_latest(deduped(spark, sf)).select("claimnumber", "row_index", "claim_status", "relabelled")
+    return op.relabel_latest(staged(spark, sf)).select("claimnumber", "row_index", "claim_status", "relabelled")
 
 
 J5A = f"{latest('estimate pending')}, {joint_zero('latest_rows')}, {drop_zero('filled', 'claimnumber')}"
@@ -171,7 +171,7 @@ def j5a_reduce_estimate_pending(spark, sf):
     f"WITH {sql.DEDUPED_ROWS}, {latest('documents pending')} SELECT {out()} FROM latest_rows",
 )
 def j5b_reduce_documents_pending(spark, sf):
-    return op.reduce_documents_pending(deduped(spark, sf)).select(*OUT)
+    return op.reduce_documents_pending(staged(spark, sf)).select(*OUT)
 
 
 J5C = (

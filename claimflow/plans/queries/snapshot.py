@@ -9,12 +9,12 @@ from claimflow.functions import vocabulary as v
 from claimflow.operators import snapshot as op
 from claimflow.operators.cleaning import rollup_category
 from claimflow.operators.relational import update_from
-from claimflow.plans.history import DEDUPE_KEYS, deduped_history
+from claimflow.plans.history import DEDUPE_KEYS, beyond_snapshot, deduped_history
 from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.lifecycle import REPAIRED
 from claimflow.plans.queries.registry import query
 from claimflow.plans.queries.relational import CLAIM, log, snapshot
-from claimflow.plans.snapshot import final_claim_set
+from claimflow.plans.snapshot import joint_claims
 from claimflow.sources import adapters
 from claimflow.sources.contracts import CLAIM_COLUMNS
 from claimflow.sources.tables import load, stage
@@ -271,11 +271,16 @@ final AS (SELECT * REPLACE ({FINAL_DAYS} AS processdays) FROM (SELECT * FROM fro
 
 
 def final_claims(spark: SparkSession, sf: str) -> DataFrame:
-    """Claims of both sources, one row each, the log without its copies: the input of the loss metrics."""
+    """Claims of both sources, one row each, the log without its copies: the input of the loss metrics.
+
+    The log is a table before its copies are removed, so the sort of the copies does not take over the join's partitions,
+    in which all rows of a claim lie together.
+    """
     history = {*CLAIM_COLUMNS, *DEDUPE_KEYS, "row_index"} - {"claim_status", "processdays"}
     both = {*CLAIM_COLUMNS, *BASE, "accident_type", "narrative"} - {"damage_type"}
-    rows = stage(deduped_history(log(spark, sf, *sorted(history))), "deduped-log")
-    return final_claim_set(rows, stage(snapshot(spark, sf, *sorted(both)), "clean-snapshot"))
+    known = stage(snapshot(spark, sf, *sorted(both)), "clean-snapshot")
+    alone = stage(beyond_snapshot(log(spark, sf, *sorted(history)), known), "log-alone")
+    return joint_claims(stage(deduped_history(alone), "deduped-log"), known)
 
 
 def _shown() -> str:

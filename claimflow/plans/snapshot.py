@@ -13,7 +13,7 @@ from claimflow.operators import snapshot as snap
 from claimflow.operators.cleaning import repair_order
 from claimflow.operators.lifecycle import process_days
 from claimflow.operators.shaping import Field, fields_for, project, with_row_index
-from claimflow.plans.history import history_only_claims
+from claimflow.plans.history import beyond_snapshot, log_claims
 from claimflow.sources.contracts import CLAIM_COLUMNS, SNAPSHOT
 
 
@@ -71,5 +71,10 @@ def snapshot_claims(df: DataFrame) -> DataFrame:
 
 def final_claim_set(log: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Snapshot claims and the claims only the log knows, with the final durations."""
-    claims = snap.final_claims(snapshot_claims(snapshot), history_only_claims(log, snapshot))
+    return joint_claims(beyond_snapshot(log, snapshot), snapshot)
+
+
+def joint_claims(alone: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """`final_claim_set` of a log that is already `beyond_snapshot`."""
+    claims = snap.final_claims(snapshot_claims(snapshot), log_claims(alone))
     return process_days(claims, "final")
