@@ -81,6 +81,20 @@ def resolve_status(log: DataFrame) -> DataFrame:
     return claim_facts(log, "claim_status")
 
 
+def deciding_rows(log: DataFrame, status: str) -> DataFrame:
+    """The rows that decide whether a claim is resolved to `status`: those in it or in a stronger state.
+
+    A claim is resolved to its strongest state, so rows in weaker ones change nothing and need not be shuffled.
+    """
+    strong = STATUS_PRIORITY[: STATUS_PRIORITY.index(status) + 1]
+    return log.where(F.col("claim_status_name").isin(*strong))
+
+
+def claims_in(log: DataFrame, status: str) -> DataFrame:
+    """The claims resolved to `status`, with it in claim_status."""
+    return resolve_status(deciding_rows(log, status)).where(F.col("claim_status") == status)
+
+
 def with_status(log: DataFrame) -> DataFrame:
     """The log with the resolved claim_status on every row."""
     return join_facts(log, resolve_status(log), CLAIM, "inner")
@@ -590,23 +604,33 @@ def reduce_history_only(log: DataFrame, variant: str = "latest") -> DataFrame:
     """One row per claim known only to the log: `latest`, `largest` amounts or latest `in process` row.
 
     `distinct amounts` sums the different approved amounts per claim instead. Rows are reduced before
-    the claim's state is joined, one row per claim on both sides.
+    the claim's state is joined, one row per claim on both sides; the amounts bring the states of their claims along.
     """
     latest = [F.desc("updateddate"), F.desc("row_index")]
-    status = claim_facts(log, "claim_status")
     name = F.col("claim_status_name")
     if variant == "latest":
-        return pick(log, CLAIM, latest).join(status, CLAIM)
+        return pick(log, CLAIM, latest).join(resolve_status(log), CLAIM)
     if variant == "largest":
         sizes = [F.desc_nulls_last(c) for c in ("compensation_total", "total_claim_estimate", "claim_estimate_first")]
-        return pick(log, CLAIM, [*sizes, *latest]).join(status, CLAIM)
+        return pick(log, CLAIM, [*sizes, *latest]).join(resolve_status(log), CLAIM)
     if variant == "in process":
-        chosen = pick(log, CLAIM, latest, name == "in process")
-        return chosen.join(status.where(F.col("claim_status") == "in process"), CLAIM)
+        return pick(log, CLAIM, latest, name == "in process").join(claims_in(log, "in process"), CLAIM)
     if variant == "distinct amounts":
-        amounts = log.where(name == "approved").select(
-            "claimnumber", F.coalesce("compensation_total", zero()).alias("compensation_total")
-        )
-        sums = amounts.distinct().groupBy("claimnumber").agg(F.sum("compensation_total").alias("compensation_total"))
-        return sums.join(status.where(F.col("claim_status") == "approved"), CLAIM)
+        return _distinct_amounts(log)
     raise ValueError(f"unknown variant {variant!r}")
+
+
+def _distinct_amounts(log: DataFrame) -> DataFrame:
+    """Claims resolved to approved with the sum of their different approved amounts, from one pass over the log.
+
+    A claim's rows become one per different amount, and one without an amount for all its stronger states; a second
+    aggregate makes the claim of them, so a claim with many rows or many amounts does not meet in one task.
+    """
+    name = F.col("claim_status_name")
+    rows = deciding_rows(log, "approved").where(F.col("claimnumber").isNotNull())
+    approved = F.when(name == "approved", F.coalesce("compensation_total", zero()))
+    amounts = rows.groupBy("claimnumber", approved.alias("amount")).agg(F.min(status_rank(name)).alias("rank"))
+    claims = amounts.groupBy("claimnumber").agg(
+        F.sum("amount").alias("compensation_total"), status_of_rank(F.min("rank")).alias("claim_status")
+    )
+    return claims.where(F.col("claim_status") == "approved")

@@ -268,6 +268,38 @@ def test_history_only_variants(log):
         assert sums[claim] == sum(amounts)
 
 
+def test_distinct_amounts_read_the_log_once(spark):
+    """Amounts and states come from one pass over the rows that decide; claims without a number stay out."""
+    day = [None] * 3
+    rows = [
+        ("A", "approved", "5.00"), ("A", "approved", "5.00"), ("A", "approved", "7.00"), ("A", "approved", None),
+        ("A", "approved", "0.00"), ("A", "in process", "9.00"), ("A", "submitted", "11.00"), ("A", None, "13.00"),
+        ("B", "approved", None), ("C", "approved", "3.00"), ("C", "denied", "3.00"), ("D", "paid out", "4.00"),
+        ("D", "approved", "4.00"), ("E", "in process", "6.00"), ("F", "cancelled", None), ("F", "approved", "8.00"),
+        ("G", "something else", "2.00"), ("G", "approved", "1.00"), (None, "approved", "2.00"),
+    ]
+    rows = [
+        (claim, i, state, None, *day, None, None, None if paid is None else Decimal(paid))
+        for i, (claim, state, paid) in enumerate(rows)
+    ]
+    spark_rows = spark.createDataFrame(rows, LOG_SCHEMA).repartition(3)
+    sums = life.reduce_history_only(spark_rows, "distinct amounts")
+    assert sums.columns == ["claimnumber", "compensation_total", "claim_status"]
+    assert sorted(map(tuple, sums.collect())) == [
+        ("A", Decimal("12.00"), "approved"), ("B", ZERO, "approved"), ("G", Decimal("1.00"), "approved"),
+    ]
+    assert sums._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+
+
+@pytest.mark.parametrize("status", ["in process", "approved", "documents pending"])
+def test_claims_are_resolved_by_the_rows_that_decide(log, status):
+    found = life.claims_in(log, status)
+    assert {r["claimnumber"] for r in as_dicts(found)} == set(claims_in(log, status))
+    weaker = life.STATUS_PRIORITY[life.STATUS_PRIORITY.index(status) + 1 :]
+    left = {r["claim_status_name"] for r in as_dicts(life.deciding_rows(log, status))}
+    assert status in left and not left & {*weaker, "submitted"}
+
+
 @pytest.mark.parametrize(
     "reduce",
     [
