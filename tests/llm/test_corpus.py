@@ -1,5 +1,6 @@
 """The registered queries beside their SQL, and the pipeline against brute force."""
 
+import zlib
 from collections import defaultdict
 
 import corpus_pipeline
@@ -88,6 +89,26 @@ def test_pipeline_with_every_case(spark):
     assert [r["doc_id"] for r in corpus_pipeline.STAGES[0][1](spark, unlabelled, FOLDER).collect()] == [1]
 
 
+def test_the_text_decides_the_language(spark):
+    """Documents with a label are classified as those without: a wrong label does not stay, that of a language not learned does."""
+    data = [(i, f"the cat sat on the mat with number {i} and the dog", "en", "s", 1) for i in range(120)]
+    data += [(1000 + i, f"der Hund und die Katze sind nicht {i} über dem Haus", "de", "s", 1) for i in range(120)]
+    wrong = [(5000, "der Hund und die Katze sind über dem Haus", "en", "s", 1), (5001, "the dog and the cat sat on the mat", "de", "s", 1)]
+    other = [(5002, "the dog and the cat", None, "s", 1), (5003, "12 34", "en", "s", 1), (5004, None, "en", "s", 1)]
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify_language(spark, spark.createDataFrame([*data, *wrong, *other], COLUMNS), FOLDER).collect()}
+    assert got == {**{r[0]: r[2] for r in data}, 5000: "de", 5001: "en", 5002: "en"}
+
+
+def test_every_label_is_learned_from(spark):
+    """Labels of documents that op1 holds out are learned from in the pipeline, which measures nothing on them."""
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == corpus.HELD_OUT]
+    data = [(i, f"the cat sat on the mat with number {i}", "en", "s", 1) for i in range(400) if i not in held]
+    data += [(i, f"der Hund und die Katze {i} über dem Haus", "de", "s", 1) for i in held]
+    data += [(5000, "die Katze über dem Haus", None, "s", 1)]
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify_language(spark, spark.createDataFrame(data, COLUMNS), FOLDER).collect()}
+    assert got == {**{r[0]: r[2] for r in data}, 5000: "de"}
+
+
 def test_run_is_the_registered_query(spark):
     a = corpus.queries()["pipeline"](spark, FOLDER)
     assert sorted(map(str, a.collect())) == sorted(map(str, corpus_pipeline.run(spark, FOLDER).collect()))
