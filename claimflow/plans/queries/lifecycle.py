@@ -15,6 +15,7 @@ from claimflow.plans.queries import fragments as sql
 from claimflow.plans.queries.registry import query
 from claimflow.plans.queries.relational import CLAIM, log, snapshot
 from claimflow.sources import adapters
+from claimflow.sources.stages import by_slices, slices_for
 from claimflow.sources.tables import stage
 
 BASE = (
@@ -470,9 +471,16 @@ JOIN stamps s ON s.claimnumber = r.claimnumber LEFT JOIN damage ON damage.claimn
 
 @query("j_chain_reduced_claims", f"WITH {CHAIN}")
 def j_chain_reduced_claims(spark, sf):
-    """Copies removed, damage consolidated, every state reduced, milestones on every row that is left."""
-    rows = history.reduced_with_facts(staged(spark, sf, "damage_type"))
-    return rows.select(*OUT, "damage_type", *MILESTONES)
+    """Copies removed, damage consolidated, every state reduced, milestones on every row that is left.
+
+    All that follows the removal of copies looks at a claim alone, so it is done for a slice of the claims at a time.
+    """
+    slices = slices_for(spark, log(spark, sf, "claimnumber").count())
+
+    def work(rows: DataFrame) -> DataFrame:
+        return history.reduced_with_facts(rows).select(*OUT, "damage_type", *MILESTONES)
+
+    return by_slices(deduped(spark, sf, "damage_type"), CLAIM, work, slices, "deduped-log")
 
 
 @query("j5_reduce_all_states", f"WITH {REDUCED} SELECT * FROM reduced")

@@ -1,8 +1,10 @@
 """Stages checked while written, changed by partitions and removed; rejected lines; distinct counts that add up."""
 
 import random
+import time
 from pathlib import Path
 
+import oracle
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,3 +120,43 @@ def test_sketches_add_up(spark):
 def test_small_groups_are_counted_exactly(spark):
     df = spark.createDataFrame([("a", k % 300) for k in range(900)] + [("b", None)], "g string, k int").repartition(4)
     assert {r["g"]: r["n"] for r in distinct.counted(distinct.sketches(df, ["g"], "k")).collect()} == {"a": 300, "b": 0}
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {blocks.apply(i).getName() for i in range(blocks.size()) if blocks.apply(i).getName().startswith("shuffle_")}
+
+
+def test_work_by_slices_is_that_on_all_rows_and_leaves_no_shuffles(spark):
+    rows = spark.createDataFrame([(None if k % 50 == 0 else f"K{k % 90}", k) for k in range(1000)], "k string, v int")
+    work = lambda df: df.groupBy("k").agg(F.count("v").alias("n"), F.max("v").alias("last")).join(df.where("v < 300"), "k", "left")
+    want = sorted(map(tuple, work(rows).collect()), key=str)
+    own = spark.conf.get(stages.CLEANUP_CONF)
+    for slices in (1, 3, 40):
+        before = shuffle_files(spark)
+        got = stages.by_slices(rows.repartition(5, "v"), ["k"], work, slices, "sliced")
+        until = time.time() + 20
+        while shuffle_files(spark) - before and time.time() < until:  # files go a moment after the job ends
+            time.sleep(0.2)
+        assert not shuffle_files(spark) - before
+        assert sorted(map(tuple, got.collect()), key=str) == want
+    assert spark.conf.get(stages.CLEANUP_CONF) == own
+
+
+def test_a_slice_holds_as_many_rows_for_every_core(spark):
+    cores = spark.sparkContext.defaultParallelism
+    most = stages.ROWS_A_CORE * cores
+    assert [stages.slices_for(spark, n) for n in (0, 1, most, most + 1, 10 * most)] == [1, 1, 1, 2, 10]
+
+
+def test_the_chain_of_reductions_by_slices(spark, monkeypatch):
+    from claimflow.plans.queries import ORACLE, QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    monkeypatch.setattr(stages, "ROWS_A_CORE", 250)
+    seen = []
+    real = stages.save_stage
+    monkeypatch.setattr(stages, "save_stage", lambda df, *more: seen.append(df.columns) or real(df, *more))
+    ok, text = oracle.compare(QUERIES["j_chain_reduced_claims"](spark, folder), oracle.connect(folder), ORACLE["j_chain_reduced_claims"])
+    assert ok, text
+    assert len(seen) == 1 and stages.SLICE in seen[0]
